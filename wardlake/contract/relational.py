@@ -559,11 +559,11 @@ def explode_position(b: Bindings):
 
 
 @query("set_07_inline_values", "code:s label:s n:i", """
-    SELECT code, label, count(*) AS n FROM condition_feed JOIN (VALUES ('I10', 'hypertension'),
-        ('E50', 'deficiency'), ('N18', 'kidney')) AS v(code, label) ON code = icd10_code GROUP BY 1, 2""")
+    SELECT code, label, count(*) AS n FROM condition_feed JOIN (VALUES ('I08', 'valves'),
+        ('E04', 'goitre'), ('N13', 'kidney')) AS v(code, label) ON code = icd10_code GROUP BY 1, 2""")
 def inline_values(b: Bindings):
-    inline = b.spark.sql("""SELECT * FROM VALUES ('I10', 'hypertension'), ('E50', 'deficiency'),
-        ('N18', 'kidney') AS v(code, label)""")
+    inline = b.spark.sql("""SELECT * FROM VALUES ('I08', 'valves'), ('E04', 'goitre'),
+        ('N13', 'kidney') AS v(code, label)""")
     return b.conditions().join(F.broadcast(inline), F.col("code") == F.col("icd10_code")) \
         .groupBy("code", "label").agg(m.rows().alias("n"))
 

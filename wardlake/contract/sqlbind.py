@@ -20,19 +20,19 @@ def dsk(expr: str) -> str:
 def avg2(expr: str) -> str:
     """Half-up mean of a decimal with two places, in integer arithmetic."""
     cents = f"cast(({expr}) * 100 AS hugeint)"
-    return f"(((2 * sum({cents}) + count({expr})) // (2 * count({expr})))::double / 100)"
+    return f"(((2 * sum({cents}) + count({expr})) // nullif(2 * count({expr}), 0))::double / 100)"
 
 
 def pct(num: str, den: str, places: int = 2) -> str:
     """Half-up percentage of two non-negative integers."""
     scale = 10 ** places
     n, d = f"cast({num} AS hugeint)", f"cast({den} AS hugeint)"
-    return f"(((200 * {scale} * {n} + {d}) // (2 * {d}))::double / {scale})"
+    return f"(((200 * {scale} * {n} + {d}) // nullif(2 * {d}, 0))::double / {scale})"
 
 
 def ratio4(num: str, den: str) -> str:
     n, d = f"cast({num} AS hugeint)", f"cast({den} AS hugeint)"
-    return f"(((20000 * {n} + {d}) // (2 * {d}))::double / 10000)"
+    return f"(((20000 * {n} + {d}) // nullif(2 * {d}, 0))::double / 10000)"
 
 
 def cents(expr: str) -> str:
