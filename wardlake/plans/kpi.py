@@ -123,6 +123,13 @@ def facility_labels(hospitals: DataFrame) -> DataFrame:
     return hospitals.select("hospital_bk", label.alias("hospital_label"))
 
 
+def _beside(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Two one-row results side by side; the second is one scalar subquery."""
+    row = other.select(F.struct(*other.columns)).scalar()
+    both = one.withColumn("_o", row)
+    return both.select(*one.columns, *[F.col(f"_o.{c}").alias(c) for c in other.columns])
+
+
 def network_overview(enc: DataFrame, clm: DataFrame) -> DataFrame:
     """Network totals and rates, one row from one aggregate per view."""
     inpatient, denied = m.count_where(F.col("is_inpatient")), m.count_where(F.col("is_denied"))
@@ -132,7 +139,7 @@ def network_overview(enc: DataFrame, clm: DataFrame) -> DataFrame:
     c = clm.agg(
         m.pct(denied, F.count(F.lit(1))).alias("denial_pct"),
         m.pct(F.sum("paid_amount"), F.sum("billed_amount")).alias("collection_pct"))
-    return e.withColumns({k: c.select(k).scalar() for k in ["denial_pct", "collection_pct"]})
+    return _beside(e, c)
 
 
 def by_facility(enc: DataFrame) -> DataFrame:
@@ -263,8 +270,7 @@ def recommendation_line(enc: DataFrame, clm: DataFrame) -> DataFrame:
         .alias("denial_rate"),
         m.pct(F.sum("paid_amount"), F.sum("billed_amount"), "decimal(5,1)")
         .alias("collection_rate"))
-    return e.withColumns({k: c.select(k).scalar()
-                          for k in ["claims", "denial_rate", "collection_rate"]})
+    return _beside(e, c)
 
 
 def carrier_denial(raw_claims: DataFrame) -> DataFrame:
