@@ -21,6 +21,11 @@ MINUTE_COLS = ("minute_start_utc:s device_id:s patient_id:s hospital_code:s bed_
                "temperature_c_avg:d temperature_c_max:d anomaly_event_count:i primary_anomaly_kind:s")
 
 
+def cores(b: Bindings) -> int:
+    """State partitions: one per core of the cluster."""
+    return b.spark.sparkContext.defaultParallelism
+
+
 def flagged(b: Bindings):
     """Events stream through the JSON text a device would send."""
     return vitals.flag_anomalies(vitals.parse(b.as_bodies(b.as_vitals(b.events_stream()))))
@@ -59,7 +64,7 @@ def bronze_append(b: Bindings):
 def minute_append(b: Bindings):
     root = shared_dir(b.spark, "minutes")
     minutes = vitals.minute_aggregate(typed(b), "5 minutes")
-    sinks.await_all(b.spark, [sinks.write_minutes(minutes, root, f"{root}/ckpt", None)])
+    sinks.await_all(b.spark, [sinks.write_minutes(minutes, root, f"{root}/ckpt", None, cores(b))])
     return b.spark.read.parquet(f"{root}/vitals_minute")
 
 
@@ -71,7 +76,7 @@ def minute_upsert(b: Bindings):
     """Update mode: open minutes are written too and replaced as they grow."""
     root = shared_dir(b.spark, "upsert")
     minutes = vitals.minute_aggregate(typed(b), "2 minutes")
-    sinks.await_all(b.spark, [sinks.write_upsert(minutes, f"{root}/log", f"{root}/ckpt", None)])
+    sinks.await_all(b.spark, [sinks.write_upsert(minutes, f"{root}/log", f"{root}/ckpt", None, cores(b))])
     return sinks.read_upserted(b.spark, f"{root}/log", UPSERT_KEYS)
 
 
@@ -97,7 +102,7 @@ def six_minute_buckets(b: Bindings):
     """State kept for six minutes behind the newest event, flushed as it changes."""
     root = shared_dir(b.spark, "buckets")
     minutes = vitals.minute_aggregate(typed(b), "6 minutes")
-    sinks.await_all(b.spark, [sinks.write_upsert(minutes, f"{root}/log", f"{root}/ckpt", None)])
+    sinks.await_all(b.spark, [sinks.write_upsert(minutes, f"{root}/log", f"{root}/ckpt", None, cores(b))])
     return sinks.read_upserted(b.spark, f"{root}/log", UPSERT_KEYS).agg(
         F.count(F.lit(1)).alias("minutes"), F.sum("sample_count").alias("samples"),
         F.sum("anomaly_event_count").alias("anomalies"))
@@ -114,7 +119,7 @@ def late_data(b: Bindings):
         rows.write.mode("append").parquet(feed)
         src = b.spark.readStream.schema(rows.schema).parquet(feed)
         minutes = vitals.minute_aggregate(vitals.flag_anomalies(b.as_vitals(src)), "5 minutes")
-        sinks.await_all(b.spark, [sinks.write_minutes(minutes, root, f"{root}/ckpt", None)])
+        sinks.await_all(b.spark, [sinks.write_minutes(minutes, root, f"{root}/ckpt", None, cores(b))])
     return b.spark.read.parquet(f"{root}/vitals_minute").groupBy("device_id").agg(
         F.sum("sample_count").alias("samples"))
 
@@ -128,7 +133,7 @@ def two_sinks(b: Bindings):
     src = typed(b).withColumn("arrival_ts", F.col("event_ts"))
     sinks.await_all(b.spark, [
         sinks.write_bronze(src, root, f"{root}/ckpt", None),
-        sinks.write_minutes(vitals.minute_aggregate(src), root, f"{root}/ckpt", None)])
+        sinks.write_minutes(vitals.minute_aggregate(src), root, f"{root}/ckpt", None, cores(b))])
     out = None
     for label, path in [("bronze", "vitals_stream"), ("minutes", "vitals_minute")]:
         one = b.spark.read.parquet(f"{root}/{path}").agg(F.count(F.lit(1)).alias("n")) \
@@ -158,7 +163,7 @@ def minute_fact(b: Bindings):
     root = shared_dir(b.spark, "fact")
     minutes = vitals.minute_aggregate(typed(b), "5 minutes")
     fact = vitals.fact_minutes(minutes, b.dim_hospital)
-    sinks.await_all(b.spark, [sinks.write_minutes(fact, root, f"{root}/ckpt", None)])
+    sinks.await_all(b.spark, [sinks.write_minutes(fact, root, f"{root}/ckpt", None, cores(b))])
     return b.spark.read.parquet(f"{root}/vitals_minute")
 
 
@@ -170,7 +175,7 @@ def duplicate_readings(b: Bindings):
     src = typed(b)
     doubled = src.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy")
     minutes = vitals.minute_aggregate(vitals.dedup(doubled, "5 minutes"), None)
-    sinks.await_all(b.spark, [sinks.write_minutes(minutes, root, f"{root}/ckpt", None)])
+    sinks.await_all(b.spark, [sinks.write_minutes(minutes, root, f"{root}/ckpt", None, cores(b))])
     return b.spark.read.parquet(f"{root}/vitals_minute").groupBy("device_id").agg(
         F.sum("sample_count").alias("samples"))
 

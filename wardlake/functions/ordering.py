@@ -1,9 +1,9 @@
 """Order-dependent operators that never pull a whole group into one task.
 
-A plain window sends every row of a partition key to one task. Each operator here
-works in two levels instead: rows are ordered inside fine buckets that preserve
-the overall order, a small summary row per bucket is accumulated, and the summary
-is joined back. The result equals the plain window; the tests compare the two.
+A plain window sends every row of a partition key to one task. The operators here
+work in two levels where a group may be large: rows are ordered inside buckets that
+preserve the overall order, a small summary row per bucket is accumulated, and the
+summary is joined back. The result equals the plain window; the tests compare both.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 _BEFORE = (Window.unboundedPreceding, -1)
 STEPS_PER_OCTAVE = 256
+HOT_ROWS = 1_000_000
 
 
 def value_bucket(col: Column) -> Column:
@@ -23,37 +24,42 @@ def value_bucket(col: Column) -> Column:
     return F.when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0)).cast("bigint")
 
 
-def prior_value(df: DataFrame, key: str, ts: str, tie: str, value: Column, out: str,
-                bucket: str = "week", following: bool = False) -> DataFrame:
-    """Latest non-null ``value`` among earlier rows of the key (later rows: ``following``).
+def neighbours(df: DataFrame, key: str, ts: str, tie: str, value: Column,
+               before: str | None = None, after: str | None = None, bucket: str = "week",
+               hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Nearest non-null ``value`` among earlier (``before``) and later (``after``) rows of the key.
 
-    Rows are ordered by (ts, tie). One key's history is cut into time buckets; the
-    last value of every bucket is carried forward over the bucket summary.
+    Rows are ordered by (ts, tie). Most keys are one window group each. A key with
+    more than ``hot_rows`` rows is cut into time buckets; the edge value of every
+    bucket is carried over the bucket summary, which exists for such keys only. At
+    most rows / hot_rows keys can be hot, so their list is safe to broadcast.
     """
-    data = df.withColumn("_v", value).withColumn("_b", F.date_trunc(bucket, F.col(ts)))
-
-    def order(name: str) -> Column:
-        return F.col(name).desc() if following else F.col(name).asc()
-
-    inner = Window.partitionBy(key, "_b").orderBy(order(ts), order(tie)).rowsBetween(*_BEFORE)
-    data = data.withColumn("_in", F.last("_v", ignorenulls=True).over(inner))
-
-    edge = F.struct(F.col(ts), F.col(tie), F.col("_v"))
-    pick = F.min if following else F.max
-    across = Window.partitionBy("_k").orderBy(order("_b")).rowsBetween(*_BEFORE)
-    carry = (
+    hot = df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n")) \
+        .where(F.col("_n") > hot_rows).select("_hot")
+    data = (
         df.withColumn("_v", value)
-        .select(F.col(key).alias("_k"), F.date_trunc(bucket, F.col(ts)).alias("_b"), ts, tie, "_v")
-        .groupBy("_k", "_b")
-        .agg(pick(F.when(F.col("_v").isNotNull(), edge)).alias("_e"))
-        .withColumn("_carry", F.last(F.col("_e._v"), ignorenulls=True).over(across))
-        .select("_k", F.col("_b").alias("_b2"), "_carry")
-    )
-    joined = data.join(carry, (F.col(key) == F.col("_k")) & (F.col("_b") == F.col("_b2")), "left")
-    return (
-        joined.withColumn(out, F.coalesce("_in", "_carry"))
-        .drop("_v", "_b", "_in", "_k", "_b2", "_carry")
+        .join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+        .withColumn("_b", F.when(F.col("_hot").isNotNull(), F.date_trunc(bucket, F.col(ts))))
+        .drop("_hot")
     )
+    cut = data.where(F.col("_b").isNotNull()) \
+        .groupBy(F.col(key).alias("_k"), F.col("_b").alias("_kb"))
+    edge = F.when(F.col("_v").isNotNull(), F.struct(F.col(ts), F.col(tie), F.col("_v")))
+    wanted = [(n, i) for i, n in enumerate((before, after)) if n is not None]
+    carry = cut.agg(*[(F.min if i else F.max)(edge).alias(f"_e{i}") for _, i in wanted])
+
+    def ordered(part: list[str], cols: list[str], backwards: int):
+        order = [F.col(c).desc() if backwards else F.col(c).asc() for c in cols]
+        return Window.partitionBy(*part).orderBy(*order).rowsBetween(*_BEFORE)
+
+    for _, i in wanted:
+        over = ordered(["_k"], ["_kb"], i)
+        carry = carry.withColumn(f"_c{i}", F.last(F.col(f"_e{i}._v"), ignorenulls=True).over(over))
+        near = ordered([key, "_b"], [ts, tie], i)
+        data = data.withColumn(f"_in{i}", F.last("_v", ignorenulls=True).over(near))
+    carry = carry.select("_k", "_kb", *[f"_c{i}" for _, i in wanted])
+    out = data.join(carry, (F.col(key) == F.col("_k")) & (F.col("_b") == F.col("_kb")), "left")
+    return out.select(*df.columns, *[F.coalesce(f"_in{i}", f"_c{i}").alias(n) for n, i in wanted])
 
 
 def rank_table(df: DataFrame, keys: list[str], order: list[str],

@@ -30,8 +30,8 @@ def numeric(df: DataFrame, col: str) -> DataFrame:
     plain = base.agg(
         F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
         F.min("v").alias("lo"), F.max("v").alias("hi"))
-    stats = plain.withColumn("_q", quart.select(F.struct(*quart.columns)).scalar())
-    return stats.select(*plain.columns, *[F.col(f"_q.{c}").alias(c) for c in quart.columns])
+    both = plain.unionByName(quart, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def clip_at(df: DataFrame, col: str, p: float = 0.99) -> DataFrame:

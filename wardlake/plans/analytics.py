@@ -8,16 +8,14 @@ from pyspark.sql.window import Window
 
 from wardlake.functions import clinical
 from wardlake.functions import measures as m
-from wardlake.functions.ordering import (global_row_number, ntile_of, percentiles, prior_value,
+from wardlake.functions.ordering import (global_row_number, neighbours, ntile_of, percentiles,
                                          rank_table, running_total)
 
 
 def visit_gaps(enc: DataFrame, days: int = 30) -> DataFrame:
     """Previous and next visit of the patient over all classes, and the gap in days."""
-    start = F.col("start_at")
-    out = prior_value(enc, "patient_bk", "start_at", "encounter_bk", start, "previous_start")
-    out = prior_value(out, "patient_bk", "start_at", "encounter_bk", start, "next_start",
-                      following=True)
+    out = neighbours(enc, "patient_bk", "start_at", "encounter_bk", F.col("start_at"),
+                     "previous_start", "next_start")
     gap = F.datediff("start_at", "previous_start")
     return out.withColumn("days_since_last_visit", gap) \
         .withColumn("is_return", F.coalesce(gap <= days, F.lit(False)))
@@ -25,7 +23,7 @@ def visit_gaps(enc: DataFrame, days: int = 30) -> DataFrame:
 
 def return_rate(enc: DataFrame, days: int = 30) -> DataFrame:
     """Share of repeat visits within ``days`` of the visit before."""
-    seen = prior_value(enc, "patient_bk", "start_at", "encounter_bk", F.col("start_at"), "prev")
+    seen = neighbours(enc, "patient_bk", "start_at", "encounter_bk", F.col("start_at"), "prev")
     repeat = seen.where(F.col("prev").isNotNull())
     back = m.count_where(F.datediff("start_at", "prev") <= days)
     return repeat.agg(F.count(F.lit(1)).alias("total_encounters"), back.alias("readmissions"),

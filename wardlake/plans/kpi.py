@@ -124,10 +124,9 @@ def facility_labels(hospitals: DataFrame) -> DataFrame:
 
 
 def _beside(one: DataFrame, other: DataFrame) -> DataFrame:
-    """Two one-row results side by side; the second is one scalar subquery."""
-    row = other.select(F.struct(*other.columns)).scalar()
-    both = one.withColumn("_o", row)
-    return both.select(*one.columns, *[F.col(f"_o.{c}").alias(c) for c in other.columns])
+    """Two one-row results with different columns as one row."""
+    both = one.unionByName(other, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def network_overview(enc: DataFrame, clm: DataFrame) -> DataFrame:

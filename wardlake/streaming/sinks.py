@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,6 +15,23 @@ def _trigger(seconds: int | None) -> dict:
     return {"availableNow": True} if seconds is None else {"processingTime": f"{seconds} seconds"}
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None):
+    """Queries started inside keep ``n`` state partitions for the life of their checkpoint.
+
+    Adaptive execution does not resize stateful stages, so the number is set per
+    stream; None leaves the session's setting.
+    """
+    name = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(name)
+    if n is not None:
+        spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
 def write_append(df: DataFrame, path: str, checkpoint: str, trigger_s: int | None = 30,
                  parts: list[str] | None = None, fmt: str = "parquet") -> StreamingQuery:
     """Exactly-once file append. ``trigger_s=None`` replays what is there and stops."""
@@ -30,9 +49,10 @@ def write_bronze(events: DataFrame, root: str, checkpoint: str,
 
 
 def write_minutes(minutes: DataFrame, root: str, checkpoint: str,
-                  trigger_s: int | None = 30) -> StreamingQuery:
-    return write_append(minutes, f"{root}/vitals_minute", f"{checkpoint}/silver_vitals_minute",
-                        trigger_s, ["date_sk"])
+                  trigger_s: int | None = 30, partitions: int | None = None) -> StreamingQuery:
+    with state_partitions(minutes.sparkSession, partitions):
+        return write_append(minutes, f"{root}/vitals_minute", f"{checkpoint}/silver_vitals_minute",
+                            trigger_s, ["date_sk"])
 
 
 def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
@@ -58,11 +78,11 @@ def upsert_log(target: str, fmt: str = "parquet"):
 
 
 def write_upsert(minutes: DataFrame, target: str, checkpoint: str,
-                 trigger_s: int | None = 15) -> StreamingQuery:
-    return (
-        minutes.writeStream.outputMode("update").foreachBatch(upsert_log(target))
-        .option("checkpointLocation", checkpoint).trigger(**_trigger(trigger_s)).start()
-    )
+                 trigger_s: int | None = 15, partitions: int | None = None) -> StreamingQuery:
+    writer = minutes.writeStream.outputMode("update").foreachBatch(upsert_log(target)) \
+        .option("checkpointLocation", checkpoint).trigger(**_trigger(trigger_s))
+    with state_partitions(minutes.sparkSession, partitions):
+        return writer.start()
 
 
 def read_upserted(spark: SparkSession, target: str, keys: list[str],
