@@ -152,7 +152,7 @@ def top_values(b: Bindings):
 @query("dq_13_histogram", "bin:i n:i", """
     WITH v AS (SELECT count(*) AS v FROM condition_feed GROUP BY patient_bk),
     s AS (SELECT min(v) AS lo, (max(v) - min(v)) / 25.0::double AS w FROM v)
-    SELECT coalesce(least(floor((v - lo) / nullif(w, 0)), 24), 0) AS bin, count(*) AS n
+    SELECT CASE WHEN w > 0 THEN least(floor((v - lo) / w), 24) ELSE 0 END AS bin, count(*) AS n
     FROM v, s GROUP BY 1""")
 def histogram(b: Bindings):
     """Conditions per patient in 25 equal bins."""

@@ -62,8 +62,8 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     stats = data.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     lo, hi = stats.select("lo").scalar(), stats.select("hi").scalar()
     width = (hi - lo) / F.lit(bins)
-    slot = F.least(F.floor(F.try_divide(F.col("v") - lo, width)), F.lit(bins - 1))
-    return data.groupBy(F.coalesce(slot, F.lit(0)).cast("int").alias("bin")) \
+    slot = F.when(width > 0, F.least(F.floor((F.col("v") - lo) / width), F.lit(bins - 1))).otherwise(0)
+    return data.groupBy(slot.cast("int").alias("bin")) \
         .agg(F.count(F.lit(1)).alias("n"))
 
 
