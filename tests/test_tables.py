@@ -35,6 +35,12 @@ def test_replace_range_drops_emptied_day_and_repeats(spark, store, tuples):
     assert tuples(store.read("k"), "date_sk", "v") == [(20200101, 1), (20200102, 9)]
 
 
+def test_replace_range_with_nothing_clears_it(spark, store, tuples):
+    store.replace_range(days(spark, (20200101, 1), (20200102, 2)), "k", "date_sk", 20200101, 20200131)
+    store.replace_range(days(spark, (20990101, 1)), "k", "date_sk", 20200102, 20200105)
+    assert tuples(store.read("k"), "date_sk", "v") == [(20200101, 1)]
+
+
 def test_replace_tail(spark, store, tuples):
     def table(*rows):
         df = spark.createDataFrame(list(rows), "ts timestamp, v int")

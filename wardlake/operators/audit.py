@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wardlake.operators.dq import RULE, Checked, write_quarantine
 from wardlake.schemas import AUDIT, AUDIT_COLUMNS
+from wardlake.sources.tables import observed
 
 TABLE = "load_audit"
 
@@ -28,35 +30,37 @@ def observed_overwrite(store, df: DataFrame, layer: str, name: str,
     """Overwrite a table and log the row count without a second job."""
     seen, start = Observation(), _utcnow()
     store.overwrite(df.observe(seen, F.count(F.lit(1)).alias("n")), name, parts)
-    n = seen.get["n"]
+    n = observed(seen).get("n", 0)
     record(store, [dict(layer=layer, object_name=name, rows_written=n, started_at=start,
                         finished_at=_utcnow(), status="success")])
     return n
 
 
-def observed_silver(store, checked: Checked, clean: DataFrame, name: str,
+def observed_silver(store, checked: Checked, finish: Callable[[DataFrame], DataFrame], name: str,
                     parts: list[str] | None = None) -> dict[str, int]:
-    """Write clean rows and quarantine; log totals and the rejects of every rule.
+    """Write clean rows (through ``finish``) and quarantine; log the rejects of every rule.
 
-    Both writes observe counts, so a rule needs no count job of its own.
+    The tagged rows are parsed and written aside once, counted during that write, and
+    both targets read them from there; clean and rejected rows lie in different
+    partitions.
     """
-    start = _utcnow()
-    written, tags = Observation(), Observation()
-    store.overwrite(clean.observe(written, F.count(F.lit(1)).alias("n")), name, parts)
+    start, tags, written = _utcnow(), Observation(), Observation()
     per_rule = [F.count(F.when(F.col(RULE) == r, F.lit(1))).alias(f"r{i}")
                 for i, r in enumerate(checked.rules)]
-    counted = Checked(
-        checked.tagged.observe(tags, F.count(F.lit(1)).alias("n"), *per_rule),
-        checked.rules, checked.at)
-    write_quarantine(counted, store, f"quarantine/{name}")
-    metrics, end = tags.get, _utcnow()
-    rows = [dict(layer="silver", object_name=name, rows_read=metrics["n"],
-                 rows_written=written.get["n"],
-                 rows_rejected=sum(metrics[f"r{i}"] for i in range(len(checked.rules))),
+    tagged, path = store.stage(
+        checked.tagged.observe(tags, F.count(F.lit(1)).alias("n"), *per_rule), [RULE])
+    staged = Checked(tagged, checked.rules, checked.at)
+    store.overwrite(finish(staged.clean).observe(written, F.count(F.lit(1)).alias("n")), name, parts)
+    write_quarantine(staged, store, f"quarantine/{name}")
+    store.drop(path)
+    counts, end = observed(tags), _utcnow()
+    total = counts.get("n", 0)
+    rejected = {r: counts.get(f"r{i}", 0) for i, r in enumerate(checked.rules)}
+    rows = [dict(layer="silver", object_name=name, rows_read=total,
+                 rows_written=observed(written).get("n", 0), rows_rejected=sum(rejected.values()),
                  started_at=start, finished_at=end, status="success")]
-    for i, rule in enumerate(checked.rules):
-        rows.append(dict(layer="silver", object_name=name, rule=rule, rows_read=metrics["n"],
-                         rows_rejected=metrics[f"r{i}"], started_at=start, finished_at=end,
-                         status="success"))
+    rows += [dict(layer="silver", object_name=name, rule=rule, rows_read=total, rows_rejected=n,
+                  started_at=start, finished_at=end, status="success")
+             for rule, n in rejected.items()]
     record(store, rows)
-    return {r: metrics[f"r{i}"] for i, r in enumerate(checked.rules)}
+    return rejected

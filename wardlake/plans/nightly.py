@@ -33,11 +33,12 @@ class Config:
 
 def _silver(cfg: Config, name: str, conformed: DataFrame, ruleset: dq.Rules, key: str,
             finish=None, parts: list[str] | None = None) -> dict[str, int]:
+    def settle(clean: DataFrame) -> DataFrame:
+        kept = dq.latest(clean, [key], [silver.INGEST_TS])
+        return kept if finish is None else finish(kept)
+
     checked = dq.apply(conformed, ruleset, cfg.load_ts)
-    clean = dq.latest(checked.clean, [key], [silver.INGEST_TS])
-    if finish is not None:
-        clean = finish(clean)
-    return audit.observed_silver(cfg.store, checked, clean, name, parts)
+    return audit.observed_silver(cfg.store, checked, settle, name, parts)
 
 
 def run_silver(cfg: Config) -> None:

@@ -15,6 +15,7 @@ from __future__ import annotations
 import uuid
 from datetime import date, datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -22,6 +23,18 @@ from pyspark.sql.types import StructType
 from wardlake.functions import dates
 
 
+def observed(metric: Observation) -> dict:
+    """Metrics of a finished write; empty when the result had no rows.
+
+    Adaptive execution replaces a result that turns out empty and drops the metric
+    node with it, so a missing metric row means zero rows.
+    """
+    try:
+        return dict(metric.get)
+    except Py4JJavaError:
+        return {}
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
         self.spark = spark
@@ -43,7 +56,7 @@ class TableStore:
         return [(s.getPath().getName(), s.getPath().toString())
                 for s in fs.listStatus(p) if s.isDirectory()]
 
-    def _drop(self, path: str) -> None:
+    def drop(self, path: str) -> None:
         fs, p = self._fs(path)
         fs.delete(p, True)
 
@@ -105,10 +118,10 @@ class TableStore:
             .save(f"{self.path(name)}/v={version}")
         return version
 
-    def _stage(self, df: DataFrame) -> tuple[DataFrame, str]:
-        """Write rows aside: a table must not be overwritten while it is being read."""
+    def stage(self, df: DataFrame, parts: list[str] | None = None) -> tuple[DataFrame, str]:
+        """Write rows aside once, to be read several times or to replace their own source."""
         path = f"{self.root}/_staging/{uuid.uuid4().hex}"
-        df.write.format(self.fmt).mode("overwrite").save(path)
+        df.write.format(self.fmt).mode("overwrite").partitionBy(*(parts or [])).save(path)
         return self.spark.read.format(self.fmt).schema(df.schema).load(path), path
 
     def _write_partitions(self, df: DataFrame, name: str, part: str) -> set[str]:
@@ -122,7 +135,7 @@ class TableStore:
         (self._balanced(rows, [part])
            .write.format(self.fmt).mode("overwrite").partitionBy(part)
            .option("partitionOverwriteMode", "dynamic").save(self.path(name)))
-        return set(seen.get["parts"] or [])
+        return set(observed(seen).get("parts") or [])
 
     def replace_range(self, df: DataFrame, name: str, part: str, lo: int | str,
                       hi: int | str) -> None:
@@ -139,7 +152,7 @@ class TableStore:
             value = child[len(prefix):]
             typed = type(lo)(value)
             if lo <= typed <= hi and value not in written:
-                self._drop(full)
+                self.drop(full)
 
     def replace_tail(self, source: DataFrame, name: str, ts: str, part: str, asof: datetime,
                      hours: int = 2) -> None:
@@ -154,9 +167,9 @@ class TableStore:
         if self.exists(name):
             old = self.read(name).where((F.col(part) >= cut_sk) & (F.col(ts) < F.lit(cut)))
             fresh = old.unionByName(fresh)
-        staged, path = self._stage(fresh)
+        staged, path = self.stage(fresh)
         self.replace_range(staged, name, part, cut_sk, 99991231)
-        self._drop(path)
+        self.drop(path)
 
     def insert_missing(self, df: DataFrame, name: str, keys: list[str]) -> int:
         """Add rows whose key is not in the table yet; matched rows never change."""
@@ -172,6 +185,6 @@ class TableStore:
         gone = []
         for child, full in self._children(self.path(name)):
             if child.startswith(f"{part}=") and int(child.split("=", 1)[1]) < dates.sk_of(before):
-                self._drop(full)
+                self.drop(full)
                 gone.append(child)
         return sorted(gone)
