@@ -62,19 +62,21 @@ def neighbours(df: DataFrame, key: str, ts: str, tie: str, value: Column,
     return out.select(*df.columns, *[F.coalesce(f"_in{i}", f"_c{i}").alias(n) for n, i in wanted])
 
 
-def rank_table(df: DataFrame, keys: list[str], order: list[str],
-               descending: bool = False) -> DataFrame:
+def rank_table(df: DataFrame, keys: list[str], order: list[str], descending: bool = False,
+               weight: str | None = None) -> DataFrame:
     """One row per distinct (keys, order): rows and distinct values that sort before it.
 
     Equal values are counted before anything is ordered, so a value shared by a
-    third of the rows is one row here. ``order[0]`` must be numeric. Columns added:
-    ``n`` rows with the value, ``n_before``, ``d_before``, ``n_total``.
+    third of the rows is one row here. ``order[0]`` must be numeric. ``weight`` names a
+    count column of input that is already counted. Columns added: ``n`` rows with the
+    value, ``n_before``, ``d_before``, ``n_total``.
     """
     def way(name: str, first: bool) -> Column:
         return F.col(name).desc() if descending and first else F.col(name).asc()
 
+    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
     counts = (
-        df.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("n"))
+        df.groupBy(*keys, *order).agg(size.alias("n"))
         .withColumn("_b", value_bucket(F.col(order[0])))
     )
     slot = F.col("_b").desc() if descending else F.col("_b").asc()
@@ -100,9 +102,11 @@ def rank_table(df: DataFrame, keys: list[str], order: list[str],
         "n_total")
 
 
-def percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
+def percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
+                weight: str | None = None) -> DataFrame:
     """Exact interpolated percentiles per key (``percentile_cont``), one row per key."""
-    table = rank_table(df.where(F.col(value).isNotNull()).select(*keys, value), keys, [value])
+    cols = [*keys, value, *([weight] if weight else [])]
+    table = rank_table(df.where(F.col(value).isNotNull()).select(*cols), keys, [value], weight=weight)
     outs = []
     for name, p in probs.items():
         pos = (F.col("n_total") - 1) * F.lit(float(p))
