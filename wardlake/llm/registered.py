@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from wardlake.llm import quality, toxicity
+from wardlake.llm import ngram_join, quality, toxicity
 
 QUERIES = {
     "op5_quality": quality.run,
     "op7_toxicity": toxicity.run,
+    "op8_ngram_join": ngram_join.run,
 }
 SQL: dict[str, str] = {}
