@@ -97,9 +97,8 @@ def fetch(docs: DataFrame, picked: DataFrame, shapes: bool) -> tuple[np.ndarray,
     rows = (chosen.mapInArrow(extract, "doc_id long, value int, features binary")
             .groupBy("doc_id", "value").agg(F.min("features").alias("features")).collect())
     rows.sort(key=lambda r: r.doc_id)
-    parts = [np.frombuffer(bytes(r.features), np.int32) for r in rows]
-    at = np.concatenate(([0], np.cumsum([len(x) for x in parts]))).astype(np.int64)
-    flat = np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
+    at = np.concatenate(([0], np.cumsum([len(r.features) // 4 for r in rows]))).astype(np.int64)
+    flat = np.frombuffer(b"".join(r.features for r in rows), np.int32)
     return np.array([r.value for r in rows], np.int64), flat, at
 
 
@@ -112,7 +111,7 @@ def sums(weights: np.ndarray, features: np.ndarray, at: np.ndarray) -> np.ndarra
 def column_subset(keep: np.ndarray, features: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The kept features numbered anew: their old numbers, the flat list, its offsets, its rows."""
     chosen = keep[features]
-    rows = np.repeat(np.arange(len(at) - 1), np.diff(at))[chosen]
+    rows = np.repeat(np.arange(len(at) - 1, dtype=np.int32), np.diff(at))[chosen]
     ids, flat = np.unique(features[chosen], return_inverse=True)
     return ids, flat, np.searchsorted(rows, np.arange(len(at))), rows
 

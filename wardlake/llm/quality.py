@@ -14,7 +14,7 @@ from wardlake.llm import features as X
 from wardlake.llm.work import in_fifths, table
 
 #: Bound of the labelled sample that the model is fitted on.
-RATED = 16000
+RATED = 6000
 EVIDENCE, RATE, DECAY, EPOCHS = 4.0, 0.05, 1e-4, 100
 KEEP_GRADE, KEEP_TAIL = 1, 0.5
 

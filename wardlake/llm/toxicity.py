@@ -16,7 +16,7 @@ from wardlake.llm import features as X
 from wardlake.llm.work import in_fifths, table
 
 #: Bounds of the labelled sample that the classifier is fitted on.
-POSITIVES, UNLABELLED = 4000, 12000
+POSITIVES, UNLABELLED = 2500, 7500
 EVIDENCE, RATE, DECAY, EPOCHS = 4.0, 0.05, 1e-4, 100
 REJECT = 0.5
 
