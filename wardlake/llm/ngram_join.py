@@ -30,7 +30,6 @@ from wardlake.llm import work
 
 SHINGLE, LINK, OF = 5, 80, 100
 BLOCK, LEAF, PIVOTS = 512, 32, 8
-_FILTER_BITS = 23
 
 
 def needed(n):
@@ -145,37 +144,6 @@ def _prepare(docs: DataFrame) -> DataFrame:
     return work.save(docs.mapInArrow(describe, "doc_id long, n_shingles long, signature binary, prefix array<long>"), "sets")
 
 
-def _bitmap(ids: DataFrame) -> np.ndarray:
-    """Fixed-size bitmap of hashed ids; it only saves shuffling, false hits are dropped by a join."""
-    n = 1 << _FILTER_BITS
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(n, np.uint8)
-        for batch in batches:
-            bits[_slots(batch.column(0).to_numpy())] = 1
-        packed = np.packbits(bits).reshape(16, -1)
-        yield pa.RecordBatch.from_arrays([pa.array(range(16), pa.int32()), pa.array([x.tobytes() for x in packed], pa.binary())], ["piece", "bits"])
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for piece, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                new = np.frombuffer(part, np.uint8)
-                whole[piece] = whole[piece] | new if piece in whole else new
-        for piece, part in whole.items():
-            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["piece", "bits"])
-
-    schema = "piece int, bits binary"
-    out = np.zeros((16, n // 128), np.uint8)
-    for row in ids.mapInArrow(mark, schema).repartition(16, "piece").mapInArrow(merge, schema).collect():
-        out[row.piece] |= np.frombuffer(bytes(row.bits), np.uint8)
-    return np.unpackbits(out.ravel()).astype(bool)
-
-
-def _slots(ids: np.ndarray) -> np.ndarray:
-    return (W.mix(ids.astype(np.uint64)) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
-
-
 def links(docs: DataFrame, prepared: DataFrame) -> DataFrame:
     """Links ``a``, ``b`` between documents of different sets that connect the same documents as all links do."""
     one = (prepared.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
@@ -189,12 +157,11 @@ def links(docs: DataFrame, prepared: DataFrame) -> DataFrame:
     dealt = (members.join(sizes, "pivot")
              .select("doc_id", "pivot", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
              .select("doc_id", F.xxhash64("pivot", F.least("own", "other"), F.greatest("own", "other")).alias("region")))
-    wanted = docs.sparkSession.sparkContext.broadcast(np.packbits(_bitmap(members.select("doc_id"))))
+    wanted = docs.sparkSession.sparkContext.broadcast(work.bitmap(members.select("doc_id")))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(wanted.value).astype(bool)
         for batch in batches:
-            yield batch.filter(pa.array(bits[_slots(batch.column(0).to_numpy())]))
+            yield batch.filter(pa.array(work.marked(wanted.value, batch.column(0).to_numpy())))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in work.groups(batches, "region"):

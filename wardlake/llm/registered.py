@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from wardlake.llm import ngram_join, quality, toxicity
+from wardlake.llm import decontaminate, ngram_join, quality, toxicity
 
 QUERIES = {
     "op5_quality": quality.run,
     "op7_toxicity": toxicity.run,
     "op8_ngram_join": ngram_join.run,
+    "op10_decontaminate": decontaminate.run,
+}
+SQL: dict[str, str] = {
+    "op10_decontaminate": decontaminate.SQL,
 }
-SQL: dict[str, str] = {}

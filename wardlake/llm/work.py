@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlake import session
+from wardlake.llm.words import mix
 
 SKETCH_BITS = 19
+FILTER_BITS = 23
 _PIECES = 16
 
 
@@ -65,6 +67,47 @@ def frequency_ranks(parts: DataFrame, add: Callable[[pa.RecordBatch, np.ndarray]
     return ranks
 
 
+def bitmap(ids: DataFrame) -> np.ndarray:
+    """Fixed-size bitmap of the hashes of a long column, packed to bytes.
+
+    It only saves shuffling: rows that it lets through wrongly are dropped by the join that follows,
+    and with more ids than bits it lets all rows through.
+    """
+    size = 1 << (FILTER_BITS - 3)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(size * 8, bool)
+        for batch in batches:
+            bits[_slots(batch.column(0).to_numpy())] = True
+        for piece, part in enumerate(np.packbits(bits).reshape(_PIECES, -1)):
+            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["piece", "bits"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for piece, part in zip(batch.column(0).to_pylist(), batch.column(1)):
+                new = np.frombuffer(part.as_buffer(), np.uint8)
+                whole[piece] = whole[piece] | new if piece in whole else new
+        for piece, part in whole.items():
+            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["piece", "bits"])
+
+    schema = "piece int, bits binary"
+    out = np.zeros((_PIECES, size // _PIECES), np.uint8)
+    for row in ids.mapInArrow(mark, schema).repartition(_PIECES, "piece").mapInArrow(merge, schema).collect():
+        out[row.piece] |= np.frombuffer(bytes(row.bits), np.uint8)
+    return out.ravel()
+
+
+def _slots(ids: np.ndarray) -> np.ndarray:
+    return (mix(ids.astype(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def marked(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Whether the bitmap has each id."""
+    slots = _slots(ids)
+    return (bits[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1 == 1
+
+
 def by_rank(names: np.ndarray, ranks: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
     """Names renamed so that smaller is rarer; different names stay different."""
     low = np.uint64(64 - bits)
