@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from wardlake.llm import decontaminate, ngram_join, pieces, quality, toxicity
+from wardlake.llm import decontaminate, hmm, ngram_join, pieces, quality, toxicity
 
 QUERIES = {
+    "op1_hmm": hmm.run,
     "op4_pieces": pieces.run,
     "op5_quality": quality.run,
     "op7_toxicity": toxicity.run,

@@ -15,6 +15,7 @@ from wardlake.llm.words import mix
 SKETCH_BITS = 19
 FILTER_BITS = 23
 _PIECES = 16
+_PIECE = "piece int, part binary"
 
 
 def save(df: DataFrame, label: str) -> DataFrame:
@@ -29,41 +30,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def frequency_ranks(parts: DataFrame, add: Callable[[pa.RecordBatch, np.ndarray], None], bits: int = SKETCH_BITS) -> np.ndarray:
-    """Ranks of 2**bits hash buckets by how often they occur in all rows, rarest first.
+def dense_sums(parts: DataFrame, add: Callable[[pa.RecordBatch, np.ndarray], None], size: int) -> np.ndarray:
+    """Sum over all tasks of one array of ``size`` numbers that ``add`` fills from each batch.
 
-    Each task counts into one array, the arrays are added up piece by piece on the executors,
-    and only the sums (4 bytes a bucket) reach the driver. Ties go by bucket, so the ranks are a
-    permutation: with it, top hash bits become rarity, and names keep a total order.
+    The arrays are added up piece by piece on the executors; only the sums reach the driver.
+    ``size`` must not depend on the rows. Whole numbers are exact up to 2**53.
     """
-    size = 1 << bits
+    width = -(-size // _PIECES)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, seen = np.zeros(size, np.int64), False
+        total, seen = np.zeros(width * _PIECES), False
         for batch in batches:
-            add(batch, total)
+            add(batch, total[:size])
             seen = True
         if seen:
-            pieces = total.reshape(_PIECES, -1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(_PIECES), pa.int32()), pa.array([x.astype("<u4").tobytes() for x in pieces], pa.binary())], ["piece", "counts"])
+            for piece, part in enumerate(total.reshape(_PIECES, -1)):
+                spots = np.flatnonzero(part).astype("<i4")
+                yield _piece(piece, spots.tobytes() + part[spots].tobytes())
 
-    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for piece, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                new = np.frombuffer(counts.as_buffer(), "<u4").astype(np.int64)
-                sums[piece] = sums[piece] + new if piece in sums else new
-        for piece, counts in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([counts.tobytes()], pa.binary())], ["piece", "counts"])
-
-    schema = "piece int, counts binary"
-    rows = parts.mapInArrow(count, schema).repartition(_PIECES, "piece").mapInArrow(total, schema).collect()
-    counts = np.zeros((_PIECES, size // _PIECES), np.int64)
+            for piece, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                n = len(part) // 12
+                sums.setdefault(piece, np.zeros(width))[np.frombuffer(part, "<i4", n)] += np.frombuffer(part, np.float64, n, 4 * n)
+        for piece, part in sums.items():
+            yield _piece(piece, part.tobytes())
+
+    rows = parts.mapInArrow(count, _PIECE).repartition(_PIECES, "piece").mapInArrow(merge, _PIECE).collect()
+    out = np.zeros((_PIECES, width))
     for row in rows:
-        counts[row.piece] += np.frombuffer(bytes(row.counts), np.int64)
-    ranks = np.empty(size, np.uint64)
-    ranks[np.argsort(counts.ravel(), kind="stable")] = np.arange(size, dtype=np.uint64)
+        out[row.piece] += np.frombuffer(bytes(row.part), np.float64)
+    return out.ravel()[:size]
+
+
+def _piece(number: int, part: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([part], pa.binary())], ["piece", "part"])
+
+
+def frequency_ranks(parts: DataFrame, add: Callable[[pa.RecordBatch, np.ndarray], None], bits: int = SKETCH_BITS) -> np.ndarray:
+    """Ranks of 2**bits hash buckets by how often they occur in all rows, rarest first.
+
+    Ties go by bucket, so the ranks are a permutation: with it, top hash bits become
+    rarity, and names keep a total order.
+    """
+    counts = dense_sums(parts, add, 1 << bits)
+    ranks = np.empty(1 << bits, np.uint64)
+    ranks[np.argsort(counts, kind="stable")] = np.arange(1 << bits, dtype=np.uint64)
     return ranks
 
 
@@ -80,7 +93,7 @@ def bitmap(ids: DataFrame) -> np.ndarray:
         for batch in batches:
             bits[_slots(batch.column(0).to_numpy())] = True
         for piece, part in enumerate(np.packbits(bits).reshape(_PIECES, -1)):
-            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["piece", "bits"])
+            yield _piece(piece, part.tobytes())
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole: dict[int, np.ndarray] = {}
@@ -89,12 +102,11 @@ def bitmap(ids: DataFrame) -> np.ndarray:
                 new = np.frombuffer(part.as_buffer(), np.uint8)
                 whole[piece] = whole[piece] | new if piece in whole else new
         for piece, part in whole.items():
-            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["piece", "bits"])
+            yield _piece(piece, part.tobytes())
 
-    schema = "piece int, bits binary"
     out = np.zeros((_PIECES, size // _PIECES), np.uint8)
-    for row in ids.mapInArrow(mark, schema).repartition(_PIECES, "piece").mapInArrow(merge, schema).collect():
-        out[row.piece] |= np.frombuffer(bytes(row.bits), np.uint8)
+    for row in ids.mapInArrow(mark, _PIECE).repartition(_PIECES, "piece").mapInArrow(merge, _PIECE).collect():
+        out[row.piece] |= np.frombuffer(bytes(row.part), np.uint8)
     return out.ravel()
 
 
