@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from wardlake.llm import decontaminate, hmm, ngram_join, pieces, quality, toxicity
+from wardlake.llm import decontaminate, hmm, ngram_join, pieces, pii, quality, toxicity
 
 QUERIES = {
     "op1_hmm": hmm.run,
     "op4_pieces": pieces.run,
     "op5_quality": quality.run,
+    "op6_pii": pii.run,
     "op7_toxicity": toxicity.run,
     "op8_ngram_join": ngram_join.run,
     "op10_decontaminate": decontaminate.run,
 }
 SQL: dict[str, str] = {
+    "op6_pii": pii.SQL,
     "op10_decontaminate": decontaminate.SQL,
 }
