@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wardlake.llm import decontaminate, hmm, ngram_join, pieces, pii, quality, toxicity
+from wardlake.llm import decontaminate, fingerprint, hmm, ngram_join, pieces, pii, quality, toxicity
 
 QUERIES = {
     "op1_hmm": hmm.run,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_pii": pii.run,
     "op7_toxicity": toxicity.run,
     "op8_ngram_join": ngram_join.run,
+    "op9_fingerprint": fingerprint.run,
     "op10_decontaminate": decontaminate.run,
 }
 SQL: dict[str, str] = {
