@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from wardlake.llm import decontaminate, fingerprint, hmm, html, ngram_join, pieces, pii, quality, toxicity
+from wardlake.llm import decontaminate, fingerprint, hmm, html, line_dedup, ngram_join, pieces, pii, quality, toxicity
 
 QUERIES = {
     "op1_hmm": hmm.run,
+    "op2_line_dedup": line_dedup.run,
     "op3_html": html.run,
     "op4_pieces": pieces.run,
     "op5_quality": quality.run,

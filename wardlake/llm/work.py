@@ -74,9 +74,12 @@ def frequency_ranks(parts: DataFrame, add: Callable[[pa.RecordBatch, np.ndarray]
     Ties go by bucket, so the ranks are a permutation: with it, top hash bits become
     rarity, and names keep a total order.
     """
-    counts = dense_sums(parts, add, 1 << bits)
-    ranks = np.empty(1 << bits, np.uint64)
-    ranks[np.argsort(counts, kind="stable")] = np.arange(1 << bits, dtype=np.uint64)
+    return ranks_of(dense_sums(parts, add, 1 << bits))
+
+
+def ranks_of(counts: np.ndarray) -> np.ndarray:
+    ranks = np.empty(len(counts), np.uint64)
+    ranks[np.argsort(counts, kind="stable")] = np.arange(len(counts), dtype=np.uint64)
     return ranks
 
 
