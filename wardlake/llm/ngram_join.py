@@ -11,6 +11,9 @@ with those whose distances to all pivots differ by at most the link distance. On
 forest of the links leaves a region: links inside one component are not repeated.
 
 Regions above BLOCK documents are dealt as pairs of blocks, so a task holds 2 * BLOCK documents.
+Texts follow into a region only for documents with a possible partner there: counts of a set's
+shingles over CELLS hash cells differ between two sets by no more than the sets do, so most documents
+that met by one common phrase are told apart by these counts alone.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from wardlake.llm import work
 
 SHINGLE, LINK, OF = 5, 80, 100
 BLOCK, LEAF, PIVOTS = 512, 32, 8
+CELLS = 256
 
 
 def needed(n):
@@ -54,6 +58,27 @@ def linked(common: np.ndarray, n: np.ndarray, m: int) -> np.ndarray:
     return OF * common >= LINK * (n + m - common)
 
 
+def cell_counts(own: np.ndarray) -> np.ndarray:
+    """How many shingles fall into each hash cell, up to 255."""
+    cells = (W.mix(own) >> np.uint64(56)).astype(np.int64)
+    return np.minimum(np.bincount(cells, minlength=CELLS), 255).astype(np.uint8)
+
+
+def possible(counts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which sets may be linked with another one: |x - y| of linked sets is a fixed part of |x| + |y| at most."""
+    out = np.zeros(len(size), bool)
+    wide = counts.astype(np.int16)
+    for x in range(len(size) - 1):
+        if out[x] and out[x + 1:].all():
+            continue
+        apart = np.abs(wide[x + 1:] - wide[x]).sum(1, dtype=np.int64)
+        near = (OF + LINK) * np.maximum(apart, np.abs(size[x + 1:] - size[x])) <= (OF - LINK) * (size[x + 1:] + size[x])
+        if near.any():
+            out[x] = True
+            out[x + 1:] |= near
+    return out
+
+
 def join_region(members: list[np.ndarray]) -> np.ndarray:
     """Component of each set, as the least index in it, over all links between the given sets."""
     m = len(members)
@@ -130,18 +155,19 @@ def _prepare(docs: DataFrame) -> DataFrame:
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, signatures, prefixes = [], [], []
+            sizes, signatures, prefixes, cells = [], [], [], []
             for own in sets(batch.column(1), shared.value):
                 sizes.append(len(own))
                 signatures.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
+                cells.append(cell_counts(own).tobytes())
                 prefixes.append(own[:len(own) - needed(len(own)) + 1] if len(own) else own)
             at = np.concatenate(([0], np.cumsum([len(x) for x in prefixes])))
             flat = np.concatenate(prefixes).view(np.int64) if prefixes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary()), W.list_array(flat, at, pa.int64())],
-                ["doc_id", "n_shingles", "signature", "prefix"])
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary()), pa.array(cells, pa.binary()), W.list_array(flat, at, pa.int64())],
+                ["doc_id", "n_shingles", "signature", "cells", "prefix"])
 
-    return work.save(docs.mapInArrow(describe, "doc_id long, n_shingles long, signature binary, prefix array<long>"), "sets")
+    return work.save(docs.mapInArrow(describe, "doc_id long, n_shingles long, signature binary, cells binary, prefix array<long>"), "sets")
 
 
 def links(docs: DataFrame, prepared: DataFrame) -> DataFrame:
@@ -157,7 +183,18 @@ def links(docs: DataFrame, prepared: DataFrame) -> DataFrame:
     dealt = (members.join(sizes, "pivot")
              .select("doc_id", "pivot", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
              .select("doc_id", F.xxhash64("pivot", F.least("own", "other"), F.greatest("own", "other")).alias("region")))
-    wanted = docs.sparkSession.sparkContext.broadcast(work.bitmap(members.select("doc_id")))
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in work.groups(batches, "region"):
+            counts = np.frombuffer(b"".join(group.column("cells").to_pylist()), np.uint8).reshape(-1, CELLS)
+            keep = possible(counts, group.column("n_shingles").to_numpy())
+            if keep.any():
+                yield from group.select(["region", "doc_id"]).filter(pa.array(keep)).to_batches()
+
+    digests = prepared.where(F.col("n_shingles") > 0).select("doc_id", "n_shingles", "cells")
+    met = dealt.join(digests, "doc_id").select("region", "doc_id", "n_shingles", "cells").repartition("region").sortWithinPartitions("region")
+    dealt = work.save(met.mapInArrow(sift, "region long, doc_id long").distinct(), "possible")
+    wanted = docs.sparkSession.sparkContext.broadcast(work.bitmap(dealt.select("doc_id")))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
