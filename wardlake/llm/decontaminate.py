@@ -87,11 +87,11 @@ def _postings(docs: DataFrame, ranks: np.ndarray, wanted: np.ndarray) -> DataFra
             at = np.concatenate(([0], np.cumsum([len(x) for x in terms])))
             flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (terms, places)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.int64()),
+                [batch.column(0), batch.column(2), pa.array(counts, pa.int64()), pa.array(digests, pa.int64()),
                  W.list_array(flat[0], at, pa.int64()), W.list_array(flat[1].astype(np.int32), at, pa.int32())],
-                ["doc_id", "n_words", "digest", "terms", "places"])
+                ["doc_id", "tag", "n_words", "digest", "terms", "places"])
 
-    found = docs.mapInArrow(index, "doc_id long, n_words long, digest long, terms array<long>, places array<int>")
+    found = docs.mapInArrow(index, "doc_id long, tag long, n_words long, digest long, terms array<long>, places array<int>")
     return work.save(found.withColumn("key", F.monotonically_increasing_id()), "postings")
 
 
@@ -119,14 +119,14 @@ def _full_lists(docs: DataFrame, ranks: np.ndarray, chosen: DataFrame) -> DataFr
 
 
 def find(docs: DataFrame, bench: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Documents (key, doc_id, n_words), phrase matches and proximity matches.
+    """Documents (key, doc_id, a hash of the text as tag, n_words), phrase matches and proximity matches.
 
     A phrase match (key, item_id, shift, width, starts) says which windows of the item, by start, occur
     in the document at shift + start. A proximity match (key, item_id) has at least half of the item's
     leads, and LEADS of them, within SLACK words of one alignment. Null texts have no words; rows
     with equal ids are separate; a null item_id matches but names no item.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text").alias("tag"))
     ranks = _ranks(docs)
     items = _items(bench, ranks)
     spots = items.select("item", F.posexplode("terms").alias("q", "term"), "leads").where(F.array_contains("leads", F.col("q").cast("long")))
@@ -151,7 +151,7 @@ def find(docs: DataFrame, bench: DataFrame) -> tuple[DataFrame, DataFrame, DataF
     near = (bands.groupBy("key", "item", "band").agg(F.sum("agree").alias("agree"), F.first("n_leads").alias("n_leads"))
             .where((F.col("agree") >= LEADS) & (F.col("agree") * 2 >= F.col("n_leads"))))
     near = near.join(items.select("item", "item_id"), "item").select("key", "item_id").distinct()
-    return postings.select("key", "doc_id", "n_words"), phrases, near
+    return postings.select("key", "doc_id", "tag", "n_words"), phrases, near
 
 
 def report(docs: DataFrame, bench: DataFrame) -> DataFrame:
@@ -178,8 +178,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any occurrence of a benchmark window, unchanged."""
     found = find(docs, work.table(spark, sf_dir, "benchmark"))
-    hit = found[0].join(found[1].select("key").distinct(), "key").select("doc_id")
-    return docs.join(hit.distinct(), "doc_id", "left_anti").select(*docs.columns)
+    hit = found[0].join(found[1].select("key").distinct(), "key").select(F.col("doc_id").alias("hit_id"), "tag").distinct()
+    same = docs["doc_id"].eqNullSafe(hit["hit_id"]) & (F.xxhash64(docs["text"]) == hit["tag"])
+    return docs.join(hit, same, "left_anti").select(*docs.columns)
 
 
 SQL = r"""

@@ -135,20 +135,20 @@ def logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def margins(docs: DataFrame, weights: np.ndarray, shapes: bool, carry: list[str]) -> DataFrame:
-    """``carry`` columns and the column ``margin``, the sum of a text's feature weights, for every row.
+def margins(docs: DataFrame, weights: np.ndarray, shapes: bool, carry: list[str], name: str) -> DataFrame:
+    """``carry`` columns and the column ``name``, the sum of a text's feature weights, for every row.
 
     The weights are one array of 2**BITS numbers whatever the input; no row is dropped.
     """
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
-    schema = docs.select(*carry).schema.add("margin", "double")
+    schema = docs.select(*carry).schema.add(name, "double")
+    names = schema.names
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for batch in batches:
             text = batch.column(batch.num_columns - 1)
             out = np.array([float(table[x].sum(dtype=np.float64)) for x in texts(*W.raw(text), shapes)], np.float64)
-            arrays = [batch.column(i) for i in range(len(carry))]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(out)], [*carry, "margin"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(carry))), pa.array(out)], names)
 
-    return docs.select(*carry, F.col("text").cast("string").alias("text_")).mapInArrow(score, schema)
+    return docs.select(*carry, F.col("text").cast("string").alias(name)).mapInArrow(score, schema)

@@ -290,29 +290,32 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     return gone.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
 
 
-def dedup(docs: DataFrame) -> DataFrame:
-    """``docs`` with later matching lines taken out of ``text``, and columns ``n_lines_`` and ``n_removed_``.
+def dedup(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """``docs`` with later matching lines taken out of ``text``, and the names of two more columns.
 
-    A null text stays null; see :func:`removed_lines` for the cases.
+    They hold the number of lines and how many of them went. A null text stays null and has
+    no lines; see :func:`removed_lines` for the cases.
     """
-    gone = removed_lines(docs).withColumnRenamed("lines", "lines_")
-    joined = docs.join(gone, "doc_id", "left")
+    gone, total, taken = (work.fresh(docs, name) for name in ("gone_lines", "n_lines", "n_removed"))
+    joined = docs.join(removed_lines(docs).withColumnRenamed("lines", gone), "doc_id", "left")
     lines = F.split(F.col("text").cast("string"), "\n", -1)
-    kept = F.filter(lines, lambda _, i: ~F.array_contains("lines_", i))
-    text = F.when(F.col("lines_").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    others = [c for c in docs.columns if c != "text"]
-    out = joined.select(*others, text.alias("text"), F.size(lines).cast("long").alias("n_lines_"),
-                        F.coalesce(F.size("lines_"), F.lit(0)).cast("long").alias("n_removed_"))
-    return out.select(*docs.columns, F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines_")).alias("n_lines_"),
-                      F.least(F.greatest("n_removed_", F.lit(0)), F.greatest("n_lines_", F.lit(0))).alias("n_removed_"))
+    kept = F.filter(lines, lambda _, i: ~F.array_contains(gone, i))
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    n = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
+    went = F.when(F.col(gone).isNull(), 0).otherwise(n - F.size(kept)).cast("long")
+    columns = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
+    return joined.select(*columns, n.alias(total), went.alias(taken)), total, taken
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup(work.table(spark, sf_dir, "documents"))
-    return out.select("doc_id", F.col("n_lines_").alias("n_lines"), F.col("n_removed_").alias("n_removed"), "text")
+    out, total, taken = dedup(work.table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col(total).alias("n_lines"), F.col(taken).alias("n_removed"), "text")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their later matching lines; those of which nothing is left go."""
-    out = dedup(docs).where((F.col("n_removed_") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    out, _, taken = dedup(docs)
+    out = out.where((F.col(taken) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col(taken) == 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return out.select(*docs.columns)

@@ -79,7 +79,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], carry: list[str
     """
     weights, cuts = model
     tails = [(1 / (1 + F.exp(F.lit(float(c)) - F.col("margin")))).alias(f"tail_{k}") for k, c in enumerate(cuts, 1)]
-    out = X.margins(docs, weights, True, carry).select(*carry, *tails)
+    out = X.margins(docs, weights, True, carry, "margin").select(*carry, *tails)
     return out.withColumn("expected_grade", sum((F.col(f"tail_{k}") for k in range(2, len(cuts) + 1)), F.col("tail_1")))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlake.llm import features as X
-from wardlake.llm.work import in_fifths, table
+from wardlake.llm.work import fresh, in_fifths, table
 
 #: Bounds of the labelled sample that the classifier is fitted on.
 POSITIVES, UNLABELLED = 2500, 7500
@@ -68,14 +68,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     return train(sides[0], sides[1], prior)
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], carry: list[str]) -> DataFrame:
-    """``carry`` columns and ``score``, the probability of toxicity, for every row.
+def score(docs: DataFrame, model: tuple[np.ndarray, float], carry: list[str], name: str = "score") -> DataFrame:
+    """``carry`` columns and ``name``, the probability of toxicity, for every row.
 
     A null or empty text has the score of a text without features. Repeated rows score alike.
     """
     weights, bias = model
-    scored = X.margins(docs, weights, False, carry)
-    return scored.select(*carry, (1 / (1 + F.exp(-(F.col("margin") + F.lit(bias))))).alias("score"))
+    scored = X.margins(docs, weights, False, carry, name)
+    return scored.withColumn(name, 1 / (1 + F.exp(-(F.col(name) + F.lit(bias)))))
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,4 +90,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject, unchanged. It is fitted on the labelled rows of ``documents``."""
     model = fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return score(docs, model, docs.columns).where(F.col("score") < REJECT).drop("score")
+    name = fresh(docs, "toxicity")
+    return score(docs, model, docs.columns, name).where(F.col(name) < REJECT).drop(name)
