@@ -138,8 +138,9 @@ def test_co_occurrence_against_brute_force(spark, tuples):
 def test_suppress_mask_restrict_erase(spark, tuples):
     cells = spark.createDataFrame([("a", 4, 1), ("b", 5, 2)], "k string, n int, d int")
     assert tuples(governance.suppress(cells, "n", ["d"])) == [("a", None, None), ("b", 5, 2)]
-    names = spark.createDataFrame([("Ann 7",)], "name string")
-    assert governance.mask(names, ["name"], "Analyst").collect()[0][0] == "Xxx n"
+    names = spark.createDataFrame([("Ann 7",), ("\u0622\u0646",)], "name string")
+    assert [r[0] for r in governance.mask(names, ["name"], "Analyst").collect()] == ["Xxx*n", "**"]
+    assert governance.mask(names, ["name"], "no such role").collect()[0][0] == "Xxx*n"
     assert governance.mask(names, ["name"], "Clinician").collect()[0][0] == "Ann 7"
     rows = spark.createDataFrame([("h1",), ("h2",)], "hospital_bk string")
     member = spark.createDataFrame([("u", "h1"), ("u", "h1")], "user_name string, hospital_bk string")

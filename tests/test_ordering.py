@@ -15,6 +15,7 @@ def history(spark, n=400):
     for i in range(n):
         key = "hot" if i % 3 == 0 else f"p{rng.randrange(20)}"
         ts = datetime(2020, 1, 1) + timedelta(days=rng.randrange(120), hours=rng.randrange(3) * 8)
+        key, ts = (None if i % 17 == 0 else key), (None if i % 11 == 0 else ts)
         data.append((key, ts, f"e{i:04d}", rng.choice([None, rng.randrange(100)])))
     return spark.createDataFrame(data, "k string, ts timestamp, id string, v int")
 
@@ -28,15 +29,15 @@ def plain(df, name, desc):
 def test_neighbours_equal_plain_window(spark, tuples):
     df = history(spark)
     want = tuples(plain(plain(df, "b", False), "a", True), "id", "b", "a")
-    for limit in (0, 5, 50, 10_000):
-        got = o.neighbours(df, "k", "ts", "id", F.col("v"), "b", "a", hot_rows=limit)
-        assert tuples(got, "id", "b", "a") == want, limit
+    for bucket in ("hour", "day", "week", "year"):
+        got = o.neighbours(df, "k", "ts", "id", F.col("v"), "b", "a", bucket)
+        assert tuples(got, "id", "b", "a") == want, bucket
 
 
 def test_neighbours_keeps_null_keys(spark):
     df = spark.createDataFrame([(None, datetime(2020, 1, 1), "a", 1)],
                                "k string, ts timestamp, id string, v int")
-    assert o.neighbours(df, "k", "ts", "id", F.col("v"), "b", hot_rows=0).collect()[0]["b"] is None
+    assert o.neighbours(df, "k", "ts", "id", F.col("v"), "b").collect()[0]["b"] is None
 
 
 def values(spark):

@@ -1,4 +1,4 @@
-from datetime import date, datetime, timezone
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,18 +9,40 @@ from wardlake.sources import streams
 from wardlake.streaming import sinks, vitals
 
 
-def test_versions_and_unfinished_write(spark, store):
-    store.overwrite(spark.range(3), "t")
-    before = datetime.now(timezone.utc)
+def test_overwrite_from_itself_and_append_after_it(spark, store, tuples):
     store.overwrite(spark.range(5), "t")
-    spark.range(9).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false") \
-        .parquet(f"{store.path('t')}/v=3")
-    assert store.read("t").count() == 5
-    assert store.read("t", version=1).count() == 3
-    assert store.read("t", as_of=before).count() == 3
-    with pytest.raises(ValueError):
-        store.read("t", version=3)
-    assert store.overwrite(store.read("t").limit(1), "t") == 4
+    store.overwrite(store.read("t").where("id > 2"), "t")
+    store.append(spark.range(7, 8), "t")
+    assert tuples(store.read("t")) == [(3,), (4,), (7,)]
+    assert store._children(f"{store.root}/_staging") == []
+
+
+def test_failed_overwrite_leaves_the_table(spark, store):
+    store.overwrite(spark.range(3), "t")
+    with pytest.raises(Exception):
+        store.overwrite(spark.range(3).select(F.raise_error(F.lit("no")).alias("id")), "t")
+    assert store.read("t").count() == 3
+
+
+def test_null_partition_is_left_alone(spark, store, tuples):
+    store.append(days(spark, (None, 1), (20200101, 2), (20200102, 3)), "n", ["date_sk"])
+    store.replace_range(days(spark, (20200101, 9)), "n", "date_sk", 20200101, 20200131)
+    assert tuples(store.read("n"), "v") == [(1,), (9,)]
+    assert store.purge("n", "date_sk", date(2021, 1, 1)) == ["date_sk=20200101"]
+    assert tuples(store.read("n"), "v") == [(1,)]
+
+
+def test_insert_missing_into_an_append_table(spark, store, tuples):
+    store.append(days(spark, (1, 1), (None, 2)), "a", ["date_sk"])
+    store.insert_missing(days(spark, (1, 5), (None, 6), (2, 7)), "a", ["date_sk"], ["date_sk"])
+    assert tuples(store.read("a"), "v") == [(1,), (2,), (7,)]
+
+
+def test_failure_is_logged(spark, store):
+    with pytest.raises(Exception):
+        audit.observed_overwrite(store, spark.range(3).select(F.raise_error(F.lit("broken")).alias("id")), "gold", "t")
+    row = store.read(audit.TABLE).first()
+    assert row["status"] == "failed" and "broken" in row["error_message"]
 
 
 def days(spark, *rows):
@@ -65,7 +87,7 @@ def test_purge_drops_old_partitions(spark, store):
     assert store.read("v").count() == 1
 
 
-def test_audit_counts_without_second_job(spark, store):
+def test_audit_counts_written_rows(spark, store):
     assert audit.observed_overwrite(store, spark.range(4), "gold", "t") == 4
     row = store.read(audit.TABLE).collect()[0]
     assert (row["object_name"], row["rows_written"], row["status"]) == ("t", 4, "success")
@@ -152,6 +174,6 @@ def test_payload_parsing_of_bad_text(spark):
 
 def test_kafka_options():
     opts = streams.kafka_options("host:9093", "vitals", jaas="x", group_prefix="g")
-    assert opts["kafka.security.protocol"] == "SASL_SSL" and opts["maxOffsetsPerTrigger"] == "10000"
-    assert opts["startingOffsets"] == "latest" and opts["failOnDataLoss"] == "false"
+    assert opts["kafka.security.protocol"] == "SASL_SSL" and "maxOffsetsPerTrigger" not in opts
+    assert opts["startingOffsets"] == "earliest" and opts["failOnDataLoss"] == "true"
     assert "kafka.sasl.mechanism" not in streams.kafka_options("h", "t")

@@ -34,7 +34,6 @@ FIRST_VALID = datetime(1900, 1, 1)
 CALENDAR = (date(1990, 1, 1), date(2005, 12, 31))
 CHRONIC = [f"{letter}{n:02d}" for letter in "EI" for n in range(100)]
 DEC = "decimal(12,2)"
-SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
 
 
 def diagnosis_code(key: Column) -> Column:
@@ -63,16 +62,9 @@ class Bindings:
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        """A given table. One with fewer splits than cores is spread over the cores by its key.
-
-        Only small inputs shuffle here; a table of many files is read as it lies.
-        """
+        """A given table, read as it lies."""
         if name not in self._tables:
-            df = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
-            key, cores = SPREAD_KEYS.get(name), self.spark.sparkContext.defaultParallelism
-            if key and df.rdd.getNumPartitions() < cores:
-                df = df.repartition(cores, key)
-            self._tables[name] = df
+            self._tables[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
         return self._tables[name]
 
     # --- feeds -----------------------------------------------------------------

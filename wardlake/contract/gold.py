@@ -153,9 +153,9 @@ def claim(b: Bindings):
 
 
 @query("fct_03_claim_line", "claim_bk:s line_number:i cpt_code:s units:i billed_amount:d",
-       "SELECT * FROM claim_line WHERE billed_amount > 5000")
+       "SELECT * FROM claim_line")
 def claim_line(b: Bindings):
-    return facts.claim_line(b.claims()).where("billed_amount > 5000")
+    return facts.claim_line(b.claims())
 
 
 @query("fct_04_prescription", "prescription_sk:i encounter_sk:i patient_sk:i drug_sk:i start_date_sk:i "

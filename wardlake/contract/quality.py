@@ -161,15 +161,16 @@ def histogram(b: Bindings):
 
 
 @query("dq_14_monthly_resample", "month:s n:i", """
-    WITH d AS (SELECT date_trunc('month', onset_date)::date AS m, count(*) AS n FROM condition_feed
-        WHERE month(onset_date) <> 5 GROUP BY 1)
+    WITH d AS (SELECT date_trunc('month', CASE WHEN month(onset_date) = 5 THEN onset_date + interval 1 month
+            ELSE onset_date END)::date AS m, count(*) AS n FROM condition_feed GROUP BY 1)
     SELECT c.month::date AS month, coalesce(n, 0) AS n
     FROM (SELECT unnest(generate_series((SELECT min(m) FROM d)::timestamp,
         (SELECT max(m) FROM d)::timestamp, interval 1 month)) AS month) AS c
     LEFT JOIN d ON d.m = c.month::date""")
 def monthly_resample(b: Bindings):
-    """May is left out of the input, so each May appears with 0."""
-    return profile.monthly(b.conditions().where(F.month("onset_date") != 5), "onset_date")
+    """All rows; those of May count in June, so each May appears with 0."""
+    moved = F.when(F.month("onset_date") == 5, F.add_months("onset_date", 1)).otherwise(F.col("onset_date"))
+    return profile.monthly(b.conditions().withColumn("onset_date", moved), "onset_date")
 
 
 @query("dq_15_correlation", "col_a:s col_b:s corr:r", """

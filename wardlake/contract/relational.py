@@ -13,7 +13,7 @@ from wardlake.contract.sqlbind import avg2, cents, pct, ratio4
 from wardlake.functions import clinical
 from wardlake.functions import measures as m
 from wardlake.functions.ordering import percentiles
-from wardlake.operators import dims, dq, facts, profile, scd, silver
+from wardlake.operators import dims, dq, facts, profile, rules, scd, silver
 from wardlake.plans import analytics, kpi, queries, views
 from wardlake.streaming import vitals
 
@@ -163,12 +163,10 @@ def number_generator(b: Bindings):
             count(*) FILTER (is_emergency) AS emergency FROM fact_encounter GROUP BY 1) AS e
         ON e.hospital_sk = h.hospital_sk
     LEFT JOIN (SELECT hospital_sk, {pct('count(*) FILTER (is_denied)', 'count(*)', 1)} AS denial
-        FROM fact_claim WHERE hospital_bk < 'NATION_3' GROUP BY 1) AS c ON c.hospital_sk = h.hospital_sk""")
+        FROM fact_claim GROUP BY 1) AS c ON c.hospital_sk = h.hospital_sk""")
 def facility_metrics(b: Bindings):
     """Facilities without claims keep a denial rate of 0."""
-    some = b.fact_claim().join(
-        b.dim_hospital.where("hospital_bk < 'NATION_3'").select("hospital_sk"), "hospital_sk", "left_semi")
-    return kpi.facility_map(b.fact_encounter(readmission=True), some, b.dim_hospital)
+    return kpi.facility_map(b.fact_encounter(readmission=True), b.fact_claim(), b.dim_hospital)
 
 
 @query("j_14_co_occurrence", "code_a:s code_b:s patients:i", f"""
@@ -526,11 +524,16 @@ def latest_row(b: Bindings):
     UNION ALL SELECT 'patient', 'gender_valid', count(*) FROM patient
         WHERE cast(patient_bk AS bigint) % 17 = 0""")
 def union_by_name(b: Bindings):
-    """Reject sets with their columns in different order."""
-    p = b.patients().where(F.col("patient_bk").cast("bigint") % 17 == 0).select(
-        F.lit("patient").alias("source"), F.lit("gender_valid").alias("rule"), "patient_bk")
-    v = b.providers().where(F.col("provider_bk").cast("bigint") % 5 == 0).select(
-        "provider_bk", F.lit("npi_10_digits").alias("rule"), F.lit("provider").alias("source"))
+    """Rejects of two rule sets over all patients and providers, their columns in different order."""
+    key = F.col("patient_bk").cast("bigint")
+    patients = b.patients().withColumn("gender", F.when(key % 17 == 0, F.lit("X")).otherwise(F.col("gender")))
+    npi = F.col("provider_bk")
+    providers = b.providers().withColumn(
+        "provider_bk", F.when(npi.cast("bigint") % 5 == 0, F.substring(npi, 2, 9)).otherwise(npi))
+    p = dq.apply(patients, rules.patient(ASOF)).rejected.select(
+        F.lit("patient").alias("source"), F.col(dq.RULE).alias("rule"), "patient_bk")
+    v = dq.apply(providers, rules.provider()).rejected.select(
+        "provider_bk", F.col(dq.RULE).alias("rule"), F.lit("provider").alias("source"))
     both = p.unionByName(v, allowMissingColumns=True)
     return both.groupBy("source", "rule").agg(m.rows().alias("n"))
 

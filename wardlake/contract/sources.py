@@ -1,4 +1,4 @@
-"""Registered queries: feed readers and versioned reads.
+"""Registered queries: feed readers and reads by snapshot.
 
 Each writes a given table as a feed into a new shared folder, ingests it and reads
 the Bronze table back.
@@ -6,8 +6,6 @@ the Bronze table back.
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
 from pyspark.sql import functions as F
 
 from wardlake.bindings import LOAD_TS, Bindings
@@ -131,13 +129,17 @@ def lineage(b: Bindings):
     UNION ALL SELECT 'as of now', count(*), sum(cast(round(c_acctbal * 100) AS bigint))
         FROM customer WHERE c_acctbal >= 0""")
 def versioned_read(b: Bindings):
-    """Two versions of a table read by number, as current, and as of a time."""
+    """Two snapshots of a table, one partition each, read by label, as the latest, and as of a day."""
     lake, rows = store(b), b.table("customer")
-    lake.overwrite(rows, "customer")
-    lake.overwrite(lake.read("customer").where("c_acctbal >= 0"), "customer")
-    now = datetime.now(timezone.utc)
-    parts = [("version 1", lake.read("customer", version=1)), ("current", lake.read("customer")),
-             ("as of now", lake.read("customer", as_of=now))]
+    lake.append(rows.withColumn("snapshot", F.lit("2001-07-01")), "customer", ["snapshot"])
+    lake.append(rows.where("c_acctbal >= 0").withColumn("snapshot", F.lit("2001-08-01")), "customer", ["snapshot"])
+    kept, day = lake.read("customer"), F.col("snapshot").cast("string")
+
+    def latest(until: str):
+        return kept.where(day == kept.where(day <= until).agg(F.max(day)).scalar())
+
+    parts = [("version 1", kept.where(day == "2001-07-01")), ("current", latest("9999-12-31")),
+             ("as of now", latest("2001-08-15"))]
     cents = F.round(F.col("c_acctbal") * 100).cast("bigint")
     out = None
     for label, df in parts:
@@ -145,5 +147,3 @@ def versioned_read(b: Bindings):
             .withColumn("source", F.lit(label))
         out = one if out is None else out.unionByName(one)
     return out
-
-

@@ -193,8 +193,8 @@ def row_security(b: Bindings):
 
 
 @query("prj_21_mask", "patient_bk:s full_name:s", """
-    SELECT patient_bk, regexp_replace(regexp_replace(regexp_replace(full_name, '[A-Z]', 'X', 'g'),
-        '[a-z]', 'x', 'g'), '[0-9]', 'n', 'g') AS full_name FROM patient""")
+    SELECT patient_bk, regexp_replace(regexp_replace(regexp_replace(regexp_replace(full_name,
+        '[^A-Za-z0-9]', '*', 'g'), '[A-Z]', 'X', 'g'), '[a-z]', 'x', 'g'), '[0-9]', 'n', 'g') AS full_name FROM patient""")
 def mask(b: Bindings):
     return governance.mask(b.dim_patient, ["full_name"], "Analyst")
 
@@ -204,12 +204,13 @@ def mask(b: Bindings):
         WHERE cast(patient_bk AS bigint) % 13 <> 0
     UNION ALL SELECT 'patients', count(*) FROM patient WHERE cast(patient_bk AS bigint) % 13 <> 0""")
 def erasure(b: Bindings):
-    """Some patients removed from two layers; the erased tables become new versions."""
+    """Some patients removed from two layers; one of them an append table; their old files are gone."""
     lake = store(b)
     lake.overwrite(b.patients(), "patients")
-    lake.overwrite(b.encounters(), "encounters")
+    lake.append(b.encounters(), "encounters", ["start_year_month"])
     subjects = b.patients().where(F.col("patient_bk").cast("bigint") % 13 == 0).select("patient_bk")
-    governance.erase_everywhere(lake, {"patients": "patient_bk", "encounters": "patient_bk"}, subjects)
+    governance.erase_everywhere(
+        lake, {"patients": ("patient_bk", None), "encounters": ("patient_bk", ["start_year_month"])}, subjects)
     return lake.read("patients").agg(F.count(F.lit(1)).alias("n")) \
         .withColumn("table_name", F.lit("patients")).unionByName(
             lake.read("encounters").agg(F.count(F.lit(1)).alias("n"))

@@ -55,16 +55,14 @@ def bucket_assign(df: DataFrame, key: str, pool: DataFrame, pool_key: str,
                   keep: list[str], method: str = "crc32") -> DataFrame:
     """Give every row one member of ``pool``: position ``hash(key) % size``.
 
-    The pool is numbered in key order, so the assignment does not depend on read
-    order. It is reference data; its size is counted and only a small pool is
-    broadcast, a large one is left to a shuffled join.
+    The pool is numbered in key order, so the assignment does not depend on read order. Its size
+    is a scalar subquery of the plan: nothing runs before the result is asked for, and Spark
+    sizes the join. The pool is reference data (facilities) and is numbered in one task. An empty pool fails
+    the query.
     """
-    size = pool.count()
-    if size == 0:
-        raise ValueError("the pool is empty")
+    size = pool.agg(F.count(F.lit(1)).alias("n")).select(
+        F.when(F.col("n") == 0, F.raise_error(F.lit("the pool is empty"))).otherwise(F.col("n")).cast("bigint")).scalar()
     numbered = pool.select(
         (F.row_number().over(Window.orderBy(pool_key)) - 1).cast("bigint").alias("_slot"), *keep)
-    if size <= 100_000:
-        numbered = F.broadcast(numbered)
-    slotted = df.withColumn("_slot", F.pmod(bucket_hash(key, method), F.lit(size).cast("bigint")))
+    slotted = df.withColumn("_slot", F.pmod(bucket_hash(key, method), size))
     return slotted.join(numbered, "_slot", "left").drop("_slot")

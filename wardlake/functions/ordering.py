@@ -14,7 +14,8 @@ from pyspark.sql.window import Window
 
 _BEFORE = (Window.unboundedPreceding, -1)
 STEPS_PER_OCTAVE = 256
-HOT_ROWS = 1_000_000
+#: Earlier than any time, so rows without a time come first, as in an ascending window.
+_NO_TIME = "0001-01-01 00:00:00"
 
 
 def value_bucket(col: Column) -> Column:
@@ -25,25 +26,17 @@ def value_bucket(col: Column) -> Column:
 
 
 def neighbours(df: DataFrame, key: str, ts: str, tie: str, value: Column,
-               before: str | None = None, after: str | None = None, bucket: str = "week",
-               hot_rows: int = HOT_ROWS) -> DataFrame:
+               before: str | None = None, after: str | None = None, bucket: str = "week") -> DataFrame:
     """Nearest non-null ``value`` among earlier (``before``) and later (``after``) rows of the key.
 
-    Rows are ordered by (ts, tie). Most keys are one window group each. A key with
-    more than ``hot_rows`` rows is cut into time buckets; the edge value of every
-    bucket is carried over the bucket summary, which exists for such keys only. At
-    most rows / hot_rows keys can be hot, so their list is safe to broadcast.
+    Rows are ordered by (ts, tie); a NULL time comes first, and NULL keys are one key. Every key is
+    cut into time buckets, and the edge value of each bucket is carried over the summary of
+    buckets, which has one row per key and bucket. So the largest window holds one bucket of one
+    key; choose ``bucket`` finer when a key can gather many rows in a week.
     """
-    hot = df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n")) \
-        .where(F.col("_n") > hot_rows).select("_hot")
-    data = (
-        df.withColumn("_v", value)
-        .join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
-        .withColumn("_b", F.when(F.col("_hot").isNotNull(), F.date_trunc(bucket, F.col(ts))))
-        .drop("_hot")
-    )
-    cut = data.where(F.col("_b").isNotNull()) \
-        .groupBy(F.col(key).alias("_k"), F.col("_b").alias("_kb"))
+    data = df.withColumn("_v", value).withColumn(
+        "_b", F.coalesce(F.date_trunc(bucket, F.col(ts)), F.lit(_NO_TIME).cast("timestamp")))
+    cut = data.groupBy(F.col(key).alias("_k"), F.col("_b").alias("_kb"))
     edge = F.when(F.col("_v").isNotNull(), F.struct(F.col(ts), F.col(tie), F.col("_v")))
     wanted = [(n, i) for i, n in enumerate((before, after)) if n is not None]
     carry = cut.agg(*[(F.min if i else F.max)(edge).alias(f"_e{i}") for _, i in wanted])
@@ -58,7 +51,7 @@ def neighbours(df: DataFrame, key: str, ts: str, tie: str, value: Column,
         near = ordered([key, "_b"], [ts, tie], i)
         data = data.withColumn(f"_in{i}", F.last("_v", ignorenulls=True).over(near))
     carry = carry.select("_k", "_kb", *[f"_c{i}" for _, i in wanted])
-    out = data.join(carry, (F.col(key) == F.col("_k")) & (F.col("_b") == F.col("_kb")), "left")
+    out = data.join(carry, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_b") == F.col("_kb")), "left")
     return out.select(*df.columns, *[F.coalesce(f"_in{i}", f"_c{i}").alias(n) for n, i in wanted])
 
 

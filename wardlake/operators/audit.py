@@ -1,16 +1,16 @@
-"""Load audit: row counts observed during the write itself."""
+"""Load audit: row counts of what a load wrote, failures included."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlake.operators.dq import RULE, Checked, write_quarantine
 from wardlake.schemas import AUDIT, AUDIT_COLUMNS
-from wardlake.sources.tables import observed
 
 TABLE = "load_audit"
 
@@ -25,14 +25,24 @@ def record(store, rows: list[dict]) -> None:
     store.append(store.spark.createDataFrame(data, AUDIT), TABLE)
 
 
+@contextmanager
+def logged(store, layer: str, name: str):
+    """Times a load; a failure is recorded with its message and raised again."""
+    entry = dict(layer=layer, object_name=name, started_at=_utcnow(), status="success")
+    try:
+        yield entry
+    except Exception as e:
+        record(store, [entry | dict(finished_at=_utcnow(), status="failed", error_message=str(e)[:2000])])
+        raise
+
+
 def observed_overwrite(store, df: DataFrame, layer: str, name: str,
                        parts: list[str] | None = None) -> int:
-    """Overwrite a table and log the row count without a second job."""
-    seen, start = Observation(), _utcnow()
-    store.overwrite(df.observe(seen, F.count(F.lit(1)).alias("n")), name, parts)
-    n = observed(seen).get("n", 0)
-    record(store, [dict(layer=layer, object_name=name, rows_written=n, started_at=start,
-                        finished_at=_utcnow(), status="success")])
+    """Overwrite a table and log how many rows its files hold (a count of file footers)."""
+    with logged(store, layer, name) as entry:
+        store.overwrite(df, name, parts)
+        n = store.read(name, df.schema).count()
+    record(store, [entry | dict(rows_written=n, finished_at=_utcnow())])
     return n
 
 
@@ -40,27 +50,21 @@ def observed_silver(store, checked: Checked, finish: Callable[[DataFrame], DataF
                     parts: list[str] | None = None) -> dict[str, int]:
     """Write clean rows (through ``finish``) and quarantine; log the rejects of every rule.
 
-    The tagged rows are parsed and written aside once, counted during that write, and
-    both targets read them from there; clean and rejected rows lie in different
-    partitions.
+    The tagged rows are parsed and written aside once; both targets and the counts read them from
+    there, and clean and rejected rows lie in different partitions.
     """
-    start, tags, written = _utcnow(), Observation(), Observation()
-    per_rule = [F.count(F.when(F.col(RULE) == r, F.lit(1))).alias(f"r{i}")
-                for i, r in enumerate(checked.rules)]
-    tagged, path = store.stage(
-        checked.tagged.observe(tags, F.count(F.lit(1)).alias("n"), *per_rule), [RULE])
-    staged = Checked(tagged, checked.rules, checked.at)
-    store.overwrite(finish(staged.clean).observe(written, F.count(F.lit(1)).alias("n")), name, parts)
-    write_quarantine(staged, store, f"quarantine/{name}")
-    store.drop(path)
-    counts, end = observed(tags), _utcnow()
-    total = counts.get("n", 0)
-    rejected = {r: counts.get(f"r{i}", 0) for i, r in enumerate(checked.rules)}
-    rows = [dict(layer="silver", object_name=name, rows_read=total,
-                 rows_written=observed(written).get("n", 0), rows_rejected=sum(rejected.values()),
-                 started_at=start, finished_at=end, status="success")]
-    rows += [dict(layer="silver", object_name=name, rule=rule, rows_read=total, rows_rejected=n,
-                  started_at=start, finished_at=end, status="success")
-             for rule, n in rejected.items()]
-    record(store, rows)
+    with logged(store, "silver", name) as entry:
+        tagged, path = store.stage(checked.tagged, [RULE])
+        staged = Checked(tagged, checked.rules, checked.at)
+        clean = finish(staged.clean)
+        store.overwrite(clean, name, parts)
+        write_quarantine(staged, store, f"quarantine/{name}")
+        by_rule = {r[RULE]: r["n"] for r in tagged.groupBy(RULE).agg(F.count(F.lit(1)).alias("n")).collect()}
+        written = store.read(name, clean.schema).count()
+        store.drop(path)
+    total = sum(by_rule.values())
+    rejected = {r: by_rule.get(r, 0) for r in checked.rules}
+    done = entry | dict(finished_at=_utcnow(), rows_read=total)
+    record(store, [done | dict(rows_written=written, rows_rejected=sum(rejected.values()))]
+           + [done | dict(rule=rule, rows_rejected=n) for rule, n in rejected.items()])
     return rejected

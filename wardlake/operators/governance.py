@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from wardlake.functions import dates
 
 OPEN_ROLES = {"RevenueCycle"}
-MASKED_ROLES = {"Analyst"}
+#: Roles that see personal fields as they are; every other role, unknown ones too, gets them masked.
+CLEAR_ROLES = {"RevenueCycle", "Clinician"}
 
 # Days each data class is kept.
 RETENTION_DAYS = {"vitals_hot": 90, "vitals_cold": 365, "claims": 5 * 365, "audit": 7 * 365}
@@ -26,25 +27,28 @@ def restrict(df: DataFrame, user: str, role: str, membership: DataFrame,
 
 
 def mask(df: DataFrame, cols: list[str], role: str) -> DataFrame:
-    """Letters and digits of the columns hidden from masked roles."""
-    if role not in MASKED_ROLES:
+    """The columns hidden unless the role may see them: letters of any script, digits and signs alike."""
+    if role in CLEAR_ROLES:
         return df
-    return df.withColumns({c: F.mask(F.col(c)) for c in cols})
+    return df.withColumns({c: F.mask(F.col(c), otherChar=F.lit("*")) for c in cols})
 
 
 def erase(df: DataFrame, subjects: DataFrame, key: str) -> DataFrame:
-    """The table without the given subjects, ready to be written as a new version."""
+    """The table without the given subjects."""
     return df.join(subjects.select(key), key, "left_anti")
 
 
-def erase_everywhere(store, tables: dict[str, str], subjects: DataFrame) -> dict[str, int]:
-    """Rewrite every snapshot table (name -> key column) without the subjects."""
+def erase_everywhere(store, tables: dict[str, tuple[str, list[str] | None]], subjects: DataFrame) -> None:
+    """Rewrite tables of any layer (name -> key column, partition columns) without the subjects.
+
+    The old files are deleted, so the subjects can not be read back. The subjects are written aside
+    first: they may come from one of the tables.
+    """
     first = subjects.columns[0]
-    done = {}
-    for name, key in tables.items():
-        kept = erase(store.read(name), subjects.withColumnRenamed(first, key), key)
-        done[name] = store.overwrite(kept, name)
-    return done
+    kept, path = store.stage(subjects)
+    for name, (key, parts) in tables.items():
+        store.overwrite(erase(store.read(name), kept.withColumnRenamed(first, key), key), name, parts)
+    store.drop(path)
 
 
 def suppress(df: DataFrame, count_col: str, measures: list[str], k: int = 5) -> DataFrame:

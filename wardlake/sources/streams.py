@@ -16,16 +16,18 @@ def read_files(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
 
 
 def kafka_options(bootstrap: str, topic: str, jaas: str | None = None,
-                  starting_offsets: str = "latest", group_prefix: str | None = None,
-                  max_per_trigger: int | None = 10_000) -> dict[str, str]:
-    """Reader options for Kafka and for brokers that speak its protocol over SASL."""
+                  starting_offsets: str = "earliest", group_prefix: str | None = None,
+                  max_per_trigger: int | None = None, fail_on_data_loss: bool = True) -> dict[str, str]:
+    """Reader options for Kafka and for brokers that speak its protocol over SASL.
+
+    The defaults lose nothing: a first start reads the backlog, a trigger takes all there is,
+    and offsets that are gone stop the query.
+    """
     opts = {
         "kafka.bootstrap.servers": bootstrap,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
-        "kafka.request.timeout.ms": "60000",
-        "kafka.session.timeout.ms": "30000",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if jaas:
         opts.update({

@@ -1,38 +1,25 @@
-"""Table layout on a shared file system.
+"""Tables on a shared file system, as plain Spark writes in one configurable format.
 
-Two layouts, both plain Spark writes in one configurable format:
-
-* append tables: files below ``root/name``, partitioned, only ever added to or
-  replaced partition by partition;
-* snapshot tables: every full overwrite goes to a new ``root/name/v=N`` folder. A
-  version counts once its ``_SUCCESS`` marker exists, so a reader never sees half a
-  write, a failed write leaves the old version current, and old versions stay
-  readable by number or time.
+A table is one folder, partitioned or not, whatever wrote it: rows can be appended, whole
+partitions replaced, or all of it. Replacing writes the new files aside first and moves them in when
+that write has succeeded, so a failed job leaves the table as it was. The move is a rename of
+folders: it is not atomic on every store, and one writer per table at a time is assumed. History,
+concurrent writers and time travel are left to a table format (``fmt``).
 """
 
 from __future__ import annotations
 
 import uuid
-from datetime import date, datetime, timezone
+from datetime import date, datetime
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wardlake.functions import dates
 
-
-def observed(metric: Observation) -> dict:
-    """Metrics of a finished write; empty when the result had no rows.
-
-    Adaptive execution replaces a result that turns out empty and drops the metric
-    node with it, so a missing metric row means zero rows.
-    """
-    try:
-        return dict(metric.get)
-    except Py4JJavaError:
-        return {}
+#: Folder name of the NULL partition.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 class TableStore:
@@ -67,38 +54,24 @@ class TableStore:
         fs, p = self._fs(self.path(name))
         return bool(fs.exists(p))
 
-    def versions(self, name: str) -> list[tuple[int, datetime]]:
-        """Finished versions with their commit time, oldest first."""
-        found = []
-        for child, full in self._children(self.path(name)):
-            if not child.startswith("v="):
-                continue
-            fs, marker = self._fs(f"{full}/_SUCCESS")
-            if fs.exists(marker):
-                millis = fs.getFileStatus(marker).getModificationTime()
-                found.append((int(child[2:]), datetime.fromtimestamp(millis / 1000, timezone.utc)))
-        return sorted(found)
+    def _move(self, source: str, target: str) -> None:
+        fs, p = self._fs(target)
+        fs.mkdirs(p.getParent())
+        if not fs.rename(self._fs(source)[1], p):
+            raise OSError(f"{source} could not be moved to {target}")
+
+    def _finished(self, path: str) -> bool:
+        fs, p = self._fs(f"{path}/_SUCCESS")
+        return bool(fs.exists(p))
 
     # --- reads -----------------------------------------------------------------
 
-    def read(self, name: str, version: int | None = None, as_of: datetime | None = None,
-             schema: StructType | None = None) -> DataFrame:
-        """Current rows, or those of a version number or of a point in time."""
+    def read(self, name: str, schema: StructType | None = None) -> DataFrame:
+        """Current rows."""
         reader = self.spark.read.format(self.fmt)
         if schema is not None:
             reader = reader.schema(schema)
-        known = self.versions(name)
-        if not known:
-            if version is not None or as_of is not None:
-                raise ValueError(f"{name} has no versions")
-            return reader.load(self.path(name))
-        if as_of is not None:
-            known = [(n, ts) for n, ts in known if ts <= as_of]
-        if version is not None:
-            known = [(n, ts) for n, ts in known if n == version]
-        if not known:
-            raise ValueError(f"{name} has no such version")
-        return reader.load(f"{self.path(name)}/v={known[-1][0]}")
+        return reader.load(self.path(name))
 
     # --- writes ----------------------------------------------------------------
 
@@ -110,13 +83,18 @@ class TableStore:
     def append(self, df: DataFrame, name: str, parts: list[str] | None = None) -> None:
         self._balanced(df, parts).write.format(self.fmt).mode("append").partitionBy(*(parts or [])).save(self.path(name))
 
-    def overwrite(self, df: DataFrame, name: str, parts: list[str] | None = None) -> int:
-        """Full replacement as a new version; the rows may come from the table itself."""
-        taken = [int(c[2:]) for c, _ in self._children(self.path(name)) if c.startswith("v=")]
-        version = max(taken, default=0) + 1
-        self._balanced(df, parts).write.format(self.fmt).mode("overwrite").partitionBy(*(parts or [])) \
-            .save(f"{self.path(name)}/v={version}")
-        return version
+    def _aside(self, df: DataFrame, parts: list[str] | None) -> str:
+        path = f"{self.root}/_staging/{uuid.uuid4().hex}"
+        self._balanced(df, parts).write.format(self.fmt).mode("errorifexists").partitionBy(*(parts or [])).save(path)
+        return path
+
+    def overwrite(self, df: DataFrame, name: str, parts: list[str] | None = None) -> None:
+        """Full replacement; the rows may come from the table itself. The old files are gone afterwards."""
+        new, old = self._aside(df, parts), f"{self.root}/_staging/{uuid.uuid4().hex}"
+        if self.exists(name):
+            self._move(self.path(name), old)
+        self._move(new, self.path(name))
+        self.drop(old)
 
     def stage(self, df: DataFrame, parts: list[str] | None = None) -> tuple[DataFrame, str]:
         """Write rows aside once, to be read several times or to replace their own source."""
@@ -124,35 +102,26 @@ class TableStore:
         df.write.format(self.fmt).mode("overwrite").partitionBy(*(parts or [])).save(path)
         return self.spark.read.format(self.fmt).schema(df.schema).load(path), path
 
-    def _write_partitions(self, df: DataFrame, name: str, part: str) -> set[str]:
-        """Replace the partitions present in ``df`` and return their values.
-
-        The values come back as an observed metric of the write itself: one per
-        partition folder, never per row.
-        """
-        seen = Observation()
-        rows = df.observe(seen, F.collect_set(F.col(part).cast("string")).alias("parts"))
-        (self._balanced(rows, [part])
-           .write.format(self.fmt).mode("overwrite").partitionBy(part)
-           .option("partitionOverwriteMode", "dynamic").save(self.path(name)))
-        return set(observed(seen).get("parts") or [])
-
     def replace_range(self, df: DataFrame, name: str, part: str, lo: int | str,
                       hi: int | str) -> None:
         """Replace every row with ``lo <= part <= hi`` by ``df``; safe to repeat.
 
-        Only partitions in the range are touched. A day that had rows and now has
-        none is dropped afterwards. ``df`` must not read the table.
+        The rows are written aside, and the folders of that write say what is new. Only then do
+        partitions in the range change; one that had rows and now has none goes.
+        Partitions outside the range, the NULL one too, are not touched.
         """
-        written = self._write_partitions(df.where(F.col(part).between(lo, hi)), name, part)
+        new = self._aside(df.where(F.col(part).between(lo, hi)), [part])
+        if self.fmt in ("parquet", "orc", "json", "csv") and not self._finished(new):
+            raise OSError(f"the rows for {name} were not written completely")
         prefix = f"{part}="
+        fresh = {c: full for c, full in self._children(new) if c.startswith(prefix)}
         for child, full in self._children(self.path(name)):
-            if not child.startswith(prefix):
-                continue
             value = child[len(prefix):]
-            typed = type(lo)(value)
-            if lo <= typed <= hi and value not in written:
+            if child.startswith(prefix) and value != NULL_PARTITION and lo <= type(lo)(value) <= hi:
                 self.drop(full)
+        for child, full in fresh.items():
+            self._move(full, f"{self.path(name)}/{child}")
+        self.drop(new)
 
     def replace_tail(self, source: DataFrame, name: str, ts: str, part: str, asof: datetime,
                      hours: int = 2) -> None:
@@ -167,24 +136,25 @@ class TableStore:
         if self.exists(name):
             old = self.read(name).where((F.col(part) >= cut_sk) & (F.col(ts) < F.lit(cut)))
             fresh = old.unionByName(fresh)
-        staged, path = self.stage(fresh)
-        self.replace_range(staged, name, part, cut_sk, 99991231)
-        self.drop(path)
+        self.replace_range(fresh, name, part, cut_sk, 99991231)
 
-    def insert_missing(self, df: DataFrame, name: str, keys: list[str]) -> int:
-        """Add rows whose key is not in the table yet; matched rows never change."""
+    def insert_missing(self, df: DataFrame, name: str, keys: list[str], parts: list[str] | None = None) -> None:
+        """Add rows whose key is not in the table yet; matched rows are not touched. NULL is a key value."""
         fresh = df.dropDuplicates(keys)
-        if not self.exists(name):
-            return self.overwrite(fresh, name)
-        current = self.read(name)
-        missing = fresh.join(current.select(*keys), keys, "left_anti")
-        return self.overwrite(current.unionByName(missing), name)
+        if self.exists(name):
+            known = self.read(name).select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+            same = [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys]
+            fresh = fresh.join(known, same, "left_anti")
+        staged, path = self.stage(fresh)
+        self.append(staged, name, parts)
+        self.drop(path)
 
     def purge(self, name: str, part: str, before: date) -> list[str]:
         """Drop whole ``yyyyMMdd`` partitions older than ``before``; no row is read."""
         gone = []
         for child, full in self._children(self.path(name)):
-            if child.startswith(f"{part}=") and int(child.split("=", 1)[1]) < dates.sk_of(before):
+            value = child.split("=", 1)[-1]
+            if child.startswith(f"{part}=") and value != NULL_PARTITION and int(value) < dates.sk_of(before):
                 self.drop(full)
                 gone.append(child)
         return sorted(gone)

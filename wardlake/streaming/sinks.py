@@ -95,6 +95,6 @@ def read_upserted(spark: SparkSession, target: str, keys: list[str],
 
 
 def compact(spark: SparkSession, target: str, keys: list[str], store, name: str,
-            parts: list[str] | None = None) -> int:
-    """Current rows of the log as a new snapshot version for long-range readers."""
-    return store.overwrite(read_upserted(spark, target, keys), name, parts)
+            parts: list[str] | None = None) -> None:
+    """Current rows of the log as a table for long-range readers."""
+    store.overwrite(read_upserted(spark, target, keys), name, parts)
