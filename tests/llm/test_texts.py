@@ -76,7 +76,7 @@ def plain_spans(text):
 
 PRIVATE = [
     "mail a.b+c@x-y.example.com, not a@b", "a@b-c.d%e@f.g and x@y.z@q.r", "é你 1.2.3.4 and 1.2.3.4.5.6.7.8 256.1.1.1 001.002.003.255 9.99999999999999999999.1.1",
-    "card 4111 1111 1111 1111 4111-1111-1111-1112 4111111111111111 12", "+1 (507) 555-7343 +12 +1234567 call +49-30-1234567. +1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6",
+    "card 4111 1111 1111 1111, 4111-1111-1111-1112, 4111111111111111 12; 4111111111111111", "+1 (507) 555-7343 +12 +1234567 call +49-30-1234567. +1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6",
     "8" * 3000, "a" * 5000 + "@" + "b" * 50, "." * 200 + "1.2.3.4", "IBAN DE89370400440532013000 and GB82WEST12345698765432, DE89370400440532013001", "ssn 123-45-6789", "123-45-6789",
     " ".join(f"{i}.{i}.1.2" for i in range(300)), "😀 x@y.zz 😀 x@y.zz"]
 
@@ -118,10 +118,10 @@ def test_fingerprints_of_few_rows(make_docs):
 
 
 def test_equal_substrings_share_phrases():
-    inner = " ".join(varied_texts()[20].split()[:60]) * 4
+    inner = " ".join(varied_texts()[-1].split()[:400])
     a, b = fingerprint.fingerprints(["prefix of one " + inner, "z" + inner + " end"])
     assert fingerprint.likeness(a, b) > 0.7
-    assert fingerprint.likeness(a, fingerprint.fingerprints([varied_texts(9)[30]])[0]) < 0.2
+    assert fingerprint.likeness(a, fingerprint.fingerprints([" ".join(varied_texts(9)[-1].split()[:400])])[0]) < 0.5
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var a="</p><p>no";</script></head><body>
@@ -140,7 +140,7 @@ def test_pages(spark):
     assert len(got) == len(rows)
     by = {r.page_id: r for r in got}
     for i in range(40):
-        assert by[i].text == f"Title {i} & more\nFirst bold paragraph {i}. next\nSecond <{i}> é\none {i}\ntwo"
+        assert by[i].text == f"Title {i} & more\nFirst bold paragraph {i}. next\nSecond <{i}> é\none {i}"
         assert by[i].n_chars == len(by[i].text)
     assert by[104].text == by[7].text
     assert [by[i].text for i in (100, 101, 102, 103)] == ["", "", "plain text", "in main"]

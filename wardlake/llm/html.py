@@ -2,7 +2,7 @@
 
 Pages of one host are taken in chunks of CHUNK. The first page of a chunk is its wrapper: the DOM trees
 of the others are aligned with it by simple tree matching (equal labels, children in order, as many
-matched nodes as possible). A wrapper node that keeps its text on most aligned pages is template,
+matched nodes as possible). A wrapper block that keeps its text on most aligned pages is template,
 one whose text varies is a content slot. A page's text is that of its article (or main, or body)
 without template nodes and without parts that serve the site: menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles and reader comments. Pages whose content equals the wrapper's have no
@@ -230,7 +230,7 @@ def template(trees: list[Node]) -> list[set[int]]:
         if " ".join(r.text for r in content_roots(tree)) == content:
             continue
         for x, y in pairs:
-            if x.text:
+            if x.text and x.tag in BLOCKS:
                 vote = votes.setdefault(id(x), [0, 0])
                 vote[0] += 1
                 vote[1] += x.text == y.text

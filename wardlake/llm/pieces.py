@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from wardlake.llm import words as W
 from wardlake.llm import work
@@ -162,7 +163,7 @@ def encode(docs: DataFrame, carry: list[str], path: str = MODEL, seed: int = SEE
     shared = docs.sparkSession.sparkContext.broadcast(load(path))
     stream = F.coalesce(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(seed)), F.lit(STREAMS)).cast("int"), F.lit(0))
     rows = docs.select(*carry, F.when(F.col("doc_id").isNull(), 0).otherwise(stream).alias("stream"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text_"))
-    schema = rows.drop("text_").schema.add("n_pieces", "long").add("pieces", "array<int>").add("lossless", "boolean")
+    schema = rows.drop("text_").schema.add("n_pieces", "long").add("pieces", ArrayType(IntegerType())).add("lossless", "boolean")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value, seed, rate)
