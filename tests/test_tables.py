@@ -170,6 +170,7 @@ def test_payload_parsing_of_bad_text(spark):
                                 "body string").withColumn("arrival_ts", F.current_timestamp())
     got = vitals.parse(raw).orderBy(F.col("device_id").desc_nulls_last()).collect()
     assert got[0]["event_ts"] == datetime(2020, 1, 1) and got[1]["event_ts"] is None
+    assert [r["body"] for r in vitals.malformed(raw).collect()] == ["{oops"]
 
 
 def test_kafka_options():

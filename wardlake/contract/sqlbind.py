@@ -302,9 +302,9 @@ TABLES = {
             pr.full_name AS provider_name, pr.specialty AS provider_specialty,
             dx.icd10_code AS primary_icd10_code, dx.description AS primary_diagnosis,
             dx.chapter AS diagnosis_chapter
-        FROM fact_encounter_dx AS fe JOIN calendar AS dd ON dd.date_sk = fe.start_date_sk
-        JOIN patient AS p ON p.patient_sk = fe.patient_sk
-        JOIN facility AS h ON h.hospital_sk = fe.hospital_sk
+        FROM fact_encounter_dx AS fe LEFT JOIN calendar AS dd ON dd.date_sk = fe.start_date_sk
+        LEFT JOIN patient AS p ON p.patient_sk = fe.patient_sk
+        LEFT JOIN facility AS h ON h.hospital_sk = fe.hospital_sk
         LEFT JOIN provider AS pr ON pr.provider_sk = fe.provider_sk
         LEFT JOIN diagnosis AS dx ON dx.diagnosis_sk = fe.primary_diagnosis_sk""",
     "view_claim": """
@@ -313,7 +313,7 @@ TABLES = {
             py.is_government AS is_government_payer, h.hospital_name, h.facility_type,
             p.age_band AS patient_age_band, p.gender AS patient_gender,
             p.governorate AS patient_governorate, dx.description AS primary_diagnosis
-        FROM fact_claim AS fc JOIN calendar AS ds ON ds.date_sk = fc.service_date_sk
+        FROM fact_claim AS fc LEFT JOIN calendar AS ds ON ds.date_sk = fc.service_date_sk
         LEFT JOIN calendar AS dc ON dc.date_sk = fc.decision_date_sk
         LEFT JOIN payer AS py ON py.payer_sk = fc.payer_sk
         LEFT JOIN facility AS h ON h.hospital_sk = fc.hospital_sk
@@ -322,8 +322,8 @@ TABLES = {
     "view_vitals": """
         SELECT vs.*, p.full_name AS patient_name, h.hospital_name,
             h.governorate AS hospital_governorate
-        FROM minute_fact AS vs JOIN patient AS p ON p.patient_sk = vs.patient_sk
-        JOIN facility AS h ON h.hospital_sk = vs.hospital_sk""",
+        FROM minute_fact AS vs LEFT JOIN patient AS p ON p.patient_sk = vs.patient_sk
+        LEFT JOIN facility AS h ON h.hospital_sk = vs.hospital_sk""",
 }
 
 

@@ -246,7 +246,7 @@ def q09(t: Tables, asof: date, n: int = 20) -> DataFrame:
 
 
 def q10(t: Tables, asof: datetime, hours: int = 24) -> DataFrame:
-    """Minutes with anomalies in the last hours, newest first."""
+    """Minutes with anomalies in the last hours, newest first; an alert of an unknown patient or facility stays."""
     since = dates.shift(asof, hours, "hour")
     hot = t["fact_vital_signs_minute"].where(
         (F.col("anomaly_event_count") > 0) & (F.col("date_sk") >= dates.sk_of(since.date()))
@@ -255,7 +255,7 @@ def q10(t: Tables, asof: datetime, hours: int = 24) -> DataFrame:
         "patient_sk", F.col("patient_bk").alias("patient_id"),
         F.col("full_name").alias("patient_name"))
     h = t["dim_hospital"].select("hospital_sk", "hospital_name")
-    return hot.join(p, "patient_sk").join(h, "hospital_sk").select(
+    return hot.join(p, "patient_sk", "left").join(h, "hospital_sk", "left").select(
         "minute_start_utc", "device_id", "bed_number", "patient_id", "patient_name",
         "hospital_name", "heart_rate_avg", "heart_rate_max", "spo2_min", "systolic_avg",
         "diastolic_avg", "temperature_c_max", "anomaly_event_count", "primary_anomaly_kind",

@@ -23,6 +23,7 @@ def _current(dim: DataFrame) -> DataFrame:
 
 
 def encounter_enriched(t: Tables) -> DataFrame:
+    """One row per fact; attributes of an unknown member (-1) are NULL."""
     fe = t["fact_encounter"]
     dd = F.broadcast(t["dim_date"]).alias("dd")
     p = _current(t["dim_patient"]).alias("p")
@@ -30,9 +31,9 @@ def encounter_enriched(t: Tables) -> DataFrame:
     h, dx = t["dim_hospital"].alias("h"), t["dim_diagnosis"].alias("dx")
     joined = (
         fe.alias("fe")
-        .join(dd, F.col("dd.date_sk") == F.col("fe.start_date_sk"))
-        .join(h, F.col("h.hospital_sk") == F.col("fe.hospital_sk"))
-        .join(p, F.col("p.patient_sk") == F.col("fe.patient_sk"))
+        .join(dd, F.col("dd.date_sk") == F.col("fe.start_date_sk"), "left")
+        .join(h, F.col("h.hospital_sk") == F.col("fe.hospital_sk"), "left")
+        .join(p, F.col("p.patient_sk") == F.col("fe.patient_sk"), "left")
         .join(pr, F.col("pr.provider_sk") == F.col("fe.provider_sk"), "left")
         .join(dx, F.col("dx.diagnosis_sk") == F.col("fe.primary_diagnosis_sk"), "left")
     )
@@ -62,7 +63,7 @@ def claim_enriched(t: Tables) -> DataFrame:
     dx = t["dim_diagnosis"].alias("dx")
     joined = (
         t["fact_claim"].alias("fc")
-        .join(serv, F.col("ds.date_sk") == F.col("fc.service_date_sk"))
+        .join(serv, F.col("ds.date_sk") == F.col("fc.service_date_sk"), "left")
         .join(dec, F.col("dc.date_sk") == F.col("fc.decision_date_sk"), "left")
         .join(py, F.col("py.payer_sk") == F.col("fc.payer_sk"), "left")
         .join(h, F.col("h.hospital_sk") == F.col("fc.hospital_sk"), "left")
@@ -84,11 +85,12 @@ def claim_enriched(t: Tables) -> DataFrame:
 
 
 def vitals_minute(t: Tables) -> DataFrame:
+    """One row per fact, those of unknown facilities and patients too."""
     p, h = _current(t["dim_patient"]).alias("p"), t["dim_hospital"].alias("h")
     joined = (
         t["fact_vital_signs_minute"].alias("vs")
-        .join(h, F.col("h.hospital_sk") == F.col("vs.hospital_sk"))
-        .join(p, F.col("p.patient_sk") == F.col("vs.patient_sk"))
+        .join(h, F.col("h.hospital_sk") == F.col("vs.hospital_sk"), "left")
+        .join(p, F.col("p.patient_sk") == F.col("vs.patient_sk"), "left")
     )
     return joined.select(
         "vs.minute_start_utc", "vs.device_id", "vs.bed_number",
