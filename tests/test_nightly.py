@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardlake.operators import audit, monitor
-from wardlake.plans import nightly, views
+from wardlake.plans import nightly, queries, views
 from wardlake.schemas import FEEDS
 
 
@@ -98,6 +98,19 @@ def test_night_run_twice_and_after_a_change(cfg, spark, store, tuples):
     assert seen["e1"] == dim[1]["governorate"]                 # old facts keep their patient
 
 
+def test_feeds_delivered_twice_count_once_and_facts_prune_by_month(cfg, spark, store):
+    for name in ("synthea_conditions", "synthea_medications", "synthea_procedures"):
+        again = cfg.bronze[name].withColumn("_ingest_ts", F.lit(datetime(2020, 6, 2)))
+        cfg.bronze[name] = cfg.bronze[name].unionByName(again)
+    nightly.run(cfg)
+    assert store.read("fact_prescription").count() == 1
+    assert store.read("silver/procedures").count() == 1
+    t = {n: store.read(n) for n in ("fact_claim", "dim_payer", "dim_hospital", "dim_date")}
+    plan = queries.q12(t, date(2020, 6, 1))._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(month_sk" in plan and "month_sk" in plan.split("PartitionFilters", 1)[1][:120]
+    assert store.read("fact_encounter").select("gold_loaded_at").distinct().first()[0] == cfg.load_ts
+
+
 def test_backfill_touches_only_its_days(cfg, store, tuples):
     nightly.run_silver(cfg)
     nightly.run_gold(cfg)

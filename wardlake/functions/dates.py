@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -35,7 +35,7 @@ def sk_of(day: date) -> int:
 
 
 def trailing_sk(col: str, n: int, unit: str, asof: date) -> Column:
-    """The same window on a ``yyyyMMdd`` key, which prunes date-keyed partitions."""
+    """The same window on a ``yyyyMMdd`` key."""
     return F.col(col) >= F.lit(sk_of(shift(asof, n, unit)))
 
 
@@ -47,6 +47,36 @@ def in_year_sk(col: str, year: int) -> Column:
     return F.col(col).between(year * 10000 + 101, year * 10000 + 1231)
 
 
+MONTH = "month_sk"
+
+
+def month_of(sk: Column | str) -> Column:
+    """``yyyyMM`` of a ``yyyyMMdd`` key: the partition column of the Gold facts."""
+    key = F.col(sk) if isinstance(sk, str) else sk
+    return F.floor(key / 100).cast("int")
+
+
+def in_days(df: DataFrame, col: str, lo: date, hi: date | None = None) -> DataFrame:
+    """Rows whose ``yyyyMMdd`` key lies in the days ``lo`` to ``hi``, or from ``lo`` on.
+
+    The bounds are literals. In a table partitioned by the key's month they name its partitions too, so
+    the scan opens only those.
+    """
+    held = F.col(col) >= sk_of(lo)
+    months = F.col(MONTH) >= sk_of(lo) // 100
+    if hi is not None:
+        held, months = held & (F.col(col) <= sk_of(hi)), months & (F.col(MONTH) <= sk_of(hi) // 100)
+    return df.where(held & months if MONTH in df.columns else held)
+
+
+def trailing_days(df: DataFrame, col: str, n: int, unit: str, asof: date) -> DataFrame:
+    return in_days(df, col, shift(asof, n, unit))
+
+
+def in_year(df: DataFrame, col: str, year: int) -> DataFrame:
+    return in_days(df, col, date(year, 1, 1), date(year, 12, 31))
+
+
 def to_local(col: Column | str, tz: str = "Africa/Cairo") -> Column:
     """UTC instant as wall-clock time of ``tz`` for display."""
     return F.from_utc_timestamp(col, tz)

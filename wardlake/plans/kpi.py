@@ -27,7 +27,7 @@ def filtered(df: DataFrame, day: str, lo: date, hi: date, facility: str | None =
 def daily(fact: DataFrame, lo: date, hi: date, refreshed_at: datetime | None = None) -> DataFrame:
     """Daily cube per facility and class for ``lo`` to ``hi``."""
     stamp = F.lit(refreshed_at).cast("timestamp") if refreshed_at else F.current_timestamp()
-    rows = fact.where(F.col("start_date_sk").between(dates.sk_of(lo), dates.sk_of(hi)))
+    rows = dates.in_days(fact, "start_date_sk", lo, hi)
     return rows.groupBy(F.col("start_date_sk").alias("date_sk"), "hospital_sk", "encounter_class").agg(
         F.count(F.lit(1)).alias("encounter_count"),
         m.count_where(F.col("is_inpatient")).alias("inpatient_count"),

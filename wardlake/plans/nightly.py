@@ -54,12 +54,13 @@ def run_silver(cfg: Config) -> None:
             silver.derive_claim(silver.conform_claim(cfg.feed("claims_raw"))),
             rules.claim(), "claim_bk", None, ["service_year_month"])
     store = cfg.store
-    for feed, conform, name in [
-        ("synthea_conditions", silver.conform_condition, "silver/conditions"),
-        ("synthea_medications", silver.conform_medication, "silver/medications"),
-        ("synthea_procedures", silver.conform_procedure, "silver/procedures"),
-    ]:
-        audit.observed_overwrite(store, conform(cfg.feed(feed)), "silver", name)
+    for feed, conform, name, code, at in [
+        ("synthea_conditions", silver.conform_condition, "silver/conditions", "icd10_code", "onset_date"),
+        ("synthea_medications", silver.conform_medication, "silver/medications", "rxnorm_code", "start_date"),
+        ("synthea_procedures", silver.conform_procedure, "silver/procedures", "cpt_code", "performed_at"),
+    ]:  # a feed delivered again counts once: these rows have no id but what happened, to whom and when
+        once = dq.latest(conform(cfg.feed(feed)), ["encounter_bk", "patient_bk", code, at], [silver.INGEST_TS])
+        audit.observed_overwrite(store, once, "silver", name)
 
 
 def _merge(cfg: Config, name: str, incoming: DataFrame, key: str, attrs: list[str]) -> None:
@@ -100,13 +101,14 @@ def run_gold(cfg: Config) -> None:
     fe = facts.encounter(
         read("silver/fact_encounter"), hospitals, read("silver/dim_patient"),
         read("silver/dim_provider"), read("bridge_encounter_diagnosis"))
-    for name, df in [
-        ("fact_encounter", fe),
-        ("fact_claim", facts.claim(claims, read("silver/fact_encounter"))),
-        ("fact_claim_line", facts.claim_line(claims)),
-        ("fact_prescription", facts.prescription(meds)),
+    for name, df, day in [
+        ("fact_encounter", fe, "start_date_sk"),
+        ("fact_claim", facts.claim(claims, read("silver/fact_encounter")), "service_date_sk"),
+        ("fact_prescription", facts.prescription(meds), "start_date_sk"),
     ]:
-        audit.observed_overwrite(store, df, "gold", name)
+        stamped = df.withColumns({"gold_loaded_at": F.lit(cfg.load_ts), dates.MONTH: dates.month_of(day)})
+        audit.observed_overwrite(store, stamped, "gold", name, [dates.MONTH])
+    audit.observed_overwrite(store, facts.claim_line(claims), "gold", "fact_claim_line")
 
 
 def run(cfg: Config, lo: date | None = None, hi: date | None = None) -> None:

@@ -39,7 +39,7 @@ def share_of(df: DataFrame, group: str, count: str, out: str) -> DataFrame:
 
 def q01(t: Tables, asof: date, n: int = 10) -> DataFrame:
     """Top primary diagnoses per hospital, 12 months."""
-    recent = t["fact_encounter"].where(dates.trailing_sk("start_date_sk", 12, "month", asof))
+    recent = dates.trailing_days(t["fact_encounter"], "start_date_sk", 12, "month", asof)
     counts = (
         recent.where(F.col("primary_diagnosis_sk").isNotNull())
         .groupBy("hospital_sk", "primary_diagnosis_sk").agg(F.count(F.lit(1)).alias("n"))
@@ -56,7 +56,7 @@ def q01(t: Tables, asof: date, n: int = 10) -> DataFrame:
 
 def q02(t: Tables, asof: date) -> DataFrame:
     """30-day readmission percent by hospital and quarter since two years before."""
-    recent = t["fact_encounter"].where(dates.since_year_sk("start_date_sk", asof.year - 2))
+    recent = dates.in_days(t["fact_encounter"], "start_date_sk", date(asof.year - 2, 1, 1))
     inpatient = m.count_where(F.col("is_inpatient"))
     again = m.count_where(F.col("is_inpatient") & F.col("is_readmission_30d"))
     return (
@@ -107,7 +107,7 @@ def q03(t: Tables) -> DataFrame:
 
 def q04(t: Tables, asof: date) -> DataFrame:
     """Claim denial by count and money per payer and month, 12 months."""
-    recent = t["fact_claim"].where(dates.trailing_sk("service_date_sk", 12, "month", asof))
+    recent = dates.trailing_days(t["fact_claim"], "service_date_sk", 12, "month", asof)
     denied, total = m.count_where(F.col("is_denied")), F.count(F.lit(1))
     billed, lost = F.sum("billed_amount"), m.sum_where(F.col("is_denied"), "billed_amount")
     return (
@@ -122,7 +122,7 @@ def q04(t: Tables, asof: date) -> DataFrame:
 
 
 def _year_encounters(t: Tables, asof: date) -> DataFrame:
-    return t["fact_encounter"].where(dates.in_year_sk("start_date_sk", asof.year))
+    return dates.in_year(t["fact_encounter"], "start_date_sk", asof.year)
 
 
 def q05(t: Tables, asof: date) -> DataFrame:
@@ -165,9 +165,8 @@ def q05_per_encounter(t: Tables, asof: date) -> DataFrame:
 
 def q06(t: Tables, asof: date) -> DataFrame:
     """Emergency visits by weekday, 3 months."""
-    recent = t["fact_encounter"].where(
-        (F.col("encounter_class") == "emergency")
-        & dates.trailing_sk("start_date_sk", 3, "month", asof))
+    recent = dates.trailing_days(t["fact_encounter"], "start_date_sk", 3, "month", asof) \
+        .where(F.col("encounter_class") == "emergency")
     los = "length_of_stay_hours"
     return (
         _dated(recent, t, "start_date_sk")
@@ -229,8 +228,8 @@ def q08(t: Tables, asof: date, min_encounters: int = 50, limit: int = 50,
 def q09(t: Tables, asof: date, n: int = 20) -> DataFrame:
     """Drugs by total spend in the current year, aggregated before the name lookup."""
     spend = (
-        t["fact_prescription"].where(dates.in_year_sk("start_date_sk", asof.year)
-                                     & F.col("total_cost_usd").isNotNull())
+        dates.in_year(t["fact_prescription"], "start_date_sk", asof.year)
+        .where(F.col("total_cost_usd").isNotNull())
         .groupBy("drug_sk")
         .agg(F.count(F.lit(1)).alias("prescription_count"),
              F.sum("dispenses").alias("total_dispenses"),
@@ -265,7 +264,7 @@ def q10(t: Tables, asof: datetime, hours: int = 24) -> DataFrame:
 
 def q11(t: Tables, asof: date) -> DataFrame:
     """Payer share within each region, 6 months."""
-    recent = t["fact_claim"].where(dates.trailing_sk("service_date_sk", 6, "month", asof))
+    recent = dates.trailing_days(t["fact_claim"], "service_date_sk", 6, "month", asof)
     p = t["dim_patient"].where("is_current").select("patient_sk", "governorate")
     mix = (
         recent.select("patient_sk", "payer_sk", "billed_amount", "paid_amount")
@@ -282,7 +281,7 @@ def q11(t: Tables, asof: date) -> DataFrame:
 
 def q12(t: Tables, asof: date) -> DataFrame:
     """Claims without an encounter per day, 30 days."""
-    recent = t["fact_claim"].where(dates.trailing_sk("service_date_sk", 30, "day", asof))
+    recent = dates.trailing_days(t["fact_claim"], "service_date_sk", 30, "day", asof)
     daily = recent.groupBy("service_date_sk").agg(
         F.count(F.lit(1)).alias("total_claims"),
         m.count_where(F.col("encounter_sk").isNull()).alias("orphan_claims"))
