@@ -14,7 +14,9 @@ document's id: the same word is cut differently in documents of different stream
 from __future__ import annotations
 
 import heapq
+import math
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from zlib import crc32
 
@@ -29,7 +31,7 @@ from wardlake.llm import work
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED, DROPOUT, STREAMS = 20240501, 0.1, 4
-CACHE_UNITS, CACHED_LENGTH = 300_000, 64
+CACHE_UNITS, CACHED_LENGTH = 600_000, 64
 MARK = "▁"
 _UNIT = re.compile(r" *[^ ]+| +")
 #: Stands for a mark that the text itself has; no piece contains it.
@@ -42,6 +44,7 @@ class Vocabulary:
     def __init__(self, pieces: list[str], scores: list[float], is_byte: list[bool], control: list[bool]):
         self.ids = {p: i for i, p in enumerate(pieces) if not is_byte[i] and not control[i]}
         self.scores = {p: scores[i] for p, i in self.ids.items()}
+        self.hashes = {p: crc32(p.encode()) for p in self.ids}
         self.bytes = {int(pieces[i][3:5], 16): i for i in range(len(pieces)) if is_byte[i]}
         self.raw = [bytes([int(p[3:5], 16)]) if is_byte[i] else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
         if len(self.bytes) != 256 or len(pieces) > 65536:
@@ -57,25 +60,46 @@ def load(path: str = MODEL) -> Vocabulary:
                       [model.is_byte(i) for i in range(n)], [model.is_control(i) or model.is_unknown(i) for i in range(n)])
 
 
-def keyed_skip(seed: int, stream: int, rate: float) -> Callable[[int, int, str], bool] | None:
+def keyed_skip(seed: int, stream: int, rate: float, vocabulary: Vocabulary) -> Callable[[int, int, str], bool] | None:
     """Whether a candidate is dropped, from the unit's hash, its place and the merged piece."""
     if rate <= 0:
         return None
-    start, limit = crc32(f"{seed}:{stream}".encode()), int(rate * 2**32)
+    start, limit, hashes = crc32(f"{seed}:{stream}".encode()), int(rate * 2**32), vocabulary.hashes
 
     def skip(unit: int, place: int, piece: str) -> bool:
-        x = (crc32(piece.encode("utf-8", "surrogatepass"), unit ^ start) + place * 0x9E3779B1) & 0xFFFFFFFF
-        x = ((x ^ (x >> 16)) * 0x85EBCA6B) & 0xFFFFFFFF
-        x = ((x ^ (x >> 13)) * 0xC2B2AE35) & 0xFFFFFFFF
-        return x ^ (x >> 16) < limit
+        x = ((unit ^ start) + hashes[piece] * 0x9E3779B1 + place * 0x85EBCA6B) & 0xFFFFFFFF
+        x = ((x ^ (x >> 16)) * 0xC2B2AE35) & 0xFFFFFFFF
+        return x ^ (x >> 15) < limit
 
     return skip
 
 
-def encode_unit(unit: str, vocabulary: Vocabulary, skip: Callable[[int, int, str], bool] | None) -> list[int]:
-    """Piece ids of one unit."""
-    scores = vocabulary.scores
-    parts: list[str | None] = [MARK if c == " " else _LITERAL if c == MARK else c for c in unit]
+def _merge_short(parts: list[str], scores: dict[str, float], skip: Callable[[int, int, str], bool] | None, name: int) -> list[str]:
+    """The agenda of a short unit as a list of the candidates' scores: the best, leftmost one is next."""
+    never = -math.inf
+    get = scores.get
+    agenda = [get(a + b, never) for a, b in zip(parts, parts[1:])]
+    places = list(range(len(parts)))
+    while agenda:
+        best = max(agenda)
+        if best == never:
+            break
+        i = agenda.index(best)
+        piece = parts[i] + parts[i + 1]
+        if skip and skip(name, places[i], piece):
+            agenda[i] = never
+            continue
+        parts[i] = piece
+        del parts[i + 1], places[i + 1], agenda[i]
+        if i:
+            agenda[i - 1] = get(parts[i - 1] + piece, never)
+        if i < len(agenda):
+            agenda[i] = get(piece + parts[i + 1], never)
+    return parts
+
+
+def _merge_long(parts: list[str | None], scores: dict[str, float], skip: Callable[[int, int, str], bool] | None, name: int) -> list[str]:
+    """The same with a heap and linked places."""
     n = len(parts)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     agenda = []
@@ -84,7 +108,6 @@ def encode_unit(unit: str, vocabulary: Vocabulary, skip: Callable[[int, int, str
         if piece in scores:
             agenda.append((-scores[piece], i, i + 1, piece))
     heapq.heapify(agenda)
-    name = crc32(unit.encode()) if skip else 0
     while agenda:
         _, left, right, piece = heapq.heappop(agenda)
         if parts[left] is None or parts[right] is None or after[left] != right or parts[left] + parts[right] != piece:
@@ -103,11 +126,17 @@ def encode_unit(unit: str, vocabulary: Vocabulary, skip: Callable[[int, int, str
             more = parts[start] + piece
             if more in scores:
                 heapq.heappush(agenda, (-scores[more], start, left, more))
+    return [p for p in parts if p is not None]
+
+
+def encode_unit(unit: str, vocabulary: Vocabulary, skip: Callable[[int, int, str], bool] | None) -> list[int]:
+    """Piece ids of one unit."""
+    parts = [MARK if c == " " else _LITERAL if c == MARK else c for c in unit] if " " in unit or MARK in unit else list(unit)
+    merge = _merge_short if len(parts) <= CACHED_LENGTH else _merge_long
+    ids = vocabulary.ids
     out: list[int] = []
-    for part in parts:
-        if part is None:
-            continue
-        known = vocabulary.ids.get(part)
+    for part in merge(parts, vocabulary.scores, skip, crc32(unit.encode()) if skip else 0):
+        known = ids.get(part)
         if known is not None:
             out.append(known)
         else:
@@ -132,13 +161,13 @@ class Encoder:
             self._caches.clear()
             self._held = 0
         if stream not in self._skips:
-            self._skips[stream] = keyed_skip(self.seed, stream, self.rate)
+            self._skips[stream] = keyed_skip(self.seed, stream, self.rate, self.vocabulary)
         cache, skip, vocabulary = self._caches.setdefault(stream, {}), self._skips[stream], self.vocabulary
         out = []
         for unit in _UNIT.findall(" " + text):
             found = cache.get(unit)
             if found is None:
-                found = np.array(encode_unit(unit, vocabulary, skip), np.uint16).tobytes()
+                found = array("H", encode_unit(unit, vocabulary, skip)).tobytes()
                 if len(unit) <= CACHED_LENGTH:
                     cache[unit] = found
                     self._held += 1
@@ -149,6 +178,17 @@ class Encoder:
         return decode(ids, self.vocabulary)
 
 
+#: The encoder of a Python worker; workers serve task after task and keep its cache.
+_encoders: dict[tuple, Encoder] = {}
+
+
+def _encoder(vocabulary: Vocabulary, key: tuple, seed: int, rate: float) -> Encoder:
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(vocabulary, seed, rate)
+    return _encoders[key]
+
+
 def decode(ids: np.ndarray, vocabulary: Vocabulary) -> str:
     """The text of a segmentation, whichever merges made it."""
     return b"".join(map(vocabulary.raw.__getitem__, ids.tolist()))[1:].decode()
@@ -160,13 +200,13 @@ def encode(docs: DataFrame, carry: list[str], path: str = MODEL, seed: int = SEE
     ``lossless`` says that the pieces, decoded, are the text again. A null text has no pieces, like
     an empty one. A null id belongs to stream 0; repeated rows are cut alike.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(load(path))
+    shared, key = docs.sparkSession.sparkContext.broadcast(load(path)), (path, seed, rate)
     stream = F.coalesce(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(seed)), F.lit(STREAMS)).cast("int"), F.lit(0))
     rows = docs.select(*carry, F.when(F.col("doc_id").isNull(), 0).otherwise(stream).alias("stream"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text_"))
     schema = rows.drop("text_").schema.add("n_pieces", "long").add("pieces", ArrayType(IntegerType())).add("lossless", "boolean")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value, seed, rate)
+        encoder = _encoder(shared.value, key, seed, rate)
         for batch in batches:
             n = batch.num_columns
             streams, texts = batch.column(n - 2).to_pylist(), batch.column(n - 1)
