@@ -3,7 +3,8 @@
 A line's words form a set, ordered by rarity. Sets of Jaccard likeness LINK / OF or more share a word of
 their prefixes, so prefix words are indexed, and entries of one word are compared: by length,
 by position (what is left after the shared word), and by a 64-bit parity sketch whose differing bits are a lower
-bound of the differing words. What passes is verified on the full sets. A line goes if its set occurs
+bound of the differing words. Large sets must share several prefix words, so their prefixes are
+longer by as many less one. What passes is verified on the full sets. A line goes if its set occurs
 earlier or if an earlier line matches its set; earlier means a smaller (doc_id, line number).
 
 In a word with many similar lines each entry is first paired with at most FIRST_PAIRS others. Lines of such
@@ -17,6 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,65 +44,74 @@ class Lines:
     row: np.ndarray
     number: np.ndarray
     at: np.ndarray
-    keys: np.ndarray
+    names: np.ndarray
+    mixed: np.ndarray
     size: np.ndarray
     node: np.ndarray
     check: np.ndarray
 
 
-def read_lines(data: np.ndarray, offsets: np.ndarray, ranks: np.ndarray) -> Lines:
+def read_lines(data: np.ndarray, offsets: np.ndarray, ranks: np.ndarray | None, total: np.ndarray | None = None) -> Lines:
+    """Lines with their sets in order of rarity, or of names without ``ranks``; ``total`` counts hash buckets."""
     names, starts, _ = W.words(data, offsets)
+    if total is not None:
+        total += np.bincount((names >> np.uint64(64 - work.SKETCH_BITS)).astype(np.int64), minlength=len(total))
     breaks = np.flatnonzero(data == 10)
-    rows = len(offsets) - 1
-    row = np.concatenate((np.arange(rows), np.searchsorted(offsets, breaks, side="right") - 1))
+    row = np.concatenate((np.arange(len(offsets) - 1), np.searchsorted(offsets, breaks, side="right") - 1))
     begin = np.concatenate((offsets[:-1], breaks + 1))
     order = np.lexsort((begin, row))
     row, begin = row[order], begin[order]
     number = np.arange(len(row)) - np.searchsorted(row, row)
     to = np.append(np.searchsorted(starts, begin), len(starts))
     line = np.repeat(np.arange(len(row)), np.diff(to))
-    keys = work.by_rank(names, ranks)
+    keys = names if ranks is None else work.by_rank(names, ranks)
     if len(row) < 1 << 16:  # one sort key: line, then the top bits of the word
         order = np.argsort((line.astype(np.uint64) << np.uint64(48)) | (keys >> np.uint64(16)))
     else:
         order = np.lexsort((keys, line))
-    keys, line = keys[order], line[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = (keys[1:] != keys[:-1]) | (line[1:] != line[:-1])
-    keys, line = keys[new], line[new]
+    names, line = names[order], line[order]
+    new = np.ones(len(names), bool)
+    new[1:] = (names[1:] != names[:-1]) | (line[1:] != line[:-1])
+    names, line = names[new], line[new]
     size = np.bincount(line, minlength=len(row))
     at = np.concatenate(([0], np.cumsum(size)))
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(W.mix(keys))))
-    more = np.concatenate((np.zeros(1, np.uint64), np.cumsum(W.mix(keys ^ np.uint64(0x5851F42D4C957F2D)))))
-    node = W.mix(sums[at[1:]] - sums[at[:-1]] + size.astype(np.uint64))
-    check = W.mix(more[at[1:]] - more[at[:-1]]) >> np.uint64(33)
-    return Lines(row, number, at, keys, size, node, check)
+    mixed = W.mix(names)
+    node, check = (np.concatenate((np.zeros(1, np.uint64), np.cumsum(x))) for x in (mixed, mixed * (mixed | np.uint64(1))))
+    node = W.mix(node[at[1:]] - node[at[:-1]] + size.astype(np.uint64))
+    check = W.mix(check[at[1:]] - check[at[:-1]]) >> np.uint64(33)
+    return Lines(row, number, at, names, mixed, size, node, check)
 
 
 def needed(n):
     return (n * LINK + OF - 1) // OF
 
 
+def shared_at_least(n):
+    """How many prefix words two sets must share, the smaller of their numbers; prefixes are longer by one less."""
+    return 1 + np.minimum(n // 64, 7)
+
+
 def entries(lines: Lines, ids: np.ndarray) -> dict[str, np.ndarray]:
     """Index entries of the prefix words of each different set of the block."""
     _, first = np.unique(lines.node, return_index=True)
     own = np.zeros(len(lines.node), bool)
     own[first] = True
     own &= lines.size >= MIN_WORDS
-    line = np.repeat(np.arange(len(lines.size)), lines.size)
-    place = np.arange(len(line)) - lines.at[line]
-    bits = np.uint64(1) << (W.mix(lines.keys + np.uint64(99)) & np.uint64(63))
+    prefix = np.where(own, lines.size - needed(lines.size) + shared_at_least(lines.size), 0)
+    line = np.repeat(np.arange(len(prefix)), prefix)
+    place = np.arange(len(line)) - np.repeat(np.cumsum(prefix) - prefix, prefix)
+    at = lines.at[line] + place
+    bits = np.uint64(1) << (lines.mixed & np.uint64(63))
     parity = np.concatenate((np.zeros(1, np.uint64), np.bitwise_xor.accumulate(bits)))
     sketch = parity[lines.at[1:]] ^ parity[lines.at[:-1]]
-    kept = own[line] & (place < (lines.size - needed(lines.size) + 1)[line])
-    line, place = line[kept], place[kept]
-    return {"word": (W.mix(lines.keys[kept]) >> np.uint64(32)).astype("<u4"), "node": lines.node[line].astype("<u8"),
+    return {"word": (lines.mixed[at] >> np.uint64(32)).astype("<u4"), "node": lines.node[line].astype("<u8"),
             "size": lines.size[line].astype("<u4"), "place": place.astype("<u4"), "sketch": sketch[line].astype("<u8"),
-            "order": ids[lines.row[line]].astype("<f4"), "key": lines.keys[kept]}
+            "order": ids[lines.row[line]].astype("<f4"), "bucket": lines.names[at] >> np.uint64(64 - work.SKETCH_BITS)}
 
 
-def pairs_of(e: dict[str, np.ndarray], wanted: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Possible links between entries of one word, and the nodes of words in which some were left out.
+def pairs_of(e: dict[str, np.ndarray], wanted: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Possible links between entries of one word with the number of words that they must share, and the
+    nodes of words in which some were left out.
 
     Without ``wanted`` every entry is paired with FIRST_PAIRS earlier ones at most; with it, all
     pairs of a wanted node are given.
@@ -117,7 +128,7 @@ def pairs_of(e: dict[str, np.ndarray], wanted: np.ndarray | None) -> tuple[np.nd
     found = np.zeros(len(group), np.int64)
     full = np.zeros(len(group), bool)
     chosen = np.ones(len(group), bool) if wanted is None else work.marked(wanted, node)
-    left, right = [], []
+    left, right, need = [], [], []
     step = 0
     while True:
         some = ends - starts > step + 1
@@ -140,18 +151,19 @@ def pairs_of(e: dict[str, np.ndarray], wanted: np.ndarray | None) -> tuple[np.nd
         found[y] += 1
         left.append(node[x])
         right.append(node[y])
+        need.append(shared_at_least(np.minimum(size[x], size[y])))
     cut = np.unique(group[full])
-    none = np.zeros(0, np.uint64)
-    return (np.concatenate(left) if left else none, np.concatenate(right) if right else none, np.unique(node[np.isin(group, cut)]))
+    parts = [np.concatenate(x) if x else np.zeros(0, kind) for x, kind in ((left, np.uint64), (right, np.uint64), (need, np.int64))]
+    return *parts, np.unique(node[np.isin(group, cut)])
 
 
-def _each(batches: Iterator[pa.RecordBatch], ranks: np.ndarray) -> Iterator[tuple[np.ndarray, Lines]]:
+def _each(batches: Iterator[pa.RecordBatch], ranks: np.ndarray | None, total: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, Lines]]:
     """Ids and lines of blocks of (doc_id, text) batches."""
     for batch in batches:
         ids = batch.column(0).to_numpy()
         data, offsets = W.raw(batch.column(1))
         for i, j in W.blocks(offsets):
-            yield ids[i:j], read_lines(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], ranks)
+            yield ids[i:j], read_lines(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], ranks, total)
 
 
 def _candidates(docs: DataFrame, shared, hot, wanted: np.ndarray | None = None) -> DataFrame:
@@ -172,10 +184,7 @@ def _candidates(docs: DataFrame, shared, hot, wanted: np.ndarray | None = None)
 
     def pack(held: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
         e = {k: np.concatenate([h[k] for h in held]) for k in held[0]}
-        _, first = np.unique(np.stack((e["word"].astype(np.uint64), e["node"])), axis=1, return_index=True) if len(held) > 1 else (None, np.arange(len(e["word"])))
-        e = {k: v[first] for k, v in e.items()}
-        bucket = e.pop("key") >> np.uint64(64 - work.SKETCH_BITS)
-        blocks = hot.value[bucket.astype(np.int64)]
+        blocks = hot.value[e.pop("bucket").astype(np.int64)]
         times = blocks.astype(np.int64)
         own = (W.mix(e["node"]) % blocks.astype(np.uint64)).astype(np.int64)
         other = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
@@ -183,8 +192,8 @@ def _candidates(docs: DataFrame, shared, hot, wanted: np.ndarray | None = None)
         own = np.repeat(own, times)
         block = np.minimum(own, other) * np.int64(1 << 20) + np.maximum(own, other)
         group = W.mix(e["word"].astype(np.uint64) + block.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        part = (group % np.uint64(4 * parts)).astype(np.int64)
-        order = np.lexsort((e["word"], part))
+        part = (group % np.uint64(4 * parts)).astype(np.uint16 if 4 * parts < 1 << 16 else np.int64)
+        order = np.argsort(part, kind="stable")
         e = {k: v[order] for k, v in e.items()} | {"block": block[order].astype("<u8")}
         cuts = np.searchsorted(part[order], np.arange(4 * parts + 1))
         filled = np.flatnonzero(np.diff(cuts))
@@ -203,29 +212,36 @@ def _candidates(docs: DataFrame, shared, hot, wanted: np.ndarray | None = None)
                     start += n * np.dtype(kind).itemsize
             e = {k: np.concatenate(v) for k, v in columns.items()}
             e["group"] = W.mix(e["word"].astype(np.uint64) + e["block"] * np.uint64(0x9E3779B97F4A7C15))
-            a, b, open_nodes = pairs_of(e, chosen.value)
-            if len(a) + len(open_nodes):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate((a, open_nodes)).view(np.int64)), pa.array([*b.view(np.int64).tolist(), *[None] * len(open_nodes)], pa.int64())],
-                    ["a", "b"])
+            a, b, need, open_nodes = pairs_of(e, chosen.value)
+            n, more = len(a), len(open_nodes)
+            if n + more:
+                missing = np.append(np.zeros(n, bool), np.ones(more, bool))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate((a, open_nodes)).view(np.int64)),
+                    pa.array(np.concatenate((b, np.zeros(more, np.uint64))).view(np.int64), mask=missing),
+                    pa.array(np.concatenate((need, np.zeros(more, np.int64))).astype(np.int32))], ["a", "b", "need"])
 
     rows = docs.mapInArrow(index, "part int, blob binary").repartition(parts, "part").sortWithinPartitions("part")
-    return rows.mapInArrow(compare, "a long, b long").distinct()
+    met = rows.mapInArrow(compare, "a long, b long, need int").groupBy("a", "b").agg(F.count("need").alias("n"), F.max("need").alias("need"))
+    return met.where(F.col("n") >= F.col("need")).select("a", "b")
 
 
-def _verified(docs: DataFrame, shared, candidates: DataFrame) -> DataFrame:
-    """Candidates (a, b) whose sets are alike enough."""
+def _verified(docs: DataFrame, nodes: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Candidates (a, b) whose sets are alike enough; sets are read from the documents where they first occur."""
+    context = docs.sparkSession.sparkContext
     wanted = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    bits = docs.sparkSession.sparkContext.broadcast(work.bitmap(wanted))
+    bits = context.broadcast(work.bitmap(wanted))
+    holders = context.broadcast(work.bitmap(nodes.join(wanted, "node").select("first.doc_id").distinct()))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, lines in _each(batches, shared.value):
+        some = (b.filter(pa.array(work.marked(holders.value, b.column(0).to_numpy()))) for b in batches)
+        for _, lines in _each(some, None):
             _, first = np.unique(lines.node, return_index=True)
             first = first[(lines.size[first] >= MIN_WORDS) & work.marked(bits.value, lines.node[first])]
             at = np.concatenate(([0], np.cumsum(lines.size[first])))
             take = np.arange(at[-1]) + np.repeat(lines.at[first] - at[:-1], lines.size[first])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(lines.node[first].view(np.int64)), W.list_array(lines.keys[take].view(np.int64), at, pa.int64())], ["node", "words"])
+                [pa.array(lines.node[first].view(np.int64)), W.list_array(lines.names[take].view(np.int64), at, pa.int64())], ["node", "words"])
 
     known = docs.mapInArrow(sets, "node long, words array<long>").groupBy("node").agg(F.min("words").alias("words"))
     known = work.save(known, "line-sets")
@@ -254,36 +270,38 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     docs = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     context = docs.sparkSession.sparkContext
 
-    def add(batch: pa.RecordBatch, total: np.ndarray) -> None:
-        data, offsets = W.raw(batch.column(0))
-        for i, j in W.blocks(offsets):
-            names = W.words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])[0]
-            total += np.bincount((names >> np.uint64(64 - work.SKETCH_BITS)).astype(np.int64), minlength=len(total))
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Lines long enough to compare and, in rows with a count, the task's filled hash buckets."""
+        total = np.zeros(1 << work.SKETCH_BITS)
+        for ids, lines in _each(batches, None, total):
+            kept = lines.size >= MIN_WORDS
+            yield rows(ids[lines.row[kept]], lines.number[kept], lines.node[kept].view(np.int64), lines.check[kept], np.zeros(kept.sum()))
+        spots = np.flatnonzero(total)
+        yield rows(spots, spots * 0, spots * 0, spots * 0, total[spots])
 
-    counts = work.dense_sums(docs.select("text"), add, 1 << work.SKETCH_BITS)
-    ranks = work.ranks_of(counts)
-    ranked = np.empty_like(counts)
-    ranked[ranks.astype(np.int64)] = counts
-    shared = context.broadcast(ranks)
-    hot = context.broadcast(np.ceil(np.maximum(ranked, 1) / max(HOT, counts.sum() / 1024)).astype(np.int64))
+    def rows(doc_id, line, node, check, count) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(doc_id.astype(np.int64)), pa.array(line.astype(np.int32)), pa.array(node.astype(np.int64)), pa.array(check.astype(np.int32)),
+             pa.array(count.astype(np.int64))], ["doc_id", "line", "node", "check", "count"])
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, lines in _each(batches, shared.value):
-            kept = lines.size >= MIN_WORDS
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[lines.row[kept]]), pa.array(lines.number[kept].astype(np.int32)), pa.array(lines.node[kept].view(np.int64)),
-                 pa.array(lines.check[kept].astype(np.int32))], ["doc_id", "line", "node", "check"])
+    both = work.save(docs.mapInArrow(read, "doc_id long, line int, node long, check int, count long"), "lines")
+    occurring = both.where(F.col("count") == 0).drop("count")
+
+    def add(batch: pa.RecordBatch, total: np.ndarray) -> None:
+        np.add.at(total, batch.column(0).to_numpy(), batch.column(1).to_numpy())
 
-    occurring = work.save(docs.mapInArrow(places, "doc_id long, line int, node long, check int"), "lines")
+    counts = work.dense_sums(both.where(F.col("count") > 0).select("doc_id", "count"), add, 1 << work.SKETCH_BITS)
+    shared = context.broadcast(work.ranks_of(counts))
+    hot = context.broadcast(np.ceil(np.maximum(counts, 1) / max(HOT, counts.sum() / 1024)).astype(np.int64))
     nodes = work.save(occurring.groupBy("node", "check").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("line").alias("n")), "line-nodes")
     candidates = work.save(_candidates(docs, shared, hot), "line-pairs")
-    links = _verified(docs, shared, candidates.where(F.col("b").isNotNull()))
+    links = _verified(docs, nodes, candidates.where(F.col("b").isNotNull()))
     beaten = work.save(_beaten(links, nodes), "line-later")
     rest = candidates.where(F.col("b").isNull()).select(F.col("a").alias("node")).distinct().join(beaten, "node", "left_anti")
     rest = work.save(rest, "line-open")
     if not rest.isEmpty():
         more = work.save(_candidates(docs, shared, hot, work.bitmap(rest)).where(F.col("b").isNotNull()), "line-pairs")
-        beaten = work.save(beaten.unionByName(_beaten(_verified(docs, shared, more), nodes)).distinct(), "line-later")
+        beaten = work.save(beaten.unionByName(_beaten(_verified(docs, nodes, more), nodes)).distinct(), "line-later")
     decided = nodes.join(beaten.withColumn("beaten", F.lit(True)), "node", "left").where(F.col("beaten") | (F.col("n") > 1))
     gone = (occurring.join(decided, ["node", "check"])
             .where(F.col("beaten").isNotNull() | (F.struct("doc_id", "line") != F.col("first"))))
@@ -297,7 +315,17 @@ def dedup(docs: DataFrame) -> tuple[DataFrame, str, str]:
     no lines; see :func:`removed_lines` for the cases.
     """
     gone, total, taken = (work.fresh(docs, name) for name in ("gone_lines", "n_lines", "n_removed"))
-    joined = docs.join(removed_lines(docs).withColumnRenamed("lines", gone), "doc_id", "left")
+    lost = work.save(removed_lines(docs), "gone-lines").withColumnRenamed("lines", gone)
+    bits = docs.sparkSession.sparkContext.broadcast(work.bitmap(lost.select("doc_id")))
+
+    @F.pandas_udf("boolean")
+    def may_lose(ids: pd.Series) -> pd.Series:
+        return pd.Series(work.marked(bits.value, ids.to_numpy()))
+
+    # only texts that may lose lines are shuffled; the others pass by
+    touched = F.col("doc_id").isNotNull() & may_lose(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
+    joined = docs.where(touched).join(lost, "doc_id", "left").select(*docs.columns, gone)
+    joined = joined.unionByName(docs.where(~touched).withColumn(gone, F.lit(None).cast("array<int>")))
     lines = F.split(F.col("text").cast("string"), "\n", -1)
     kept = F.filter(lines, lambda _, i: ~F.array_contains(gone, i))
     text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))

@@ -86,8 +86,8 @@ def frequency_ranks(parts: DataFrame, add: Callable[[pa.RecordBatch, np.ndarray]
 
 
 def ranks_of(counts: np.ndarray) -> np.ndarray:
-    ranks = np.empty(len(counts), np.uint64)
-    ranks[np.argsort(counts, kind="stable")] = np.arange(len(counts), dtype=np.uint64)
+    ranks = np.empty(len(counts), np.uint32)
+    ranks[np.argsort(counts, kind="stable")] = np.arange(len(counts), dtype=np.uint32)
     return ranks
 
 
@@ -134,7 +134,7 @@ def marked(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
 def by_rank(names: np.ndarray, ranks: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
     """Names renamed so that smaller is rarer; different names stay different."""
     low = np.uint64(64 - bits)
-    return (ranks[names >> low] << low) | (names & ((np.uint64(1) << low) - np.uint64(1)))
+    return (ranks[names >> low].astype(np.uint64) << low) | (names & ((np.uint64(1) << low) - np.uint64(1)))
 
 
 def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
