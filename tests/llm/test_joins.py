@@ -52,6 +52,24 @@ def test_line_dedup(spark, make_docs, monkeypatch, first_pairs):
     assert got[3].margin == "keep" and got[3].n_lines == "keep"
 
 
+def test_line_dedup_of_short_lines(make_docs):
+    lines = ["yes", "a b", "b  A", "a b c", "a b c d", "d c b a e", "a b c d f", "a b c x", "你好你好你好", "yes yes", "a b a b a b", "你好你好你好", " ", "", " ",
+             "v w x y z", "v w x y", "w x y z", "x y z", "z y x"]
+    texts = ["\n".join(lines[i:i + 4]) for i in range(0, len(lines), 4)] + ["yes\nno", "no"]
+    want, seen = {}, []
+    for i, text in enumerate(texts):
+        kept = []
+        for line in text.split("\n"):
+            own = word_set(line)
+            if not own or not any(alike(own, x) for x in seen):
+                kept.append(line)
+            seen += [own] if own else []
+        want[i] = "\n".join(kept)
+    out, _, _ = line_dedup.dedup(make_docs(texts))
+    assert {r.doc_id: r.text for r in out.collect()} == want
+    assert want[6] == "" and want[1] == "a b c d\na b c x"
+
+
 def test_line_dedup_without_ids_and_of_nothing(spark, make_docs):
     line = "six words stand in this line"
     docs = make_docs([line, line, line, None], [None, 1, 2, None])

@@ -27,8 +27,10 @@ from wardlake.llm import words as W
 from wardlake.llm import work
 
 LINK, OF = 80, 100
-#: Lines of fewer distinct words are too short to compare and always stay.
-MIN_WORDS = 5
+#: Lines without a word are no text and always stay.
+MIN_WORDS = 1
+#: Sets of fewer words are alike only when equal, which their names tell: they need no index entries.
+MIN_INDEXED = 4
 FIRST_PAIRS = 8
 #: A word whose hash bucket counts more than this many words is dealt out as pairs of blocks.
 HOT = 1 << 22
@@ -96,7 +98,7 @@ def entries(lines: Lines, ids: np.ndarray) -> dict[str, np.ndarray]:
     _, first = np.unique(lines.node, return_index=True)
     own = np.zeros(len(lines.node), bool)
     own[first] = True
-    own &= lines.size >= MIN_WORDS
+    own &= lines.size >= MIN_INDEXED
     prefix = np.where(own, lines.size - needed(lines.size) + shared_at_least(lines.size), 0)
     line = np.repeat(np.arange(len(prefix)), prefix)
     place = np.arange(len(line)) - np.repeat(np.cumsum(prefix) - prefix, prefix)
@@ -237,7 +239,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, candidates: DataFrame) -> DataF
         some = (b.filter(pa.array(work.marked(holders.value, b.column(0).to_numpy()))) for b in batches)
         for _, lines in _each(some, None):
             _, first = np.unique(lines.node, return_index=True)
-            first = first[(lines.size[first] >= MIN_WORDS) & work.marked(bits.value, lines.node[first])]
+            first = first[(lines.size[first] >= MIN_INDEXED) & work.marked(bits.value, lines.node[first])]
             at = np.concatenate(([0], np.cumsum(lines.size[first])))
             take = np.arange(at[-1]) + np.repeat(lines.at[first] - at[:-1], lines.size[first])
             yield pa.RecordBatch.from_arrays(
@@ -264,14 +266,14 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``lines``, the numbers (from 0) of its lines that go, for documents that lose some.
 
     Rows without doc_id have no place in the order: their lines neither match nor go. Rows that share a
-    doc_id are one document: equal lines at one number do not match each other. Lines of fewer than
-    MIN_WORDS distinct words are not compared.
+    doc_id are one document: equal lines at one number do not match each other. Lines without a word
+    are not compared.
     """
     docs = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     context = docs.sparkSession.sparkContext
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Lines long enough to compare and, in rows with a count, the task's filled hash buckets."""
+        """Lines with words and, in rows with a count, the task's filled hash buckets."""
         total = np.zeros(1 << work.SKETCH_BITS)
         for ids, lines in _each(batches, None, total):
             kept = lines.size >= MIN_WORDS
