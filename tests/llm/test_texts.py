@@ -153,6 +153,22 @@ def test_copies_of_a_page_are_not_template():
     assert html.extract([PAGE.format(n=3)] * 30)[5] == html.extract([PAGE.format(n=3)])[0]
 
 
+LONG = "<html><body><div id=top>Site</div><article><h1>{h}</h1>{p}</article></body></html>"
+
+
+def long_page(name, n, changed=-1):
+    return LONG.format(h=f"Title {name}", p="".join(f"<p>{name} says {i} things{' new' if i == changed else ''}</p>" for i in range(n)))
+
+
+def test_near_copies_of_a_page_are_not_template():
+    pages = [long_page("base", 40)] + [long_page("base", 40, i) for i in range(8)] + [long_page("base", 40)]
+    pages += [long_page(f"other{i}", 3) for i in range(12)]
+    for order in (1, -1):
+        got = html.extract(pages[::order])[::order]
+        assert got == [html.extract([p])[0] for p in pages]
+        assert all(t.count("\n") == 40 for t in got[:10])
+
+
 def test_tree_matching_is_maximal():
     a, b = html.parse("<div><p>1<ul><li>x</ul><p>2</div>"), html.parse("<div><ul><li>x</ul><p>2<h2>3</h2></div>")
     pairs = [(x.tag, y.tag) for x, y in html.align(a, b)]

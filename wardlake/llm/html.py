@@ -1,12 +1,12 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host are taken in chunks of CHUNK. The first page of a chunk is its wrapper: the DOM trees
-of the others are aligned with it by simple tree matching (equal labels, children in order, as many
-matched nodes as possible). A wrapper block that keeps its text on most aligned pages is template,
-one whose text varies is a content slot. A page's text is that of its article (or main, or body)
-without template nodes and without parts that serve the site: menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles and reader comments. Pages whose content equals the wrapper's have no
-vote, so copies of one page do not turn into template.
+Pages of one host are taken in chunks of CHUNK at most. A page whose tree is like those of most others is the
+wrapper of a layout: the DOM trees of the layout's pages are aligned with it by simple tree matching (equal labels,
+children in order, as many matched nodes as possible). A wrapper block that keeps its text on most of them is
+template, one whose text varies is a content slot. Pages that share most blocks of their content vote once, as a
+group, so copies and near copies of one page do not turn into template. A page's text is that of its article (or
+main, or body) without template nodes and without parts that serve the site: menus, headers, footers, sidebars,
+notices, adverts, forms, scripts, styles and reader comments.
 """
 
 from __future__ import annotations
@@ -215,29 +215,120 @@ def align(a: Node, b: Node) -> list[tuple[Node, Node]]:
     return pairs
 
 
+def content_blocks(tree: Node) -> dict[str, int]:
+    """Texts of the innermost blocks of a page's content with their lengths."""
+    out: dict[str, int] = {}
+    todo = list(content_roots(tree))
+    while todo:
+        node = todo.pop()
+        inner = [x for x in node.kids if x.text and x.tag in BLOCKS]
+        if inner or node.tag not in BLOCKS:
+            todo.extend(node.kids)
+        if node.text and node.tag in BLOCKS and not inner:
+            out[node.text] = len(node.text)
+    return out
+
+
+def near_groups(trees: list[Node]) -> list[int]:
+    """Group of each page: pages that share most blocks of their content, by number or by length, are one group."""
+    blocks = [content_blocks(t) for t in trees]
+    sums = [sum(b.values()) for b in blocks]
+    holders: dict[str, list[int]] = {}
+    for i, own in enumerate(blocks):
+        for text in own:
+            holders.setdefault(text, []).append(i)
+    number, length = np.zeros((len(trees), len(trees))), np.zeros((len(trees), len(trees)))
+    for text, ids in holders.items():
+        if len(ids) > 1:
+            at = np.ix_(ids, ids)
+            number[at] += 1
+            length[at] += len(text)
+    label = list(range(len(trees)))
+    whole = [" ".join(r.text for r in content_roots(t)) for t in trees]
+    for j in range(len(trees)):
+        for i in range(j):
+            near = whole[i] == whole[j] or 2 * number[i, j] > max(len(blocks[i]), len(blocks[j])) or 2 * length[i, j] > max(sums[i], sums[j])
+            if near and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    return label
+
+
+def layouts(trees: list[Node]) -> list[tuple[int, list[int]]]:
+    """Wrappers and the pages that each is aligned with: a wrapper's tree is like that of most pages not yet dealt."""
+    kinds: dict[tuple, int] = {}
+    held = []
+    for tree in trees:
+        own, todo = set(), [tree]
+        while todo:
+            node = todo.pop()
+            own |= {kinds.setdefault((node.tag, node.name, k.tag, k.name), len(kinds)) for k in node.kids}
+            todo.extend(node.kids)
+        held.append(own)
+    table = np.zeros((len(trees), max(len(kinds), 1)), np.float32)
+    for i, own in enumerate(held):
+        table[i, list(own)] = 1
+    common = table @ table.T
+    size = table.sum(1)
+    like = common / np.maximum(size[:, None] + size - common, 1)
+    close = (like >= 0.5) & (size[:, None] > 0)
+    wrappers: list[int] = []
+    rest = np.ones(len(trees), bool)
+    while True:
+        n = (close & rest).sum(1) * rest
+        if n.max() <= MIN_VOTES and wrappers or not n.max():
+            break
+        best = np.flatnonzero(n == n.max())
+        wrappers.append(int(best[np.argmax(like[best][:, rest].sum(1))]))
+        rest &= ~close[wrappers[-1]]
+    if not wrappers:
+        return []
+    mine = like[wrappers].argmax(0)
+    return [(w, np.flatnonzero(mine == k).tolist()) for k, w in enumerate(wrappers)]
+
+
 def template(trees: list[Node]) -> list[set[int]]:
-    """Per page, the ids of its nodes that are template: same place and same text on most pages of the chunk."""
+    """Per page, the ids of its nodes that are template: same place and same text on most pages of its layout.
+
+    Near copies vote once, as a group, and the share is that of all groups which have the part of the page (its
+    article, or all of it) that holds the block.
+    """
     out: list[set[int]] = [set() for _ in trees]
     if len(trees) <= MIN_VOTES:
         return out
-    wrapper = trees[0]
-    content = " ".join(r.text for r in content_roots(wrapper))
-    votes: dict[int, list[int]] = {}
-    aligned = []
-    for tree in trees[1:]:
-        pairs = align(wrapper, tree)
-        aligned.append(pairs)
-        if " ".join(r.text for r in content_roots(tree)) == content:
-            continue
-        for x, y in pairs:
-            if x.text and x.tag in BLOCKS:
-                vote = votes.setdefault(id(x), [0, 0])
-                vote[0] += 1
-                vote[1] += x.text == y.text
-    fixed = {i for i, (met, equal) in votes.items() if met >= MIN_VOTES and equal >= CONSTANT * met}
-    for i, pairs in enumerate(aligned, 1):
-        out[i] = {id(y) for x, y in pairs if id(x) in fixed and x.text == y.text}
-    out[0] = fixed
+    label = near_groups(trees)
+    for first, pages in layouts(trees):
+        wrapper = trees[first]
+        place: dict[int, int] = {}
+        for top in content_roots(wrapper):
+            todo = [top]
+            while todo:
+                node = todo.pop()
+                place[id(node)] = id(top)
+                todo.extend(node.kids)
+        aligned = {i: align(wrapper, trees[i]) for i in pages if i != first}
+        voters: dict[int, list[int]] = {}
+        for i in aligned:
+            if label[i] != label[first]:
+                voters.setdefault(label[i], []).append(i)
+        agree: dict[int, int] = {}
+        met: dict[int, int] = {}
+        for members in voters.values():
+            equal: dict[int, int] = {}
+            seen: set[int] = set()
+            for i in members:
+                for x, y in aligned[i]:
+                    seen.add(id(x))
+                    if x.text and x.tag in BLOCKS and x.text == y.text:
+                        equal[id(x)] = equal.get(id(x), 0) + 1
+            for x in seen:
+                met[x] = met.get(x, 0) + 1
+            for x, n in equal.items():
+                agree[x] = agree.get(x, 0) + (2 * n > len(members))
+        fixed = {x for x, n in agree.items() if n >= MIN_VOTES and n >= CONSTANT * met[place.get(x, id(wrapper))]}
+        for i, pairs in aligned.items():
+            out[i] = {id(y) for x, y in pairs if id(x) in fixed and x.text == y.text}
+        out[first] = fixed
     return out
 
 
