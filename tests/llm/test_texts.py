@@ -169,6 +169,15 @@ def test_near_copies_of_a_page_are_not_template():
         assert all(t.count("\n") == 40 for t in got[:10])
 
 
+def test_every_page_of_a_host_has_a_template(spark):
+    pages = [(i, "http://a.example/", LONG.format(h=f"Title {i}", p=f"<p>text {i}<p>more {i}<p>Read our terms")) for i in range(2 * html.CHUNK + 3)]
+    pages[0] = (0, "http://a.example/", "")
+    pages[html.CHUNK] = (html.CHUNK, "http://a.example/", "<div class=gallery><span>x</span></div>")
+    got = {r.page_id: r.text for r in html.main_texts(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    odd = {0: "", html.CHUNK: "x"}
+    assert got == {i: odd.get(i, f"Title {i}\ntext {i}\nmore {i}") for i, _, _ in pages}
+
+
 def test_tree_matching_is_maximal():
     a, b = html.parse("<div><p>1<ul><li>x</ul><p>2</div>"), html.parse("<div><ul><li>x</ul><p>2<h2>3</h2></div>")
     pairs = [(x.tag, y.tag) for x, y in html.align(a, b)]

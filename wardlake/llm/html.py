@@ -401,12 +401,21 @@ def main_texts(pages: DataFrame) -> DataFrame:
             kinds = [batch.schema.field(i).type for i in (1, 2)]
             for start in range(0, batch.num_rows, CHUNK):
                 for row in zip(*(batch.column(i).slice(start, CHUNK).to_pylist() for i in range(4))):
-                    if held and (held[0][0] != row[0] or len(held) == CHUNK):
-                        yield finish(held, kinds)
+                    if held and held[0][0] != row[0]:
+                        yield from last(held, kinds)
                         held = []
+                    elif len(held) == 2 * CHUNK:
+                        yield finish(held[:CHUNK], kinds)
+                        held = held[CHUNK:]
                     held.append(row)
         if held:
-            yield finish(held, kinds)
+            yield from last(held, kinds)
+
+    def last(held: list[tuple], kinds: list) -> Iterator[pa.RecordBatch]:
+        """The end of a host: one chunk, or two equal ones, so no small rest is left without a template."""
+        half = len(held) if len(held) <= CHUNK else (len(held) + 1) // 2
+        for i in range(0, len(held), half):
+            yield finish(held[i:i + half], kinds)
 
     def finish(held: list[tuple], kinds: list) -> pa.RecordBatch:
         texts = extract([row[3] for row in held])
