@@ -178,6 +178,17 @@ def test_every_page_of_a_host_has_a_template(spark):
     assert got == {i: odd.get(i, f"Title {i}\ntext {i}\nmore {i}") for i, _, _ in pages}
 
 
+def test_names_do_not_hide_the_page():
+    article = "<article><header class='entry-header'><h1>Head</h1></header><p>Text of it</article>"
+    side = "<div class='sidebar'><p>Aside</div><div id=comments><article>Short</article></div>"
+    for name in ("content-sidebar-wrap", "layout no-sidebar", "side", "search-page"):
+        assert html.extract([f"<body><div class='{name}'>{article}{side}</div></body>"]) == ["Head\nText of it"]
+        assert html.extract([f"<body><div class='{name}'><main><p>Text of it</main>{side}</div></body>"])[0] != ""
+    got = html.extract([f"<body><p>x</p><div class='content-sidebar-wrap'><p>Long text of the page</p>{side.split('<div id')[0]}</div></body>"])
+    assert got == ["x\nLong text of the page"]
+    assert html.extract(["<body><p>Long text of the page</p><div class='page-sidebar'>Aside</div></body>"]) == ["Long text of the page"]
+
+
 def test_tree_matching_is_maximal():
     a, b = html.parse("<div><p>1<ul><li>x</ul><p>2</div>"), html.parse("<div><ul><li>x</ul><p>2<h2>3</h2></div>")
     pairs = [(x.tag, y.tag) for x, y in html.align(a, b)]

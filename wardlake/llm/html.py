@@ -132,29 +132,69 @@ def _gather(root: Node) -> None:
         node.text = " ".join(" ".join(p if isinstance(p, str) else p.text for p in node.parts).split())
 
 
-def serves_site(node: Node) -> bool:
+def serves_by_kind(node: Node) -> bool:
+    """Whether tag, role or visibility tell that a node serves the site."""
     if node.tag in SERVICE or node.hidden:
         return True
+    return node.tag not in ("body", "html") and any(f"role={r}" in node.name for r in ROLES)
+
+
+def serves_site(node: Node) -> bool:
+    if serves_by_kind(node):
+        return True
     if node.tag in ("body", "html"):
         return False
-    if any(f"role={r}" in node.name for r in ROLES):
-        return True
     return bool((COMMENT_NAME if node.tag in ("article", "main") else SERVICE_NAME).search(node.name))
 
 
+def named_whole(node: Node) -> bool:
+    """Whether a whole class or id, not a part of one with hyphens, is a service name."""
+    return any("-" not in x and SERVICE_NAME.search(x) for x in node.name.split())
+
+
+def is_main(node: Node) -> bool:
+    return node.tag == "main" or "role=main" in node.name
+
+
+def holders(root: Node) -> set[int]:
+    """Ids of the nodes around the page's longest article and around its mains: no name rejects these."""
+    above: dict[int, Node] = {}
+    found: list[Node] = []
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        if (node.tag == "article" or is_main(node)) and not serves_site(node):
+            found.append(node)
+        for kid in node.kids:
+            if not serves_by_kind(kid):
+                above[id(kid)] = node
+                todo.append(kid)
+    articles = [n for n in found if n.tag == "article"]
+    best = max((len(n.text) for n in articles), default=0)
+    out: set[int] = set()
+    for node in found:
+        if is_main(node) or len(node.text) == best:
+            while id(node) in above:
+                node = above[id(node)]
+                out.add(id(node))
+    return out
+
+
 def content_roots(root: Node) -> list[Node]:
     """The outermost articles, or mains, or the body."""
+    free = holders(root)
+
     def outermost(wanted) -> list[Node]:
         out, todo = [], [root]
         while todo:
             node = todo.pop()
             if wanted(node) and not serves_site(node):
                 out.append(node)
-            elif not serves_site(node):
+            elif id(node) in free or not serves_site(node):
                 todo.extend(reversed(node.kids))
         return out
 
-    for wanted in (lambda n: n.tag == "article", lambda n: n.tag == "main" or "role=main" in n.name):
+    for wanted in (lambda n: n.tag == "article", is_main):
         if found := outermost(wanted):
             return found
     return [root]
@@ -333,7 +373,34 @@ def template(trees: list[Node]) -> list[set[int]]:
 
 
 def text_of(root: Node, dropped: set[int]) -> str:
-    """Blocks of the content in page order, one a line. A header is content only as the head of an article."""
+    """Blocks of the content in page order, one a line. A header is content only as the head of an article.
+
+    A part of a class or id with hyphens does not reject a node that holds most of the text which is no template.
+    """
+    sums: dict[int, int] = {}
+
+    def own_text(node: Node) -> int:
+        """Characters of a node without template and without parts that surely serve the site."""
+        n, todo = 0, [node]
+        while todo:
+            part = todo.pop()
+            if isinstance(part, str):
+                n += len(part.strip())
+            elif id(part) not in dropped and not serves_by_kind(part) and not (part is not node and named_whole(part)):
+                todo.extend(part.parts)
+        return n
+
+    def rejected(node: Node, top: Node) -> bool:
+        if node is top or serves_by_kind(node):
+            return serves_by_kind(node)
+        if node.tag == "header":
+            return top.tag != "article"
+        if not serves_site(node):
+            return False
+        if id(top) not in sums:
+            sums[id(top)] = own_text(top)
+        return named_whole(node) or 2 * own_text(node) <= sums[id(top)]
+
     blocks: list[str] = []
     held: list[str] = []
 
@@ -353,7 +420,7 @@ def text_of(root: Node, dropped: set[int]) -> str:
                 held.append(part)
             elif part.tag == "br":
                 held.append(" ")
-            elif id(part) not in dropped and not serves_site(part) and (part.tag != "header" or top.tag == "article"):
+            elif id(part) not in dropped and not rejected(part, top):
                 if part.tag in BLOCKS:
                     end()
                     todo.append(None)
