@@ -200,6 +200,33 @@ def test_proximity_matches(spark, make_docs):
     assert (got[2].n_hit, got[2].n_near_items) == (0, 0)
 
 
+def test_proximity_matches_against_brute_force(spark, make_docs, tables):
+    from wardlake.llm import registered
+
+    phrase = [f"term{i}" for i in range(12)]
+    rng = np.random.default_rng(4)
+    texts = [" ".join(phrase[:4] + ["gap"] * g + phrase[4:8] + ["gap"] * h + phrase[8:]) for g in range(0, 13) for h in (0, 3, 6)]
+    texts += [" ".join(["pad"] * p + [phrase[0], *["gap"] * 5, *phrase[1:]]) for p in range(9)]
+    texts += [" ".join(rng.choice([*phrase, "gap", "pad"], 40)) for _ in range(30)]
+    items = {"i": phrase, "j": phrase[:6][::-1] + ["x"] * 3}
+    docs, bench = make_docs(texts), spark.createDataFrame([(k, " ".join(v)) for k, v in items.items()], BENCH)
+    ranks = decontaminate._ranks(docs)
+    terms = {r.item_id: r for r in decontaminate._items(bench, ranks).collect()}
+    want = {}
+    for i, text in enumerate(texts):
+        found = []
+        for k, words in items.items():
+            leads = terms[k].leads
+            at = [(p - q, q) for q in leads for p, w in enumerate(text.split()) if w == words[q]]
+            best = max((len({q for s, q in at if low <= s <= low + decontaminate.SLACK}) for low, _ in at), default=0)
+            found += [k] if best >= decontaminate.LEADS and 2 * best >= len(leads) else []
+        want[i] = (len(found), ",".join(found))
+    folder = tables(documents=docs, benchmark=bench)
+    rows = registered.QUERIES["op10_decontaminate_near"](spark, folder).collect()
+    assert {r.doc_id: (r.n_near_items, r.near_items) for r in rows} == want
+    assert 5 < sum(v[0] > 0 for v in want.values()) < len(want)
+
+
 def test_contaminated_documents_go(spark, make_docs, tables):
     phrase = " ".join(f"term{i}" for i in range(12))
     folder = tables(benchmark=spark.createDataFrame([("i", phrase)], BENCH))

@@ -6,7 +6,8 @@ those terms. A posting at p of the term at item position q speaks for the alignm
 item, so lists are intersected by counting the item positions that speak for one alignment. An
 alignment with as many as a window has leads is read word by word in the document's full
 list, which is stored for such documents alone. Proximity matches are alignments that
-agree only within SLACK words.
+agree only within SLACK words: bands of 2 * SLACK shifts at steps of SLACK hold every range of SLACK + 1 shifts
+whole, and the ranges are counted exactly inside a band.
 """
 
 from __future__ import annotations
@@ -123,7 +124,7 @@ def find(docs: DataFrame, bench: DataFrame) -> tuple[DataFrame, DataFrame, DataF
 
     A phrase match (key, item_id, shift, width, starts) says which windows of the item, by start, occur
     in the document at shift + start. A proximity match (key, item_id) has at least half of the item's
-    leads, and LEADS of them, within SLACK words of one alignment. Null texts have no words; rows
+    leads, and LEADS of them, at shifts that differ by SLACK words at most. Null texts have no words; rows
     with equal ids are separate; a null item_id matches but names no item.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text").alias("tag"))
@@ -146,33 +147,47 @@ def find(docs: DataFrame, bench: DataFrame) -> tuple[DataFrame, DataFrame, DataF
         lambda a: (F.col("shift") + a >= 0) & (F.col("shift") + a + F.col("width") <= F.size("all_terms"))
         & (F.slice("all_terms", F.greatest(F.col("shift") + a, F.lit(0)) + 1, F.col("width")) == F.slice("terms", a + 1, F.col("width")))))
     phrases = work.save(read.where(F.size("starts") > 0).select("key", "item_id", "shift", "width", "starts"), "phrases")
-    bands = aligned.select("key", "item", "n_leads", "agree", F.explode(F.array(
-        F.floor(F.col("shift") / SLACK) * 2, F.floor((F.col("shift") + SLACK // 2) / SLACK) * 2 + 1)).alias("band"))
-    near = (bands.groupBy("key", "item", "band").agg(F.sum("agree").alias("agree"), F.first("n_leads").alias("n_leads"))
-            .where((F.col("agree") >= LEADS) & (F.col("agree") * 2 >= F.col("n_leads"))))
+    step = F.floor(F.col("shift") / SLACK).cast("int")
+    bands = (spoken.select("key", "item", "n_leads", "q", "shift", F.explode(F.array(step, step - 1)).alias("band"))
+             .groupBy("key", "item", "band").agg(F.collect_set(F.struct("shift", "q")).alias("at"), F.first("n_leads").alias("n_leads")))
+    need = F.greatest(F.lit(LEADS), F.ceil(F.col("n_leads") / 2))
+    near = bands.where((F.size("at") >= need) & F.exists("at", lambda x: F.size(F.array_distinct(F.transform(
+        F.filter("at", lambda y: y["shift"].between(x["shift"], x["shift"] + SLACK)), lambda y: y["q"]))) >= need))
     near = near.join(items.select("item", "item_id"), "item").select("key", "item_id").distinct()
     return postings.select("key", "doc_id", "tag", "n_words"), phrases, near
 
 
-def report(docs: DataFrame, bench: DataFrame) -> DataFrame:
-    """Hit words and items of every document row; see :func:`find` for nulls and repeated rows."""
+def report(docs: DataFrame, bench: DataFrame, proximity: bool = True) -> DataFrame:
+    """Hit words and items of every document row; see :func:`find` for nulls and repeated rows.
+
+    Without ``proximity`` the columns of proximity matches are left out and not computed.
+    """
     every, phrases, near = find(docs, bench)
     width = F.col("width")
     spans = F.array_distinct(F.flatten(F.transform("starts", lambda a: F.sequence(F.col("shift") + a, F.col("shift") + a + width - 1))))
     words = phrases.select("key", F.explode(spans).alias("word")).distinct().groupBy("key").agg(F.count("word").alias("n_hit"))
     items = (phrases.select("key", "item_id").distinct().groupBy("key")
              .agg(F.sort_array(F.collect_set("item_id")).alias("ids")))
-    close = near.groupBy("key").agg(F.count("item_id").alias("n_near_items"))
-    out = every.join(words, "key", "left").join(items, "key", "left").join(close, "key", "left")
-    ids = F.coalesce("ids", F.array().cast("array<string>"))
-    return out.select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
-        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
-        F.coalesce("n_near_items", F.lit(0)).alias("n_near_items"))
+    out = every.join(words, "key", "left").join(items, "key", "left")
+    none = F.array().cast("array<string>")
+    ids = F.coalesce("ids", none)
+    columns = [
+        F.col("doc_id"), F.col("n_words"), F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
+        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated")]
+    if not proximity:
+        return out.select(*columns)
+    close = near.groupBy("key").agg(F.count("item_id").alias("n_near_items"), F.sort_array(F.collect_set("item_id")).alias("near_ids"))
+    return out.join(close, "key", "left").select(
+        *columns, F.coalesce("n_near_items", F.lit(0)).alias("n_near_items"), F.array_join(F.coalesce("near_ids", none), ",").alias("near_items"))
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report(work.table(spark, sf_dir, "documents"), work.table(spark, sf_dir, "benchmark")).drop("n_near_items")
+    return report(work.table(spark, sf_dir, "documents"), work.table(spark, sf_dir, "benchmark"), proximity=False)
+
+
+def run_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of :func:`run` with the proximity matches, which its SQL twin has no columns for."""
+    return report(work.table(spark, sf_dir, "documents"), work.table(spark, sf_dir, "benchmark"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ QUERIES = {
     "op8_ngram_join": ngram_join.run,
     "op9_fingerprint": fingerprint.run,
     "op10_decontaminate": decontaminate.run,
+    "op10_decontaminate_near": decontaminate.run_near,
 }
 SQL: dict[str, str] = {
     "op6_pii": pii.SQL,
