@@ -20,10 +20,20 @@ _PIECE = "piece int, part binary"
 
 def save(df: DataFrame, label: str) -> DataFrame:
     """``df`` written below ``spark.checkpoint.dir`` and read again: cuts lineage, survives executors."""
-    spark = df.sparkSession
-    path = session.shared_dir(spark, f"llm-{label}")
+    return save_at(df, label)[0]
+
+
+def save_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``save``, and the folder, for tables that ``delete`` removes once they have been followed by the next."""
+    path = session.shared_dir(df.sparkSession, f"llm-{label}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a working folder that ``save_at`` made; no plan that reads it may still be run."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def fresh(df: DataFrame, name: str) -> str:
