@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, LongType, StringType, StructField, StructType
 
 from compare import difference, duck
-from wardlake.llm import shallot
+from wardlake.llm import shallot, vector_join
 
 VECTORS = StructType([StructField("vec_id", LongType()), StructField("embedding", ArrayType(DoubleType())),
                       StructField("label", IntegerType()), StructField("ids", StringType()), StructField("cluster", StringType())])
@@ -99,3 +99,95 @@ def test_floats_are_read_as_doubles(spark):
     kind = StructType([StructField("vec_id", LongType()), StructField("embedding", ArrayType(FloatType())), *VECTORS.fields[2:]])
     rows = [(i, [float(np.float32(i / 7)), float(np.float32(0.1))]) for i in range(30)]
     assert got(shallot.cluster(frame(spark, rows, kind), clusters=3, dims=2)) == plain_clusters(rows, 3, 10, 2)
+
+
+def plain_links(rows, least=0.9):
+    """Every pair of rows; ids, not rows, are the nodes of components."""
+    def good(v):
+        return v and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+    def direction(v):
+        v = np.array(v) / max(map(abs, v))
+        return v / math.sqrt(v @ v)
+
+    units = [direction(v) if i is not None and good(v) else None for i, v in rows]
+    near = {k: [] for k in range(len(rows))}
+    root = {i: i for i, _ in rows if i is not None}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for x in range(len(rows)):
+        for y in range(x):
+            if units[x] is not None and units[y] is not None and len(units[x]) == len(units[y]) and units[x] @ units[y] >= least:
+                near[x].append(y)
+                near[y].append(x)
+                a, b = find(rows[x][0]), find(rows[y][0])
+                root[max(a, b)] = min(a, b)
+    return sorted((str(i), len(near[k]), None if i is None else find(i), i is None or find(i) == i) for k, (i, _) in enumerate(rows))
+
+
+def many_vectors(dims=24, n=500):
+    rng = np.random.default_rng(11)
+    scale = np.linspace(2, 0.1, dims)
+    rows = [rng.normal(size=dims) * scale for _ in range(n)]
+    hot = rng.normal(size=dims) * scale
+    rows += [hot + rng.normal(size=dims) * s for s in np.linspace(0.05, 0.6, 150)]
+    rows += [rows[3]] * 40 + [rows[5] * 7.5] * 3 + [-rows[5]]
+    for k in range(60):  # chains: each a step from the one before
+        rows.append(rows[-1] + rng.normal(size=dims) * 0.25)
+    return [(i * 3 % 2003, v.tolist()) for i, v in enumerate(rows)]
+
+
+@pytest.mark.parametrize("dims,block,tile", [(24, 1 << 16, 1024), (24, 60, 32), (3, 60, 32), (1, 40, 16)])
+def test_near_vectors_equal_plain_ones(spark, monkeypatch, dims, block, tile):
+    monkeypatch.setattr(vector_join, "BLOCK", block)
+    monkeypatch.setattr(vector_join, "TILE", tile)
+    rows = many_vectors(dims, 300)
+    rows += [(3000 + i, None if i == 0 else v) for i, v in enumerate([
+        None, [], [0.0] * dims, [math.nan] * dims, [None] + [1.0] * (dims - 1), [math.inf] * dims, [1e300] * dims, [1e-300] * dims])]
+    rows += [(None, rows[0][1]), (None, None), (9000, [0.5] * (dims + 1)), (9001, [0.4] * (dims + 1))]
+    rows += [(9100 + k, [float(k % 2 + 1)] * (dims + 2 + k // 2)) for k in range(14)]  # more lengths than have axes
+    out = vector_join.join(frame(spark, rows))
+    assert out.columns == ["vec_id", "n_links", "component_id", "kept"]
+    assert sorted((str(r.vec_id), r.n_links, r.component_id, r.kept) for r in out.collect()) == plain_links(rows)
+
+
+def test_near_vectors_that_share_an_id(spark):
+    rows = [(7, [1.0, 0.0]), (9, [1.0, 0.0]), (9, [0.0, 1.0]), (11, [0.0, 2.0]), (12, [0.0, 1.0]), (12, None), (13, None), (13, None)]
+    out = {(r.vec_id, r.n_links, r.component_id) for r in vector_join.join(frame(spark, rows)).collect()}
+    assert out == {(7, 1, 7), (9, 1, 7), (9, 2, 7), (11, 2, 7), (12, 2, 7), (12, 0, 7), (13, 0, 13)}
+    assert vector_join.join(frame(spark, [])).count() == 0
+
+
+def test_leading_dimensions_leave_few_pairs():
+    """On axes of falling variance most pairs end after the first step, and none that is linked is lost."""
+    rng = np.random.default_rng(2)
+    rows = vector_join.unit(rng.normal(size=(600, 64)) * np.exp(-np.arange(64) / 8))
+    rows = np.concatenate((rows, vector_join.unit(rows[:50] + rng.normal(size=(50, 64)) * 0.01)))
+    i, j, sums = vector_join.near_pairs(rows, rows, 0.9)
+    full = rows @ rows.T
+    assert set(zip(*np.nonzero(full >= 0.9))) <= set(zip(i.tolist(), j.tolist()))
+    assert np.abs(full[i, j] - sums).max() < 1e-4 and len(i) < 2 * (full >= 0.9).sum()
+
+
+def test_blocks_leave_out_far_vectors():
+    counts = np.zeros(4096)
+    counts[[100, 4000]] = 500, 300
+    blocks = vector_join.Blocks(counts, 0.9)
+    assert [b for b, _ in blocks.guests(0, np.array([-0.95]))] == list(range(5))
+    assert blocks.first.tolist()[-1] == 8 and blocks.home(np.array([0.954]), np.array([5], np.uint64))[0] >= 5
+
+
+def test_near_vectors_equal_sql(spark):
+    out = difference(vector_join.run(spark, SF), duck(SF), vector_join.SQL)
+    assert out is None, out
+
+
+def test_near_floats(spark):
+    kind = StructType([StructField("vec_id", LongType()), StructField("embedding", ArrayType(FloatType())), *VECTORS.fields[2:]])
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in many_vectors(8, 50)]
+    out = vector_join.join(frame(spark, rows, kind))
+    assert sorted((str(r.vec_id), r.n_links, r.component_id, r.kept) for r in out.collect()) == plain_links(rows)

@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from wardlake.llm import decontaminate, fingerprint, hmm, html, line_dedup, ngram_join, pieces, pii, quality, shallot, toxicity
+from wardlake.llm import (
+    decontaminate,
+    fingerprint,
+    hmm,
+    html,
+    line_dedup,
+    ngram_join,
+    pieces,
+    pii,
+    quality,
+    shallot,
+    toxicity,
+    vector_join,
+)
 
 QUERIES = {
     "op1_hmm": hmm.run,
@@ -16,10 +29,12 @@ QUERIES = {
     "op9_fingerprint": fingerprint.run,
     "op10_decontaminate": decontaminate.run,
     "op10_decontaminate_near": decontaminate.run_near,
+    "op11_vector_join": vector_join.run,
     "op12_shallot": shallot.run,
 }
 SQL: dict[str, str] = {
     "op6_pii": pii.SQL,
     "op10_decontaminate": decontaminate.SQL,
+    "op11_vector_join": vector_join.SQL,
     "op12_shallot": shallot.SQL,
 }
