@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from wardlake.llm import (
+    collocation,
     decontaminate,
     fingerprint,
     hmm,
@@ -31,10 +32,12 @@ QUERIES = {
     "op10_decontaminate_near": decontaminate.run_near,
     "op11_vector_join": vector_join.run,
     "op12_shallot": shallot.run,
+    "op13_collocation": collocation.run,
 }
 SQL: dict[str, str] = {
     "op6_pii": pii.SQL,
     "op10_decontaminate": decontaminate.SQL,
     "op11_vector_join": vector_join.SQL,
     "op12_shallot": shallot.SQL,
+    "op13_collocation": collocation.SQL,
 }
