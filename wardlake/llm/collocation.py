@@ -3,7 +3,8 @@
 A phrase of m words is a pair: a frequent phrase of m - 1 words and the word behind it. Both sides are ranked by
 frequency. A task splits the pairs of the HEAD most frequent on either side into tiles of SIDE x SIDE ranks; a tile
 with many pairs is counted as a dense array with bincount, a sparse one and all pairs of rarer members as sorted
-coordinates with run lengths. Only the sums leave a task, and Spark adds them up by phrase. Pairs that prove
+coordinates with run lengths. The sums leave a task packed by shards of phrase names; Spark deals the shards and
+sorted runs of one shard are merged. Pairs that prove
 frequent are ranked anew and become the left side of the next round, so triples and quadruples
 are pairs as well. A phrase can only be frequent if its parts are; a fixed-size bitmap of the frequent parts keeps others
 out of the count.
@@ -33,6 +34,8 @@ LEAST, LONGEST, BEST, SCALE = 30, 4, 2000, 2_000_000
 COVER, OF = 80, 100
 #: Ranks with dense tiles, ranks on a tile's side, pairs that make a tile dense, pairs that are counted at once, and phrases held before they are passed on.
 HEAD, SIDE, DENSE, FLUSH, HELD = 2048, 256, 1 << 12, 1 << 20, 1 << 20
+#: Words of the corpus per shard, and the fewest and most shards.
+SHARE, FEWEST, MOST = 1 << 20, 16, 1 << 17
 _R = np.uint64(0x9E3779B97F4A7C15 | 1)
 _ALL = np.arange(256)
 #: White space inside a piece and the bytes that end one.
@@ -132,8 +135,8 @@ class Head:
 class Counter:
     """Counts of pairs in one task: dense tiles, and sorted coordinates for the rest."""
 
-    def __init__(self, left: Head, right: Head, size: int) -> None:
-        self.left, self.right, self.size = left, right, size
+    def __init__(self, left: Head, right: Head, size: int, shards: int) -> None:
+        self.left, self.right, self.size, self.shards = left, right, size, shards
         self.tiles: dict[int, np.ndarray] = {}
         self.names, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.words = np.zeros((0, size), np.uint64)
@@ -165,17 +168,9 @@ class Counter:
             held = self.tiles.get(number)
             counted = np.bincount(part, minlength=SIDE * SIDE)
             self.tiles[number] = counted if held is None else held + counted
-        self._merge(joined(left[~dense], right[~dense]), np.ones(int((~dense).sum()), np.int64), words[~dense])
-
-    def _merge(self, names: np.ndarray, counts: np.ndarray, words: np.ndarray) -> None:
-        """Add coordinates: sorted by name, runs added up, each with the words of its first."""
-        names, counts = np.concatenate((self.names, names)), np.concatenate((self.counts, counts))
-        words = np.concatenate((self.words, words))
-        order = np.argsort(names, kind="stable")
-        names = names[order]
-        first = np.flatnonzero(np.append(True, names[1:] != names[:-1])) if len(names) else np.zeros(0, np.int64)
-        self.names, self.words = names[first], words[order[first]]
-        self.counts = np.add.reduceat(counts[order], first) if len(first) else counts
+        self.names, self.words, self.counts = merged(
+            np.concatenate((self.names, joined(left[~dense], right[~dense]))), np.concatenate((self.words, words[~dense])),
+            np.concatenate((self.counts, np.ones(int((~dense).sum()), np.int64))))
 
     def rows(self, last: bool) -> Iterator[pa.RecordBatch]:
         """What is held, if it is much or the ``last``."""
@@ -185,24 +180,38 @@ class Counter:
             for number, counted in self.tiles.items():
                 cell = np.flatnonzero(counted)
                 row, column = number // across * SIDE + cell // SIDE, number % across * SIDE + cell % SIDE
-                yield self._batch(np.concatenate((self.left.words[row], self.right.words[column]), axis=1), counted[cell])
+                words = np.concatenate((self.left.words[row], self.right.words[column]), axis=1)
+                yield self._batch(_name(list(words.T)), words, counted[cell])
         if last or len(self.names) >= HELD:
             if len(self.names):
-                yield self._batch(self.words, self.counts)
+                yield self._batch(self.names, self.words, self.counts)
             self.names, self.counts, self.words = self.names[:0], self.counts[:0], self.words[:0]
 
-    def _batch(self, words: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        columns = [pa.array(np.ascontiguousarray(words[:, k]).view(np.int64)) for k in range(self.size)]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], [*(f"w{k + 1}" for k in range(self.size)), "f"])
+    def _batch(self, names: np.ndarray, words: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        """One row per shard, its phrases in order of their words."""
+        shard = (names % np.uint64(self.shards)).astype(np.int32)
+        order = np.lexsort((*words.T[::-1], shard))
+        found, first = np.unique(shard[order], return_index=True)
+        cuts = np.append(first, len(order)).tolist()
+        parts = [words[order[i:j]].tobytes() + counts[order[i:j]].astype("<i8").tobytes() for i, j in zip(cuts, cuts[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(parts, pa.binary())], ["shard", "part"])
 
 
-def _frequent(docs: DataFrame, size: int, left: Head, right: Head, bitmaps: list[np.ndarray], least: int) -> DataFrame:
+def merged(names: np.ndarray, words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Coordinates sorted by name, the counts of runs added up, each with the words of its first."""
+    order = np.argsort(names, kind="stable")
+    names = names[order]
+    first = np.flatnonzero(np.append(True, names[1:] != names[:-1])) if len(names) else np.zeros(0, np.int64)
+    return names[first], words[order[first]], np.add.reduceat(counts[order], first) if len(first) else counts
+
+
+def _frequent(docs: DataFrame, size: int, left: Head, right: Head, bitmaps: list[np.ndarray], least: int, shards: int) -> DataFrame:
     """``name``, ``words`` (names) and count ``f`` of all phrases of ``size`` words that occur ``least`` times or more."""
     shared = docs.sparkSession.sparkContext.broadcast((left, right, bitmaps))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right, bitmaps = shared.value
-        counter = Counter(left, right, size)
+        counter = Counter(left, right, size, shards)
         for batch in batches:
             for _, word, _, begins, _ in tokens(batch):
                 name, good = word, work.marked(bitmaps[0], word)
@@ -222,16 +231,27 @@ def _frequent(docs: DataFrame, size: int, left: Head, right: Head, bitmaps: list
             yield from counter.rows(False)
         yield from counter.rows(True)
 
-    columns = [f"w{k + 1}" for k in range(size)]
-    counted = docs.mapInArrow(count, ", ".join(f"{c} long" for c in [*columns, "f"]))
-    frequent = counted.groupBy(*columns).agg(F.sum("f").alias("f")).where(F.col("f") >= least)
-
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = [batch.column(k).to_numpy().view(np.uint64) for k in range(size)]
-            yield pa.RecordBatch.from_arrays([pa.array(_name(words).view(np.int64)), _lists(words), batch.column(size)], ["name", "words", "f"])
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in work.groups(batches, "shard"):
+            held, waiting, n = None, [], 0
+            for part in (*group.column("part").to_pylist(), None):
+                if part is not None:
+                    count = len(part) // (8 * size + 8)
+                    waiting.append((np.frombuffer(part, np.uint64, count * size).reshape(-1, size), np.frombuffer(part, "<i8", count, 8 * size * count)))
+                    n += count
+                if waiting and (part is None or n >= HELD):
+                    words, counts = (np.concatenate(x) for x in zip(*waiting))
+                    names = _name([words[:, k].copy() for k in range(size)])
+                    held = merged(*((names, words, counts) if held is None else map(np.concatenate, zip(held, (names, words, counts)))))
+                    waiting, n = [], 0
+            names, words, counts = held
+            often = counts >= least
+            if often.any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names[often].view(np.int64)), _lists(list(words[often].T)), pa.array(counts[often])], ["name", "words", "f"])
 
-    return work.save(frequent.mapInArrow(name, "name long, words array<long>, f long"), f"phrases-{size}")
+    counted = docs.mapInArrow(count, "shard int, part binary").repartition("shard").sortWithinPartitions("shard")
+    return work.save(counted.mapInArrow(merge, "name long, words array<long>, f long"), f"phrases-{size}")
 
 
 def _name(words: list[np.ndarray]) -> np.ndarray:
@@ -287,10 +307,12 @@ def mine(docs: DataFrame, least: int = LEAST, best: int = BEST) -> DataFrame:
     vocabulary = _vocabulary(docs)
     totals = vocabulary.groupBy("lang").agg(F.sum("f").alias("n"))
     words = vocabulary.where(F.col("f") >= least).select("name", F.array("name").alias("words"), "f")
+    said = totals.agg(F.sum("n")).first()[0] or 0
+    shards = min(MOST, FEWEST + said // SHARE)
     right = left = Head(words, 1)
     levels, bitmaps = [words], [work.bitmap(words.select("name"))]
     for size in range(2, LONGEST + 1):
-        phrases = _frequent(docs, size, left, right, bitmaps, least)
+        phrases = _frequent(docs, size, left, right, bitmaps, least, shards)
         levels.append(phrases)
         if size < LONGEST:
             left = Head(phrases, size)
