@@ -33,7 +33,7 @@ LEAST, LONGEST, BEST, SCALE = 30, 4, 2000, 2_000_000
 #: A phrase goes if a longer one around it occurs COVER / OF times as often or more.
 COVER, OF = 80, 100
 #: Ranks with dense tiles, ranks on a tile's side, pairs that make a tile dense, pairs that are counted at once, and phrases held before they are passed on.
-HEAD, SIDE, DENSE, FLUSH, HELD = 2048, 256, 1 << 12, 1 << 20, 1 << 20
+HEAD, SIDE, DENSE, FLUSH, HELD = 2048, 256, 1 << 12, 1 << 19, 1 << 19
 #: Words of the corpus per shard, and the fewest and most shards.
 SHARE, FEWEST, MOST = 1 << 20, 16, 1 << 17
 _R = np.uint64(0x9E3779B97F4A7C15 | 1)
