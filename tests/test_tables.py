@@ -7,6 +7,7 @@ from wardlake.functions.keys import date_sk
 from wardlake.operators import audit
 from wardlake.sources import streams
 from wardlake.streaming import sinks, vitals
+from wardlake.streaming.upsert import UpsertTable
 
 
 def test_overwrite_from_itself_and_append_after_it(spark, store, tuples):
@@ -135,12 +136,115 @@ def test_unknown_facility_is_member_minus_one(spark):
     assert vitals.resolve(reading(spark, {}), hosp).collect()[0]["hospital_sk"] == -1
 
 
-def test_upsert_log_replay_and_order(spark, tmp_path, tuples):
-    log = str(tmp_path / "log")
-    write = sinks.upsert_log(log)
+def keyed(spark, *rows):
+    return spark.createDataFrame([(*r, 20200101 + i % 2) if len(r) == 2 else r for i, r in enumerate(rows)], "k string, v int, date_sk int")
+
+
+def test_upsert_replay_fold_and_new_checkpoint(spark, store, tmp_path, tuples):
+    table = UpsertTable(store, "t", ["k"], "date_sk", fold_every=3)
+    write = table.writer(table.epoch(f"{tmp_path}/c1"))
+    assert table.epoch(f"{tmp_path}/c1") == 1
     for batch, value in [(0, 1), (1, 2), (1, 2), (10, 3), (2, 9)]:
-        write(spark.createDataFrame([("k", value)], "k string, v int"), batch)
-    assert tuples(sinks.read_upserted(spark, log, ["k"])) == [("k", 3)]
+        write(keyed(spark, ("k", value, 20200101), (f"x{value}", value, 20200100 + value)), batch)
+    assert tuples(table.read(), "k", "v") == [("k", 3), ("x1", 1), ("x2", 2), ("x3", 3), ("x9", 9)]
+    assert table.epoch(f"{tmp_path}/c2") == 2                  # a new checkpoint counts from 0 but is newer
+    table.writer(2)(keyed(spark, ("k", 7, 20200101)), 0)
+    assert tuples(table.read().where("k = 'k'"), "k", "v") == [("k", 7)]
+    assert table.fold() == ["date_sk=20200101", "date_sk=20200109"] and table._folders() == []
+    assert tuples(table.read(), "k", "v") == [("k", 7), ("x1", 1), ("x2", 2), ("x3", 3), ("x9", 9)]
+    write(keyed(spark, ("k", 8, 20200101)), 11)                # a late writer of the old checkpoint stays older
+    assert tuples(table.read().where("k = 'k'"), "k", "v") == [("k", 7)]
+
+
+def test_folders_follow_the_data_not_the_triggers(spark, store, tmp_path):
+    table = UpsertTable(store, "t", ["k"], "date_sk", fold_every=4)
+    write = table.writer(table.epoch(f"{tmp_path}/c"))
+    for batch in range(13):
+        write(keyed(spark, (f"k{batch % 3}", batch, 20200101 + batch % 3 % 2)), batch)
+        assert len(table._folders()) < 4
+    table.fold()
+    assert len(store._children(table.base)) == 2 and table.read().count() == 3
+    before = store.files(f"{table.base}/date_sk=20200101")
+    write(keyed(spark, ("n", 1, 20200102), ("m", 1, None)), 13)
+    table.fold()
+    assert store.files(f"{table.base}/date_sk=20200101") == before   # an untouched day keeps its files
+    assert table.read().where("date_sk is null").count() == 1
+
+
+def test_a_fold_cut_short_shows_each_key_once(spark, store, tmp_path, monkeypatch, tuples):
+    table = UpsertTable(store, "t", ["k"], "date_sk", fold_every=99)
+    write = table.writer(table.epoch(f"{tmp_path}/c"))
+    write(keyed(spark, ("a", 1, 20200101), ("b", 1, 20200102)), 0)
+    table.fold()
+    write(keyed(spark, ("a", 2, 20200101), ("b", 2, 20200102)), 1)
+    real = type(store).drop
+
+    def crash(self, path):
+        raise OSError("lost")
+    monkeypatch.setattr(type(store), "drop", crash)
+    with pytest.raises(OSError):
+        table.fold()                                           # new files are in, the old ones too
+    monkeypatch.setattr(type(store), "drop", real)
+    assert tuples(table.read(), "k", "v") == [("a", 2), ("b", 2)]
+    table.fold()
+    assert tuples(table.read(), "k", "v") == [("a", 2), ("b", 2)] and table._folders() == []
+
+
+def test_upsert_of_a_stream_with_a_bed_change_and_a_reset(spark, store, tmp_path, tuples):
+    feed = str(tmp_path / "in")
+    table = UpsertTable(store, "minutes", vitals.MINUTE_KEYS, "date_sk", fold_every=2)
+    rows = reading(spark, {}, {"bed_number": "b2"}, {"event_ts": datetime(2020, 1, 2, 0, 0, 7)})
+
+    def run(checkpoint):
+        stream = vitals.flag_anomalies(spark.readStream.schema(rows.schema).parquet(feed))
+        sinks.await_all(spark, [sinks.write_upsert(vitals.minute_aggregate(stream, "3 days"), table, f"{tmp_path}/{checkpoint}", None, 2)])
+        return tuples(table.read(), "bed_number", "minute_start_utc", "sample_count")
+
+    first, second = (datetime(2020, 1, 1), 1), (datetime(2020, 1, 2), 1)
+    rows.coalesce(1).write.parquet(feed)
+    assert run("a") == [("b1", *first), ("b1", *second), ("b2", *first)]
+    reading(spark, {"event_ts": datetime(2020, 1, 1, 0, 0, 9)}).coalesce(1).write.mode("append").parquet(feed)
+    want = [("b1", *second), ("b1", datetime(2020, 1, 1), 2), ("b2", *first)]
+    assert sorted(run("a"), key=str) == sorted(want, key=str)
+    assert sorted(run("b"), key=str) == sorted(want, key=str)
+
+
+def test_a_crash_between_two_moves_is_settled(spark, store, monkeypatch, tuples):
+    store.overwrite(spark.range(3), "t")
+    store.replace_range(days(spark, (20200101, 1), (20200102, 2)), "p", "date_sk", 20200101, 20200131)
+    real, calls = type(store)._move, []
+
+    def fail(self, source, target):
+        calls.append(target)
+        if len(calls) > 1:
+            raise KeyboardInterrupt                            # as if the driver had died after the first move
+        real(self, source, target)
+    for change in (lambda: store.overwrite(spark.range(9), "t"),
+                   lambda: store.replace_range(days(spark, (20200102, 9)), "p", "date_sk", 20200102, 20200102)):
+        calls.clear()
+        monkeypatch.setattr(type(store), "_move", fail)
+        with pytest.raises(KeyboardInterrupt):
+            change()
+        monkeypatch.setattr(type(store), "_move", real)
+    store.settle("t")
+    store.settle("p")
+    assert store.read("t").count() == 3 and tuples(store.read("p"), "v") == [(1,), (2,)]
+    assert store.replace_partitions(days(spark, (20200102, 5), (20200105, 6)), "p", "date_sk") == ["date_sk=20200102", "date_sk=20200105"]
+    assert tuples(store.read("p"), "v") == [(1,), (5,), (6,)]
+
+
+def test_a_failed_move_puts_the_old_rows_back(spark, store, monkeypatch):
+    store.overwrite(spark.range(3), "t")
+    real = type(store)._move
+
+    def fail(self, source, target):
+        if "_staging" in source:
+            raise OSError("store is down")
+        real(self, source, target)
+    monkeypatch.setattr(type(store), "_move", fail)
+    with pytest.raises(OSError):
+        store.overwrite(spark.range(9), "t")
+    assert store.read("t").count() == 3
 
 
 def test_stream_equals_batch_and_drops_late(spark, tmp_path, tuples):

@@ -14,6 +14,7 @@ from wardlake.contract.registry import query
 from wardlake.contract.sources import store
 from wardlake.session import shared_dir
 from wardlake.streaming import sinks, vitals
+from wardlake.streaming.upsert import UpsertTable
 
 MINUTE_COLS = ("minute_start_utc:s device_id:s patient_id:s hospital_code:s bed_number:s "
                "sample_count:i heart_rate_avg:d heart_rate_max:d heart_rate_min:d spo2_avg:d "
@@ -68,31 +69,32 @@ def minute_append(b: Bindings):
     return b.spark.read.parquet(f"{root}/vitals_minute")
 
 
-UPSERT_KEYS = vitals.MINUTE_KEYS
+def minute_table(b: Bindings, fold_every: int = 16) -> UpsertTable:
+    return UpsertTable(store(b), "fact_minutes", vitals.MINUTE_KEYS, "date_sk", fold_every)
 
 
 @query("str_05_minute_upsert", MINUTE_COLS, "SELECT * FROM minute_all")
 def minute_upsert(b: Bindings):
-    """Update mode: open minutes are written too and replaced as they grow."""
-    root = shared_dir(b.spark, "upsert")
+    """Update mode: open minutes are written too and replaced as they grow; then all again on a new checkpoint."""
+    root, table = shared_dir(b.spark, "upsert"), minute_table(b)
     minutes = vitals.minute_aggregate(typed(b), "2 minutes")
-    sinks.await_all(b.spark, [sinks.write_upsert(minutes, f"{root}/log", f"{root}/ckpt", None, cores(b))])
-    return sinks.read_upserted(b.spark, f"{root}/log", UPSERT_KEYS)
+    for run in ("first", "reset"):
+        sinks.await_all(b.spark, [sinks.write_upsert(minutes, table, f"{root}/{run}", None, cores(b))])
+        table.fold()
+    return table.read()
 
 
 @query("snk_06_keyed_upsert", "device_id:s bed_number:s sample_count:i minute_start_utc:s", """
     SELECT device_id, bed_number, 7 * sample_count AS sample_count, minute_start_utc FROM minute_all""")
 def keyed_upsert(b: Bindings):
-    """Two batches of the same minutes, the second replayed: the newest batch wins."""
-    root, lake = shared_dir(b.spark, "upsert"), store(b)
+    """Batches of one checkpoint, folded in as the log grows, a replay, and a new checkpoint that counts from 0 again."""
+    root, table = shared_dir(b.spark, "upsert"), minute_table(b, fold_every=2)
     minutes = vitals.minute_aggregate(vitals.flag_anomalies(b.as_vitals(b.events())))
-    write = sinks.upsert_log(f"{root}/log")
-    newer = minutes.withColumn("sample_count", F.col("sample_count") * 7)
-    write(minutes, 0)
-    write(newer, 1)
-    write(newer, 1)
-    sinks.compact(b.spark, f"{root}/log", UPSERT_KEYS, lake, "fact_minutes", ["date_sk"])
-    return lake.read("fact_minutes")
+    for run, batches in (("first", [(0, 1), (1, 2), (2, 3), (2, 3)]), ("reset", [(0, 7)])):
+        write = table.writer(table.epoch(f"{root}/{run}"))
+        for batch, times in batches:
+            write(minutes.withColumn("sample_count", F.col("sample_count") * times), batch)
+    return table.read()
 
 
 @query("str_06_six_minute_buckets", "minutes:i samples:i anomalies:i", """
@@ -100,10 +102,10 @@ def keyed_upsert(b: Bindings):
     FROM minute_all""")
 def six_minute_buckets(b: Bindings):
     """State kept for six minutes behind the newest event, flushed as it changes."""
-    root = shared_dir(b.spark, "buckets")
+    root, table = shared_dir(b.spark, "buckets"), minute_table(b)
     minutes = vitals.minute_aggregate(typed(b), "6 minutes")
-    sinks.await_all(b.spark, [sinks.write_upsert(minutes, f"{root}/log", f"{root}/ckpt", None, cores(b))])
-    return sinks.read_upserted(b.spark, f"{root}/log", UPSERT_KEYS).agg(
+    sinks.await_all(b.spark, [sinks.write_upsert(minutes, table, f"{root}/ckpt", None, cores(b))])
+    return table.read().agg(
         F.count(F.lit(1)).alias("minutes"), F.sum("sample_count").alias("samples"),
         F.sum("anomaly_event_count").alias("anomalies"))
 

@@ -2,8 +2,10 @@
 
 A table is one folder, partitioned or not, whatever wrote it: rows can be appended, whole
 partitions replaced, or all of it. Replacing writes the new files aside first and moves them in when
-that write has succeeded, so a failed job leaves the table as it was. The move is a rename of
-folders: it is not atomic on every store, and one writer per table at a time is assumed. History,
+that write has succeeded, so a failed job leaves the table as it was. What is replaced stands below
+``_old`` until the new folder is in its place and comes back if that fails; after a crash in between, the
+next write to the table (or ``settle``) puts it back. The move is a rename of folders: readers can see
+a table between two partitions' moves, and one writer per table at a time is assumed. History,
 concurrent writers and time travel are left to a table format (``fmt``).
 """
 
@@ -20,6 +22,8 @@ from wardlake.functions import dates
 
 #: Folder name of the NULL partition.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+#: Folder below ``_old`` that holds a whole table.
+WHOLE = "__table__"
 
 
 class TableStore:
@@ -50,19 +54,57 @@ class TableStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def exists(self, name: str) -> bool:
-        fs, p = self._fs(self.path(name))
+    def _there(self, path: str) -> bool:
+        fs, p = self._fs(path)
         return bool(fs.exists(p))
 
+    def exists(self, name: str) -> bool:
+        return self._there(self.path(name))
+
+    def files(self, path: str) -> list[str]:
+        """Paths of the files right below a folder."""
+        fs, p = self._fs(path)
+        return [s.getPath().toString() for s in fs.listStatus(p) if s.isFile()] if fs.exists(p) else []
+
+    def make(self, path: str) -> None:
+        fs, p = self._fs(path)
+        fs.mkdirs(p)
+
     def _move(self, source: str, target: str) -> None:
         fs, p = self._fs(target)
         fs.mkdirs(p.getParent())
         if not fs.rename(self._fs(source)[1], p):
             raise OSError(f"{source} could not be moved to {target}")
 
+    def _old(self, name: str, child: str = "") -> str:
+        return f"{self.root}/_old/{name}/{child or WHOLE}"
+
+    def _swap(self, new: str, name: str, child: str = "") -> None:
+        """Put the folder ``new`` where the table or one partition stands, which comes back if the move fails."""
+        target, old = f"{self.path(name)}/{child}" if child else self.path(name), self._old(name, child)
+        had = self._there(target)
+        if had:
+            self._move(target, old)
+        try:
+            self._move(new, target)
+        except Exception:
+            if had:
+                self._move(old, target)
+            raise
+        if had:
+            self.drop(old)
+
+    def settle(self, name: str) -> None:
+        """Finish what a crash left between two moves: the old folder goes back, unless the new one is in its place."""
+        for child, full in self._children(f"{self.root}/_old/{name}"):
+            target = self.path(name) if child == WHOLE else f"{self.path(name)}/{child}"
+            if self._there(target):
+                self.drop(full)
+            elif child == WHOLE or "=" in child:
+                self._move(full, target)
+
     def _finished(self, path: str) -> bool:
-        fs, p = self._fs(f"{path}/_SUCCESS")
-        return bool(fs.exists(p))
+        return self._there(f"{path}/_SUCCESS")
 
     # --- reads -----------------------------------------------------------------
 
@@ -81,6 +123,7 @@ class TableStore:
         return df.hint("rebalance", *parts) if parts else df
 
     def append(self, df: DataFrame, name: str, parts: list[str] | None = None) -> None:
+        self.settle(name)
         self._balanced(df, parts).write.format(self.fmt).mode("append").partitionBy(*(parts or [])).save(self.path(name))
 
     def _aside(self, df: DataFrame, parts: list[str] | None) -> str:
@@ -90,11 +133,9 @@ class TableStore:
 
     def overwrite(self, df: DataFrame, name: str, parts: list[str] | None = None) -> None:
         """Full replacement; the rows may come from the table itself. The old files are gone afterwards."""
-        new, old = self._aside(df, parts), f"{self.root}/_staging/{uuid.uuid4().hex}"
-        if self.exists(name):
-            self._move(self.path(name), old)
-        self._move(new, self.path(name))
-        self.drop(old)
+        new = self._aside(df, parts)
+        self.settle(name)
+        self._swap(new, name)
 
     def stage(self, df: DataFrame, parts: list[str] | None = None) -> tuple[DataFrame, str]:
         """Write rows aside once, to be read several times or to replace their own source."""
@@ -107,22 +148,35 @@ class TableStore:
         """Replace every row with ``lo <= part <= hi`` by ``df``; safe to repeat.
 
         The rows are written aside, and the folders of that write say what is new. Only then do
-        partitions in the range change; one that had rows and now has none goes.
-        Partitions outside the range, the NULL one too, are not touched.
+        partitions in the range change, each by a swap that never leaves it without rows; one that had rows
+        and now has none goes last. Partitions outside the range, the NULL one too, are not touched.
         """
         new = self._aside(df.where(F.col(part).between(lo, hi)), [part])
         if self.fmt in ("parquet", "orc", "json", "csv") and not self._finished(new):
             raise OSError(f"the rows for {name} were not written completely")
         prefix = f"{part}="
         fresh = {c: full for c, full in self._children(new) if c.startswith(prefix)}
+        self.settle(name)
+        for child, full in fresh.items():
+            self._swap(full, name, child)
         for child, full in self._children(self.path(name)):
             value = child[len(prefix):]
-            if child.startswith(prefix) and value != NULL_PARTITION and lo <= type(lo)(value) <= hi:
+            if child.startswith(prefix) and child not in fresh and value != NULL_PARTITION and lo <= type(lo)(value) <= hi:
                 self.drop(full)
-        for child, full in fresh.items():
-            self._move(full, f"{self.path(name)}/{child}")
         self.drop(new)
 
+    def replace_partitions(self, df: DataFrame, name: str, part: str) -> list[str]:
+        """Replace the partitions that ``df`` has rows for, each by a swap; the names of their folders."""
+        new = self._aside(df, [part])
+        if self.fmt in ("parquet", "orc", "json", "csv") and not self._finished(new):
+            raise OSError(f"the rows for {name} were not written completely")
+        self.settle(name)
+        fresh = [child for child, _ in self._children(new) if child.startswith(f"{part}=")]
+        for child in fresh:
+            self._swap(f"{new}/{child}", name, child)
+        self.drop(new)
+        return sorted(fresh)
+
     def replace_tail(self, source: DataFrame, name: str, ts: str, part: str, asof: datetime,
                      hours: int = 2) -> None:
         """Mirror the last ``hours`` of ``source`` into the table, older rows untouched.

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-BATCH = "_batch_id"
+from wardlake.streaming.upsert import UpsertTable
 
 
 def _trigger(seconds: int | None) -> dict:
@@ -65,36 +65,10 @@ def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
             query.stop()
 
 
-def upsert_log(target: str, fmt: str = "parquet"):
-    """``foreachBatch`` writer: one folder per micro-batch below ``target``.
-
-    Update mode emits the full new state of a minute, so the row of the highest batch
-    is the current one. A replayed batch overwrites its own folder, which makes the
-    sink idempotent. Nothing is collected and no older data is rewritten.
-    """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.format(fmt).mode("overwrite").save(f"{target}/{BATCH}={batch_id}")
-    return write
-
-
-def write_upsert(minutes: DataFrame, target: str, checkpoint: str,
+def write_upsert(rows: DataFrame, table: UpsertTable, checkpoint: str,
                  trigger_s: int | None = 15, partitions: int | None = None) -> StreamingQuery:
-    writer = minutes.writeStream.outputMode("update").foreachBatch(upsert_log(target)) \
+    """Update mode into a keyed table: the last state of each key stands, also after a new checkpoint."""
+    writer = rows.writeStream.outputMode("update").foreachBatch(table.writer(table.epoch(checkpoint))) \
         .option("checkpointLocation", checkpoint).trigger(**_trigger(trigger_s))
-    with state_partitions(minutes.sparkSession, partitions):
+    with state_partitions(rows.sparkSession, partitions):
         return writer.start()
-
-
-def read_upserted(spark: SparkSession, target: str, keys: list[str],
-                  fmt: str = "parquet") -> DataFrame:
-    """Current rows of an upsert log: the newest batch of each key wins."""
-    log = spark.read.format(fmt).load(target)
-    rest = [c for c in log.columns if c not in keys and c != BATCH]
-    newest = F.max_by(F.struct(*rest), F.col(BATCH).cast("bigint")).alias("r")
-    return log.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"r.{c}").alias(c) for c in rest])
-
-
-def compact(spark: SparkSession, target: str, keys: list[str], store, name: str,
-            parts: list[str] | None = None) -> None:
-    """Current rows of the log as a table for long-range readers."""
-    store.overwrite(read_upserted(spark, target, keys), name, parts)
