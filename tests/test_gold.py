@@ -1,4 +1,5 @@
-from datetime import date, datetime
+import random
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -67,6 +68,39 @@ def test_point_in_time_is_half_open(spark):
     assert got == {1: "X", 2: "X2", 3: None}
 
 
+def test_equal_loads_with_a_null_key_add_nothing(spark, tuples):
+    rows = [(None, "X", "1"), ("a", "Y", None)]
+    once = scd.first_load(load(spark, *rows), ["city", "tag"], T0)
+    twice = merge(spark, merge(spark, once, rows, T1), rows, T2)
+    assert tuples(twice) == tuples(once)
+    assert merge(spark, once, [(None, "Z", "1")], T1).where("bk is null").count() == 2
+    assert scd.changed(once, load(spark, *rows), ["bk"], ["city", "tag"], T1).count() == 0
+
+
+def test_point_in_time_equals_a_range_join(spark, tuples):
+    """Many events and versions of one key, events at version starts, gaps, NULL keys and times."""
+    rng = random.Random(4)
+    starts = {k: sorted(rng.sample(range(0, 400), n)) for k, n in (("hot", 60), ("a", 1), ("b", 5))}
+    base, dim = datetime(2020, 1, 1), []
+    for k, days in starts.items():
+        for i, day in enumerate(days):
+            end = days[i + 1] if i + 1 < len(days) else None
+            if end is not None and rng.random() < 0.3:
+                end -= rng.random() / 2                        # a gap before the next version
+            dim.append((k, base + timedelta(days=day), None if end is None else base + timedelta(days=end), f"{k}{day}"))
+    dim.append((None, base, None, "nobody"))
+    dim = spark.createDataFrame(dim, "bk string, effective_from timestamp, effective_to timestamp, city string")
+    facts_ = [(i, rng.choice(["hot", "hot", "a", "b", "zz", None]),
+               rng.choice([None, base + timedelta(days=rng.randrange(420)), base + timedelta(hours=rng.randrange(9600))])) for i in range(500)]
+    fact = spark.createDataFrame(facts_ + facts_[:5], "i int, bk string, ts timestamp")
+    got = scd.as_of(fact, dim, "bk", "ts", ["city"])
+    assert got.columns == ["i", "bk", "ts", "city"]
+    d = dim.withColumnRenamed("bk", "k")
+    hit = (F.col("bk") == F.col("k")) & (F.col("ts") >= F.col("effective_from")) & (
+        F.col("effective_to").isNull() | (F.col("ts") < F.col("effective_to")))
+    assert tuples(got, "i", "city") == tuples(fact.join(d, hit, "left"), "i", "city")
+
+
 def test_changed_lists_new_and_changed(spark):
     got = scd.changed(first(spark), load(spark, ("a", "X2", "1"), ("b", "Y", "1"), ("n", "N", "1")),
                       ["bk"], ["city", "tag"], T1)

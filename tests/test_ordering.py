@@ -21,11 +21,42 @@ def history(spark, n=400):
 
 
 def plain(df, name, desc):
-    order = [F.col("ts").desc(), F.col("id").desc()] if desc else ["ts", "id"]
+    parts = [F.col("ts"), F.md5("id"), F.col("id")]
+    order = [c.desc() if desc else c.asc() for c in parts]
     w = Window.partitionBy("k").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return df.withColumn(name, F.last("v", ignorenulls=True).over(w))
 
 
+def crowded(spark):
+    """One key and NULL with a hot hour, a hot midnight and rows without a time, beside ordinary keys."""
+    rng = random.Random(13)
+    data = []
+    for i in range(900):
+        key = rng.choice(["hot", "hot", None, f"p{rng.randrange(9)}"])
+        ts = rng.choice([None, datetime(2020, 3, 1), datetime(2020, 3, 1, 7, 0, 0), datetime(2020, 3, 1, 7, rng.randrange(60), rng.randrange(60)),
+                         datetime(2020, rng.randrange(1, 13), rng.randrange(1, 28), rng.randrange(24))])
+        data.append((key, ts, f"e{i:04d}", rng.choice([None, rng.randrange(1000)])))
+    return spark.createDataFrame(data, "k string, ts timestamp, id string, v int")
+
+
+def test_crowded_keys_equal_plain_window(spark, tuples):
+    df = crowded(spark)
+    w = Window.partitionBy("k").orderBy("ts", F.md5("id"), "id").rowsBetween(Window.unboundedPreceding, -1)
+    want = plain(plain(df, "b", False), "a", True).withColumn("m", F.max("v").over(w))
+    got = o.neighbours(df, "k", "ts", "id", F.col("v"), "b", "a", "m")
+    assert tuples(got, "id", "b", "a", "m") == tuples(want, "id", "b", "a", "m")
+
+
+def test_no_cell_holds_a_crowd(spark):
+    """A bulk load at one midnight, and rows without a time, are dealt over thousands of cells in their order."""
+    df = spark.range(3000).select(F.col("id").cast("string").alias("id"),
+                                  F.when(F.col("id") % 2 == 0, F.lit(datetime(2020, 3, 1))).alias("ts"))
+    cells = df.withColumn("h", F.md5("id")).withColumn("b", o._cell("ts", F.col("h"), "hour", None))
+    assert cells.groupBy("ts", "b").count().agg(F.max("count")).first()[0] < 10
+    w = Window.partitionBy("ts").orderBy("h")
+    assert cells.withColumn("last", F.lag("b").over(w)).where("last > b").count() == 0
+
+
 def test_neighbours_equal_plain_window(spark, tuples):
     df = history(spark)
     want = tuples(plain(plain(df, "b", False), "a", True), "id", "b", "a")

@@ -27,6 +27,18 @@ def test_readmission_across_outpatient_visit(spark):
     assert flags(df) == {"a": False, "b": False, "c": True}
 
 
+def test_stay_inside_a_longer_stay_is_no_readmission(spark):
+    df = encounters(spark, [
+        ("a", "p", "inpatient", "2020-01-01", "2020-03-01"),
+        ("b", "p", "inpatient", "2020-01-05", "2020-01-08"),
+        ("c", "p", "inpatient", "2020-01-20", "2020-01-21"),
+        ("d", "p", "inpatient", "2020-03-10", "2020-03-11"),
+        ("e", "q", "inpatient", "2020-01-01", None),
+        ("f", "q", "inpatient", "2020-01-05", "2020-01-06"),
+        ("g", "q", "inpatient", "2020-01-10", "2020-01-11")])
+    assert flags(df) == {"a": False, "b": False, "c": False, "d": True, "e": False, "f": False, "g": False}
+
+
 def test_readmission_limits(spark):
     df = encounters(spark, [
         ("a", "p", "inpatient", "2020-01-01", "2020-01-05 12:00:00"),

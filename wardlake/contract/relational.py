@@ -40,27 +40,33 @@ def left_enrichment(b: Bindings):
     return b.encounters(provider=True).join(names, "provider_bk", "left")
 
 
-def two_versions(b: Bindings):
-    """Patient dimension after a second load: moved, missing and new patients."""
+def two_loads(b: Bindings):
+    """A tenth of the patients is new in the second load, another tenth is missing there; every patient is in one."""
     k = F.col("patient_bk").cast("bigint")
     base = dims.patient_incoming(b.patients())
-    first = scd.first_load(base.where(k % 5 != 0), scd.PATIENT_ATTRS, datetime(1900, 1, 1))
-    second = base.where(k % 11 != 0).withColumn(
+    first = scd.first_load(base.where(k % 10 != 0), scd.PATIENT_ATTRS, datetime(1900, 1, 1))
+    second = base.where(k % 10 != 3).withColumn(
         "marital_status",
         F.when(k % 7 == 0, F.lit("CHANGED")).otherwise(F.col("marital_status")))
+    return first, second
+
+
+def two_versions(b: Bindings):
+    """Patient dimension after a second load: moved, missing and new patients."""
+    first, second = two_loads(b)
     return scd.merge2(first, second, ["patient_bk"], scd.PATIENT_ATTRS, datetime(1998, 1, 1))
 
 
 VERSIONS_SQL = """(
     SELECT patient_bk, patient_sk, marital_status, governorate, timestamp '1900-01-01' AS effective_from,
-        CASE WHEN k % 7 = 0 AND k % 11 <> 0 THEN timestamp '1998-01-01' END AS effective_to,
-        NOT (k % 7 = 0 AND k % 11 <> 0) AS is_current
-    FROM (SELECT *, cast(patient_bk AS bigint) AS k FROM patient) AS x WHERE k % 5 <> 0
+        CASE WHEN k % 7 = 0 AND k % 10 <> 3 THEN timestamp '1998-01-01' END AS effective_to,
+        NOT (k % 7 = 0 AND k % 10 <> 3) AS is_current
+    FROM (SELECT *, cast(patient_bk AS bigint) AS k FROM patient) AS x WHERE k % 10 <> 0
     UNION ALL
     SELECT patient_bk, patient_sk, CASE WHEN k % 7 = 0 THEN 'CHANGED' ELSE marital_status END,
         governorate, timestamp '1998-01-01', NULL, true
     FROM (SELECT *, cast(patient_bk AS bigint) AS k FROM patient) AS x
-    WHERE k % 11 <> 0 AND (k % 5 = 0 OR k % 7 = 0))"""
+    WHERE k % 10 <> 3 AND (k % 10 = 0 OR k % 7 = 0))"""
 
 
 @query("j_03_current_version", "encounter_bk:s marital_status:s", f"""
@@ -87,17 +93,11 @@ def role_playing_date(b: Bindings):
 
 
 @query("j_05_new_or_changed", "patient_bk:s change:s", """
-    SELECT patient_bk, CASE WHEN k % 5 = 0 THEN 'new' ELSE 'changed' END AS change
+    SELECT patient_bk, CASE WHEN k % 10 = 0 THEN 'new' ELSE 'changed' END AS change
     FROM (SELECT *, cast(patient_bk AS bigint) AS k FROM patient) AS x
-    WHERE k % 11 <> 0 AND (k % 5 = 0 OR k % 7 = 0)""")
+    WHERE k % 10 <> 3 AND (k % 10 = 0 OR k % 7 = 0)""")
 def new_or_changed(b: Bindings):
-    k = F.col("patient_bk").cast("bigint")
-    base = dims.patient_incoming(b.patients())
-    first = scd.first_load(base.where(k % 5 != 0), scd.PATIENT_ATTRS, datetime(1900, 1, 1))
-    second = base.where(k % 11 != 0).withColumn(
-        "marital_status",
-        F.when(k % 7 == 0, F.lit("CHANGED")).otherwise(F.col("marital_status")))
-    return scd.changed(first, second, ["patient_bk"], scd.PATIENT_ATTRS, LOAD_TS)
+    return scd.changed(*two_loads(b), ["patient_bk"], scd.PATIENT_ATTRS, LOAD_TS)
 
 
 @query("j_07_code_semi_join", "icd10_code:s n:i", f"""
@@ -387,7 +387,7 @@ def share_of_group(b: Bindings):
 
 
 GAPS_SQL = """(SELECT *, lag(start_at) OVER w AS previous_start, lead(start_at) OVER w AS next_start
-    FROM encounter WINDOW w AS (PARTITION BY patient_bk ORDER BY start_at, encounter_bk))"""
+    FROM encounter WINDOW w AS (PARTITION BY patient_bk ORDER BY start_at, md5(encounter_bk), encounter_bk))"""
 
 
 @query("win_07_visit_gap", "encounter_bk:s days_since_last_visit:i is_return:b", f"""

@@ -150,8 +150,8 @@ TABLES = {
     "readmit": """
         SELECT *, coalesce(is_inpatient AND prior_end IS NOT NULL AND start_at >= prior_end
                 AND epoch(start_at) - epoch(prior_end) <= 30 * 86400, false) AS is_readmission_30d
-        FROM (SELECT *, last_value(CASE WHEN is_inpatient THEN end_at END IGNORE NULLS) OVER (
-                PARTITION BY patient_bk ORDER BY start_at, encounter_bk
+        FROM (SELECT *, max(CASE WHEN is_inpatient THEN coalesce(end_at, timestamp '9999-12-31') END) OVER (
+                PARTITION BY patient_bk ORDER BY start_at, md5(encounter_bk), encounter_bk
                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior_end FROM encounter) AS x""",
     "condition_feed": f"""
         SELECT cast(l_orderkey AS varchar) AS encounter_bk, cast(l_orderkey // 10 AS varchar) AS patient_bk,

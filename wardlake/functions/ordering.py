@@ -25,34 +25,58 @@ def value_bucket(col: Column) -> Column:
     return F.when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0)).cast("bigint")
 
 
-def neighbours(df: DataFrame, key: str, ts: str, tie: str, value: Column,
-               before: str | None = None, after: str | None = None, bucket: str = "week") -> DataFrame:
-    """Nearest non-null ``value`` among earlier (``before``) and later (``after``) rows of the key.
-
-    Rows are ordered by (ts, tie); a NULL time comes first, and NULL keys are one key. Every key is
-    cut into time buckets, and the edge value of each bucket is carried over the summary of
-    buckets, which has one row per key and bucket. So the largest window holds one bucket of one
-    key; choose ``bucket`` finer when a key can gather many rows in a week.
+def _cell(ts: str, spread: Column, bucket: str, first: Column | None) -> Column:
+    """Monotone bucket of (time, ``first`` before others, md5 of the tie): the time's ``bucket``.
+
+    Rows without a time or at a midnight, where placeholders gather, are dealt over 4096 cells by the
+    md5 that orders them, a microsecond each, before the rest of the bucket.
+    """
+    at = F.coalesce(F.col(ts), F.lit(_NO_TIME).cast("timestamp"))
+    place = F.conv(F.substring(spread, 1, 3), 16, 10).cast("bigint") + 1
+    if first is not None:
+        place = F.when(first, F.lit(0).cast("bigint")).otherwise(place)
+    rest = F.lit(4097).cast("bigint")
+    crowded = F.col(ts).isNull() | (at == F.date_trunc("day", at))
+    return F.timestamp_micros(F.unix_micros(F.date_trunc(bucket, at)) + F.when(crowded, place).otherwise(rest))
+
+
+def neighbours(df: DataFrame, key: str, ts: str, tie: str, value: Column, before: str | None = None,
+               after: str | None = None, largest: str | None = None, first: Column | None = None,
+               bucket: str = "hour") -> DataFrame:
+    """Nearest non-null ``value`` among earlier (``before``) and later (``after``) rows of the key, or the ``largest`` earlier one.
+
+    Rows are ordered by (ts, md5 of tie, tie); a NULL time comes first, and NULL keys are one key. Rows for
+    which ``first`` holds precede others of the same time. Every key is cut into cells of an hour
+    (midnights and missing times into 4096 by the md5), and the edge value of each cell is carried over a
+    summary with one row per key and cell. So the largest windows hold the rows of one cell, and the cells
+    of one key, whose number the calendar bounds; neither a crowded day nor a NULL key is one task.
     """
-    data = df.withColumn("_v", value).withColumn(
-        "_b", F.coalesce(F.date_trunc(bucket, F.col(ts)), F.lit(_NO_TIME).cast("timestamp")))
+    data = df.withColumn("_v", value).withColumn("_h", F.md5(F.col(tie).cast("string")))
+    data = data.withColumn("_f", F.lit(True) if first is None else ~first)
+    data = data.withColumn("_b", _cell(ts, F.col("_h"), bucket, first))
+    place = [ts, "_f", "_h", tie]
     cut = data.groupBy(F.col(key).alias("_k"), F.col("_b").alias("_kb"))
-    edge = F.when(F.col("_v").isNotNull(), F.struct(F.col(ts), F.col(tie), F.col("_v")))
-    wanted = [(n, i) for i, n in enumerate((before, after)) if n is not None]
-    carry = cut.agg(*[(F.min if i else F.max)(edge).alias(f"_e{i}") for _, i in wanted])
+    edge = F.when(F.col("_v").isNotNull(), F.struct(*place, "_v"))
+    wanted = [(name, i) for i, name in enumerate((before, after, largest)) if name is not None]
+    edges = [F.max(edge), F.min(edge), F.max("_v")]
+    carry = cut.agg(*[edges[i].alias(f"_e{i}") for _, i in wanted])
 
-    def ordered(part: list[str], cols: list[str], backwards: int):
+    def ordered(part: list[str], cols: list[str], backwards: bool):
         order = [F.col(c).desc() if backwards else F.col(c).asc() for c in cols]
         return Window.partitionBy(*part).orderBy(*order).rowsBetween(*_BEFORE)
 
     for _, i in wanted:
-        over = ordered(["_k"], ["_kb"], i)
-        carry = carry.withColumn(f"_c{i}", F.last(F.col(f"_e{i}._v"), ignorenulls=True).over(over))
-        near = ordered([key, "_b"], [ts, tie], i)
-        data = data.withColumn(f"_in{i}", F.last("_v", ignorenulls=True).over(near))
+        over, near = ordered(["_k"], ["_kb"], i == 1), ordered([key, "_b"], place, i == 1)
+        if i == 2:
+            carry = carry.withColumn("_c2", F.max("_e2").over(over))
+            data = data.withColumn("_in2", F.max("_v").over(near))
+        else:
+            carry = carry.withColumn(f"_c{i}", F.last(F.col(f"_e{i}._v"), ignorenulls=True).over(over))
+            data = data.withColumn(f"_in{i}", F.last("_v", ignorenulls=True).over(near))
     carry = carry.select("_k", "_kb", *[f"_c{i}" for _, i in wanted])
     out = data.join(carry, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_b") == F.col("_kb")), "left")
-    return out.select(*df.columns, *[F.coalesce(f"_in{i}", f"_c{i}").alias(n) for n, i in wanted])
+    found = {0: F.coalesce("_in0", "_c0"), 1: F.coalesce("_in1", "_c1"), 2: F.greatest("_in2", "_c2")}
+    return out.select(*df.columns, *[found[i].alias(name) for name, i in wanted])
 
 
 def rank_table(df: DataFrame, keys: list[str], order: list[str], descending: bool = False,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from wardlake.functions.keys import hash_sk, record_hash
+from wardlake.functions.ordering import neighbours
 
 META = ["effective_from", "effective_to", "is_current", "record_hash"]
 
@@ -35,11 +36,11 @@ def _side(df: DataFrame, keys: list[str], name: str) -> DataFrame:
 
 def _paired(current: DataFrame, incoming: DataFrame, keys: list[str], attrs: list[str],
             load_ts: datetime) -> DataFrame:
-    """Open versions next to their new rows, one shuffle join on the business key."""
+    """Open versions next to their new rows, one shuffle join on the business key; NULL is a key like others."""
     new = first_load(incoming, attrs, load_ts).select(*current.columns)
     left = _side(current.where(F.col("is_current")), keys, "old")
     right = _side(new, keys, "new")
-    match = [F.col(f"_old_{k}") == F.col(f"_new_{k}") for k in keys]
+    match = [F.col(f"_old_{k}").eqNullSafe(F.col(f"_new_{k}")) for k in keys]
     joined = left
     cond: Column = match[0]
     for extra in match[1:]:
@@ -87,16 +88,28 @@ def with_version_sk(df: DataFrame, bk: str, out: str) -> DataFrame:
     return df.withColumn(out, hash_sk(F.col(bk), start))
 
 
-def as_of(fact: DataFrame, dim: DataFrame, key: str, ts: str, keep: list[str],
-          how: str = "left") -> DataFrame:
-    """Attach the dimension version valid at the event time, ``[from, to)``.
+def as_of(fact: DataFrame, dim: DataFrame, key: str, ts: str, keep: list[str]) -> DataFrame:
+    """Attach the dimension version valid at the event time, ``[from, to)``, or NULLs.
 
-    The equality on the business key makes it a shuffle join with a range filter.
+    Events and starts of versions are one ordered set, and the last start is carried along
+    (``ordering.neighbours``), so a key with any number of events or versions is never one task. Versions
+    of a key must not overlap. An event without key or time has no version.
     """
-    versions = dim.select(F.col(key).alias("_k"), F.col("effective_from").alias("_from"),
-                          F.col("effective_to").alias("_to"), *keep)
-    hit = (
-        (F.col(key) == F.col("_k")) & (F.col(ts) >= F.col("_from"))
-        & (F.col("_to").isNull() | (F.col(ts) < F.col("_to")))
-    )
-    return fact.join(versions, hit, how).drop("_k", "_from", "_to")
+    versions = dim.select(
+        F.col(key).alias("_key"), F.col("effective_from").alias("_at"), F.lit(True).alias("_is_version"),
+        F.struct(F.col("effective_to").alias("_to"), *keep).alias("_version"),
+        *[F.lit(None).cast(f.dataType).alias(f"_x{i}") for i, f in enumerate(fact.schema)])
+    kind = versions.schema["_version"].dataType
+    events = fact.select(
+        F.col(key).alias("_key"), F.col(ts).cast(versions.schema["_at"].dataType).alias("_at"),
+        F.lit(False).alias("_is_version"), F.lit(None).cast(kind).alias("_version"),
+        *[F.col(f.name).alias(f"_x{i}") for i, f in enumerate(fact.schema)])
+    both = versions.unionByName(events)
+    tie = F.xxhash64(*[f"_x{i}" for i in range(len(fact.columns))])
+    seen = neighbours(both.withColumn("_tie", tie), "_key", "_at", "_tie", F.col("_version"), before="_last",
+                      first=F.col("_is_version"))
+    last = F.col("_last")
+    valid = F.col("_key").isNotNull() & F.col("_at").isNotNull() & (last["_to"].isNull() | (F.col("_at") < last["_to"]))
+    return seen.where(~F.col("_is_version")).select(
+        *[F.col(f"_x{i}").alias(name) for i, name in enumerate(fact.columns)],
+        *[F.when(valid, last[name]).alias(name) for name in keep])
