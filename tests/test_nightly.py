@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from wardlake.operators import audit, monitor
 from wardlake.plans import nightly, queries, views
 from wardlake.schemas import FEEDS
+from wardlake.sources.tables import TableStore
 
 
 def feed(spark, name, *rows, ts=datetime(2020, 6, 1)):
@@ -85,17 +86,21 @@ def test_night_run_twice_and_after_a_change(cfg, spark, store, tuples):
     facts_before = tuples(store.read("fact_encounter"))
     nightly.run(cfg)
     assert tuples(store.read("fact_encounter")) == facts_before
-    assert store.read("dim_patient").count() == 1
+    assert tuples(store.read("dim_patient"), "patient_bk") == [("UNKNOWN",), ("p1",)]
     assert tuples(store.read("kpi_daily_hospital").drop("refreshed_at")) == cube
 
     later = nightly.Config(spark, store, date(2020, 6, 2), datetime(2020, 6, 2), bronze(spark, "Utah"),
                            cfg.hospital_seed)
     nightly.run(later)
-    dim = store.read("dim_patient").orderBy("effective_from").collect()
+    dim = store.read("dim_patient").where("patient_bk = 'p1'").orderBy("effective_from").collect()
     assert [r["is_current"] for r in dim] == [False, True]
     t = {n: store.read(n) for n in views.ENCOUNTER_TABLES}
     seen = {r["encounter_id"]: r["patient_governorate"] for r in views.encounter_enriched(t).collect()}
     assert seen["e1"] == dim[1]["governorate"]                 # old facts keep their patient
+    assert fe["e1"]["patient_version_sk"] == dim[0]["patient_version_sk"] != dim[1]["patient_version_sk"]
+    named = {r["encounter_id"]: r["patient_id"] for r in views.encounter_enriched(t).collect()}
+    assert named["e3"] == "UNKNOWN" and len(named) == 3
+    assert store.read("quarantine/silver/dim_patient").where("_quarantine_run = 20200601000000").count() == 1
 
 
 def test_feeds_delivered_twice_count_once_and_facts_prune_by_month(cfg, spark, store):
@@ -111,11 +116,87 @@ def test_feeds_delivered_twice_count_once_and_facts_prune_by_month(cfg, spark, s
     assert store.read("fact_encounter").select("gold_loaded_at").distinct().first()[0] == cfg.load_ts
 
 
-def test_backfill_touches_only_its_days(cfg, store, tuples):
+def night(spark, lake, upto, since=None, asof=date(2020, 7, 1)):
+    """Bronze of a network as delivered up to a day: corrections, late patients, moved and nested stays."""
+    def stay(i, day, patient, start, stop, **more):
+        return day, {"Id": i, "PATIENT": patient, "ORGANIZATION": "o1", "ENCOUNTERCLASS": "inpatient", "START": start, "STOP": stop,
+                     "TOTAL_CLAIM_COST": "5.00", **more}
+
+    rows = {
+        "synthea_patients": [(1, {"Id": p, "FIRST": p, "BIRTHDATE": "1950-01-01", "GENDER": "F"}) for p in ("p1", "p2", "p4")]
+        + [(2, {"Id": "p3", "FIRST": "late", "BIRTHDATE": "1960-01-01", "GENDER": "M"})],
+        "provider_registry": [(1, {"npi": "0000000001", "first_name": "D", "last_name": "X", "primary_facility_code": "h1"}),
+                              (3, {"npi": "0000000002", "first_name": "E", "last_name": "Y", "primary_facility_code": "h1"})],
+        "synthea_encounters": [
+            stay("a", 1, "p1", "2020-01-02 08:00:00", "2020-01-05 08:00:00", PROVIDER="0000000001"),
+            stay("b", 1, "p1", "2020-01-20 08:00:00", "2020-01-22 08:00:00"),          # a readmission until a lasts longer
+            stay("c", 1, "p3", "2020-02-02 08:00:00", "2020-02-03 08:00:00", PROVIDER="0000000002"),
+            stay("d", 1, "p2", "2020-03-02 08:00:00", "2020-03-03 08:00:00"),          # moves to May, March is empty then
+            stay("e", 1, "p4", "2020-04-01 08:00:00", "2020-04-02 08:00:00"),
+            stay("f", 1, "p4", "2020-04-10 08:00:00", "2020-04-11 08:00:00"),          # no readmission once e is p2's
+            stay("a", 2, "p1", "2020-01-02 08:00:00", "2020-03-01 08:00:00", PROVIDER="0000000001"),
+            stay("d", 2, "p2", "2020-05-02 08:00:00", "2020-05-03 08:00:00"),
+            stay("d", 3, "p2", "2020-06-02 08:00:00", "2020-05-03 08:00:00"),          # rejected, the one before stays
+            stay("e", 3, "p2", "2020-04-01 08:00:00", "2020-04-20 08:00:00"),
+            stay("g", 3, "p1", "2020-03-15 08:00:00", "2020-03-16 08:00:00")],
+        "claims_raw": [(1, {"claim_id": "c1", "encounter_id": "g", "patient_id": "p1", "carrier": "Self-Pay", "status": "approved",
+                            "service_date": "2020-03-15", "billed_amount": 10.0, "allowed_amount": 8.0, "paid_amount": 8.0,
+                            "line_items": [("1", "v", 10.0, 1)]}),
+                       (2, {"claim_id": "c2", "encounter_id": "a", "patient_id": "p1", "carrier": "AXA Egypt", "status": "denied",
+                            "billed_amount": 7.0, "allowed_amount": 0.0, "paid_amount": 0.0})],
+        "synthea_conditions": [(1, {"ENCOUNTER": "a", "PATIENT": "p1", "CODE": "I10", "START": "2020-01-02"}),
+                               (3, {"ENCOUNTER": "f", "PATIENT": "p4", "CODE": "E11", "START": "2020-04-10"})],
+        "synthea_medications": [(day, {"ENCOUNTER": "a", "PATIENT": "p1", "CODE": "314076", "START": "2020-01-02", "TOTALCOST": cost})
+                                for day, cost in ((1, "5.00"), (1, "6.00"), (2, "5.00"))],
+        "synthea_procedures": [(1, {"ENCOUNTER": "a", "PATIENT": "p1", "CODE": "99213", "START": "2020-01-02 09:00:00"})],
+    }
+    feeds = {"synthea_patients": "patients", "provider_registry": "providers", "synthea_encounters": "encounters", "claims_raw": "claims",
+             "synthea_conditions": "conditions", "synthea_medications": "medications", "synthea_procedures": "procedures"}
+    out = {}
+    for name, given in rows.items():
+        parts = [feed(spark, feeds[name], *[r for d, r in given if d == day], ts=datetime(2020, 6, day)) for day in range(1, upto + 1)]
+        out[name] = parts[0]
+        for part in parts[1:]:
+            out[name] = out[name].unionByName(part)
+    seed = spark.createDataFrame([("h1", "One", "C", "Cairo", "10", "0", "30.1", "31.1")], FEEDS["facilities"])
+    return nightly.Config(spark, lake, asof, datetime(2020, 6, upto, 23), out, seed)
+
+
+def test_a_chain_of_nights_equals_the_whole_run(spark, tmp_path, tuples):
+    chain, whole = TableStore(spark, f"{tmp_path}/chain"), TableStore(spark, f"{tmp_path}/whole")
+    days = {"lo": date(2020, 1, 1), "hi": date(2020, 6, 30)}
+    nightly.run(night(spark, chain, 1), **days)
+    first = {r["encounter_bk"]: r for r in chain.read("fact_encounter").collect()}
+    assert first["b"]["is_readmission_30d"] and first["f"]["is_readmission_30d"] and first["c"]["patient_sk"] == -1
+    kept = chain.files(f"{chain.path('fact_encounter')}/month_sk=202004")
+    again = nightly.run_since(night(spark, chain, 2), datetime(2020, 6, 1))
+    assert again["fact_encounter"] == ["2020-01", "2020-02", "2020-03", "2020-05"]     # April is not touched
+    assert chain.files(f"{chain.path('fact_encounter')}/month_sk=202004") == kept
+    nightly.run_since(night(spark, chain, 3), datetime(2020, 6, 2))
+    nightly.run(night(spark, whole, 3), **days)
+    for name in ("fact_encounter", "fact_claim", "fact_claim_line", "fact_prescription", "silver/fact_encounter",
+                 "silver/medications", "bridge_encounter_diagnosis", "kpi_daily_hospital"):
+        a, b = chain.read(name), whole.read(name)
+        cols = sorted(c for c in a.columns if c not in ("gold_loaded_at", "refreshed_at", "_ingest_ts"))
+        assert tuples(a, *cols) == tuples(b, *cols), name
+    done = {r["encounter_bk"]: r for r in chain.read("fact_encounter").collect()}
+    assert not done["b"]["is_readmission_30d"] and not done["f"]["is_readmission_30d"] and done["g"]["is_readmission_30d"]
+    assert done["c"]["patient_sk"] != -1 and done["c"]["provider_sk"] != -1            # parents that came late
+    assert chain.read("fact_claim").where("claim_bk = 'c1' and encounter_sk is not null").count() == 1
+    assert chain.read("quarantine/silver/fact_encounter").count() == 1
+    t = {n: chain.read(n) for n in views.ENCOUNTER_TABLES}
+    assert views.encounter_enriched(t).count() == len(done)
+    assert done["a"]["patient_version_sk"] in [r[0] for r in chain.read("dim_patient").select("patient_version_sk").collect()]
+
+
+def test_backfill_touches_only_its_months(cfg, store, tuples):
     nightly.run_silver(cfg)
     nightly.run_gold(cfg)
-    nightly.backfill(cfg, date(2020, 5, 1), date(2020, 5, 31))
-    before = tuples(store.read("fact_encounter_by_day"))
-    nightly.backfill(cfg, date(2020, 5, 10), date(2020, 5, 10))
-    assert tuples(store.read("fact_encounter_by_day")) == before
-    assert store.read("fact_encounter_by_day").where("is_readmission_30d").count() == 1
+    before = tuples(store.read("fact_encounter"))
+    assert nightly.backfill(cfg, date(2020, 5, 10), date(2020, 5, 10)) == ["2020-05"]
+    assert tuples(store.read("fact_encounter")) == before
+    cfg.bronze["synthea_encounters"] = cfg.bronze["synthea_encounters"].where("Id <> 'e1'")
+    assert nightly.backfill(cfg, date(2020, 5, 1), date(2020, 5, 1)) == ["2020-05"]
+    after = {r["encounter_bk"]: r["is_readmission_30d"] for r in store.read("fact_encounter").collect()}
+    assert after == {"e2": False, "e3": False}
+    assert store.read("kpi_daily_hospital").agg(F.sum("encounter_count")).first()[0] == 2

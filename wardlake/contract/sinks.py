@@ -160,14 +160,18 @@ def load_audit(b: Bindings):
 
 @query("snk_12_backfill", DAILY_COLS, daily_sql("start_date_sk BETWEEN 20000201 AND 20000331"))
 def backfill(b: Bindings):
-    """Two months re-processed, the first of them twice."""
-    lake = store(b)
+    """A table that lacks March and has wrong costs in February; both are re-processed, February twice."""
+    lake, target = store(b), nightly.ENCOUNTERS
     lake.overwrite(b.dim_hospital, "dim_hospital")
     raw = b.raw_encounters().withColumn("_ingest_ts", F.lit(LOAD_TS))
-    cfg = nightly.Config(b.spark, lake, ASOF, LOAD_TS, {"synthea_encounters": raw})
-    nightly.backfill(cfg, date(2000, 2, 1), date(2000, 2, 29), method="md5")
-    nightly.backfill(cfg, date(2000, 2, 1), date(2000, 3, 31), method="md5")
-    return lake.read("kpi_daily_hospital")
+    cfg = nightly.Config(b.spark, lake, ASOF, LOAD_TS, {"synthea_encounters": raw}, method="md5")
+    wrong = target.shape(cfg, raw).where("start_year_month <> '2000-03'").withColumn(
+        "total_cost_usd", F.when(F.col("start_year_month") == "2000-02", F.lit(1).cast(silver.MONEY)).otherwise(F.col("total_cost_usd")))
+    lake.replace_partitions(silver.flag_readmission(wrong), target.name, target.part)
+    nightly.backfill(cfg, date(2000, 2, 1), date(2000, 2, 29))
+    nightly.backfill(cfg, date(2000, 2, 1), date(2000, 3, 31))
+    # later months, whose flags follow from March, are refreshed too
+    return lake.read("kpi_daily_hospital").where(F.col("date_sk").between(20000201, 20000331))
 
 
 @query("snk_13_retention", "source:s n:i", f"""

@@ -47,20 +47,26 @@ def observed_overwrite(store, df: DataFrame, layer: str, name: str,
 
 
 def observed_silver(store, checked: Checked, finish: Callable[[DataFrame], DataFrame], name: str,
-                    parts: list[str] | None = None) -> dict[str, int]:
+                    parts: list[str] | None = None, write: Callable[[DataFrame], int] | None = None) -> dict[str, int]:
     """Write clean rows (through ``finish``) and quarantine; log the rejects of every rule.
 
     The tagged rows are parsed and written aside once; both targets and the counts read them from
-    there, and clean and rejected rows lie in different partitions.
+    there, and clean and rejected rows lie in different partitions. ``write`` puts the finished rows
+    into the table and says how many; without it they become the table.
     """
     with logged(store, "silver", name) as entry:
         tagged, path = store.stage(checked.tagged, [RULE])
         staged = Checked(tagged, checked.rules, checked.at)
         clean = finish(staged.clean)
-        store.overwrite(clean, name, parts)
-        write_quarantine(staged, store, f"quarantine/{name}")
+        written = None
+        if write is None:
+            store.overwrite(clean, name, parts)
+        else:
+            written = write(clean)
+        write_quarantine(staged, store, f"quarantine/{name}", whole=True)
         by_rule = {r[RULE]: r["n"] for r in tagged.groupBy(RULE).agg(F.count(F.lit(1)).alias("n")).collect()}
-        written = store.read(name, clean.schema).count()
+        if written is None:
+            written = store.read(name, clean.schema).count()
         store.drop(path)
     total = sum(by_rule.values())
     rejected = {r: by_rule.get(r, 0) for r in checked.rules}

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlake.functions import clinical
-from wardlake.functions.keys import date_sk, hash_sk
+from wardlake.functions.keys import UNKNOWN_SK, date_sk, hash_sk
 from wardlake.schemas import PAYERS
 
+UNKNOWN_BK = "UNKNOWN"
+
 
 def hospital_from_seed(seed: DataFrame) -> DataFrame:
     """Facility dimension from the all-text seed file."""
@@ -25,6 +27,14 @@ def hospital_from_seed(seed: DataFrame) -> DataFrame:
         F.col("lon").try_cast("decimal(9,6)").alias("lon"))
 
 
+def with_unknown(dim: DataFrame, sk: str, bk: str) -> DataFrame:
+    """The dimension and its member -1, which facts point at whose parent has not arrived; a second one is not added."""
+    values = {sk: F.lit(UNKNOWN_SK), bk: F.lit(UNKNOWN_BK)}
+    row = dim.sparkSession.range(1).select(*[
+        values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in dim.schema])
+    return dim.where(F.col(sk) != UNKNOWN_SK).unionByName(row)
+
+
 def payer_seed(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(PAYERS.items()), "payer_name string, is_government boolean")
 

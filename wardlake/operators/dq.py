@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wardlake.functions import measures as m
 
-RULE, AT = "_rejected_rule", "_rejected_at"
+RULE, AT, RUN = "_rejected_rule", "_rejected_at", "_quarantine_run"
 Rules = list[tuple[str, Column]]
 
 
@@ -67,10 +67,19 @@ def split(df: DataFrame, rule: Column, name: str, at: datetime | None = None) ->
     return apply(df, [(name, rule)], at)
 
 
-def write_quarantine(checked: Checked, store, name: str) -> None:
-    """Append rejects by date and rule. No rows writes no partition, so no check first."""
-    day = checked.rejected.withColumn("_quarantine_date", F.to_date(F.col(AT)))
-    store.append(day, name, ["_quarantine_date", RULE])
+def write_quarantine(checked: Checked, store, name: str, whole: bool = False) -> None:
+    """Write rejects by run and rule. A run is known by its time, and its rejects replace those it left before.
+
+    No rejects leave the table as it is, unless they are the ``whole`` of the run. Without a time of the
+    run the rejects are appended.
+    """
+    rows = checked.rejected.withColumn("_quarantine_date", F.to_date(F.col(AT))) \
+        .withColumn(RUN, F.date_format(F.col(AT), "yyyyMMddHHmmss").cast("bigint"))
+    if checked.at is None:
+        store.append(rows, name, [RUN, RULE])
+    else:
+        run = [int(checked.at.strftime("%Y%m%d%H%M%S"))] if whole else None
+        store.replace_partitions(rows, name, RUN, run, [RULE])
 
 
 def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -59,10 +59,10 @@ def changed(current: DataFrame, incoming: DataFrame, keys: list[str], attrs: lis
 
 
 def merge2(current: DataFrame, incoming: DataFrame, keys: list[str], attrs: list[str],
-           load_ts: datetime) -> DataFrame:
+           load_ts: datetime, born: datetime | None = None) -> DataFrame:
     """The whole dimension after one load.
 
-    New key: one open version. Same hash: untouched. Other hash: the open version
+    New key: one open version from ``load_ts``, or from ``born``, so that facts that came before it find one. Same hash: untouched. Other hash: the open version
     closes at ``load_ts`` and a new one opens there. Key absent from the load:
     untouched. ``incoming`` has one row per key. Every pair yields its one or two
     rows in place, so the dimension is scanned and shuffled once.
@@ -71,8 +71,9 @@ def merge2(current: DataFrame, incoming: DataFrame, keys: list[str], attrs: list
     old, new = F.col("old"), F.col("new")
     closed = old.withField("effective_to", F.lit(load_ts).cast(TimestampType())) \
         .withField("is_current", F.lit(False))
+    fresh = new if born is None else new.withField("effective_from", F.lit(born).cast(TimestampType()))
     rows = (
-        F.when(old.isNull(), F.array(new))
+        F.when(old.isNull(), F.array(fresh))
         .when(new.isNull(), F.array(old))
         .when(F.col("old.record_hash") == F.col("new.record_hash"), F.array(old))
         .otherwise(F.array(closed, new))

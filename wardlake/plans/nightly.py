@@ -1,24 +1,33 @@
-"""The nightly run: Bronze to Silver to Gold, and the refresh of a date range."""
+"""The nightly run: Bronze to Silver to Gold, whole or for what has been delivered since, and backfills.
+
+The three ways share their steps and end in the same rows. The whole run rewrites every table. The other two
+start from some Bronze rows, update Silver by key, and rewrite only the months of Silver and Gold whose
+rows can differ: months of new and replaced rows, of stays whose readmission flag follows from them, and of facts
+whose parents have arrived or changed.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlake.functions import dates
+from wardlake.functions.keys import record_hash
 from wardlake.operators import audit, dims, dq, facts, rules, scd, silver
 from wardlake.plans import kpi
 from wardlake.sources.tables import TableStore
 
 FIRST_VALID = datetime(1900, 1, 1)
+EVENT_MONTH = "event_month"
 
 
 @dataclass
 class Config:
-    """Where the tables live and the day the run stands for."""
+    """Where the tables live and the day the run stands for. ``method`` deals organisations to facilities."""
 
     spark: SparkSession
     store: TableStore
@@ -26,89 +35,239 @@ class Config:
     load_ts: datetime
     bronze: dict[str, DataFrame] = field(default_factory=dict)
     hospital_seed: DataFrame | None = None
+    method: str = "crc32"
 
     def feed(self, name: str) -> DataFrame:
         return self.bronze[name] if name in self.bronze else self.store.read(name)
 
 
-def _silver(cfg: Config, name: str, conformed: DataFrame, ruleset: dq.Rules, key: str,
-            finish=None, parts: list[str] | None = None) -> dict[str, int]:
-    def settle(clean: DataFrame) -> DataFrame:
-        kept = dq.latest(clean, [key], [silver.INGEST_TS])
-        return kept if finish is None else finish(kept)
+@dataclass(frozen=True)
+class Target:
+    """A Silver table: its feed, how a feed's rows get its columns, what must hold, its key and partition."""
+
+    feed: str
+    name: str
+    shape: Callable[[Config, DataFrame], DataFrame]
+    rules: Callable[[Config], dq.Rules]
+    key: str
+    part: str | None = None
+
+
+def _events(conform: Callable[[DataFrame], DataFrame], at: str) -> Callable[[Config, DataFrame], DataFrame]:
+    """Rows without an id: all their columns are the key, so a feed delivered again counts once and no two events become one."""
+    def shape(_: Config, df: DataFrame) -> DataFrame:
+        rows = conform(df)
+        own = [c for c in rows.columns if c != silver.INGEST_TS]
+        return rows.withColumn("row_bk", record_hash(*own)).withColumn(EVENT_MONTH, F.date_format(at, "yyyy-MM"))
+    return shape
+
+
+ENCOUNTERS = Target("synthea_encounters", "silver/fact_encounter",
+                    lambda _, df: silver.derive_encounter(silver.conform_encounter(df)),
+                    lambda _: rules.encounter(), "encounter_bk", "start_year_month")
+CLAIMS = Target("claims_raw", "silver/fact_claim", lambda _, df: silver.derive_claim(silver.conform_claim(df)),
+                lambda _: rules.claim(), "claim_bk", "service_year_month")
+PATIENTS = Target("synthea_patients", "silver/dim_patient", lambda cfg, df: silver.conform_patient(df, cfg.asof),
+                  lambda cfg: rules.patient(cfg.asof), "patient_bk")
+PROVIDERS = Target("provider_registry", "silver/dim_provider", lambda _, df: silver.conform_provider(df),
+                   lambda _: rules.provider(), "provider_bk")
+CONDITIONS = Target("synthea_conditions", "silver/conditions", _events(silver.conform_condition, "onset_date"),
+                    lambda _: [], "row_bk", EVENT_MONTH)
+MEDICATIONS = Target("synthea_medications", "silver/medications", _events(silver.conform_medication, "start_date"),
+                     lambda _: [], "row_bk", EVENT_MONTH)
+PROCEDURES = Target("synthea_procedures", "silver/procedures", _events(silver.conform_procedure, "performed_at"),
+                    lambda _: [], "row_bk", EVENT_MONTH)
+TARGETS = (PATIENTS, PROVIDERS, ENCOUNTERS, CLAIMS, CONDITIONS, MEDICATIONS, PROCEDURES)
+
+
+def _checked(cfg: Config, target: Target, rows: DataFrame) -> dq.Checked:
+    return dq.apply(target.shape(cfg, rows), target.rules(cfg), cfg.load_ts)
 
-    checked = dq.apply(conformed, ruleset, cfg.load_ts)
-    return audit.observed_silver(cfg.store, checked, settle, name, parts)
+
+def _latest(target: Target) -> Callable[[DataFrame], DataFrame]:
+    return lambda clean: dq.latest(clean, [target.key], [silver.INGEST_TS])
 
 
 def run_silver(cfg: Config) -> None:
     """Conform, check, deduplicate, derive; readmissions last, on clean rows only."""
-    _silver(cfg, "silver/dim_patient", silver.conform_patient(cfg.feed("synthea_patients"), cfg.asof),
-            rules.patient(cfg.asof), "patient_bk")
-    _silver(cfg, "silver/dim_provider", silver.conform_provider(cfg.feed("provider_registry")),
-            rules.provider(), "provider_bk")
-    _silver(cfg, "silver/fact_encounter",
-            silver.derive_encounter(silver.conform_encounter(cfg.feed("synthea_encounters"))),
-            rules.encounter(), "encounter_bk", silver.flag_readmission, ["start_year_month"])
-    _silver(cfg, "silver/fact_claim",
-            silver.derive_claim(silver.conform_claim(cfg.feed("claims_raw"))),
-            rules.claim(), "claim_bk", None, ["service_year_month"])
-    store = cfg.store
-    for feed, conform, name, code, at in [
-        ("synthea_conditions", silver.conform_condition, "silver/conditions", "icd10_code", "onset_date"),
-        ("synthea_medications", silver.conform_medication, "silver/medications", "rxnorm_code", "start_date"),
-        ("synthea_procedures", silver.conform_procedure, "silver/procedures", "cpt_code", "performed_at"),
-    ]:  # a feed delivered again counts once: these rows have no id but what happened, to whom and when
-        once = dq.latest(conform(cfg.feed(feed)), ["encounter_bk", "patient_bk", code, at], [silver.INGEST_TS])
-        audit.observed_overwrite(store, once, "silver", name)
-
-
-def _merge(cfg: Config, name: str, incoming: DataFrame, key: str, attrs: list[str]) -> None:
-    """First load opens every version at the start of time, so old facts find one."""
+    for target in TARGETS:
+        latest = _latest(target)
+        finish = latest if target is not ENCOUNTERS else lambda clean: silver.flag_readmission(_latest(ENCOUNTERS)(clean))
+        audit.observed_silver(cfg.store, _checked(cfg, target, cfg.feed(target.feed)), finish, target.name,
+                              [target.part] if target.part else None)
+
+
+# --- what has changed --------------------------------------------------------------
+
+
+def _months(*parts: DataFrame) -> list:
+    """Distinct values of the one column of each; as many as the calendar has months."""
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.union(part)
+    return [row[0] for row in whole.distinct().collect()]
+
+
+def _among(column: str, values: list) -> Column:
+    """Membership as literals, so that it prunes partitions; None is the NULL partition."""
+    some = F.col(column).isin([v for v in values if v is not None])
+    return some | F.col(column).isNull() if None in values else some
+
+
+def _keys(df: DataFrame, *names: str) -> DataFrame:
+    return df.select(*names).distinct()
+
+
+def _upsert_months(cfg: Config, target: Target, new: DataFrame, gone: DataFrame | None = None) -> list:
+    """Put ``new`` rows, one per key, into a Silver table partitioned by month; the months that were rewritten.
+
+    Old rows with a key of ``new`` are replaced, those with a key of ``gone`` go. For encounters the flag of
+    every stay of the patients concerned is found again, from few columns of their history, and months in
+    which one differs are rewritten too.
+    """
+    store, key, part = cfg.store, target.key, target.part
+    if not store.exists(target.name):
+        months = _months(new.select(part))
+        rows = silver.flag_readmission(new) if target is ENCOUNTERS else new
+        store.replace_partitions(rows, target.name, part)
+        return months
+    old = store.read(target.name)
+    out = _keys(new, key) if gone is None else _keys(new, key).union(_keys(gone, key)).distinct()
+    left = old.join(out, key, "left_semi")
+    stay = old.join(out, key, "left_anti")
+    months = [new.select(part), left.select(part)]
+    path = None
+    if target is ENCOUNTERS:
+        need = ["patient_bk", key, "start_at", "end_at", "is_inpatient", part]
+        who = _keys(new, "patient_bk").union(_keys(left, "patient_bk")).distinct()
+        history = stay.select(*need, F.col("is_readmission_30d").alias("_was")).unionByName(
+            new.select(*need, F.lit(None).cast("boolean").alias("_was")))
+        flags, path = store.stage(silver.flag_readmission(history.join(who, "patient_bk", "left_semi")).select(
+            key, part, "_was", F.col("is_readmission_30d").alias("_is")))
+        months.append(flags.where(~F.col("_was").eqNullSafe(F.col("_is"))).select(part))
+        months = _months(*months)
+        rows = stay.drop("is_readmission_30d").unionByName(new).where(_among(part, months))
+        was = stay.where(_among(part, months)).select(key, F.col("is_readmission_30d").alias("_kept"))
+        rows = (rows.join(flags.where(_among(part, months)).select(key, "_is"), key, "left").join(was, key, "left")
+                .withColumn("is_readmission_30d", F.coalesce("_is", "_kept")).drop("_is", "_kept").select(*old.columns))
+    else:
+        months = _months(*months)
+        rows = stay.unionByName(new).where(_among(part, months)).select(*old.columns)
+    if months:
+        store.replace_partitions(rows, target.name, part, months)
+    if path:
+        store.drop(path)
+    return months
+
+
+def _update_silver(cfg: Config, target: Target, fresh: DataFrame, gone: DataFrame | None = None) -> tuple[list, DataFrame, str]:
+    """Update one Silver table from Bronze rows: the months rewritten, and the keys of parents that are new, written aside."""
+    store, done = cfg.store, []
+
+    def write(rows: DataFrame) -> int:
+        new, path = store.stage(rows)
+        arrived = _keys(new, *(["encounter_bk"] if "encounter_bk" in new.columns else [target.key]))
+        if target.key in arrived.columns and store.exists(target.name):
+            arrived = arrived.join(_keys(store.read(target.name), target.key), target.key, "left_anti")
+        done.extend(store.stage(arrived))
+        if target.part:
+            done.append(_upsert_months(cfg, target, new, gone))
+        else:
+            old = store.read(target.name).join(_keys(new, target.key), target.key, "left_anti") if store.exists(target.name) else None
+            store.overwrite(new if old is None else old.unionByName(new), target.name)
+            done.append([])
+        written = new.count()
+        store.drop(path)
+        return written
+
+    audit.observed_silver(store, _checked(cfg, target, fresh), _latest(target), target.name, write=write)
+    arrived, path, months = done
+    return months, arrived, path
+
+
+# --- gold --------------------------------------------------------------------------
+
+
+def _merge(cfg: Config, name: str, incoming: DataFrame, sk: str, key: str, version: str, attrs: list[str]) -> None:
+    """A key's first version opens at the start of time, so facts that came before it find one; each version has a key of its own."""
     if cfg.store.exists(name):
-        out = scd.merge2(cfg.store.read(name), incoming, [key], attrs, cfg.load_ts)
+        out = scd.merge2(cfg.store.read(name).drop(version), incoming, [key], attrs, cfg.load_ts, FIRST_VALID)
     else:
-        out = scd.first_load(incoming, attrs, FIRST_VALID)
-    audit.observed_overwrite(cfg.store, out, "gold", name)
+        out = scd.first_load(dims.with_unknown(incoming, sk, key), attrs, FIRST_VALID)
+    audit.observed_overwrite(cfg.store, scd.with_version_sk(out, key, version), "gold", name)
 
 
-def run_gold(cfg: Config) -> None:
-    """Dimensions first, then facts that look their parents up."""
-    store = cfg.store
-    read = store.read
-    seed = cfg.hospital_seed
-    if seed is not None:
-        audit.observed_overwrite(store, dims.hospital_from_seed(seed), "gold", "dim_hospital")
-    hospitals = read("dim_hospital")
-    _merge(cfg, "dim_patient", dims.patient_incoming(read("silver/dim_patient")), "patient_bk",
-           scd.PATIENT_ATTRS)
-    _merge(cfg, "dim_provider", dims.provider_incoming(read("silver/dim_provider"), hospitals),
-           "provider_bk", scd.PROVIDER_ATTRS)
+def _run_dimensions(cfg: Config) -> None:
+    store, read = cfg.store, cfg.store.read
+    if cfg.hospital_seed is not None:
+        seed = dims.with_unknown(dims.hospital_from_seed(cfg.hospital_seed), "hospital_sk", "hospital_bk")
+        audit.observed_overwrite(store, seed, "gold", "dim_hospital")
+    _merge(cfg, "dim_patient", dims.patient_incoming(read("silver/dim_patient")), "patient_sk", "patient_bk",
+           "patient_version_sk", scd.PATIENT_ATTRS)
+    _merge(cfg, "dim_provider", dims.provider_incoming(read("silver/dim_provider"), _facilities(cfg)), "provider_sk",
+           "provider_bk", "provider_version_sk", scd.PROVIDER_ATTRS)
     claims, conditions = read("silver/fact_claim"), read("silver/conditions")
-    meds, procs = read("silver/medications"), read("silver/procedures")
     coded = claims.select("primary_icd10_code", "primary_diagnosis_description").unionByName(
         conditions.select(F.col("icd10_code").alias("primary_icd10_code"),
                           F.col("description").alias("primary_diagnosis_description")))
-    for name, df in [
-        ("dim_date", dims.calendar(cfg.spark)),
-        ("dim_payer", dims.payer(claims)),
-        ("dim_diagnosis", dims.diagnosis(coded)),
-        ("dim_drug", dims.drug(meds)),
-        ("dim_procedure", dims.procedure(procs)),
-        ("bridge_encounter_diagnosis", facts.bridge_diagnosis(conditions)),
-    ]:
-        audit.observed_overwrite(store, df, "gold", name)
-    fe = facts.encounter(
-        read("silver/fact_encounter"), hospitals, read("silver/dim_patient"),
-        read("silver/dim_provider"), read("bridge_encounter_diagnosis"))
-    for name, df, day in [
-        ("fact_encounter", fe, "start_date_sk"),
-        ("fact_claim", facts.claim(claims, read("silver/fact_encounter")), "service_date_sk"),
-        ("fact_prescription", facts.prescription(meds), "start_date_sk"),
+    for name, df, sk, bk in [
+        ("dim_payer", dims.payer(claims), "payer_sk", "payer_name"),
+        ("dim_diagnosis", dims.diagnosis(coded), "diagnosis_sk", "icd10_code"),
+        ("dim_drug", dims.drug(read("silver/medications")), "drug_sk", "rxnorm_code"),
+        ("dim_procedure", dims.procedure(read("silver/procedures")), "procedure_sk", "cpt_code"),
     ]:
-        stamped = df.withColumns({"gold_loaded_at": F.lit(cfg.load_ts), dates.MONTH: dates.month_of(day)})
-        audit.observed_overwrite(store, stamped, "gold", name, [dates.MONTH])
-    audit.observed_overwrite(store, facts.claim_line(claims), "gold", "fact_claim_line")
+        audit.observed_overwrite(store, dims.with_unknown(df, sk, bk), "gold", name)
+    if not store.exists("dim_date"):
+        audit.observed_overwrite(store, dims.calendar(cfg.spark), "gold", "dim_date")
+    audit.observed_overwrite(store, facts.bridge_diagnosis(conditions), "gold", "bridge_encounter_diagnosis")
+
+
+def _facilities(cfg: Config) -> DataFrame:
+    """The facilities without member -1, which no organisation is dealt to."""
+    return cfg.store.read("dim_hospital").where(F.col("hospital_bk") != dims.UNKNOWN_BK)
+
+
+def _parent(cfg: Config, name: str) -> DataFrame | None:
+    return cfg.store.read(name) if cfg.store.exists(name) else None
+
+
+def _encounter_facts(cfg: Config, stays: DataFrame) -> DataFrame:
+    return facts.encounter(stays, _facilities(cfg), _parent(cfg, "silver/dim_patient"), _parent(cfg, "silver/dim_provider"),
+                           _parent(cfg, "bridge_encounter_diagnosis"), cfg.method, _parent(cfg, "dim_patient"))
+
+
+def _fact(cfg: Config, name: str, silver_name: str, part: str, day: str, build: Callable[[DataFrame], DataFrame],
+          months: list | None) -> None:
+    """A fact partitioned by month: all of it, or ``months`` of its Silver table ('yyyy-MM')."""
+    rows = cfg.store.read(silver_name)
+    if months is not None:
+        rows = rows.where(_among(part, months))
+    df = build(rows).withColumns({"gold_loaded_at": F.lit(cfg.load_ts), dates.MONTH: dates.month_of(day)})
+    if months is None:
+        audit.observed_overwrite(cfg.store, df, "gold", name, [dates.MONTH])
+    elif months:
+        with audit.logged(cfg.store, "gold", name) as entry:
+            cfg.store.replace_partitions(df, name, dates.MONTH, [None if v is None else int(v.replace("-", "")) for v in months])
+        audit.record(cfg.store, [entry | dict(finished_at=audit._utcnow())])
+
+
+def _run_facts(cfg: Config, stays: list | None = None, claims: list | None = None, drugs: list | None = None) -> None:
+    """All facts, or given months of each."""
+    encounters = cfg.store.read(ENCOUNTERS.name)
+    _fact(cfg, "fact_encounter", ENCOUNTERS.name, ENCOUNTERS.part, "start_date_sk", lambda df: _encounter_facts(cfg, df), stays)
+    _fact(cfg, "fact_claim", CLAIMS.name, CLAIMS.part, "service_date_sk", lambda df: facts.claim(df, encounters), claims)
+    _fact(cfg, "fact_claim_line", CLAIMS.name, CLAIMS.part, "service_date_sk",
+          lambda df: facts.claim_line(df.withColumn("service_date_sk", facts.date_sk("service_date")), ["service_date_sk"]), claims)
+    _fact(cfg, "fact_prescription", MEDICATIONS.name, MEDICATIONS.part, "start_date_sk", facts.prescription, drugs)
+
+
+def run_gold(cfg: Config) -> None:
+    """Dimensions first, then facts that look their parents up."""
+    _run_dimensions(cfg)
+    _run_facts(cfg)
+
+
+# --- runs --------------------------------------------------------------------------
 
 
 def run(cfg: Config, lo: date | None = None, hi: date | None = None) -> None:
@@ -120,21 +279,69 @@ def run(cfg: Config, lo: date | None = None, hi: date | None = None) -> None:
                       refreshed_at=cfg.load_ts)
 
 
-def backfill(cfg: Config, lo: date, hi: date, name: str = "fact_encounter_by_day",
-             method: str = "crc32") -> None:
-    """Re-process encounters that start in ``lo`` to ``hi`` without touching other days.
+def _refresh_cube(cfg: Config, months: list[str]) -> None:
+    fact = cfg.store.read("fact_encounter")
+    for month in sorted(m for m in months if m is not None):
+        first = date(int(month[:4]), int(month[5:]), 1)
+        kpi.refresh_daily(cfg.store, fact, first, dates.shift(first, -1, "month") - timedelta(days=1), refreshed_at=cfg.load_ts)
+
+
+def _months_of(df: DataFrame, part: str, key: str, changed: list[DataFrame]) -> list:
+    """Months of the rows whose ``key`` is in one of the written key tables."""
+    found = [df.join(keys, key, "left_semi").select(part) for keys in changed if key in keys.columns]
+    return _months(*found) if found else []
 
-    The readmission flag needs history, so it is computed on the patient histories
-    and only the rows of the range are written.
+
+def run_since(cfg: Config, since: datetime) -> dict[str, list]:
+    """A night over the Bronze rows ingested after ``since``; the months of each fact that were written anew.
+
+    Ends in the rows that the whole run over all of Bronze gives (but for load times and the versions of
+    dimensions, which are those of the nights). Late parents are found: encounters of a patient or provider that
+    arrives now, and claims of an encounter that does, are resolved again.
     """
-    enc = silver.derive_encounter(silver.conform_encounter(cfg.feed("synthea_encounters")))
-    clean = dq.latest(dq.apply(enc, rules.encounter()).clean, ["encounter_bk"], [silver.INGEST_TS])
-    first = F.lit(lo).cast("timestamp")
-    end = F.lit(hi + timedelta(days=1)).cast("timestamp")
-    touched = clean.where((F.col("start_at") >= first) & (F.col("start_at") < end)) \
-        .select("patient_bk").distinct()
-    history = clean.join(touched, "patient_bk", "left_semi").where(F.col("start_at") < end)
-    flagged = silver.flag_readmission(history).where(F.col("start_at") >= first)
-    fact = facts.encounter(flagged, cfg.store.read("dim_hospital"), method=method)
-    cfg.store.replace_range(fact, name, "start_date_sk", dates.sk_of(lo), dates.sk_of(hi))
-    kpi.refresh_daily(cfg.store, cfg.store.read(name), lo, hi, refreshed_at=cfg.load_ts)
+    months, arrived, paths = {}, {}, []
+    for target in TARGETS:
+        fresh = cfg.feed(target.feed).where(F.col(silver.INGEST_TS) > F.lit(since))
+        months[target], arrived[target], path = _update_silver(cfg, target, fresh)
+        paths.append(path)
+    _run_dimensions(cfg)
+    stays, claims = cfg.store.read(ENCOUNTERS.name), cfg.store.read(CLAIMS.name)
+    again = {
+        "fact_encounter": sorted({*months[ENCOUNTERS], *_months_of(stays, ENCOUNTERS.part, "patient_bk", [arrived[PATIENTS]]),
+                                  *_months_of(stays, ENCOUNTERS.part, "provider_bk", [arrived[PROVIDERS]]),
+                                  *_months_of(stays, ENCOUNTERS.part, "encounter_bk", [arrived[CONDITIONS]])}),
+        "fact_claim": sorted({*months[CLAIMS], *_months_of(claims, CLAIMS.part, "encounter_bk", [arrived[ENCOUNTERS]])},
+                             key=lambda m: m or ""),
+        "fact_prescription": sorted(months[MEDICATIONS], key=lambda m: m or ""),
+    }
+    _run_facts(cfg, again["fact_encounter"], again["fact_claim"], again["fact_prescription"])
+    _refresh_cube(cfg, again["fact_encounter"])
+    for path in paths:
+        cfg.store.drop(path)
+    return again
+
+
+def backfill(cfg: Config, lo: date, hi: date) -> list:
+    """Process the encounters that start in ``lo`` to ``hi`` again, from all of Bronze; the months written anew.
+
+    Rows of those days that Bronze no longer has, or that fail a rule now, go. Flags of later stays that
+    follow from them are found again, and ``fact_encounter`` and the daily cube of the months concerned
+    are rewritten with all their parents.
+    """
+    inside = ((F.col("start_at") >= F.lit(lo).cast("timestamp"))
+              & (F.col("start_at") < F.lit(hi + timedelta(days=1)).cast("timestamp")))
+    known = dq.latest(dq.apply(ENCOUNTERS.shape(cfg, cfg.feed(ENCOUNTERS.feed)), rules.encounter()).clean,
+                      [ENCOUNTERS.key], [silver.INGEST_TS])
+    gone = None
+    if cfg.store.exists(ENCOUNTERS.name):  # a row that starts elsewhere now is processed as well
+        gone = cfg.store.read(ENCOUNTERS.name).where(inside)
+        here = _keys(gone, ENCOUNTERS.key).withColumn("_here", F.lit(True))
+        known = known.join(here, ENCOUNTERS.key, "left").where(inside | F.col("_here").isNotNull()).drop("_here")
+    else:
+        known = known.where(inside)
+    new, path = cfg.store.stage(known)
+    months = _upsert_months(cfg, ENCOUNTERS, new, gone)
+    _fact(cfg, "fact_encounter", ENCOUNTERS.name, ENCOUNTERS.part, "start_date_sk", lambda df: _encounter_facts(cfg, df), months)
+    _refresh_cube(cfg, months)
+    cfg.store.drop(path)
+    return sorted(months)

@@ -165,17 +165,27 @@ class TableStore:
                 self.drop(full)
         self.drop(new)
 
-    def replace_partitions(self, df: DataFrame, name: str, part: str) -> list[str]:
-        """Replace the partitions that ``df`` has rows for, each by a swap; the names of their folders."""
-        new = self._aside(df, [part])
+    def replace_partitions(self, df: DataFrame, name: str, part: str, values: list | None = None,
+                           sub: list[str] | None = None) -> list[str]:
+        """Replace partitions, each by a swap, and return the names of their folders.
+
+        Replaced are those that ``df`` has rows for. With ``values`` it must have rows for no others, and those
+        of the list that it has none for go. ``sub`` names further partition columns below.
+        """
+        new = self._aside(df, [part, *(sub or [])])
         if self.fmt in ("parquet", "orc", "json", "csv") and not self._finished(new):
             raise OSError(f"the rows for {name} were not written completely")
         self.settle(name)
+        wanted = None if values is None else {f"{part}={NULL_PARTITION if v is None else v}" for v in values}
         fresh = [child for child, _ in self._children(new) if child.startswith(f"{part}=")]
+        if wanted is not None and not wanted.issuperset(fresh):
+            raise ValueError(f"{name}: rows for {sorted(set(fresh) - wanted)}, which are not to be replaced")
         for child in fresh:
             self._swap(f"{new}/{child}", name, child)
+        for child in (wanted or set()) - set(fresh):
+            self.drop(f"{self.path(name)}/{child}")
         self.drop(new)
-        return sorted(fresh)
+        return sorted(wanted or fresh)
 
     def replace_tail(self, source: DataFrame, name: str, ts: str, part: str, asof: datetime,
                      hours: int = 2) -> None:
