@@ -83,6 +83,11 @@ def test_night_run_twice_and_after_a_change(cfg, spark, store, tuples):
     assert rate.where("object_name = 'silver/fact_encounter' and rule = 'non_negative_cost'") \
         .collect()[0]["rejected_share"] == 0.2
 
+    nights = monitor.runs(store.read(audit.TABLE)).collect()
+    assert [(r["run_name"], r["status"]) for r in nights] == [("night", "success")] and nights[0]["duration_s"] >= 1
+    layers = {r[0] for r in store.read(audit.TABLE).select("layer").distinct().collect()}
+    assert layers == {"run", "silver", "gold", "kpi"} and store.read(audit.TABLE).where("run_id is null").count() == 0
+
     facts_before = tuples(store.read("fact_encounter"))
     nightly.run(cfg)
     assert tuples(store.read("fact_encounter")) == facts_before

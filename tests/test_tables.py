@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardlake.functions.keys import date_sk
-from wardlake.operators import audit
-from wardlake.sources import streams
+from wardlake.operators import audit, monitor
+from wardlake.sources import ingest, streams
 from wardlake.streaming import sinks, vitals
 from wardlake.streaming.upsert import UpsertTable
 
@@ -94,6 +94,32 @@ def test_audit_counts_written_rows(spark, store):
     assert (row["object_name"], row["rows_written"], row["status"]) == ("t", 4, "success")
 
 
+def test_audit_of_a_run_watches_its_writes(spark, store):
+    broken = spark.range(3).select(F.raise_error(F.lit("broken")).alias("id"))
+    with pytest.raises(Exception):
+        with audit.run(store, "night", "r1"):
+            assert audit.observed_append(store, spark.range(7).repartition(3), "bronze", "a") == 7
+            assert audit.observed_overwrite(store, spark.range(9).where("id < 0"), "gold", "none") == 0
+            audit.observed_overwrite(store, broken, "gold", "t")
+    with audit.run(store, "increment", "r2"):
+        with audit.run(store, "inner", "other"):               # a run inside belongs to the outer one
+            days_ = days(spark, (20200101, 1), (20200102, 2), (20200103, 3))
+            n = audit.observed(store, "kpi", "k", lambda watch: store.replace_range(days_, "k", "date_sk", 20200101, 20200102, watch))
+            assert n == 2
+    got = {(r["run_id"], r["layer"], r["object_name"]): (r["rows_written"], r["status"]) for r in store.read(audit.TABLE).collect()}
+    assert got == {("r1", "bronze", "a"): (7, "success"), ("r1", "gold", "none"): (0, "success"), ("r1", "gold", "t"): (None, "failed"),
+                   ("r1", "run", "night"): (None, "failed"), ("r2", "kpi", "k"): (2, "success"), ("r2", "run", "increment"): (None, "success")}
+    runs = {r["run_id"]: r for r in monitor.runs(store.read(audit.TABLE)).collect()}
+    assert runs["r1"]["status"] == "failed" and runs["r1"]["rows_written"] == 7 and runs["r2"]["loads"] == 1
+
+
+def test_ingest_logs_bronze(spark, store, tmp_path):
+    spark.createDataFrame([("1", "x"), ("2", "y")], "Id string, CITY string").coalesce(1).write.option("header", True).csv(f"{tmp_path}/p")
+    ingest.csv_feeds(spark, {"patients": f"{tmp_path}/p"}, store, "run-7", {"patients": "Id string, CITY string"}, multiline=False)
+    row = store.read(audit.TABLE).where("layer = 'bronze'").first()
+    assert (row["object_name"], row["rows_written"], row["run_id"]) == ("synthea_patients", 2, "run-7")
+
+
 READING = {"heart_rate_bpm": 80.0, "spo2_pct": 97.0, "systolic_bp": 120.0, "temperature_c": 37.0}
 
 

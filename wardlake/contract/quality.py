@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import itertools
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
 from wardlake.bindings import ASOF, LOAD_TS, Bindings
 from wardlake.contract.registry import query
 from wardlake.contract.sinks import FAULT_RULE, faulty_encounters
+from wardlake.contract.sources import store
 from wardlake.contract.sqlbind import pct
-from wardlake.operators import dq, monitor, profile, rules, silver
+from wardlake.operators import audit, dq, monitor, profile, rules, silver
 
 
 @query("dq_01_rule_split", "side:s rule:s n:i", """
@@ -191,53 +193,74 @@ def correlation(b: Bindings):
                                          "length_of_stay_hours"])
 
 
-def daily_audit(b: Bindings):
-    """An audit table from the orders: one Bronze load per day, Silver loads per rule."""
-    day = F.col("o_orderdate").cast("date")
-    per = b.table("orders").groupBy(day.alias("d"), (F.col("o_orderkey") % 3).alias("r")).agg(
-        F.count(F.lit(1)).alias("n"), F.max("o_orderkey").alias("k"))
-    start = F.col("d").cast("timestamp")
-    return per.select(
-        F.when(F.col("r") == 0, F.lit("bronze")).otherwise(F.lit("silver")).alias("layer"),
-        F.concat(F.lit("table_"), F.col("r")).alias("object_name"),
-        F.when(F.col("r") > 0, F.concat(F.lit("rule_"), F.col("r"))).alias("rule"),
-        (F.col("n") * 10).alias("rows_read"), F.col("n").alias("rows_written"),
-        (F.col("k") % 5).alias("rows_rejected"), start.alias("started_at"),
-        F.timestamp_add("MINUTE", (F.col("k") % 120).cast("int"), start).alias("finished_at"),
-        F.lit("success").alias("status"))
+LOADS = 10
+#: SQL of the delivery that an order came with: eight of equal size, a larger one and one of half size.
+LOAD_SQL = "(CASE WHEN o_orderkey % 20 < 16 THEN o_orderkey % 20 // 2 WHEN o_orderkey % 20 < 19 THEN 8 ELSE 9 END)"
 
 
-AUDIT_SQL = """(SELECT CASE WHEN r = 0 THEN 'bronze' ELSE 'silver' END AS layer,
-        'table_' || r AS object_name, CASE WHEN r > 0 THEN 'rule_' || r END AS rule,
-        n * 10 AS rows_read, n AS rows_written, k % 5 AS rows_rejected, d::timestamp AS started_at,
-        d::timestamp + to_minutes(cast(k % 120 AS integer)) AS finished_at, 'success' AS status
-    FROM (SELECT cast(o_orderdate AS date) AS d, o_orderkey % 3 AS r, count(*) AS n,
-        max(o_orderkey) AS k FROM orders GROUP BY 1, 2) AS x)"""
+def delivered(b: Bindings, load: int):
+    """One of LOADS deliveries of the encounter feed; each order is in one."""
+    rest = F.col("Id").cast("bigint") % 20
+    number = F.when(rest < 16, F.floor(rest / 2)).when(rest < 19, 8).otherwise(9)
+    return b.raw_encounters().where(number == load)
+
+
+def audited(b: Bindings, loads: range, silver_too: bool):
+    """The audit of a run per delivery, a day apart: Bronze and, if asked for, Silver of what came.
+
+    Its clock moves on by a minute whenever it is read, in the last run by 45 minutes.
+    """
+    lake = store(b)
+    for load in loads:
+        ticks = itertools.count()
+        step, begin = timedelta(minutes=45 if load == loads[-1] else 1), datetime(2001, 7, 20) + timedelta(days=load)
+
+        def clock(ticks=ticks, step=step, begin=begin) -> datetime:
+            return (begin + next(ticks) * step).replace(tzinfo=timezone.utc)
+
+        with audit.run(lake, "night", f"run-{load}", clock):
+            rows = delivered(b, load)
+            audit.observed_append(lake, rows, "bronze", "synthea_encounters")
+            if silver_too:
+                known = F.when(F.col("encounter_bk").cast("bigint") % 13 != 0, F.col("start_at"))
+                stays = silver.derive_encounter(silver.conform_encounter(rows)).withColumn("start_at", known)
+                checked = dq.apply(stays, rules.encounter(), LOAD_TS + timedelta(days=load))
+                audit.observed_silver(lake, checked, lambda clean: clean, "silver/fact_encounter")
+    return lake.read(audit.TABLE)
+
+
+DELIVERED_SQL = f"""(SELECT {LOAD_SQL} AS load, count(*) AS n, count(*) FILTER (o_orderkey % 13 = 0) AS bad,
+        timestamp '2001-07-20' + to_days(cast({LOAD_SQL} AS integer)) AS began FROM orders GROUP BY {LOAD_SQL})"""
+RULES_SQL = """(VALUES ('encounter_id_present'), ('patient_id_present'), ('start_at_present'),
+        ('end_after_start'), ('non_negative_cost')) AS r(rule)"""
 
 
 @query("dq_16_rejection_rate", "object_name:s rule:s rejected_share:r", f"""
-    SELECT object_name, rule, avg(rows_rejected::double / rows_read) AS rejected_share
-    FROM {AUDIT_SQL} AS a WHERE layer = 'silver' AND started_at >= timestamp '2001-07-25'
-    GROUP BY 1, 2""")
+    SELECT 'silver/fact_encounter' AS object_name, rule, avg(CASE WHEN rule = 'start_at_present'
+        THEN bad ELSE 0 END::double / n) AS rejected_share
+    FROM {DELIVERED_SQL} AS d CROSS JOIN {RULES_SQL} WHERE load IN (1, 2) GROUP BY rule""")
 def rejection_rate(b: Bindings):
-    return monitor.rejection_rate(daily_audit(b), datetime(2001, 8, 1))
+    """Three nights, of which the first is older than the days looked at."""
+    return monitor.rejection_rate(audited(b, range(0, 3), True), datetime(2001, 7, 28), 7)
 
 
 @query("dq_17_volume_drop", "object_name:s day:s rows_written:i trailing_mean:r is_drop:b", f"""
     SELECT *, coalesce(rows_written < 0.5 * trailing_mean, false) AS is_drop FROM (
-        SELECT object_name, started_at::date AS day, rows_written, avg(rows_written) OVER (
-            PARTITION BY object_name ORDER BY started_at ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)
-            AS trailing_mean
-        FROM {AUDIT_SQL} AS a WHERE layer = 'bronze') AS x""")
+        SELECT 'synthea_encounters' AS object_name, began::date AS day, n AS rows_written, avg(n) OVER (
+            ORDER BY load ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS trailing_mean
+        FROM {DELIVERED_SQL} AS d) AS x""")
 def volume_drop(b: Bindings):
-    return monitor.volume_drop(daily_audit(b))
+    """Ten nights of Bronze, the last with half a delivery."""
+    return monitor.volume_drop(audited(b, range(LOADS), False))
 
 
-@query("dq_18_run_history", "layer:s object_name:s started_at:s duration_s:i rows_written:i", f"""
-    SELECT layer, object_name, started_at, epoch(finished_at) - epoch(started_at) AS duration_s,
-        rows_written FROM {AUDIT_SQL} AS a ORDER BY started_at DESC, layer, object_name LIMIT 50""")
+@query("dq_18_run_history", "run_id:s run_name:s status:s started_at:s duration_s:i loads:i rows_written:i", f"""
+    SELECT 'run-' || load AS run_id, 'night' AS run_name, 'success' AS status, began AS started_at,
+        5 * CASE WHEN load = 2 THEN 45 * 60 ELSE 60 END AS duration_s, 2 AS loads, 2 * n - bad AS rows_written
+    FROM {DELIVERED_SQL} AS d WHERE load < 3""")
 def run_history(b: Bindings):
-    return monitor.runs(daily_audit(b), 50)
+    """One row per night, whatever number of tables and rules it wrote rows for."""
+    return monitor.runs(audited(b, range(3), True), 50)
 
 
 @query("dq_19_row_counts", "table_name:s n:i", """
@@ -289,17 +312,16 @@ def known_code(b: Bindings):
 
 @query("dq_23_alerts", "metric:s subject:s alerts:i highest:r", f"""
     SELECT metric, subject, count(*) AS alerts, max(value) AS highest FROM (
-        SELECT 'rejection_pct' AS metric, concat_ws('/', object_name, rule) AS subject,
-            100.0::double * rows_rejected / rows_read AS value, 1.0 AS lim FROM {AUDIT_SQL} AS a
-        UNION ALL SELECT 'run_minutes', object_name,
-            (epoch(finished_at) - epoch(started_at)) / 60.0::double, 90.0 FROM {AUDIT_SQL} AS a
+        SELECT 'rejection_pct' AS metric, 'silver/fact_encounter' || s AS subject,
+            100.0::double * bad / n AS value, 1.0 AS lim FROM {DELIVERED_SQL} AS d
+            CROSS JOIN (VALUES (''), ('/start_at_present')) AS x(s) WHERE load < 3
+        UNION ALL SELECT 'run_minutes', 'run-2', 5 * 45, 90.0
         UNION ALL SELECT 'orphan_pct', 'fact_claim',
             {pct('count(*) FILTER (encounter_sk IS NULL)', 'count(*)')}, 2.0 FROM fact_claim) AS m
     WHERE value > lim GROUP BY 1, 2""")
 def alerts(b: Bindings):
-    """Audit metrics and the orphan rate against their limits."""
-    metrics = monitor.audit_metrics(daily_audit(b)).unionByName(
+    """The audit of three nights, one of them over three hours long, and the orphan rate against their limits."""
+    metrics = monitor.audit_metrics(audited(b, range(3), True)).unionByName(
         monitor.orphan_metric(b.fact_claim(check=True)))
     return monitor.alerts(metrics, monitor.limits_table(b.spark)).groupBy("metric", "subject").agg(
         F.count(F.lit(1)).alias("alerts"), F.max("value").alias("highest"))
-

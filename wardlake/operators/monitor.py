@@ -37,13 +37,21 @@ def volume_drop(audit: DataFrame, floor: float = VOLUME_FLOOR) -> DataFrame:
         "is_drop", F.coalesce(F.col("rows_written") < floor * F.col("trailing_mean"), F.lit(False)))
 
 
+def _per_run(audit: DataFrame) -> DataFrame:
+    """One row per run, from its first start to its last end, whether or not its own row was written; rows without a run are none."""
+    loads = (F.col("layer") != "run") & F.col("rule").isNull()
+    return audit.where(F.col("run_id").isNotNull()).groupBy("run_id").agg(
+        F.max(F.when(F.col("layer") == "run", F.col("object_name"))).alias("run_name"),
+        F.min("started_at").alias("started_at"), F.max("finished_at").alias("finished_at"),
+        F.coalesce(F.sum(F.when(loads, F.col("rows_written"))), F.lit(0)).alias("rows_written"),
+        m.count_where(loads).alias("loads"),
+        F.when(F.bool_or(F.col("status") == "failed"), F.lit("failed")).otherwise(F.lit("success")).alias("status"))
+
+
 def runs(audit: DataFrame, n: int = 50) -> DataFrame:
-    """The newest runs with their duration in seconds."""
-    return audit.select(
-        "layer", "object_name", "status", "started_at", "finished_at",
-        (F.unix_timestamp("finished_at") - F.unix_timestamp("started_at")).alias("duration_s"),
-        "rows_written",
-    ).orderBy(F.col("started_at").desc(), "layer", "object_name").limit(n)
+    """The newest runs with their duration in seconds, rows written over all loads, and whether a load failed."""
+    seconds = F.unix_timestamp("finished_at") - F.unix_timestamp("started_at")
+    return _per_run(audit).withColumn("duration_s", seconds).orderBy(F.col("started_at").desc(), "run_id").limit(n)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -76,13 +84,13 @@ def alerts(metrics: DataFrame, limits: DataFrame) -> DataFrame:
 
 
 def audit_metrics(audit: DataFrame) -> DataFrame:
-    """Rejection percent and run minutes per audit row in the shape ``alerts`` reads."""
+    """Rejection percent per load and rule, and minutes per whole run, in the shape ``alerts`` reads."""
     rejected = audit.where(F.col("rows_read") > 0).select(
         F.lit("rejection_pct").alias("metric"),
         F.concat_ws("/", "object_name", "rule").alias("subject"),
         (F.lit(100.0) * F.col("rows_rejected") / F.col("rows_read")).alias("value"))
-    minutes = audit.select(
-        F.lit("run_minutes").alias("metric"), F.col("object_name").alias("subject"),
+    minutes = _per_run(audit).select(
+        F.lit("run_minutes").alias("metric"), F.col("run_id").alias("subject"),
         ((F.unix_timestamp("finished_at") - F.unix_timestamp("started_at")) / 60).alias("value"))
     return rejected.unionByName(minutes)
 

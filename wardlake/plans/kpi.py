@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from wardlake.functions import dates
 from wardlake.functions import measures as m
 from wardlake.functions.ordering import percentiles
+from wardlake.operators import audit
 from wardlake.schemas import DEFAULT_CENTRE, REGION_CENTRES
 
 
@@ -42,8 +43,9 @@ def daily(fact: DataFrame, lo: date, hi: date, refreshed_at: datetime | None = N
 def refresh_daily(store, fact: DataFrame, lo: date, hi: date, name: str = "kpi_daily_hospital",
                   refreshed_at: datetime | None = None) -> None:
     """Replace the cube's days ``lo`` to ``hi``; running it twice changes nothing."""
-    store.replace_range(daily(fact, lo, hi, refreshed_at), name, "date_sk",
-                        dates.sk_of(lo), dates.sk_of(hi))
+    cube = daily(fact, lo, hi, refreshed_at)
+    audit.observed(store, "kpi", name, lambda watch: store.replace_range(
+        cube, name, "date_sk", dates.sk_of(lo), dates.sk_of(hi), watch))
 
 
 def volumes(fact: DataFrame) -> DataFrame:

@@ -27,7 +27,10 @@ EVENT_MONTH = "event_month"
 
 @dataclass
 class Config:
-    """Where the tables live and the day the run stands for. ``method`` deals organisations to facilities."""
+    """Where the tables live and the day the run stands for.
+
+    ``method`` deals organisations to facilities; ``run_id`` (a new one by default) and ``clock`` are those of the audit.
+    """
 
     spark: SparkSession
     store: TableStore
@@ -36,6 +39,8 @@ class Config:
     bronze: dict[str, DataFrame] = field(default_factory=dict)
     hospital_seed: DataFrame | None = None
     method: str = "crc32"
+    run_id: str | None = None
+    clock: Callable[[], datetime] = audit._utcnow
 
     def feed(self, name: str) -> DataFrame:
         return self.bronze[name] if name in self.bronze else self.store.read(name)
@@ -246,9 +251,8 @@ def _fact(cfg: Config, name: str, silver_name: str, part: str, day: str, build:
     if months is None:
         audit.observed_overwrite(cfg.store, df, "gold", name, [dates.MONTH])
     elif months:
-        with audit.logged(cfg.store, "gold", name) as entry:
-            cfg.store.replace_partitions(df, name, dates.MONTH, [None if v is None else int(v.replace("-", "")) for v in months])
-        audit.record(cfg.store, [entry | dict(finished_at=audit._utcnow())])
+        keys = [None if v is None else int(v.replace("-", "")) for v in months]
+        audit.observed(cfg.store, "gold", name, lambda watch: cfg.store.replace_partitions(df, name, dates.MONTH, keys, watch=watch))
 
 
 def _run_facts(cfg: Config, stays: list | None = None, claims: list | None = None, drugs: list | None = None) -> None:
@@ -272,11 +276,12 @@ def run_gold(cfg: Config) -> None:
 
 def run(cfg: Config, lo: date | None = None, hi: date | None = None) -> None:
     """The whole night; with a range only the daily cube of those days is refreshed after."""
-    run_silver(cfg)
-    run_gold(cfg)
-    start, end = lo or cfg.asof - timedelta(days=35), hi or cfg.asof
-    kpi.refresh_daily(cfg.store, cfg.store.read("fact_encounter"), start, end,
-                      refreshed_at=cfg.load_ts)
+    with audit.run(cfg.store, "night", cfg.run_id, cfg.clock):
+        run_silver(cfg)
+        run_gold(cfg)
+        start, end = lo or cfg.asof - timedelta(days=35), hi or cfg.asof
+        kpi.refresh_daily(cfg.store, cfg.store.read("fact_encounter"), start, end,
+                          refreshed_at=cfg.load_ts)
 
 
 def _refresh_cube(cfg: Config, months: list[str]) -> None:
@@ -299,6 +304,11 @@ def run_since(cfg: Config, since: datetime) -> dict[str, list]:
     dimensions, which are those of the nights). Late parents are found: encounters of a patient or provider that
     arrives now, and claims of an encounter that does, are resolved again.
     """
+    with audit.run(cfg.store, "increment", cfg.run_id, cfg.clock):
+        return _run_since(cfg, since)
+
+
+def _run_since(cfg: Config, since: datetime) -> dict[str, list]:
     months, arrived, paths = {}, {}, []
     for target in TARGETS:
         fresh = cfg.feed(target.feed).where(F.col(silver.INGEST_TS) > F.lit(since))
@@ -328,6 +338,11 @@ def backfill(cfg: Config, lo: date, hi: date) -> list:
     follow from them are found again, and ``fact_encounter`` and the daily cube of the months concerned
     are rewritten with all their parents.
     """
+    with audit.run(cfg.store, "backfill", cfg.run_id, cfg.clock):
+        return _backfill(cfg, lo, hi)
+
+
+def _backfill(cfg: Config, lo: date, hi: date) -> list:
     inside = ((F.col("start_at") >= F.lit(lo).cast("timestamp"))
               & (F.col("start_at") < F.lit(hi + timedelta(days=1)).cast("timestamp")))
     known = dq.latest(dq.apply(ENCOUNTERS.shape(cfg, cfg.feed(ENCOUNTERS.feed)), rules.encounter()).clean,

@@ -37,7 +37,7 @@ FEEDS: dict[str, str] = {
 
 AUDIT = """layer string, object_name string, rule string, rows_read bigint, rows_written bigint,
     rows_rejected bigint, started_at timestamp, finished_at timestamp, status string,
-    error_message string"""
+    error_message string, run_id string"""
 AUDIT_COLUMNS = [part.split()[0] for part in AUDIT.split(",")]
 
 # Payer names of the network and whether each is a government payer.

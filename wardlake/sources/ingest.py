@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardlake.operators import audit
 from wardlake.schemas import FEEDS
 from wardlake.sources.tables import TableStore
 
@@ -47,35 +48,39 @@ def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def csv_feeds(spark: SparkSession, paths: dict[str, str], store: TableStore, run_id: str,
               schemas: dict[str, str] | None = None,
-              ingest_ts: datetime | None = None) -> list[str]:
-    """One append-only Bronze table ``synthea_<feed>`` per CSV feed."""
+              ingest_ts: datetime | None = None, multiline: bool = True) -> list[str]:
+    """One append-only Bronze table ``synthea_<feed>`` per CSV feed; ``multiline`` as in ``read_csv``."""
     known = schemas or FEEDS
     names = []
     for feed, path in sorted(paths.items()):
-        rows = with_lineage(read_csv(spark, path, known[feed.lower()]), run_id, ingest_ts)
-        name = f"synthea_{feed.lower()}"
-        store.append(rows, name, ["_ingest_date"])
-        names.append(name)
+        rows = with_lineage(read_csv(spark, path, known[feed.lower()], multiline), run_id, ingest_ts)
+        names.append(_append(store, rows, f"synthea_{feed.lower()}", run_id))
     return names
 
 
+def _append(store: TableStore, rows: DataFrame, name: str, run_id: str) -> str:
+    """Add a delivery to a Bronze table and log its rows under its run."""
+    with audit.run(store, "ingest", run_id):
+        audit.observed_append(store, rows, "bronze", name, ["_ingest_date"])
+    return name
+
+
 def claims(spark: SparkSession, path: str, store: TableStore, run_id: str,
            ingest_ts: datetime | None = None) -> str:
     rows = with_lineage(read_jsonl(spark, path, FEEDS["claims"]), run_id, ingest_ts)
-    store.append(rows, "claims_raw", ["_ingest_date"])
-    return "claims_raw"
+    return _append(store, rows, "claims_raw", run_id)
 
 
 def providers(spark: SparkSession, path: str, store: TableStore, run_id: str,
               ingest_ts: datetime | None = None) -> str:
     """The registry is a full snapshot, so it replaces the table."""
     rows = with_lineage(read_json_array(spark, path, FEEDS["providers"]), run_id, ingest_ts)
-    store.overwrite(rows, "provider_registry")
+    with audit.run(store, "ingest", run_id):
+        audit.observed_overwrite(store, rows, "bronze", "provider_registry")
     return "provider_registry"
 
 
 def vitals(spark: SparkSession, path: str, store: TableStore, run_id: str,
            ingest_ts: datetime | None = None) -> str:
     rows = with_lineage(read_jsonl(spark, path, FEEDS["vitals"]), run_id, ingest_ts)
-    store.append(rows, "vitals_stream", ["_ingest_date"])
-    return "vitals_stream"
+    return _append(store, rows, "vitals_stream", run_id)

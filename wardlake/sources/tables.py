@@ -12,6 +12,7 @@ concurrent writers and time travel are left to a table format (``fmt``).
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,8 @@ from wardlake.functions import dates
 
 #: Folder name of the NULL partition.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+#: Sees the rows that a write passes on, to count them.
+Watch = Callable[[DataFrame], DataFrame] | None
 #: Folder below ``_old`` that holds a whole table.
 WHOLE = "__table__"
 
@@ -118,22 +121,23 @@ class TableStore:
     # --- writes ----------------------------------------------------------------
 
     @staticmethod
-    def _balanced(df: DataFrame, parts: list[str] | None) -> DataFrame:
-        """Group rows by target folder so each gets few files; AQE splits a big folder."""
-        return df.hint("rebalance", *parts) if parts else df
+    def _balanced(df: DataFrame, parts: list[str] | None, watch: Watch = None) -> DataFrame:
+        """Group rows by target folder so each gets few files; AQE splits a big folder. ``watch`` sees the rows last."""
+        rows = df.hint("rebalance", *parts) if parts else df
+        return rows if watch is None else watch(rows)
 
-    def append(self, df: DataFrame, name: str, parts: list[str] | None = None) -> None:
+    def append(self, df: DataFrame, name: str, parts: list[str] | None = None, watch: Watch = None) -> None:
         self.settle(name)
-        self._balanced(df, parts).write.format(self.fmt).mode("append").partitionBy(*(parts or [])).save(self.path(name))
+        self._balanced(df, parts, watch).write.format(self.fmt).mode("append").partitionBy(*(parts or [])).save(self.path(name))
 
-    def _aside(self, df: DataFrame, parts: list[str] | None) -> str:
+    def _aside(self, df: DataFrame, parts: list[str] | None, watch: Watch = None) -> str:
         path = f"{self.root}/_staging/{uuid.uuid4().hex}"
-        self._balanced(df, parts).write.format(self.fmt).mode("errorifexists").partitionBy(*(parts or [])).save(path)
+        self._balanced(df, parts, watch).write.format(self.fmt).mode("errorifexists").partitionBy(*(parts or [])).save(path)
         return path
 
-    def overwrite(self, df: DataFrame, name: str, parts: list[str] | None = None) -> None:
+    def overwrite(self, df: DataFrame, name: str, parts: list[str] | None = None, watch: Watch = None) -> None:
         """Full replacement; the rows may come from the table itself. The old files are gone afterwards."""
-        new = self._aside(df, parts)
+        new = self._aside(df, parts, watch)
         self.settle(name)
         self._swap(new, name)
 
@@ -144,14 +148,14 @@ class TableStore:
         return self.spark.read.format(self.fmt).schema(df.schema).load(path), path
 
     def replace_range(self, df: DataFrame, name: str, part: str, lo: int | str,
-                      hi: int | str) -> None:
+                      hi: int | str, watch: Watch = None) -> None:
         """Replace every row with ``lo <= part <= hi`` by ``df``; safe to repeat.
 
         The rows are written aside, and the folders of that write say what is new. Only then do
         partitions in the range change, each by a swap that never leaves it without rows; one that had rows
         and now has none goes last. Partitions outside the range, the NULL one too, are not touched.
         """
-        new = self._aside(df.where(F.col(part).between(lo, hi)), [part])
+        new = self._aside(df.where(F.col(part).between(lo, hi)), [part], watch)
         if self.fmt in ("parquet", "orc", "json", "csv") and not self._finished(new):
             raise OSError(f"the rows for {name} were not written completely")
         prefix = f"{part}="
@@ -166,13 +170,13 @@ class TableStore:
         self.drop(new)
 
     def replace_partitions(self, df: DataFrame, name: str, part: str, values: list | None = None,
-                           sub: list[str] | None = None) -> list[str]:
+                           sub: list[str] | None = None, watch: Watch = None) -> list[str]:
         """Replace partitions, each by a swap, and return the names of their folders.
 
         Replaced are those that ``df`` has rows for. With ``values`` it must have rows for no others, and those
         of the list that it has none for go. ``sub`` names further partition columns below.
         """
-        new = self._aside(df, [part, *(sub or [])])
+        new = self._aside(df, [part, *(sub or [])], watch)
         if self.fmt in ("parquet", "orc", "json", "csv") and not self._finished(new):
             raise OSError(f"the rows for {name} were not written completely")
         self.settle(name)
