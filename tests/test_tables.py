@@ -120,6 +120,36 @@ def test_ingest_logs_bronze(spark, store, tmp_path):
     assert (row["object_name"], row["rows_written"], row["run_id"]) == ("synthea_patients", 2, "run-7")
 
 
+def test_malformed_rows_are_kept_with_their_text(spark, store, tmp_path, tuples):
+    (tmp_path / "p.csv").write_text('Id,CITY\n1,x\n2\n3,"a ""b"",\nc"\n4,y,z,w\n')
+    (tmp_path / "c.json").write_text('{"claim_id":"c1","status":"denied"}\n{"claim_id":"c2\n[]\nnoise\n{"claim_id":"c3","billed_amount":"much"}\n')
+    (tmp_path / "r.json").write_text('[{"npi":"1","is_active":true},{"npi":"2","is_active":"maybe"}]')
+    ingest.csv_feeds(spark, {"patients": f"{tmp_path}/p.csv"}, store, "r", {"patients": "Id string, CITY string"}, datetime(2020, 1, 1))
+    ingest.claims(spark, f"{tmp_path}/c.json", store, "r", datetime(2020, 1, 1))
+    ingest.providers(spark, f"{tmp_path}/r.json", store, "r", datetime(2020, 1, 1))
+    assert tuples(store.read("synthea_patients"), "Id", "CITY") == [("1", "x"), ("3", 'a "b",\nc')]
+    assert tuples(store.read("quarantine/bronze/synthea_patients"), "body", "readable") == [
+        ("2", '{"Id":"2"}'), ("4,y,z,w", '{"Id":"4","CITY":"y"}')]
+    assert tuples(store.read("claims_raw"), "claim_id") == [("c1",)]
+    kept = {r["body"] for r in store.read("quarantine/bronze/claims_raw").collect()}
+    assert {'{"claim_id":"c2', "noise", '{"claim_id":"c3","billed_amount":"much"}'} <= kept
+    log = {r["object_name"]: (r["rows_read"], r["rows_written"], r["rows_rejected"])
+           for r in store.read(audit.TABLE).where("layer = 'bronze'").collect()}
+    assert log["synthea_patients"] == (4, 2, 2) and log["claims_raw"] == (1 + len(kept), 1, len(kept))
+    assert log["provider_registry"][0] == log["provider_registry"][1] + log["provider_registry"][2]
+
+
+def test_payloads_are_readings_or_quarantined(spark, tmp_path, tuples):
+    rows = [('{"device_id":"d","event_time":"2020-01-01T00:00:00.000Z","heart_rate_bpm":140}',), ("{oops",), (None,), ("",),
+            ('{"device_id":"d","event_time":"soon"}',), ("[1]",)]
+    spark.createDataFrame(rows, "body string").withColumn("arrival_ts", F.lit(datetime(2020, 1, 1))).write.parquet(f"{tmp_path}/in")
+    raw = spark.readStream.schema("body string, arrival_ts timestamp").parquet(f"{tmp_path}/in")
+    sinks.await_all(spark, sinks.write_payloads(raw, str(tmp_path), f"{tmp_path}/ckpt", None))
+    assert tuples(spark.read.parquet(f"{tmp_path}/vitals_stream"), "device_id", "derived_anomaly_kind") == [("d", "tachycardia")]
+    bad = spark.read.parquet(f"{tmp_path}/quarantine/vitals_stream")
+    assert sorted(str(r["body"]) for r in bad.collect()) == sorted(str(r[0]) for r in rows[1:])
+
+
 READING = {"heart_rate_bpm": 80.0, "spo2_pct": 97.0, "systolic_bp": 120.0, "temperature_c": 37.0}
 
 

@@ -50,6 +50,21 @@ def json_lines(b: Bindings):
         F.get("line_items", F.lit(0))["cpt_code"].alias("first_cpt"))
 
 
+@query("src_02_malformed_lines", "claim_id:s body:s readable:b", """
+    SELECT CASE WHEN l_orderkey % 10 <> 7 THEN claim_bk END AS claim_id,
+        CASE WHEN l_orderkey % 10 = 7 THEN '{"claim_id":"' || claim_bk END AS body, l_orderkey % 10 <> 7 AS readable
+    FROM claim""")
+def malformed_lines(b: Bindings):
+    """Lines that are cut off go to quarantine with their text; together with the others they are all lines."""
+    path, lake = shared_dir(b.spark, "broken"), store(b)
+    order = F.split("claim_number", "-")[1].cast("bigint")
+    whole = F.to_json(F.struct("claim_id", "claim_number", "status", "billed_amount", "line_items"))
+    b.raw_claims().select(F.when(order % 10 == 7, F.concat(F.lit('{"claim_id":"'), "claim_id")).otherwise(whole)).write.text(path)
+    ingest.claims(b.spark, path, lake, "run-1", LOAD_TS)
+    good = lake.read("claims_raw").select("claim_id", F.lit(True).alias("readable"))
+    return good.unionByName(lake.read("quarantine/bronze/claims_raw").select("body", F.lit(False).alias("readable")), True)
+
+
 @query("src_03_json_array", "npi:s last_name:s is_active:b", """
     SELECT provider_bk AS npi, last_name, is_active FROM provider""")
 def json_array(b: Bindings):

@@ -38,16 +38,25 @@ def typed(b: Bindings):
 
 
 @query("str_01_parse_payload", "event_id:s device_id:s heart_rate_bpm:d spo2_pct:d event_second:s "
-       "delay_s:i", """
+       "delay_s:i body:s", """
     SELECT cast(event_id AS varchar) AS event_id, device_id, hr AS heart_rate_bpm, spo2 AS spo2_pct,
-        cast(date_trunc('second', ts) AS varchar) AS event_second, 30 AS delay_s FROM reading""")
+        cast(date_trunc('second', ts) AS varchar) AS event_second, 30 AS delay_s, NULL AS body
+    FROM reading WHERE event_id % 50 <> 0 AND event_id % 70 <> 0
+    UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, CASE WHEN event_id % 50 = 0 THEN '{"event_id": ' || event_id
+        ELSE '{"event_id":"' || event_id || '","event_time":"soon"}' END
+    FROM reading WHERE event_id % 50 = 0 OR event_id % 70 = 0""")
 def parse_payload(b: Bindings):
-    out = shared_dir(b.spark, "parsed")
-    sinks.await_all(b.spark, [sinks.write_append(flagged(b), out, f"{out}-ckpt", None)])
-    got = b.spark.read.parquet(out)
-    return got.withColumns({
+    """Every payload is a reading or, with its text, in quarantine: some are cut off, some have no time."""
+    root, event = shared_dir(b.spark, "parsed"), F.col("event_id").cast("bigint")
+    raw = b.as_bodies(b.as_vitals(b.events_stream())).withColumn("event_id", F.get_json_object("body", "$.event_id"))
+    raw = raw.withColumn("body", F.when(event % 50 == 0, F.concat(F.lit('{"event_id": '), "event_id"))
+                         .when(event % 70 == 0, F.concat(F.lit('{"event_id":"'), "event_id", F.lit('","event_time":"soon"}')))
+                         .otherwise(F.col("body"))).drop("event_id")
+    sinks.await_all(b.spark, sinks.write_payloads(raw, root, f"{root}/ckpt", None))
+    good = b.spark.read.parquet(f"{root}/vitals_stream").withColumns({
         "event_second": F.date_trunc("second", "event_ts"),
         "delay_s": F.unix_timestamp("arrival_ts") - F.unix_timestamp("event_ts")})
+    return good.unionByName(b.spark.read.parquet(f"{root}/quarantine/vitals_stream").select("body"), True)
 
 
 @query("str_03_bronze_append", "ingest_date:s n:i anomalies:i", """

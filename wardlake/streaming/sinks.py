@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from wardlake.streaming import vitals
 from wardlake.streaming.upsert import UpsertTable
 
 
@@ -48,6 +49,16 @@ def write_bronze(events: DataFrame, root: str, checkpoint: str,
                         ["_ingest_date"])
 
 
+def write_payloads(raw: DataFrame, root: str, checkpoint: str, trigger_s: int | None = 30,
+                   thresholds: vitals.Thresholds = vitals.Thresholds()) -> list[StreamingQuery]:
+    """Two sinks of one stream of payloads: readings to Bronze, and the text of what is none to the quarantine."""
+    readings = vitals.flag_anomalies(vitals.parse(raw).where(F.col("event_ts").isNotNull()), thresholds)
+    bad = vitals.malformed(raw).withColumn("_quarantine_date", F.to_date("arrival_ts"))
+    return [
+        write_bronze(readings, root, checkpoint, trigger_s),
+        write_append(bad, f"{root}/quarantine/vitals_stream", f"{checkpoint}/quarantine_vitals", trigger_s, ["_quarantine_date"])]
+
+
 def write_minutes(minutes: DataFrame, root: str, checkpoint: str,
                   trigger_s: int | None = 30, partitions: int | None = None) -> StreamingQuery:
     with state_partitions(minutes.sparkSession, partitions):
