@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from wardlake.functions.keys import date_sk
 from wardlake.operators import audit, monitor
 from wardlake.sources import ingest, streams
-from wardlake.streaming import sinks, vitals
+from wardlake.streaming import progress, sinks, vitals
 from wardlake.streaming.upsert import UpsertTable
 
 
@@ -325,6 +325,23 @@ def test_stream_equals_batch_and_drops_late(spark, tmp_path, tuples):
     assert run() == once
 
 
+def test_progress_of_a_stream_is_a_table(spark, store, tmp_path):
+    rows = reading(spark, {}, {"event_ts": datetime(2020, 1, 1, 0, 5)}).withColumn("arrival_ts", F.col("event_ts") + F.expr("interval 3 minutes"))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/in")
+    log = progress.ProgressLog(store, every=1)
+    spark.streams.addListener(log)
+    try:
+        stream = progress.with_lag(spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in"))
+        query = sinks.write_minutes(vitals.minute_aggregate(vitals.flag_anomalies(stream)), str(tmp_path), f"{tmp_path}/ckpt", None, 2)
+        sinks.await_all(spark, [query])
+        log.wait([query])
+    finally:
+        spark.streams.removeListener(log)
+    got = monitor.batch_lag(store.read(progress.TABLE)).collect()
+    assert [(r["batch_id"], r["input_rows"], r["max_lag_s"], r["is_late"]) for r in got] == [(0, 2, 180, True)]
+    assert got[0]["run_id"] == str(query.runId) and got[0]["batch_ms"] > 0
+
+
 def test_payload_parsing_of_bad_text(spark):
     raw = spark.createDataFrame([('{"device_id":"d","event_time":"2020-01-01T00:00:00.000Z"}',), ("{oops",)],
                                 "body string").withColumn("arrival_ts", F.current_timestamp())

@@ -13,6 +13,8 @@ from wardlake.contract.sinks import FAULT_RULE, faulty_encounters
 from wardlake.contract.sources import store
 from wardlake.contract.sqlbind import pct
 from wardlake.operators import audit, dq, monitor, profile, rules, silver
+from wardlake.session import shared_dir
+from wardlake.streaming import progress, sinks
 
 
 @query("dq_01_rule_split", "side:s rule:s n:i", """
@@ -289,6 +291,30 @@ def stream_lag(b: Bindings):
     return monitor.stream_lag(b.as_vitals(b.events()).withColumn("arrival_ts", late))
 
 
+@query("dq_20_stream_progress", "input_rows:i max_lag_s:i is_late:b", """
+    SELECT count(*) AS input_rows, max(lag) AS max_lag_s, max(lag) > 120 AS is_late
+    FROM (SELECT event_id % 4 AS part, floor(epoch(ts + to_seconds(cast(event_id % (50 * (event_id % 4 + 1)) AS integer))))
+        - floor(epoch(ts)) AS lag FROM events) AS x GROUP BY part""")
+def stream_progress(b: Bindings):
+    """A replay of the events in four micro-batches, of which a listener writes the progress."""
+    root, lake = shared_dir(b.spark, "progress"), store(b)
+    part, event = F.col("event_id") % 4, F.col("event_id").cast("bigint")
+    b.events().repartition(4, part).withColumn("part", part).write.partitionBy("part").parquet(f"{root}/in")
+    rows = b.spark.readStream.schema(b.events().schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True) \
+        .parquet(f"{root}/in")
+    late = F.timestamp_add("SECOND", (event % (50 * (event % 4 + 1))).cast("int"), F.col("event_ts"))
+    log = progress.ProgressLog(lake)
+    b.spark.streams.addListener(log)
+    try:
+        readings = progress.with_lag(b.as_vitals(rows).withColumn("arrival_ts", late))
+        query = sinks.write_append(readings, f"{root}/out", f"{root}/ckpt", None)
+        sinks.await_all(b.spark, [query])
+        log.wait([query])
+    finally:
+        b.spark.streams.removeListener(log)
+    return monitor.batch_lag(lake.read(progress.TABLE))
+
+
 @query("dq_21_claim_in_encounter", "claim_bk:s rejected_rule:s", """
     SELECT claim_bk, CASE WHEN e.encounter_bk IS NULL THEN NULL
         WHEN service_date >= start_at::date AND (end_at IS NULL OR service_date <= end_at::date)

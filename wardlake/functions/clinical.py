@@ -124,23 +124,30 @@ def shift_of(hour: Column) -> Column:
     )
 
 
+#: Months up to this day are given a rate.
+LAST_RATE = "2049-12-31"
+
+
 def convert_fx(df: DataFrame, rates: DataFrame, amount: str, out: str,
                currency: str = "currency", day: str = "service_date") -> DataFrame:
     """Amount in local currency at the rate in force on the day.
 
-    ``rates`` holds currency, rate and valid_from. Each rate ends where the next of
-    its currency starts, so the join is on the currency and a half-open interval.
+    ``rates`` holds currency, rate and valid_from; a rate ends where the next of its currency
+    starts. Every currency gets one map from month to the rates that begin in it or hold at
+    its start, so a row's rate follows from an equality on currency and month and a look at a few
+    entries: no row meets all rates, also where there is one currency. The last rate holds on, until ``LAST_RATE``.
     """
     w = Window.partitionBy("currency").orderBy("valid_from")
-    spans = rates.select(
-        F.col("currency").alias("_cur"), "rate", F.col("valid_from").alias("_from"),
-        F.lead("valid_from").over(w).alias("_to"))
-    hit = (
-        (F.col(currency) == F.col("_cur")) & (F.col(day) >= F.col("_from"))
-        & (F.col("_to").isNull() | (F.col(day) < F.col("_to")))
-    )
+    until = F.coalesce(F.date_sub(F.lead("valid_from").over(w), 1), F.greatest("valid_from", F.lit(LAST_RATE).cast("date")))
+    spans = rates.select("currency", "rate", "valid_from", until.alias("until")).where("valid_from <= until")
+    months = spans.select("currency", F.struct("valid_from", "rate").alias("r"), F.explode(F.sequence(
+        F.trunc("valid_from", "MONTH"), F.trunc("until", "MONTH"), F.expr("interval 1 month"))).alias("_month"))
+    held = months.groupBy(F.col("currency").alias("_cur"), "_month").agg(F.array_sort(F.collect_list("r")).alias("_rates"))
+    past = F.filter("_rates", lambda r: r["valid_from"] <= F.col(day))
+    rate = F.element_at(past, -1)["rate"]
     return (
-        df.join(spans, hit, "left")
-        .withColumn(out, (F.col(amount) * F.col("rate")).cast("decimal(14,2)"))
-        .drop("_cur", "rate", "_from", "_to")
+        df.withColumn("_day_month", F.trunc(day, "MONTH"))
+        .join(held, (F.col(currency) == F.col("_cur")) & (F.col("_day_month") == F.col("_month")), "left")
+        .withColumn(out, F.when(F.size(past) > 0, (F.col(amount) * rate).cast("decimal(14,2)")))
+        .drop("_cur", "_month", "_day_month", "_rates")
     )

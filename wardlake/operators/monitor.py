@@ -74,6 +74,12 @@ def stream_lag(bronze: DataFrame, event_ts: str = "event_ts", arrival: str = "ar
     )
 
 
+def batch_lag(progress: DataFrame, limit_s: int = LAG_SECONDS) -> DataFrame:
+    """Micro-batches of the progress table with their largest lag, flagged above the limit."""
+    return progress.select("query", "run_id", "batch_id", "started_at", "input_rows", "batch_ms", "watermark", "max_lag_s").withColumn(
+        "is_late", F.coalesce(F.col("max_lag_s") > limit_s, F.lit(False)))
+
+
 def limits_table(spark, limits: dict[str, float] | None = None) -> DataFrame:
     return spark.createDataFrame(list((limits or LIMITS).items()), "metric string, limit_value double")
 
