@@ -3,7 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from wardlake.operators import audit, monitor
+from wardlake.operators import audit, dims, monitor
 from wardlake.plans import nightly, queries, views
 from wardlake.schemas import FEEDS
 from wardlake.sources.tables import TableStore
@@ -194,6 +194,34 @@ def test_a_chain_of_nights_equals_the_whole_run(spark, tmp_path, tuples):
     assert done["a"]["patient_version_sk"] in [r[0] for r in chain.read("dim_patient").select("patient_version_sk").collect()]
 
 
+def test_vitals_of_a_night(spark, store, tuples):
+    def readings(*rows, ts):
+        given = [{"event_id": e, "event_time": t, "device_id": "d", "patient_id": p, "hospital_code": "h1", "bed_number": "b1",
+                  "heart_rate_bpm": hr} for e, t, p, hr in rows]
+        return feed(spark, "vitals", *given, ts=ts).withColumn("_ingest_date", F.to_date("_ingest_ts"))
+
+    seed = spark.createDataFrame([("h1", "One", "C", "Cairo", "10", "0", "30.1", "31.1")], FEEDS["facilities"])
+    store.overwrite(dims.with_unknown(dims.hospital_from_seed(seed), "hospital_sk", "hospital_bk"), "dim_hospital")
+    first = readings(("1", "2020-06-01T08:00:05.000Z", "p1", 140.0), ("2", "2020-06-02T08:00:05.000Z", "p1", 80.0),
+                     ("3", "noon", "p1", 80.0), ts=datetime(2020, 6, 2, 9))
+    second = readings(("1", "2020-06-01T08:00:05.000Z", "p1", 140.0), ("4", "2020-06-01T08:00:09.000Z", "p1", 60.0),
+                      ("5", "2020-06-03T08:00:05.000Z", "p2", 80.0), ts=datetime(2020, 6, 3, 9))
+    cfg = nightly.Config(spark, store, date(2020, 6, 3), datetime(2020, 6, 3), {"vitals_stream": first})
+    assert nightly.run_vitals(cfg) == []
+    kept = store.files(f"{store.path('fact_vital_signs_minute')}/date_sk=20200602")
+    assert len(kept) and store.read("fact_vital_signs_minute").count() == 2
+    cfg.bronze["vitals_stream"] = first.unionByName(second)
+    assert nightly.run_vitals(cfg, datetime(2020, 6, 2, 10)) == [20200601, 20200603]
+    got = tuples(store.read("fact_vital_signs_minute"), "date_sk", "sample_count", "anomaly_event_count")
+    assert got == [(20200601, 2, 1), (20200602, 1, 0), (20200603, 1, 0)]
+    assert store.files(f"{store.path('fact_vital_signs_minute')}/date_sk=20200602") == kept
+    nightly.run_vitals(cfg)
+    assert tuples(store.read("fact_vital_signs_minute"), "date_sk", "sample_count", "anomaly_event_count") == got
+    assert nightly.run_vitals(cfg, datetime(2020, 6, 4)) == []
+    t = {"fact_vital_signs_minute": store.read("fact_vital_signs_minute"), "dim_hospital": store.read("dim_hospital")}
+    assert {r[0] for r in t["fact_vital_signs_minute"].join(t["dim_hospital"], "hospital_sk").select("hospital_name").collect()} == {"One"}
+
+
 def test_backfill_touches_only_its_months(cfg, store, tuples):
     nightly.run_silver(cfg)
     nightly.run_gold(cfg)

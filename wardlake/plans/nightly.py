@@ -20,9 +20,11 @@ from wardlake.functions.keys import record_hash
 from wardlake.operators import audit, dims, dq, facts, rules, scd, silver
 from wardlake.plans import kpi
 from wardlake.sources.tables import TableStore
+from wardlake.streaming import vitals
 
 FIRST_VALID = datetime(1900, 1, 1)
 EVENT_MONTH = "event_month"
+VITALS, VITAL_FACT = "vitals_stream", "fact_vital_signs_minute"
 
 
 @dataclass
@@ -271,6 +273,41 @@ def run_gold(cfg: Config) -> None:
     _run_facts(cfg)
 
 
+def _readings(df: DataFrame) -> DataFrame:
+    """Bronze vitals of the batch or the stream reader, with their event time and day; without one a row is no reading."""
+    rows = df if "event_ts" in df.columns else df.withColumn("event_ts", F.try_to_timestamp(F.col("event_time")))
+    return rows.where(F.col("event_ts").isNotNull()).withColumn("_day", facts.date_sk("event_ts"))
+
+
+def run_vitals(cfg: Config, since: datetime | None = None) -> list[int]:
+    """Minutes of the bedside readings with resolved parents, by day; the days written anew.
+
+    A reading delivered again counts once. With ``since`` only days with readings ingested later are built again,
+    from the deliveries of those days and after.
+    """
+    store = cfg.store
+    if VITALS not in cfg.bronze and not store.exists(VITALS):
+        return []
+    rows = _readings(cfg.feed(VITALS))
+    days = None
+    if since is not None:
+        late = rows.where(F.col(silver.INGEST_TS) > F.lit(since)).select("_day")
+        days = sorted(r[0] for r in late.distinct().collect())
+        if not days:
+            return []
+        rows = rows.where(F.col("_day").isin(days))
+        if "_ingest_date" in rows.columns:  # nothing is delivered before it happens
+            first = date(days[0] // 10000, days[0] // 100 % 100, days[0] % 100)
+            rows = rows.where(F.col("_ingest_date") >= F.lit(first))
+    once = vitals.dedup(vitals.flag_anomalies(rows.drop("_day")))
+    fact = vitals.fact_minutes(vitals.minute_aggregate(once, None), _facilities(cfg), _parent(cfg, "dim_patient"))
+    if days is None:
+        audit.observed_overwrite(store, fact, "gold", VITAL_FACT, ["date_sk"])
+    else:
+        audit.observed(store, "gold", VITAL_FACT, lambda watch: store.replace_partitions(fact, VITAL_FACT, "date_sk", days, watch=watch))
+    return days or []
+
+
 # --- runs --------------------------------------------------------------------------
 
 
@@ -279,6 +316,7 @@ def run(cfg: Config, lo: date | None = None, hi: date | None = None) -> None:
     with audit.run(cfg.store, "night", cfg.run_id, cfg.clock):
         run_silver(cfg)
         run_gold(cfg)
+        run_vitals(cfg)
         start, end = lo or cfg.asof - timedelta(days=35), hi or cfg.asof
         kpi.refresh_daily(cfg.store, cfg.store.read("fact_encounter"), start, end,
                           refreshed_at=cfg.load_ts)
@@ -325,6 +363,7 @@ def _run_since(cfg: Config, since: datetime) -> dict[str, list]:
         "fact_prescription": sorted(months[MEDICATIONS], key=lambda m: m or ""),
     }
     _run_facts(cfg, again["fact_encounter"], again["fact_claim"], again["fact_prescription"])
+    again[VITAL_FACT] = run_vitals(cfg, since)
     _refresh_cube(cfg, again["fact_encounter"])
     for path in paths:
         cfg.store.drop(path)
