@@ -192,3 +192,20 @@ def test_profiles(spark, tuples):
     assert (one["n"], one["mean"], one["p50"], one["hi"]) == (4, 2.5, 2.5, 4.0)
     gaps = spark.createDataFrame([(date(2020, 1, 5),), (date(2020, 3, 5),)], "d date")
     assert [r["n"] for r in profile.monthly(gaps, "d").orderBy("month").collect()] == [1, 0, 1]
+
+
+def test_erasure_rewrites_only_folders_of_the_subject(spark, store, tuples):
+    rows = spark.createDataFrame([("a", 1, 202001), ("b", 2, 202001), ("b", 3, 202002), ("a", 4, 202003), (None, 5, None), ("a", 6, None)],
+                                 "bk string, v int, month_sk int")
+    store.append(rows, "t", ["month_sk"])
+    store.overwrite(rows, "plain")
+    store.overwrite(rows.where("bk = 'b'"), "other")
+    kept = {m: store.files(f"{store.path('t')}/month_sk={m}") for m in (202001, 202002, 202003)}
+    other = store.files(store.path("other"))
+    held = governance.Held("bk", "who")
+    subjects = spark.createDataFrame([("a",), (None,)], "who string")
+    done = governance.erase_everywhere(store, {"t": governance.Held("bk", "who", ("month_sk",)), "plain": held, "other": held}, subjects)
+    assert done == {"t": ["month_sk=202001", "month_sk=202003", "month_sk=__HIVE_DEFAULT_PARTITION__"], "plain": ["plain"], "other": []}
+    assert tuples(store.read("t"), "v") == tuples(store.read("plain"), "v") == [(2,), (3,), (5,)]
+    assert store.files(f"{store.path('t')}/month_sk=202002") == kept[202002] and store.files(store.path("other")) == other
+    assert store.files(f"{store.path('t')}/month_sk=202003") == [] and store.files(f"{store.path('t')}/month_sk=202001") != kept[202001]

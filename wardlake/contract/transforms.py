@@ -6,12 +6,13 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from wardlake.bindings import ASOF, Bindings
+from wardlake.bindings import ASOF, LOAD_TS, Bindings
 from wardlake.contract.registry import query
 from wardlake.contract.sinks import store
 from wardlake.contract.sqlbind import _case_chapter, _case_region, sk
 from wardlake.functions import clinical, dates, keys
-from wardlake.operators import dims, governance
+from wardlake.functions.keys import hash_sk
+from wardlake.operators import dims, dq, governance, monitor
 from wardlake.plans import kpi, views
 from wardlake.streaming import vitals
 
@@ -200,21 +201,30 @@ def mask(b: Bindings):
 
 
 @query("prj_22_erasure", "table_name:s n:i", """
-    SELECT 'encounters' AS table_name, count(*) AS n FROM encounter
-        WHERE cast(patient_bk AS bigint) % 13 <> 0
-    UNION ALL SELECT 'patients', count(*) FROM patient WHERE cast(patient_bk AS bigint) % 13 <> 0""")
+    SELECT 'silver/encounters' AS table_name, count(*) AS n FROM encounter WHERE cast(patient_bk AS bigint) % 13 <> 0
+    UNION ALL SELECT 'bronze/encounters', count(*) FROM encounter WHERE cast(patient_bk AS bigint) % 13 <> 0
+    UNION ALL SELECT 'quarantine/encounters', count(*) FROM encounter WHERE cast(patient_bk AS bigint) % 13 <> 0 AND reason_code IS NULL
+    UNION ALL SELECT 'gold/encounters', count(*) FROM encounter WHERE cast(patient_bk AS bigint) % 13 <> 0
+    UNION ALL SELECT 'silver/patients', count(*) FROM patient WHERE cast(patient_bk AS bigint) % 13 <> 0""")
 def erasure(b: Bindings):
-    """Some patients removed from two layers; one of them an append table; their old files are gone."""
-    lake = store(b)
-    lake.overwrite(b.patients(), "patients")
-    lake.append(b.encounters(), "encounters", ["start_year_month"])
-    subjects = b.patients().where(F.col("patient_bk").cast("bigint") % 13 == 0).select("patient_bk")
-    governance.erase_everywhere(
-        lake, {"patients": ("patient_bk", None), "encounters": ("patient_bk", ["start_year_month"])}, subjects)
-    return lake.read("patients").agg(F.count(F.lit(1)).alias("n")) \
-        .withColumn("table_name", F.lit("patients")).unionByName(
-            lake.read("encounters").agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("table_name", F.lit("encounters")))
+    """Some patients removed from every layer, from tables of several layouts and keys."""
+    lake, month = store(b), "start_year_month"
+    lake.append(b.raw_encounters().withColumn("_ingest_date", F.trunc("START", "YEAR")), "bronze/encounters", ["_ingest_date"])
+    checked = dq.split(b.encounters(), F.col("reason_code") >= "A", "reason_present", LOAD_TS)
+    dq.write_quarantine(checked, lake, "quarantine/encounters")
+    lake.overwrite(b.patients(), "silver/patients")
+    lake.append(b.encounters(), "silver/encounters", [month])
+    gold = b.fact_encounter().withColumn(dates.MONTH, dates.month_of("start_date_sk"))
+    lake.append(gold, "gold/encounters", [dates.MONTH])
+    gone = b.patients().where(F.col("patient_bk").cast("bigint") % 13 == 0).select("patient_bk", hash_sk("patient_bk").alias("patient_sk"))
+    governance.erase_everywhere(lake, {
+        "bronze/encounters": governance.Held("PATIENT", "patient_bk", ("_ingest_date",)),
+        "quarantine/encounters": governance.Held("patient_bk", "patient_bk", (dq.RUN, dq.RULE)),
+        "silver/patients": governance.Held("patient_bk", "patient_bk"),
+        "silver/encounters": governance.Held("patient_bk", "patient_bk", (month,)),
+        "gold/encounters": governance.Held("patient_sk", "patient_sk", (dates.MONTH,))}, gone)
+    names = ("bronze/encounters", "quarantine/encounters", "silver/patients", "silver/encounters", "gold/encounters")
+    return monitor.row_counts({name: lake.read(name) for name in names})
 
 
 @query("prj_23_suppression", "governorate:s age_band:s gender:s n:i deceased:i", """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -38,17 +39,43 @@ def erase(df: DataFrame, subjects: DataFrame, key: str) -> DataFrame:
     return df.join(subjects.select(key), key, "left_anti")
 
 
-def erase_everywhere(store, tables: dict[str, tuple[str, list[str] | None]], subjects: DataFrame) -> None:
-    """Rewrite tables of any layer (name -> key column, partition columns) without the subjects.
+@dataclass(frozen=True)
+class Held:
+    """Where a table names the subject: its column, the column of the subjects it equals, and the table's partition columns."""
 
-    The old files are deleted, so the subjects can not be read back. The subjects are written aside
-    first: they may come from one of the tables.
+    key: str
+    subject: str
+    parts: tuple[str, ...] = ()
+
+
+def erase_everywhere(store, tables: dict[str, Held], subjects: DataFrame) -> dict[str, list[str]]:
+    """Remove the subjects from tables of any layer; the folders that were rewritten, by table.
+
+    A scan of the key and partition columns finds the partitions that hold a subject; only those are rewritten, so a
+    few subjects cost a few folders, and other files stay as they are. A table without partitions is
+    rewritten if it holds one. Old files are deleted, so the subjects can not be read back. The subjects
+    are written aside first: they may come from one of the tables.
     """
-    first = subjects.columns[0]
     kept, path = store.stage(subjects)
-    for name, (key, parts) in tables.items():
-        store.overwrite(erase(store.read(name), kept.withColumnRenamed(first, key), key), name, parts)
+    done = {}
+    for name, held in tables.items():
+        rows = store.read(name)
+        wanted = kept.select(F.col(held.subject).alias(held.key)).where(F.col(held.key).isNotNull()).distinct()
+        hits = rows.join(wanted, held.key, "left_semi")
+        if not held.parts:
+            done[name] = []
+            if not hits.isEmpty():
+                store.overwrite(erase(rows, wanted, held.key), name)
+                done[name] = [name]
+            continue
+        part, *sub = held.parts
+        values = [r[0] for r in hits.select(part).distinct().collect()]
+        here = F.col(part).isin([v for v in values if v is not None])
+        if None in values:
+            here = here | F.col(part).isNull()
+        done[name] = store.replace_partitions(erase(rows.where(here), wanted, held.key), name, part, values, sub) if values else []
     store.drop(path)
+    return done
 
 
 def suppress(df: DataFrame, count_col: str, measures: list[str], k: int = 5) -> DataFrame:
