@@ -124,3 +124,16 @@ def test_running_total_matches_window(spark, tuples):
 def test_value_bucket_is_monotone(spark):
     got = [r[0] for r in values(spark).orderBy("v").select(o.value_bucket(F.col("v"))).collect()]
     assert got == sorted(got)
+
+
+def test_tiles_equal_plain_ntile(spark):
+    """A value of a third of the rows lies over several tiles; tiles may outnumber rows."""
+    rng = random.Random(21)
+    for n, tiles in [(300, 4), (300, 7), (5, 4), (3, 5), (1, 4), (0, 4)]:
+        data = [(float(rng.choice([0, 0, 0, -3, 12, rng.uniform(-50, 1e5)])), f"k{i}") for i in range(n)]
+        df = spark.createDataFrame(data, "v double, id string")
+        cut = df.select("v", F.ntile(tiles).over(Window.orderBy("v", "id")).alias("tile"))
+        want = cut.groupBy("tile").agg(F.count("v"), F.min("v"), F.max("v"), F.sum("v"), F.percentile("v", 0.5), F.percentile("v", 0.9))
+        got = o.tile_summary(df, "v", tiles, {"a": 0.5, "b": 0.9})
+        want, got = (np.array(sorted(tuple(r) for r in x.collect()), dtype=float) for x in (want, got))
+        assert want.shape == got.shape and np.allclose(want, got)

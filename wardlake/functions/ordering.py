@@ -165,6 +165,36 @@ def ntile_of(row_num: Column, total: Column, tiles: int) -> Column:
     return F.when(row_num <= big * (small + 1), in_big).otherwise(in_small).cast("int")
 
 
+def tile_start(tile: Column, total: Column, tiles: int) -> Column:
+    """Rows before a tile of ``ntile``; tiles count from 1."""
+    small = F.floor(total / F.lit(tiles).cast("bigint"))
+    return (tile - 1) * small + F.least(tile - 1, total - small * tiles)
+
+
+def tile_summary(df: DataFrame, value: str, tiles: int, probs: dict[str, float], out: str = "tile") -> DataFrame:
+    """Per tile of ``ntile`` over ``value``: ``n`` rows, ``low``, ``high``, ``sum`` and interpolated percentiles.
+
+    No row is numbered. A distinct value takes a run of places in the whole order, and what a tile gets
+    of it is the part of the run inside the tile; a value shared by many rows may feed several tiles. Ties are equal
+    values, so their order can not matter. ``value`` is not NULL; a tile without rows is left out.
+    """
+    runs = rank_table(df.select(value), [], [value])
+    first, last = (ntile_of(F.col("n_before") + at, F.col("n_total"), tiles) for at in (F.lit(1), F.col("n")))
+    cut = runs.withColumn(out, F.explode(F.sequence(first, last)))
+    start = tile_start(F.col(out), F.col("n_total"), tiles)
+    cut = cut.withColumn("_from", F.greatest(F.col("n_before") - start, F.lit(0))) \
+        .withColumn("_size", tile_start(F.col(out) + 1, F.col("n_total"), tiles) - start)
+    cut = cut.withColumn("_n", F.least(F.col("n_before") + F.col("n") - start, F.col("_size")) - F.col("_from"))
+    columns = []
+    for name, p in probs.items():
+        at = (F.col("_size") - 1) * F.lit(float(p))
+        low, high = (F.max(F.when(F.col("_from") <= step, F.col(value))).cast("double") for step in (F.floor(at), F.ceil(at)))
+        columns.append((low + (high - low) * F.max(at - F.floor(at))).alias(name))
+    return cut.groupBy(out).agg(
+        F.sum("_n").alias("n"), F.min(value).alias("low"), F.max(value).alias("high"),
+        F.sum(F.col(value) * F.col("_n")).alias("sum"), *columns)
+
+
 def running_total(df: DataFrame, amount: str, tie: str, out: str = "running",
                   total: str = "grand_total") -> DataFrame:
     """Cumulative sum of ``amount`` from the largest down (ties by ``tie``) and the grand total."""

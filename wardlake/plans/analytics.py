@@ -8,8 +8,7 @@ from pyspark.sql.window import Window
 
 from wardlake.functions import clinical
 from wardlake.functions import measures as m
-from wardlake.functions.ordering import (global_row_number, neighbours, ntile_of, percentiles,
-                                         rank_table, running_total)
+from wardlake.functions.ordering import neighbours, percentiles, rank_table, running_total, tile_summary
 
 
 def visit_gaps(enc: DataFrame, days: int = 30) -> DataFrame:
@@ -34,16 +33,9 @@ def cost_segments(enc: DataFrame, tiles: int = 4) -> DataFrame:
     """Patients cut into equal segments by total cost, with the segment's spread."""
     per = enc.groupBy("patient_bk").agg(
         F.coalesce(F.sum("total_cost_usd"), F.lit(0)).cast("decimal(14,2)").alias("total_cost"))
-    numbered = global_row_number(per, "total_cost", "patient_bk")
-    seg = numbered.select(
-        ntile_of(F.col("row_num"), F.col("row_total"), tiles).alias("segment"), "total_cost")
-    middle = percentiles(seg, ["segment"], "total_cost", {"median_cost": 0.5})
-    return (
-        seg.groupBy("segment").agg(
-            F.count(F.lit(1)).alias("patients"), F.min("total_cost").alias("min_cost"),
-            F.max("total_cost").alias("max_cost"), F.sum("total_cost").alias("segment_cost"))
-        .join(middle, "segment").orderBy("segment")
-    )
+    return tile_summary(per, "total_cost", tiles, {"median_cost": 0.5}, "segment").select(
+        "segment", F.col("n").alias("patients"), F.col("low").alias("min_cost"), F.col("high").alias("max_cost"),
+        F.col("sum").cast("decimal(24,2)").alias("segment_cost"), "median_cost").orderBy("segment")
 
 
 def provider_rank(enc: DataFrame, providers: DataFrame) -> DataFrame:
