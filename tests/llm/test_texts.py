@@ -5,7 +5,9 @@ import os
 import re
 import sys
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_samples import BENCH, LABELS, varied_texts
@@ -95,6 +97,35 @@ def test_personal_data(make_docs):
     assert pii.report(make_docs([])).count() == 0
 
 
+#: Text, whether its number is a national id, score of its first span or None.
+NEAR_WORDS = [
+    ("significant 123-45-6789", False, None), ("SSN 123-45-6789", True, "0.90"), ("ssn" + "." * 37 + "123-45-6789", True, "0.90"),
+    ("ssn" + "." * 38 + "123-45-6789", False, None), ("xssn" + "." * 36 + "123-45-6789", False, None), ("123-45-6789 (SSN)", True, "0.90"),
+    ("123-45-6789" + "." * 13 + "ssn", False, None), ("123-45-6789" + "." * 12 + "ssn", True, "0.90"), ("123-45-6789.........nifty", False, None),
+    ("ssn 000-45-6789", False, None), ("ssn 666-45-6789", False, None), ("ssn 912-45-6789", False, None), ("ssn 123-00-6789", False, None),
+    ("ssn 123-45-0000", False, None), ("ssn 123-45-67890", False, None), ("ssn A123-45-6789", False, None), ("nif123-45-6789", False, None),
+    ("hotel +49 30 1234567", False, "0.70"), ("tel+49 30 1234567", False, "0.90"), ("Tel: +49 30 1234567", False, "0.90"),
+    ("+49 30 1234567 mobile", False, "0.90"), ("telephone +49 30 1234567", False, "0.90"), ("shipping 1.2.3.4", False, "0.60"),
+    ("\u4f60ssn\u4f60 123-45-6789", True, "0.90"), ("discard 4111111111111111", False, "0.80"), ("4111111111111111 Visa", False, "1.00")]
+
+
+def test_words_near_a_span_count_whole(make_docs):
+    rows = {r.doc_id: r for r in pii.report(make_docs([t for t, _, _ in NEAR_WORDS])).collect()}
+    for i, (text, national, score) in enumerate(NEAR_WORDS):
+        assert ("national_id" in rows[i].spans) == national, text
+        assert (rows[i].scores.split(",")[0] or None) == score, text
+
+
+def test_personal_data_equals_sql(make_docs):
+    texts = [t for t, _, _ in NEAR_WORDS] + [t for t in PRIVATE if len(t) < 1000] + [None, ""]
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())}))
+    want = con.execute(pii.SQL)
+    names = [d[0] for d in want.description]
+    got = pii.report(make_docs(texts)).select(names).collect()
+    assert sorted(map(tuple, got)) == sorted(want.fetchall())
+
+
 def test_fingerprints_of_rows(make_docs):
     texts = varied_texts()
     rows = {r.doc_id: r for r in fingerprint.run_rows(make_docs(texts, extra=True)).collect()}

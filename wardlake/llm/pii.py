@@ -1,9 +1,10 @@
 """Personal data by patterns, checksums and context, in DataFrame functions only.
 
 A pattern proposes spans, leftmost and without overlap per kind. A validator confirms them: Luhn for
-cards, the range of parts for addresses, the number of digits for phones, mod 97 for IBANs. A kind's
-words close before a span raise its score. Spans of the four base kinds that pass are always kept; the
-other kinds must reach MIN_SCORE.
+cards, the range of parts for addresses, the number of digits for phones, mod 97 for IBANs, areas and groups
+in use for national ids. A kind's words near a span raise its score: whole words, within the kind's own
+number of characters before and after the span. Spans of the four base kinds that pass are always kept, and
+their score is for the caller; the other kinds must reach MIN_SCORE and must not touch a letter, digit or hyphen.
 
 The patterns are written without backtracking (possessive, anchored at the start of a run), which
 finds the same spans as the plain forms and stays linear on long runs.
@@ -19,8 +20,9 @@ from pyspark.sql import functions as F
 
 from wardlake.llm import work
 
-#: Characters before a span in which context words count.
-CONTEXT, MIN_SCORE = 40, 0.6
+MIN_SCORE = 0.6
+#: Areas, groups and serial numbers that no national id has.
+UNUSED_ID = "^(000|666|9)|-00-|-0000$"
 
 
 def _digits(match: Column) -> Column:
@@ -56,7 +58,7 @@ def _byte_parts(match: Column) -> Column:
 
 @dataclass(frozen=True)
 class Kind:
-    """``score`` of a confirmed span; ``boost`` is added when one of the ``near`` words stands close before it."""
+    """``score`` of a confirmed span; ``boost`` is added when a ``near`` word lies wholly within ``before`` or ``after`` characters."""
 
     name: str
     pattern: str
@@ -65,20 +67,23 @@ class Kind:
     score: float
     boost: float
     near: str
+    before: int
+    after: int
     base: bool = True
 
 
 #: Base patterns, kinds in the order of reports, context words.
 KINDS = (
     Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", None,
-         0.8, 0.2, "mail|contact|write|schreib|correo|courriel"),
-    Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}", ".", _byte_parts, 0.6, 0.3, "ip|address|host|server|adres"),
+         0.8, 0.2, "e?mail|contact|write|schreiben|correo|courriel", 40, 0),
+    Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}", ".", _byte_parts, 0.6, 0.3, "ip|address|host|server|adresse", 40, 0),
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", "", lambda m: F.length(_digits(m)).between(16, 19) & luhn(_digits(m)),
-         0.8, 0.2, "card|visa|master|credit|karte|carte|tarjeta"),
+         0.8, 0.2, "cards?|visa|mastercard|credit|kreditkarte|karte|carte|tarjeta", 40, 20),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", lambda m: F.length(_digits(m)).between(8, 15),
-         0.7, 0.2, "phone|call|tel|mobile|fax|handy"),
-    Kind("iban", r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}", "", mod97, 0.9, 0.1, "iban|account|bank|konto|compte|cuenta", False),
-    Kind("national_id", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "-", None, 0.4, 0.5, "ssn|social|steuer|identi|nss|nif", False),
+         0.7, 0.2, "(?:tele)?phone|call|tel|mobile|fax|handy", 30, 10),
+    Kind("iban", r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}", "", mod97, 0.9, 0.1, "iban|account|bank|konto|compte|cuenta", 40, 0, False),
+    Kind("national_id", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "-", lambda m: ~m.rlike(UNUSED_ID),
+         0.4, 0.5, "ssn|social security|steuernummer|identity|nss|nif", 40, 15, False),
 )
 
 
@@ -99,12 +104,38 @@ def proposals(text: Column, kind: Kind) -> Column:
     return F.when(wanted, found).otherwise(none)
 
 
+def context(text: Column, start: Column, end: Column, kind: Kind) -> Column:
+    """Lower-cased text around a span, the span itself as one space.
+
+    Each side carries one character more than the kind's window, or a space at the text's edge, so a
+    word that the window cuts has no boundary there and does not count.
+    """
+    left = F.concat(F.when(start <= kind.before, " ").otherwise(""), F.substring(
+        text, (F.greatest(start - kind.before - 1, F.lit(0)) + 1).cast("int"), F.least(start, F.lit(kind.before + 1)).cast("int")))
+    right = F.concat(F.substring(text, (end + 1).cast("int"), F.lit(kind.after + 1)),
+                     F.when(F.length(text) - end <= kind.after, " ").otherwise(""))
+    return F.lower(F.concat(left, F.lit(" "), right))
+
+
+def _near(kind: Kind) -> str:
+    return f"[^a-z](?:{kind.near})[^a-z]"
+
+
+def _apart(text: Column, start: Column, end: Column) -> Column:
+    """Whether a span touches no letter, digit or hyphen."""
+    sides = F.concat(F.when(start > 0, F.substring(text, start.cast("int"), F.lit(1))).otherwise(""),
+                     F.substring(text, (end + 1).cast("int"), F.lit(1)))
+    return ~sides.rlike("[A-Za-z0-9-]")
+
+
 def spans(text: Column, kind: Kind, found: Column) -> Column:
     """Confirmed proposals as (kind, start, end, score)."""
     kept = F.filter(found, lambda x: kind.valid(x["m"])) if kind.valid else found
+    if not kind.base:
+        kept = F.filter(kept, lambda x: _apart(text, x["s"], x["s"] + F.length(x["m"])))
     scored = F.transform(kept, lambda x: F.struct(
         F.lit(kind.name).alias("kind"), x["s"].alias("start"), (x["s"] + F.length(x["m"])).alias("end"),
-        F.when(F.lower(F.substring(text, F.greatest(x["s"] - CONTEXT, F.lit(0)).cast("int") + 1, F.least(x["s"], F.lit(CONTEXT)).cast("int"))).rlike(kind.near),
+        F.when(context(text, x["s"], x["s"] + F.length(x["m"]), kind).rlike(_near(kind)),
                kind.score + kind.boost).otherwise(kind.score).alias("score")))
     return scored if kind.base else F.filter(scored, lambda x: x["score"] >= MIN_SCORE)
 
@@ -148,8 +179,12 @@ def _sql() -> str:
     numbers = "array_to_string([CASE WHEN ord(c) >= 65 THEN (ord(c) - 55)::varchar ELSE c END FOR c IN string_split(substr(m, 5) || substr(m, 1, 4), '')], '')"
     rest = (f"list_reduce([0::bigint] || [c::bigint FOR c IN string_split({numbers}, '')], lambda a, b: (a * 10 + b) % 97) = 1")
     valid = {
-        "ip": "len([p FOR p IN string_split(m, '.') IF len(ltrim(p, '0')) > 3 OR coalesce(try_cast(right(p, 18) AS bigint), 999) > 255]) = 0",
+        "national_id": f"NOT regexp_matches(m, '{UNUSED_ID}')", "ip": "len([p FOR p IN string_split(m, '.') IF len(ltrim(p, '0')) > 3 OR coalesce(try_cast(right(p, 18) AS bigint), 999) > 255]) = 0",
         "card": f"len({digits}) BETWEEN 16 AND 19 AND {luhn_sql}", "phone": f"len({digits}) BETWEEN 8 AND 15", "iban": rest}
+    around = ("(CASE WHEN s <= {b} THEN ' ' ELSE '' END) || substr(text, greatest(s - {b} - 1, 0) + 1, least(s, {b} + 1)) || ' ' || "
+              "substr(text, s + length(m) + 1, {a} + 1) || (CASE WHEN length(text) - s - length(m) <= {a} THEN ' ' ELSE '' END)")
+    apart = (" AND NOT regexp_matches((CASE WHEN s > 0 THEN substr(text, s, 1) ELSE '' END) || substr(text, s + length(m) + 1, 1), "
+             "'[A-Za-z0-9-]')")
     ctes = ["t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents)"]
     for i, k in enumerate(KINDS):
         ctes.append(f"""p{i} AS (
@@ -159,9 +194,9 @@ s{i} AS (
   SELECT r, text, ms[j] AS m, (list_sum([length(x) FOR x IN g[1:j]]) + coalesce(list_sum([length(x) FOR x IN ms[1:j - 1]]), 0))::bigint AS s FROM p{i}),
 f{i} AS (
   SELECT r, {i} AS k, '{k.name}' AS kind, s, s + length(m) AS e,
-    CASE WHEN regexp_matches(lower(substr(text, greatest(s - {CONTEXT}, 0) + 1, least(s, {CONTEXT}))), '{k.near}')
+    CASE WHEN regexp_matches(lower({around.format(b=k.before, a=k.after)}), '{_near(k)}')
          THEN {round(k.score + k.boost, 2)} ELSE {k.score} END AS score
-  FROM s{i} WHERE {valid.get(k.name, 'true')})""")
+  FROM s{i} WHERE {valid.get(k.name, 'true')}{'' if k.base else apart})""")
     keep = " UNION ALL ".join(f"SELECT * FROM f{i}" + ("" if k.base else f" WHERE score >= {MIN_SCORE}") for i, k in enumerate(KINDS))
     counts = ", ".join(f"coalesce(n_{k.name}, 0)::bigint AS n_{k.name}" for k in KINDS if k.base)
     sums = ", ".join(f"count(*) FILTER (kind = '{k.name}') AS n_{k.name}" for k in KINDS if k.base)
