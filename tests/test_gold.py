@@ -183,6 +183,12 @@ def test_suppress_mask_restrict_erase(spark, tuples):
     assert tuples(governance.erase(rows, rows.where("hospital_bk = 'h1'"), "hospital_bk")) == [("h2",)]
 
 
+def test_planted_key_collision_is_found(spark, tuples):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), ("c", 2), ("c", 2), (None, 3), ("d", 3), ("e", None), ("f", None)], "bk string, sk long")
+    assert tuples(profile.key_collisions(df, "bk", "sk"), "sk", "least_bk", "greatest_bk") == [(2, "b", "c")]
+    assert profile.key_collisions(df.limit(0), "bk", "sk").count() == 0
+
+
 def test_profiles(spark, tuples):
     df = spark.createDataFrame([(1.0, None), (2.0, "x"), (3.0, None), (4.0, "x")], "v double, s string")
     assert tuples(profile.null_rates(df)) == [("s", 0.5), ("v", 0.0)]

@@ -12,7 +12,7 @@ from wardlake.contract.sinks import store
 from wardlake.contract.sqlbind import _case_chapter, _case_region, sk
 from wardlake.functions import clinical, dates, keys
 from wardlake.functions.keys import hash_sk
-from wardlake.operators import dims, dq, governance, monitor
+from wardlake.operators import dims, dq, governance, monitor, profile
 from wardlake.plans import kpi, views
 from wardlake.streaming import vitals
 
@@ -83,6 +83,22 @@ def surrogate_key(b: Bindings):
         keys.hash_sk(F.lit(None).cast("string")).alias("missing"))
 
 
+@query("prj_09_key_collisions", "entity:s collisions:i", f"""
+    SELECT entity, count(*) FILTER (many) AS collisions FROM (
+        SELECT entity, count(DISTINCT bk) > 1 AS many FROM (
+            SELECT 'patient' AS entity, cast(c_custkey AS varchar) AS bk FROM customer
+            UNION ALL SELECT 'encounter', cast(o_orderkey AS varchar) FROM orders
+            UNION ALL SELECT 'drug', cast(p_partkey AS varchar) FROM part) AS x
+        GROUP BY entity, {sk("bk")}) AS y GROUP BY entity""")
+def key_collisions(b: Bindings):
+    found = None
+    for entity, table, key in [("patient", "customer", "c_custkey"), ("encounter", "orders", "o_orderkey"), ("drug", "part", "p_partkey")]:
+        rows = b.table(table).select(F.col(key).cast("string").alias("bk"), keys.hash_sk(key).alias("sk"))
+        one = profile.key_collisions(rows, "bk", "sk").agg(F.count(F.lit(1)).alias("collisions")).select(F.lit(entity).alias("entity"), "collisions")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 @query("prj_10_date_key", "start_sk:i end_sk:i n:i", """
     SELECT cast(strftime(start_at, '%Y%m%d') AS integer) AS start_sk,
         cast(strftime(end_at, '%Y%m%d') AS integer) AS end_sk, count(*) AS n

@@ -110,3 +110,14 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """The child rows without a parent."""
     keys = parent.select(F.col(pk).alias(fk))
     return child.join(keys, fk, "left_anti")
+
+
+def key_collisions(df: DataFrame, bk: str, sk: str) -> DataFrame:
+    """Surrogate keys that stand for more than one business key, with the least and greatest of them.
+
+    Minimum and maximum are combined before the shuffle, so repeated rows and hot keys cost nothing and no
+    list of keys is built. Rows without either key are left out.
+    """
+    known = df.where(F.col(bk).isNotNull() & F.col(sk).isNotNull())
+    return known.groupBy(sk).agg(F.min(bk).alias("least_bk"), F.max(bk).alias("greatest_bk")) \
+        .where(F.col("least_bk") != F.col("greatest_bk"))
