@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import random
 import re
 import sys
 
@@ -227,6 +228,53 @@ def test_tree_matching_is_maximal():
 
 
 @needs_model
+def _most(x, y):
+    """Simple tree matching as it is defined, by recursion."""
+    if (x.tag, x.name) != (y.tag, y.name):
+        return 0
+    rows = [[0] * (len(y.blocks) + 1)]
+    for p in x.blocks:
+        row = [0]
+        for j, q in enumerate(y.blocks):
+            row.append(max(rows[-1][j + 1], row[j], rows[-1][j] + _most(p, q)))
+        rows.append(row)
+    return 1 + rows[-1][-1]
+
+
+def _tree(rng, depth):
+    kids = "".join(_tree(rng, depth - 1) for _ in range(rng.randrange(5))) if depth else "x"
+    tag = rng.choice(["div", "section", "div class=a"])
+    return f"<{tag}>{kids}</{tag.split()[0]}>"
+
+
+@pytest.mark.parametrize("cells", [1, 6, 1 << 21])
+def test_alignment_matches_as_many_nodes_as_the_definition(monkeypatch, cells):
+    monkeypatch.setattr(html, "CELLS", cells)
+    rng = random.Random(5)
+    for _ in range(150):
+        a, b = html.parse(_tree(rng, 4)), html.parse(_tree(rng, 4))
+        pairs = html.align(a, b)
+        assert len(pairs) == _most(a, b)
+        met = {id(x): id(y) for x, y in pairs}
+        assert len(met) == len(set(met.values())) == len(pairs)
+        for x, y in pairs:
+            assert (x.tag, x.name) == (y.tag, y.name)
+            below = {id(k) for k in y.blocks}
+            places = [[id(k) for k in y.blocks].index(met[id(k)]) for k in x.blocks if id(k) in met]
+            assert all(met[id(k)] in below for k in x.blocks if id(k) in met) and places == sorted(places)
+
+
+def test_deep_wide_and_long_pages():
+    deep = html.extract(["<div>" * 3000 + "".join(f"<p>text {i} {k}" for k in range(3)) for i in range(8)])
+    assert deep == ["\n".join(f"text {i} {k}" for k in range(3)) for i in range(8)]
+    held = html.extract(["".join(f"<div>w{k} " for k in range(2000)) + f"<p>end {i}" for i in range(7)])
+    assert held[3] == "\n".join([f"w{k}" for k in range(2000)] + ["end 3"])
+    assert html.extract(["<div>a" * 2000])[0] == "\n".join(["a"] * 2000)
+    wide = ["<div id=top>Site</div>" + "".join(f"<p>{'<b>x</b>' * (k % 3)} {i} {k}</p><ul><li>{k} {i}</li></ul>" for k in range(1500 + i)) for i in range(8)]
+    got = html.extract(wide)
+    assert all(g.startswith(f"{i} 0\n0 {i}\n") and g.count("\n") == 2 * (1500 + i) - 1 for i, g in enumerate(got))
+
+
 def test_pipeline(spark, make_docs, tables):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
     import corpus_pipeline

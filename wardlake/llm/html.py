@@ -14,6 +14,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -25,6 +26,8 @@ from wardlake.llm import work
 
 CHUNK, MIN_VOTES, CONSTANT = 128, 5, 0.8
 _HOST_BUCKETS, _SALT_LEAST = 1 << 16, 512
+#: Cells of a table of children, and pairs of shapes remembered, before memory is saved by working twice.
+CELLS, GAINS = 1 << 21, 1 << 20
 
 #: Elements without content, raw text elements, block elements, parts that serve the site.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -46,14 +49,47 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^
 _ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|(?<=\s)(hidden)(?=[\s/]|\Z)")
 
 
+class Words:
+    """All words of a page in order, and the letters before each."""
+
+    __slots__ = ("list", "letters")
+
+    def __init__(self):
+        self.list: list[str] = []
+        self.letters = [0]
+
+
+_NO_WORDS = Words()
+
+
 class Node:
-    __slots__ = ("tag", "name", "hidden", "parts", "kids", "text")
+    """An element. Its text is a run of the page's words, so a page of any depth holds its text once."""
+
+    __slots__ = ("tag", "name", "hidden", "parts", "kids", "blocks", "shape", "words", "start", "end")
 
     def __init__(self, tag: str, name: str = "", hidden: bool = False):
         self.tag, self.name, self.hidden = tag, name, hidden
         self.parts: list[Node | str] = []
         self.kids: list[Node] = []
-        self.text = ""
+        self.blocks: list[Node] = []
+        self.shape = -1
+        self.words, self.start, self.end = _NO_WORDS, 0, 0
+
+    @property
+    def filled(self) -> bool:
+        return self.end > self.start
+
+    @property
+    def chars(self) -> int:
+        return self.words.letters[self.end] - self.words.letters[self.start] + max(self.end - self.start - 1, 0)
+
+    @property
+    def text(self) -> str:
+        return " ".join(self.words.list[self.start:self.end])
+
+    def same_text(self, other: Node) -> bool:
+        return (self.end - self.start == other.end - other.start
+                and self.words.list[self.start:self.end] == other.words.list[other.start:other.end])
 
     def add(self, node: Node) -> Node:
         self.parts.append(node)
@@ -122,21 +158,36 @@ def _make_room(stack: list[Node], tag: str) -> None:
 
 
 def _gather(root: Node) -> None:
-    """Sets every node's text: all its words, in order."""
-    order, todo = [], [root]
+    """Sets every node's run of words and its nearest blocks below."""
+    words = Words()
+    around = [root]
+    todo: list[Node | str | None] = [root]
+    open_nodes: list[Node] = []
     while todo:
-        node = todo.pop()
-        order.append(node)
-        todo.extend(node.kids)
-    for node in reversed(order):
-        node.text = " ".join(" ".join(p if isinstance(p, str) else p.text for p in node.parts).split())
+        part = todo.pop()
+        if part is None:
+            node = open_nodes.pop()
+            node.end = len(words.list)
+            if around[-1] is node:
+                around.pop()
+        elif isinstance(part, str):
+            words.list.extend(part.split())
+        else:
+            part.words, part.start = words, len(words.list)
+            if part is not root and (part.tag in BLOCKS or is_main(part)):
+                around[-1].blocks.append(part)
+                around.append(part)
+            open_nodes.append(part)
+            todo.append(None)
+            todo.extend(reversed(part.parts))
+    words.letters.extend(accumulate(map(len, words.list)))
 
 
 def serves_by_kind(node: Node) -> bool:
     """Whether tag, role or visibility tell that a node serves the site."""
     if node.tag in SERVICE or node.hidden:
         return True
-    return node.tag not in ("body", "html") and any(f"role={r}" in node.name for r in ROLES)
+    return "role=" in node.name and node.tag not in ("body", "html") and any(f"role={r}" in node.name for r in ROLES)
 
 
 def serves_site(node: Node) -> bool:
@@ -170,11 +221,11 @@ def holders(root: Node) -> set[int]:
                 above[id(kid)] = node
                 todo.append(kid)
     articles = [n for n in found if n.tag == "article"]
-    best = max((len(n.text) for n in articles), default=0)
+    best = max((n.chars for n in articles), default=0)
     out: set[int] = set()
     for node in found:
-        if is_main(node) or len(node.text) == best:
-            while id(node) in above:
+        if is_main(node) or node.chars == best:
+            while id(node) in above and id(above[id(node)]) not in out:
                 node = above[id(node)]
                 out.add(id(node))
     return out
@@ -200,50 +251,49 @@ def content_roots(root: Node) -> list[Node]:
     return [root]
 
 
-def align(a: Node, b: Node) -> list[tuple[Node, Node]]:
-    """Pairs of nodes that simple tree matching maps to each other, roots first."""
-    memo: dict[tuple[int, int], int] = {}
-
-    def same(x: Node, y: Node) -> bool:
-        return x.tag == y.tag and x.name == y.name
-
-    def size(x: Node, y: Node) -> int:
-        if not same(x, y):
-            return 0
-        if not x.kids or not y.kids:
-            return 1
-        key = (id(x), id(y))
-        if key not in memo:
-            memo[key] = 1 + table(x.kids, y.kids)[-1][-1]
-        return memo[key]
-
-    def table(xs: list[Node], ys: list[Node]) -> list[list[int]]:
-        rows = [[0] * (len(ys) + 1)]
-        for x in xs:
-            above, row = rows[-1], [0]
-            for j, y in enumerate(ys):
-                row.append(max(above[j + 1], row[j], above[j] + size(x, y)))
-            rows.append(row)
-        return rows
-
-    def steady(xs: list[Node], ys: list[Node]) -> int:
-        """How many leading pairs are leaves with equal labels: the best match takes them in order."""
-        n = 0
-        while n < min(len(xs), len(ys)) and same(xs[n], ys[n]) and not (xs[n].kids and ys[n].kids):
-            n += 1
-        return n
-
-    pairs, todo = [], [(a, b)]
+def _trim(xs: list, ys: list, equal) -> tuple[int, int]:
+    """Lengths of the equal head and of the equal tail after it. Some best match pairs both in order."""
+    short = min(len(xs), len(ys))
+    head = 0
+    while head < short and equal(xs[head], ys[head]):
+        head += 1
+    tail = 0
+    while tail < short - head and equal(xs[-1 - tail], ys[-1 - tail]):
+        tail += 1
+    return head, tail
+
+
+def _best_row(gains: np.ndarray, xs: np.ndarray, ys: np.ndarray, keep: list | None = None) -> np.ndarray:
+    """Most matched nodes of all ``xs`` with each head of ``ys``; ``keep`` takes the rows of every head of ``xs``."""
+    row = np.zeros(len(ys) + 1, np.int64)
+    for x in xs:
+        if keep is not None:
+            keep.append(row)
+        best = np.maximum(row[1:], row[:-1] + gains[x][ys])
+        row = np.concatenate([row[:1], np.maximum.accumulate(best)])
+    if keep is not None:
+        keep.append(row)
+    return row
+
+
+def _best_pairs(gains: np.ndarray, xs: np.ndarray, ys: np.ndarray) -> list[tuple[int, int]]:
+    """Places of a best match of children in order. Wide parents are halved, so a table has CELLS cells at most."""
+    out: list[tuple[int, int]] = []
+    todo = [(0, len(xs), 0, len(ys))]
     while todo:
-        x, y = todo.pop()
-        pairs.append((x, y))
-        n = steady(x.kids, y.kids)
-        pairs.extend(zip(x.kids[:n], y.kids[:n]))
-        xs, ys = x.kids[n:], y.kids[n:]
-        if not xs or not ys:
+        a, b, c, d = todo.pop()
+        if a == b or c == d:
             continue
-        rows = table(xs, ys)
-        i, j = len(xs), len(ys)
+        if b - a > 1 and (b - a) * (d - c) > CELLS:
+            middle = (a + b) // 2
+            head = _best_row(gains, xs[a:middle], ys[c:d])
+            tail = _best_row(gains, xs[middle:b][::-1], ys[c:d][::-1])[::-1]
+            cut = c + int((head + tail).argmax())
+            todo += [(a, middle, c, cut), (middle, b, cut, d)]
+            continue
+        rows: list[np.ndarray] = []
+        _best_row(gains, xs[a:b], ys[c:d], rows)
+        i, j = b - a, d - c
         while i and j:
             if rows[i][j] == rows[i - 1][j]:
                 i -= 1
@@ -251,8 +301,104 @@ def align(a: Node, b: Node) -> list[tuple[Node, Node]]:
                 j -= 1
             else:
                 i, j = i - 1, j - 1
-                todo.append((xs[i], ys[j]))
-    return pairs
+                out.append((a + i, c + j))
+    return out
+
+
+class Shapes:
+    """Numbers of block trees, equal for equal trees, and simple tree matching between them.
+
+    A pair of shapes is matched once, whatever the number of nodes that have them. Nothing recurs, so
+    trees may be of any depth.
+    """
+
+    def __init__(self):
+        self.numbers: dict[tuple, int] = {}
+        self.kids: list[tuple[int, ...]] = []
+        self.labels: list[tuple[str, str]] = []
+        self.sizes: list[int] = []
+        self.gains: dict[tuple[int, int], int] = {}
+
+    def number(self, root: Node) -> None:
+        """Sets the shape of every block of a page."""
+        order, todo = [], [root]
+        while todo:
+            node = todo.pop()
+            order.append(node)
+            todo.extend(node.blocks)
+        for node in reversed(order):
+            label, kids = (node.tag, node.name), tuple(x.shape for x in node.blocks)
+            node.shape = self.numbers.setdefault((label, kids), len(self.kids))
+            if node.shape == len(self.kids):
+                self.kids.append(kids)
+                self.labels.append(label)
+                self.sizes.append(1 + sum(self.sizes[x] for x in kids))
+
+    def plain(self, a: int, b: int) -> int | None:
+        """Matched nodes of two shapes, None if their children must be matched first."""
+        if a == b:
+            return self.sizes[a]
+        if self.labels[a] != self.labels[b]:
+            return 0
+        return self.gains.get((a, b)) if self.kids[a] and self.kids[b] else 1
+
+    def table(self, xs: list[int], ys: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray] | list[tuple[int, int]]:
+        """Matched nodes of all different pairs and the places of ``xs`` and ``ys`` in it, or the pairs still unknown."""
+        rows, columns = {x: i for i, x in enumerate(dict.fromkeys(xs))}, {y: i for i, y in enumerate(dict.fromkeys(ys))}
+        found = [[self.plain(x, y) for y in columns] for x in rows]
+        unknown = [(x, y) for x, own in zip(rows, found) for y, n in zip(columns, own) if n is None]
+        return unknown or (np.array(found, np.int64), np.array([rows[x] for x in xs]), np.array([columns[y] for y in ys]))
+
+    def match(self, pairs: list[tuple[int, int]]) -> None:
+        """Fills ``gains`` for pairs of shapes and all that they rest on."""
+        todo = list(pairs)
+        while todo:
+            a, b = todo[-1]
+            if (a, b) in self.gains:
+                todo.pop()
+                continue
+            xs, ys = self.kids[a], self.kids[b]
+            head, tail = _trim(xs, ys, int.__eq__)
+            total = 1 + sum(self.sizes[x] for x in xs[:head]) + sum(self.sizes[x] for x in xs[len(xs) - tail:])
+            xs, ys = xs[head:len(xs) - tail], ys[head:len(ys) - tail]
+            if xs and ys:
+                known = self.table(xs, ys)
+                if isinstance(known, list):
+                    todo.extend(known)
+                    continue
+                total += int(_best_row(*known)[-1])
+            self.gains[a, b] = total
+            todo.pop()
+
+    def align(self, a: Node, b: Node) -> list[tuple[Node, Node]]:
+        """Pairs of blocks that simple tree matching maps to each other, roots first."""
+        if len(self.gains) > GAINS:
+            self.gains.clear()
+        pairs, todo = [], [(a, b)]
+        while todo:
+            x, y = todo.pop()
+            pairs.append((x, y))
+            xs, ys = x.blocks, y.blocks
+            head, tail = _trim(xs, ys, lambda p, q: p.shape == q.shape)
+            todo.extend(zip(xs[:head], ys[:head]))
+            todo.extend(zip(xs[len(xs) - tail:], ys[len(ys) - tail:]))
+            xs, ys = xs[head:len(xs) - tail], ys[head:len(ys) - tail]
+            if not xs or not ys:
+                continue
+            shapes = [n.shape for n in xs], [n.shape for n in ys]
+            known = self.table(*shapes)
+            if isinstance(known, list):
+                self.match(known)
+                known = self.table(*shapes)
+            todo.extend((xs[i], ys[j]) for i, j in _best_pairs(*known))
+        return pairs
+
+
+def align(a: Node, b: Node) -> list[tuple[Node, Node]]:
+    shapes = Shapes()
+    shapes.number(a)
+    shapes.number(b)
+    return shapes.align(a, b)
 
 
 def content_blocks(tree: Node) -> dict[str, int]:
@@ -261,11 +407,11 @@ def content_blocks(tree: Node) -> dict[str, int]:
     todo = list(content_roots(tree))
     while todo:
         node = todo.pop()
-        inner = [x for x in node.kids if x.text and x.tag in BLOCKS]
+        inner = [x for x in node.kids if x.filled and x.tag in BLOCKS]
         if inner or node.tag not in BLOCKS:
             todo.extend(node.kids)
-        if node.text and node.tag in BLOCKS and not inner:
-            out[node.text] = len(node.text)
+        if node.filled and node.tag in BLOCKS and not inner:
+            out[node.text] = node.chars
     return out
 
 
@@ -337,6 +483,9 @@ def template(trees: list[Node]) -> list[set[int]]:
     if len(trees) <= MIN_VOTES:
         return out
     label = near_groups(trees)
+    shapes = Shapes()
+    for tree in trees:
+        shapes.number(tree)
     for first, pages in layouts(trees):
         wrapper = trees[first]
         place: dict[int, int] = {}
@@ -346,7 +495,7 @@ def template(trees: list[Node]) -> list[set[int]]:
                 node = todo.pop()
                 place[id(node)] = id(top)
                 todo.extend(node.kids)
-        aligned = {i: align(wrapper, trees[i]) for i in pages if i != first}
+        aligned = {i: shapes.align(wrapper, trees[i]) for i in pages if i != first}
         voters: dict[int, list[int]] = {}
         for i in aligned:
             if label[i] != label[first]:
@@ -359,7 +508,7 @@ def template(trees: list[Node]) -> list[set[int]]:
             for i in members:
                 for x, y in aligned[i]:
                     seen.add(id(x))
-                    if x.text and x.tag in BLOCKS and x.text == y.text:
+                    if x.filled and x.tag in BLOCKS and x.same_text(y):
                         equal[id(x)] = equal.get(id(x), 0) + 1
             for x in seen:
                 met[x] = met.get(x, 0) + 1
@@ -367,7 +516,7 @@ def template(trees: list[Node]) -> list[set[int]]:
                 agree[x] = agree.get(x, 0) + (2 * n > len(members))
         fixed = {x for x, n in agree.items() if n >= MIN_VOTES and n >= CONSTANT * met[place.get(x, id(wrapper))]}
         for i, pairs in aligned.items():
-            out[i] = {id(y) for x, y in pairs if id(x) in fixed and x.text == y.text}
+            out[i] = {id(y) for x, y in pairs if id(x) in fixed and x.same_text(y)}
         out[first] = fixed
     return out
 
@@ -379,16 +528,17 @@ def text_of(root: Node, dropped: set[int]) -> str:
     """
     sums: dict[int, int] = {}
 
-    def own_text(node: Node) -> int:
-        """Characters of a node without template and without parts that surely serve the site."""
-        n, todo = 0, [node]
+    def add_up() -> None:
+        """Characters of every node without template and without parts that surely serve the site."""
+        order, todo = [], [root]
         while todo:
-            part = todo.pop()
-            if isinstance(part, str):
-                n += len(part.strip())
-            elif id(part) not in dropped and not serves_by_kind(part) and not (part is not node and named_whole(part)):
-                todo.extend(part.parts)
-        return n
+            node = todo.pop()
+            order.append(node)
+            todo.extend(node.kids)
+        for node in reversed(order):
+            sums[id(node)] = sum(len(x.strip()) if isinstance(x, str) else sums[id(x)]
+                                 if id(x) not in dropped and not serves_by_kind(x) and not named_whole(x) else 0
+                                 for x in node.parts)
 
     def rejected(node: Node, top: Node) -> bool:
         if node is top or serves_by_kind(node):
@@ -397,9 +547,11 @@ def text_of(root: Node, dropped: set[int]) -> str:
             return top.tag != "article"
         if not serves_site(node):
             return False
-        if id(top) not in sums:
-            sums[id(top)] = own_text(top)
-        return named_whole(node) or 2 * own_text(node) <= sums[id(top)]
+        if named_whole(node):
+            return True
+        if not sums:
+            add_up()
+        return 2 * sums[id(node)] <= sums[id(top)]
 
     blocks: list[str] = []
     held: list[str] = []
@@ -438,7 +590,8 @@ def extract(pages: list[str]) -> list[str]:
 def main_texts(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` for every row of ``pages``.
 
-    A null or empty page has an empty text. Rows without a host form one host. Repeated rows are
+    A null or empty page has an empty text. Pages may be of any depth and width: nothing recurs, equal
+    neighbours are matched without a table and tables are halved. Rows without a host form one host. Repeated rows are
     extracted each. Hosts are hashed to a fixed number of buckets; the pages of buckets far above
     the mean are dealt over several tasks, so a hot host is split while each part still has hundreds of pages.
     """
