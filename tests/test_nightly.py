@@ -3,7 +3,8 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from wardlake.operators import audit, dims, monitor
+from wardlake.functions.keys import hash_sk
+from wardlake.operators import audit, dims, monitor, surrogates
 from wardlake.plans import nightly, queries, views
 from wardlake.schemas import FEEDS
 from wardlake.sources.tables import TableStore
@@ -194,6 +195,70 @@ def test_a_chain_of_nights_equals_the_whole_run(spark, tmp_path, tuples):
     assert done["a"]["patient_version_sk"] in [r[0] for r in chain.read("dim_patient").select("patient_version_sk").collect()]
 
 
+#: Two ten-digit ids whose 48-bit keys agree.
+TWINS = ("0020208069", "0034090849")
+
+
+def twins(spark, lake, upto):
+    """Patients, providers and stays whose short keys collide in pairs; the second of each arrives on day 2."""
+    def of(make):
+        return [(day + 1, make(x, day)) for day, x in enumerate(TWINS)]
+
+    rows = {
+        "patients": of(lambda x, d: {"Id": x, "FIRST": f"n{d}", "BIRTHDATE": f"19{5 + d}0-01-01", "GENDER": "FM"[d], "STATE": "Ohio"}),
+        "providers": of(lambda x, d: {"npi": x, "first_name": f"doc{d}", "last_name": "X", "primary_facility_code": "h1"}),
+        "encounters": of(lambda x, d: {"Id": x, "PATIENT": x, "PROVIDER": x, "ORGANIZATION": "o1", "ENCOUNTERCLASS": "inpatient",
+                                       "START": f"2020-0{d + 3}-01 08:00:00", "STOP": f"2020-0{d + 3}-02 08:00:00", "TOTAL_CLAIM_COST": "5.00"}),
+        "claims": of(lambda x, d: {"claim_id": f"c{d}", "encounter_id": x, "patient_id": x, "provider_npi": x, "carrier": "Self-Pay", "status": "approved",
+                                   "service_date": f"2020-0{d + 3}-01", "billed_amount": 10.0 + d, "allowed_amount": 8.0, "paid_amount": 4.0 + 4 * d}),
+        "conditions": of(lambda x, d: {"ENCOUNTER": x, "PATIENT": x, "CODE": ("I10", "E11")[d], "START": "2020-03-01"}),
+        "medications": of(lambda x, d: {"ENCOUNTER": x, "PATIENT": x, "CODE": "314076", "START": "2020-03-01", "TOTALCOST": "5.00"}),
+        "procedures": of(lambda x, d: {"ENCOUNTER": x, "PATIENT": x, "CODE": "99213", "START": "2020-03-01 09:00:00"})}
+    names = {t.feed.split("_", 1)[1] if t.feed.startswith("synthea") else {"claims_raw": "claims", "provider_registry": "providers"}[t.feed]: t.feed
+             for t in nightly.TARGETS}
+    out = {}
+    for name, given in rows.items():
+        parts = [feed(spark, name, r, ts=datetime(2020, 6, day)) for day, r in given if day <= upto]
+        out[names[name]] = parts[0] if upto == 1 else parts[0].unionByName(parts[1])
+    seed = spark.createDataFrame([("h1", "One", "C", "Cairo", "10", "0", "30.1", "31.1")], FEEDS["facilities"])
+    return nightly.Config(spark, lake, date(2020, 7, 1), datetime(2020, 6, upto, 23), out, seed)
+
+
+def test_keys_that_collide_are_told_apart(spark, tmp_path, tuples):
+    assert spark.range(1).select(hash_sk(F.lit(TWINS[0])) == hash_sk(F.lit(TWINS[1]))).first()[0]
+    chain, whole = TableStore(spark, f"{tmp_path}/chain"), TableStore(spark, f"{tmp_path}/whole")
+    nightly.run(twins(spark, chain, 1))
+    short = chain.read("fact_encounter").first()["encounter_sk"]
+    assert short < surrogates.WIDE_FROM and chain.read("keys/encounter_bk").count() == 0
+    again = nightly.run_since(twins(spark, chain, 2), datetime(2020, 6, 1))
+    assert again["fact_encounter"] == ["2020-03", "2020-04"] == again["fact_claim"]     # the first stay has a new key as well
+    nightly.run(twins(spark, whole, 2))
+    for lake in (chain, whole):
+        stays = {r["encounter_bk"]: r for r in lake.read("fact_encounter").collect()}
+        assert len({r["encounter_sk"] for r in stays.values()}) == len({r["patient_sk"] for r in stays.values()}) == 2
+        assert len({r["provider_sk"] for r in stays.values()}) == 2 and min(r["encounter_sk"] for r in stays.values()) >= surrogates.WIDE_FROM
+        claims = {r["claim_bk"]: r for r in lake.read("fact_claim").collect()}
+        for d, x in enumerate(TWINS):
+            assert [claims[f"c{d}"][c] for c in ("encounter_sk", "patient_sk", "provider_sk")] == \
+                [stays[x][c] for c in ("encounter_sk", "patient_sk", "provider_sk")]
+        for dim, bk, sk in (("dim_patient", "patient_bk", "patient_sk"), ("dim_provider", "provider_bk", "provider_sk")):
+            assert dict(tuples(lake.read(dim).where(f"{bk} <> 'UNKNOWN'"), bk, sk)) == {x: stays[x][sk] for x in TWINS}
+        names = ("fact_encounter", "fact_claim", "bridge_encounter_diagnosis", "dim_patient", "dim_diagnosis", "dim_hospital", "dim_date")
+        t = {n: lake.read(n) for n in names}
+        day = date(2020, 6, 1)
+        q5 = queries.q05(t, day).collect()
+        assert len(q5) == 1 and q5[0]["encounters"] == 2
+        joined = t["fact_encounter"].join(t["fact_claim"].select("encounter_sk", "paid_amount"), "encounter_sk")
+        assert [float(r["paid_amount"]) for r in joined.orderBy("encounter_bk").collect()] == [4.0, 8.0]
+        sick = t["bridge_encounter_diagnosis"].join(t["fact_encounter"], "encounter_sk").join(t["dim_diagnosis"], "diagnosis_sk")
+        assert tuples(sick, "encounter_bk", "icd10_code") == [(TWINS[0], "I10"), (TWINS[1], "E11")]
+        people = t["dim_patient"].where("is_current")
+        assert t["fact_encounter"].join(people, "patient_sk").count() == 2
+    for name in ("fact_encounter", "fact_claim", "fact_prescription", "bridge_encounter_diagnosis", "keys/patient_bk"):
+        cols = sorted(c for c in whole.read(name).columns if c not in ("gold_loaded_at", "patient_version_sk"))
+        assert tuples(chain.read(name), *cols) == tuples(whole.read(name), *cols), name
+
+
 def test_vitals_of_a_night(spark, store, tuples):
     def readings(*rows, ts):
         given = [{"event_id": e, "event_time": t, "device_id": "d", "patient_id": p, "hospital_code": "h1", "bed_number": "b1",

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from wardlake.functions import dates
 from wardlake.functions.keys import record_hash
-from wardlake.operators import audit, dims, dq, facts, rules, scd, silver
+from wardlake.operators import audit, dims, dq, facts, rules, scd, silver, surrogates
 from wardlake.plans import kpi
 from wardlake.sources.tables import TableStore
 from wardlake.streaming import vitals
@@ -85,6 +85,8 @@ MEDICATIONS = Target("synthea_medications", "silver/medications", _events(silver
 PROCEDURES = Target("synthea_procedures", "silver/procedures", _events(silver.conform_procedure, "performed_at"),
                     lambda _: [], "row_bk", EVENT_MONTH)
 TARGETS = (PATIENTS, PROVIDERS, ENCOUNTERS, CLAIMS, CONDITIONS, MEDICATIONS, PROCEDURES)
+#: Silver tables whose keys other tables join on, without a bound on their number.
+KEYED = (PATIENTS, PROVIDERS, ENCOUNTERS)
 
 
 def _checked(cfg: Config, target: Target, rows: DataFrame) -> dq.Checked:
@@ -195,12 +197,52 @@ def _update_silver(cfg: Config, target: Target, fresh: DataFrame, gone: DataFram
 # --- gold --------------------------------------------------------------------------
 
 
+def _run_keys(cfg: Config) -> dict[Target, tuple[DataFrame, str]]:
+    """Wide keys for business keys whose short ones agree, kept in ``keys/``; those new now, written aside.
+
+    A key stays wide once it is.
+    """
+    store, out = cfg.store, {}
+    for target in (t for t in KEYED if store.exists(t.name)):
+        key, name, known = target.key, f"keys/{target.key}", store.read(target.name)
+        short, path = store.stage(surrogates.crowded(known, key))
+        rows = surrogates.members(known, key, short)
+        if store.exists(name):
+            old = store.read(name)
+            out[target] = store.stage(rows.join(old.select(key), key, "left_anti"))
+            if not out[target][0].isEmpty():
+                store.overwrite(old.unionByName(out[target][0]), name)
+        else:
+            out[target] = store.stage(rows)
+            store.overwrite(out[target][0], name)
+        store.drop(path)
+    return out
+
+
+def _wide(cfg: Config) -> dict[str, DataFrame]:
+    names = {target.key: f"keys/{target.key}" for target in KEYED}
+    return {key: cfg.store.read(name) for key, name in names.items() if cfg.store.exists(name)}
+
+
+def _months_rekeyed(cfg: Config, fresh: dict[Target, tuple[DataFrame, str]]) -> dict[str, list]:
+    """Months of the facts that hold a key which has become wide."""
+    some = {target: rows for target, (rows, _) in fresh.items() if not rows.isEmpty()}
+
+    def months(target: Target, *parents: Target) -> list:
+        found = [_months_of(cfg.store.read(target.name), target.part, p.key, [some[p]]) for p in parents if p in some]
+        return [m for part in found for m in part]
+
+    return {"fact_encounter": months(ENCOUNTERS, *KEYED), "fact_claim": months(CLAIMS, *KEYED),
+            "fact_prescription": months(MEDICATIONS, PATIENTS, ENCOUNTERS)}
+
+
 def _merge(cfg: Config, name: str, incoming: DataFrame, sk: str, key: str, version: str, attrs: list[str]) -> None:
     """A key's first version opens at the start of time, so facts that came before it find one; each version has a key of its own."""
     if cfg.store.exists(name):
         out = scd.merge2(cfg.store.read(name).drop(version), incoming, [key], attrs, cfg.load_ts, FIRST_VALID)
     else:
         out = scd.first_load(dims.with_unknown(incoming, sk, key), attrs, FIRST_VALID)
+    out = surrogates.rekeyed(out, key, sk, _wide(cfg))
     audit.observed_overwrite(cfg.store, scd.with_version_sk(out, key, version), "gold", name)
 
 
@@ -226,7 +268,7 @@ def _run_dimensions(cfg: Config) -> None:
         audit.observed_overwrite(store, dims.with_unknown(df, sk, bk), "gold", name)
     if not store.exists("dim_date"):
         audit.observed_overwrite(store, dims.calendar(cfg.spark), "gold", "dim_date")
-    audit.observed_overwrite(store, facts.bridge_diagnosis(conditions), "gold", "bridge_encounter_diagnosis")
+    audit.observed_overwrite(store, facts.bridge_diagnosis(surrogates.attach(conditions, _wide(cfg))), "gold", "bridge_encounter_diagnosis")
 
 
 def _facilities(cfg: Config) -> DataFrame:
@@ -249,7 +291,7 @@ def _fact(cfg: Config, name: str, silver_name: str, part: str, day: str, build:
     rows = cfg.store.read(silver_name)
     if months is not None:
         rows = rows.where(_among(part, months))
-    df = build(rows).withColumns({"gold_loaded_at": F.lit(cfg.load_ts), dates.MONTH: dates.month_of(day)})
+    df = build(surrogates.attach(rows, _wide(cfg))).withColumns({"gold_loaded_at": F.lit(cfg.load_ts), dates.MONTH: dates.month_of(day)})
     if months is None:
         audit.observed_overwrite(cfg.store, df, "gold", name, [dates.MONTH])
     elif months:
@@ -269,6 +311,8 @@ def _run_facts(cfg: Config, stays: list | None = None, claims: list | None = Non
 
 def run_gold(cfg: Config) -> None:
     """Dimensions first, then facts that look their parents up."""
+    for _, path in _run_keys(cfg).values():
+        cfg.store.drop(path)
     _run_dimensions(cfg)
     _run_facts(cfg)
 
@@ -352,18 +396,22 @@ def _run_since(cfg: Config, since: datetime) -> dict[str, list]:
         fresh = cfg.feed(target.feed).where(F.col(silver.INGEST_TS) > F.lit(since))
         months[target], arrived[target], path = _update_silver(cfg, target, fresh)
         paths.append(path)
+    fresh_keys = _run_keys(cfg)
+    paths += [path for _, path in fresh_keys.values()]
+    rekeyed = _months_rekeyed(cfg, fresh_keys)
     _run_dimensions(cfg)
     stays, claims = cfg.store.read(ENCOUNTERS.name), cfg.store.read(CLAIMS.name)
     again = {
         "fact_encounter": sorted({*months[ENCOUNTERS], *_months_of(stays, ENCOUNTERS.part, "patient_bk", [arrived[PATIENTS]]),
                                   *_months_of(stays, ENCOUNTERS.part, "provider_bk", [arrived[PROVIDERS]]),
-                                  *_months_of(stays, ENCOUNTERS.part, "encounter_bk", [arrived[CONDITIONS]])}),
-        "fact_claim": sorted({*months[CLAIMS], *_months_of(claims, CLAIMS.part, "encounter_bk", [arrived[ENCOUNTERS]])},
+                                  *_months_of(stays, ENCOUNTERS.part, "encounter_bk", [arrived[CONDITIONS]]),
+                                  *rekeyed["fact_encounter"]}),
+        "fact_claim": sorted({*months[CLAIMS], *_months_of(claims, CLAIMS.part, "encounter_bk", [arrived[ENCOUNTERS]]), *rekeyed["fact_claim"]},
                              key=lambda m: m or ""),
-        "fact_prescription": sorted(months[MEDICATIONS], key=lambda m: m or ""),
+        "fact_prescription": sorted({*months[MEDICATIONS], *rekeyed["fact_prescription"]}, key=lambda m: m or ""),
     }
     _run_facts(cfg, again["fact_encounter"], again["fact_claim"], again["fact_prescription"])
-    again[VITAL_FACT] = run_vitals(cfg, since)
+    again[VITAL_FACT] = run_vitals(cfg, since if fresh_keys[PATIENTS][0].isEmpty() else None)
     _refresh_cube(cfg, again["fact_encounter"])
     for path in paths:
         cfg.store.drop(path)
@@ -395,7 +443,16 @@ def _backfill(cfg: Config, lo: date, hi: date) -> list:
         known = known.where(inside)
     new, path = cfg.store.stage(known)
     months = _upsert_months(cfg, ENCOUNTERS, new, gone)
-    _fact(cfg, "fact_encounter", ENCOUNTERS.name, ENCOUNTERS.part, "start_date_sk", lambda df: _encounter_facts(cfg, df), months)
+    fresh_keys = _run_keys(cfg)
+    rekeyed = _months_rekeyed(cfg, fresh_keys)
+    months = list({*months, *rekeyed["fact_encounter"]})
+    if any(rekeyed.values()):
+        _run_dimensions(cfg)
+        _run_facts(cfg, months, rekeyed["fact_claim"], rekeyed["fact_prescription"])
+    else:
+        _fact(cfg, "fact_encounter", ENCOUNTERS.name, ENCOUNTERS.part, "start_date_sk", lambda df: _encounter_facts(cfg, df), months)
+    for _, aside in fresh_keys.values():
+        cfg.store.drop(aside)
     _refresh_cube(cfg, months)
     cfg.store.drop(path)
     return sorted(months)
