@@ -3,6 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from wardlake.contract import sources
 from wardlake.functions.keys import date_sk
 from wardlake.operators import audit, monitor
 from wardlake.sources import ingest, streams
@@ -120,6 +121,25 @@ def test_ingest_logs_bronze(spark, store, tmp_path):
     assert (row["object_name"], row["rows_written"], row["run_id"]) == ("synthea_patients", 2, "run-7")
 
 
+def test_a_delivery_is_appended_without_a_shuffle(spark, store, tmp_path, tuples):
+    spark.range(6).selectExpr("cast(id as string) as claim_id").repartition(3).write.json(f"{tmp_path}/in")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
+    try:
+        ingest.claims(spark, f"{tmp_path}/in", store, "r", datetime(2020, 1, 1))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert len(store.files(f"{store.path('claims_raw')}/_ingest_date=2020-01-01")) > 1
+    assert tuples(store.read("claims_raw"), "claim_id") == [(str(i),) for i in range(6)]
+
+
+def test_feeds_are_compressed_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sources, "FEED_ROWS", 2)
+    sources.feed_writer(spark.range(5).coalesce(1)).json(f"{tmp_path}/feed")
+    assert len(list(tmp_path.glob("feed/*.json.gz"))) == 3
+    assert spark.read.schema("id long").json(f"{tmp_path}/feed").count() == 5
+
+
 def test_malformed_rows_are_kept_with_their_text(spark, store, tmp_path, tuples):
     (tmp_path / "p.csv").write_text('Id,CITY\n1,x\n2\n3,"a ""b"",\nc"\n4,y,z,w\n')
     (tmp_path / "c.json").write_text('{"claim_id":"c1","status":"denied"}\n{"claim_id":"c2\n[]\nnoise\n{"claim_id":"c3","billed_amount":"much"}\n')

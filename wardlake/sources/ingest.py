@@ -77,7 +77,10 @@ def csv_feeds(spark: SparkSession, paths: dict[str, str], store: TableStore, run
 
 
 def _deliver(store: TableStore, rows: DataFrame, name: str, run_id: str, snapshot: bool = False) -> str:
-    """Put a delivery into a Bronze table and its malformed rows into quarantine, and log both under the run."""
+    """Put a delivery into a Bronze table and its malformed rows into quarantine, and log both under the run.
+
+    A delivery has one load date, so its readable rows have one target folder and need no shuffle.
+    """
     with audit.run(store, "ingest", run_id):
         good, bad = audit.Watch(), audit.Watch()
         with audit.logged(store, "bronze", name) as entry:
@@ -85,7 +88,7 @@ def _deliver(store: TableStore, rows: DataFrame, name: str, run_id: str, snapsho
             if snapshot:
                 store.overwrite(readable(rows), name, None, good)
             else:
-                store.append(readable(rows), name, ["_ingest_date"], good)
+                store.append(readable(rows), name, ["_ingest_date"], good, gather=False)
             counts = dict(rows_read=good["rows"] + bad["rows"], rows_written=good["rows"], rows_rejected=bad["rows"])
         audit.record(store, [entry | counts | dict(finished_at=audit.now())])
     return name
