@@ -4,13 +4,41 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import functions as F
 
 from wardlake.functions.keys import UNKNOWN_SK, hash_sk
-from wardlake.operators import dims, facts, governance, profile, scd
-from wardlake.plans import analytics
+from wardlake.operators import dims, facts, governance, profile, scd, silver
+from wardlake.plans import analytics, views
+from wardlake.schemas import FEEDS
 
 T0, T1, T2 = datetime(1900, 1, 1), datetime(2020, 1, 1), datetime(2021, 1, 1)
 SCHEMA = "bk string, city string, tag string"
 
 
+def claims(spark, *encounters):
+    rows = [{"claim_id": f"c{i}", "encounter_id": e, "patient_id": "p1", "carrier": "AXA Egypt", "primary_diagnosis_code": "E11",
+             "status": "denied"} for i, e in enumerate(encounters)]
+    return silver.derive_claim(silver.conform_claim(spark.createDataFrame(rows, FEEDS["claims"])))
+
+
+def unsized_plan(spark, df):
+    """The plan for sides that Spark does not know to be small."""
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+
+
+def test_claim_view_shuffles_facts_for_patients_only(spark, tuples):
+    fed = claims(spark, "e1", "e2")
+    t = {"fact_claim": facts.claim(fed), "dim_date": dims.calendar(spark, T1.date(), T1.date()), "dim_payer": dims.payer(fed),
+         "dim_diagnosis": dims.diagnosis(fed),
+         "dim_hospital": spark.createDataFrame([], "hospital_sk long, hospital_name string, facility_type string"),
+         "dim_patient": spark.createDataFrame([(1, True, "x", "F", "Cairo")], "patient_sk long, is_current boolean, age_band string, gender string, governorate string")}
+    plan = unsized_plan(spark, views.claim_enriched(t))
+    assert not any(f"hashpartitioning({code}" in plan for code in ("payer_sk", "hospital_sk", "primary_diagnosis_sk"))
+    assert tuples(views.claim_enriched(t), "payer_name", "primary_icd10_code", "hospital_name") == [("AXA Egypt", "E11", None)] * 2
+
+
 def load(spark, *rows):
     return spark.createDataFrame(list(rows), SCHEMA)
 
