@@ -28,6 +28,15 @@ def unsized_plan(spark, df):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
 
 
+def test_claims_are_neither_broadcast_to_nor_sorted_for_their_encounters(spark, tuples):
+    known = spark.createDataFrame([("e1",), ("e1",), ("e2",), (None,)], "encounter_bk string")
+    fact = facts.claim(claims(spark, "e1", "gone", None, "e1"), known)
+    assert "ShuffledHashJoin" in unsized_plan(spark, fact)
+    assert "SortMergeJoin" not in unsized_plan(spark, facts.claim(claims(spark, "e1"), known))
+    sk = spark.range(1).select(hash_sk(F.lit("e1"))).first()[0]
+    assert tuples(fact, "claim_bk", "encounter_sk") == [("c0", sk), ("c1", None), ("c2", None), ("c3", sk)]
+
+
 def test_claim_view_shuffles_facts_for_patients_only(spark, tuples):
     fed = claims(spark, "e1", "e2")
     t = {"fact_claim": facts.claim(fed), "dim_date": dims.calendar(spark, T1.date(), T1.date()), "dim_payer": dims.payer(fed),
