@@ -3,7 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from wardlake.contract import sources
+from wardlake.contract import entries, registry, sources
 from wardlake.functions.keys import date_sk
 from wardlake.operators import audit, monitor
 from wardlake.sources import ingest, streams
@@ -140,6 +140,23 @@ def test_feeds_are_compressed_files_of_bounded_size(spark, tmp_path, monkeypatch
     assert spark.read.schema("id long").json(f"{tmp_path}/feed").count() == 5
 
 
+def test_upserted_batches_read_minutes_that_were_found_once(spark, tmp_path, monkeypatch):
+    entries.load()
+    events = [(i, datetime(2024, 1, 1, 0, i % 3), i % 2, "click", 1.5 * i, None) for i in range(12)]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string") \
+        .write.parquet(f"{tmp_path}/events.parquet")
+    plans, writer = [], UpsertTable.writer
+
+    def seen(table, epoch):
+        write = writer(table, epoch)
+        return lambda batch, batch_id: (plans.append(batch._jdf.queryExecution().executedPlan().toString()), write(batch, batch_id))
+
+    monkeypatch.setattr(UpsertTable, "writer", seen)
+    out = registry.run("snk_06_keyed_upsert", spark, str(tmp_path))
+    assert out.agg(F.sum("sample_count")).first()[0] == 7 * 12
+    assert len(plans) == 5 and not any("Aggregate" in plan for plan in plans)
+
+
 def test_malformed_rows_are_kept_with_their_text(spark, store, tmp_path, tuples):
     (tmp_path / "p.csv").write_text('Id,CITY\n1,x\n2\n3,"a ""b"",\nc"\n4,y,z,w\n')
     (tmp_path / "c.json").write_text('{"claim_id":"c1","status":"denied"}\n{"claim_id":"c2\n[]\nnoise\n{"claim_id":"c3","billed_amount":"much"}\n')

@@ -98,11 +98,13 @@ def minute_upsert(b: Bindings):
 def keyed_upsert(b: Bindings):
     """Batches of one checkpoint, folded in as the log grows, a replay, and a new checkpoint that counts from 0 again."""
     root, table = shared_dir(b.spark, "upsert"), minute_table(b, fold_every=2)
-    minutes = vitals.minute_aggregate(vitals.flag_anomalies(b.as_vitals(b.events())))
+    # every batch brings the same minutes: they are found once
+    minutes, aside = store(b).stage(vitals.minute_aggregate(vitals.flag_anomalies(b.as_vitals(b.events()))))
     for run, batches in (("first", [(0, 1), (1, 2), (2, 3), (2, 3)]), ("reset", [(0, 7)])):
         write = table.writer(table.epoch(f"{root}/{run}"))
         for batch, times in batches:
             write(minutes.withColumn("sample_count", F.col("sample_count") * times), batch)
+    table.store.drop(aside)
     return table.read()
 
 
