@@ -287,6 +287,15 @@ def test_vitals_of_a_night(spark, store, tuples):
     assert {r[0] for r in t["fact_vital_signs_minute"].join(t["dim_hospital"], "hospital_sk").select("hospital_name").collect()} == {"One"}
 
 
+def test_backfill_compares_versions_of_its_own_stays_only(cfg, store, monkeypatch):
+    nightly.run(cfg)
+    seen, latest = [], nightly.dq.latest
+    monkeypatch.setattr(nightly.dq, "latest", lambda df, *more: (seen.append({r[0] for r in df.select("encounter_bk").collect()}), latest(df, *more))[1])
+    nightly.backfill(cfg, date(2020, 5, 10), date(2020, 5, 10))
+    starts = store.read("silver/fact_encounter").where("date(start_at) = '2020-05-10'").select("encounter_bk").collect()
+    assert seen == [{r[0] for r in starts}] and len(seen[0]) < store.read("silver/fact_encounter").count()
+
+
 def test_backfill_touches_only_its_months(cfg, store, tuples):
     nightly.run_silver(cfg)
     nightly.run_gold(cfg)
