@@ -48,6 +48,19 @@ def test_claim_view_shuffles_facts_for_patients_only(spark, tuples):
     assert tuples(views.claim_enriched(t), "payer_name", "primary_icd10_code", "hospital_name") == [("AXA Egypt", "E11", None)] * 2
 
 
+def test_erasure_writes_rows_where_they_were_without_a_shuffle(spark, store, tuples):
+    for i in range(3):
+        store.append(spark.createDataFrame([("a", i, 1), ("b", i, 1)], "bk string, v int, part int"), "t", ["part"])
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
+    try:
+        governance.erase_everywhere(store, {"t": governance.Held("bk", "bk", ("part",))}, spark.createDataFrame([("a",)], "bk string"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert tuples(store.read("t"), "bk", "v") == [("b", 0), ("b", 1), ("b", 2)]
+    assert len(store.files(f"{store.path('t')}/part=1")) == 3
+
+
 def load(spark, *rows):
     return spark.createDataFrame(list(rows), SCHEMA)
 

@@ -54,7 +54,8 @@ def erase_everywhere(store, tables: dict[str, Held], subjects: DataFrame) -> dic
     A scan of the key and partition columns finds the partitions that hold a subject; only those are rewritten, so a
     few subjects cost a few folders, and other files stay as they are. A table without partitions is
     rewritten if it holds one. Old files are deleted, so the subjects can not be read back. The subjects
-    are written aside first: they may come from one of the tables.
+    are written aside first: they may come from one of the tables. Rows are read folder by folder and
+    written to where they were, so they are not shuffled.
     """
     kept, path = store.stage(subjects)
     done = {}
@@ -73,7 +74,7 @@ def erase_everywhere(store, tables: dict[str, Held], subjects: DataFrame) -> dic
         here = F.col(part).isin([v for v in values if v is not None])
         if None in values:
             here = here | F.col(part).isNull()
-        done[name] = store.replace_partitions(erase(rows.where(here), wanted, held.key), name, part, values, sub) if values else []
+        done[name] = store.replace_partitions(erase(rows.where(here), wanted, held.key), name, part, values, sub, gather=False) if values else []
     store.drop(path)
     return done
 
