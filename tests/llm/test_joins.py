@@ -78,6 +78,28 @@ def test_line_dedup_without_ids_and_of_nothing(spark, make_docs):
     assert line_dedup.stage(spark, make_docs([]), "").count() == 0
 
 
+def test_line_dedup_joins_few_pairs_that_are_no_links(make_docs, monkeypatch):
+    """Long lines with ten rare words in common, unlike otherwise: none of the 900 pairs is a link."""
+    rng, saved, save = np.random.default_rng(8), {}, line_dedup.work.save
+
+    def note(df, label):
+        out = save(df, label)
+        saved[label] = saved.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(line_dedup.work, "save", note)
+    texts = [" ".join([f"rare{i // 10}x{k}" for k in range(10)] + [f"w{k}" for k in rng.choice(1000, 150, replace=False)]) for i in range(200)]
+    out, _, taken = line_dedup.dedup(make_docs([*texts, texts[7], texts[7] + " more"]))
+    assert {r.doc_id for r in out.collect() if r[taken]} == {200, 201}
+    assert 1 <= saved["line-pairs"] < 50
+
+
+def test_line_dedup_shuffles_texts_alike_at_every_size(make_docs):
+    out, _, _ = line_dedup.dedup(make_docs(["one two three four five", "one two three four five"]))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Broadcast" not in plan
+
+
 def shingle_set(text):
     w = (text or "").encode().lower().split()
     return frozenset(zip(*(w[i:] for i in range(5)))) if len(w) >= 5 else frozenset([tuple(w)] if w else [])

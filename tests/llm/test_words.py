@@ -30,6 +30,14 @@ def test_blocks_give_the_same_names():
     assert np.array_equal(whole, np.concatenate(parts))
 
 
+@pytest.mark.parametrize("kind", ["printed", "alnum"])
+def test_large_and_small_blocks_give_the_same_names(monkeypatch, kind):
+    data, offsets = W.raw(pa.array([" ", *varied_texts(), "last-one"]))
+    small = W.words(data, offsets, kind, (2, 5))
+    monkeypatch.setattr(W, "_SUMMED", 0)
+    assert all(np.array_equal(x, y) for x, y in zip(small, W.words(data, offsets, kind, (2, 5)), strict=True))
+
+
 def test_shingles_of_short_rows():
     data, offsets = W.raw(pa.array(["a b c d e f", "a b c", "", "a b c", "b c d e f"]))
     names, _, at = W.words(data, offsets)

@@ -2,14 +2,15 @@
 
 A line's words form a set, ordered by rarity. Sets of Jaccard likeness LINK / OF or more share a word of
 their prefixes, so prefix words are indexed, and entries of one word are compared: by length,
-by position (what is left after the shared word), and by a 64-bit parity sketch whose differing bits are a lower
-bound of the differing words. Large sets must share several prefix words, so their prefixes are
-longer by as many less one. What passes is verified on the full sets. A line goes if its set occurs
-earlier or if an earlier line matches its set; earlier means a smaller (doc_id, line number).
-
-In a word with many similar lines each entry is first paired with at most FIRST_PAIRS others. Lines of such
-words that are not removed by these pairs are compared in a second round with every other entry, so
-the result is that of all pairs, but a group of near copies does not emit all of its pairs.
+by position (what is left after the shared word), and by a parity sketch whose differing bits are a lower
+bound of the differing words; larger sets have larger sketches, so few pairs pass that are no links. What passes is
+verified on the full sets. A line goes if its set occurs earlier or if an earlier line matches its
+set; earlier means a smaller (doc_id, line number). All copies of a set meet in its words, so an entry knows where its
+set occurs first, and a pair which is the later one.
+
+A line takes at most FIRST_PAIRS earlier partners from each of its words. Lines that had more and are not removed by
+these are compared in a second round with every earlier entry of those words, so the result is that of all
+pairs, but a group of near copies does not emit all of its pairs.
 """
 
 from __future__ import annotations
@@ -35,8 +36,14 @@ FIRST_PAIRS = 8
 #: A word whose hash bucket counts more than this many words is dealt out as pairs of blocks.
 HOT = 1 << 22
 _FLUSH_ENTRIES = 1 << 20
-_ENTRY = (("word", "<u4"), ("node", "<u8"), ("size", "<u4"), ("place", "<u4"), ("sketch", "<u8"), ("order", "<f4"))
-_WIDTH = sum(np.dtype(kind).itemsize for _, kind in _ENTRY)
+#: Bytes of text that are cut into lines at once: their arrays stay in a core's cache.
+_BLOCK = 1 << 17
+_ENTRY = (("word", "<u4"), ("node", "<u8"), ("size", "<u4"), ("place", "<u4"), ("block", "<u8"), ("doc", "<i8"), ("line", "<i4"))
+_OCCURRENCE = (("node", "<u8"), ("check", "<u4"), ("doc", "<i8"), ("line", "<i4"))
+#: Sets from these sizes on have sketches of 2 and 4 numbers of 64 bits, smaller ones of one.
+_TWO, _FOUR = 24, 64
+_COPY, _PAIR, _OPEN = 0, 1, 2
+_FOUND = "kind int, a long, b long, a_doc long, a_line int, doc long, line int, word long"
 
 
 @dataclass
@@ -53,11 +60,12 @@ class Lines:
     check: np.ndarray
 
 
-def read_lines(data: np.ndarray, offsets: np.ndarray, ranks: np.ndarray | None, total: np.ndarray | None = None) -> Lines:
-    """Lines with their sets in order of rarity, or of names without ``ranks``; ``total`` counts hash buckets."""
+def read_lines(data: np.ndarray, offsets: np.ndarray, ranks: np.ndarray | None, words: np.ndarray | None = None) -> Lines:
+    """Lines with their sets in order of rarity, or of names without ``ranks``.
+
+    With ``words``, a bitmap, sets of lines that have none of these words are left empty.
+    """
     names, starts, _ = W.words(data, offsets)
-    if total is not None:
-        total += np.bincount((names >> np.uint64(64 - work.SKETCH_BITS)).astype(np.int64), minlength=len(total))
     breaks = np.flatnonzero(data == 10)
     row = np.concatenate((np.arange(len(offsets) - 1), np.searchsorted(offsets, breaks, side="right") - 1))
     begin = np.concatenate((offsets[:-1], breaks + 1))
@@ -66,6 +74,10 @@ def read_lines(data: np.ndarray, offsets: np.ndarray, ranks: np.ndarray | None,
     number = np.arange(len(row)) - np.searchsorted(row, row)
     to = np.append(np.searchsorted(starts, begin), len(starts))
     line = np.repeat(np.arange(len(row)), np.diff(to))
+    if words is not None:
+        has = np.zeros(len(row), bool)
+        has[line[work.marked(words, W.mix(names) >> np.uint64(32))]] = True
+        names, line = names[has[line]], line[has[line]]
     keys = names if ranks is None else work.by_rank(names, ranks)
     if len(row) < 1 << 16:  # one sort key: line, then the top bits of the word
         order = np.argsort((line.astype(np.uint64) << np.uint64(48)) | (keys >> np.uint64(16)))
@@ -88,178 +100,291 @@ def needed(n):
     return (n * LINK + OF - 1) // OF
 
 
-def shared_at_least(n):
-    """How many prefix words two sets must share, the smaller of their numbers; prefixes are longer by one less."""
-    return 1 + np.minimum(n // 64, 7)
+def sketch_width(size):
+    return np.where(size < _TWO, 1, np.where(size < _FOUR, 2, 4))
 
 
 def entries(lines: Lines, ids: np.ndarray) -> dict[str, np.ndarray]:
-    """Index entries of the prefix words of each different set of the block."""
-    _, first = np.unique(lines.node, return_index=True)
-    own = np.zeros(len(lines.node), bool)
-    own[first] = True
+    """Index entries of the prefix words of each different set of the block, where it occurs first."""
+    order = np.lexsort((lines.number, ids[lines.row], lines.node))
+    own = np.zeros(len(order), bool)
+    own[order] = np.append(True, lines.node[order][1:] != lines.node[order][:-1])
     own &= lines.size >= MIN_INDEXED
-    prefix = np.where(own, lines.size - needed(lines.size) + shared_at_least(lines.size), 0)
+    prefix = np.where(own, lines.size - needed(lines.size) + 1, 0)
     line = np.repeat(np.arange(len(prefix)), prefix)
     place = np.arange(len(line)) - np.repeat(np.cumsum(prefix) - prefix, prefix)
     at = lines.at[line] + place
-    bits = np.uint64(1) << (lines.mixed & np.uint64(63))
-    parity = np.concatenate((np.zeros(1, np.uint64), np.bitwise_xor.accumulate(bits)))
-    sketch = parity[lines.at[1:]] ^ parity[lines.at[:-1]]
+    bits, part = np.uint64(1) << (lines.mixed & np.uint64(63)), (lines.mixed >> np.uint64(6)) & np.uint64(3)
+    parity = np.zeros((4, len(bits) + 1), np.uint64)
+    for k in range(4):
+        np.bitwise_xor.accumulate(np.where(part == k, bits, np.uint64(0)), out=parity[k, 1:])
+    sketch = (parity[:, lines.at[1:]] ^ parity[:, lines.at[:-1]])[:, line]
     return {"word": (lines.mixed[at] >> np.uint64(32)).astype("<u4"), "node": lines.node[line].astype("<u8"),
-            "size": lines.size[line].astype("<u4"), "place": place.astype("<u4"), "sketch": sketch[line].astype("<u8"),
-            "order": ids[lines.row[line]].astype("<f4"), "bucket": lines.names[at] >> np.uint64(64 - work.SKETCH_BITS)}
+            "size": lines.size[line].astype("<u4"), "place": place.astype("<u4"), "doc": ids[lines.row[line]].astype("<i8"),
+            "line": lines.number[line].astype("<i4"), "bucket": lines.names[at] >> np.uint64(64 - work.SKETCH_BITS),
+            **{f"sketch{k}": x for k, x in enumerate(sketch)}}
 
 
-def pairs_of(e: dict[str, np.ndarray], wanted: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Possible links between entries of one word with the number of words that they must share, and the
-    nodes of words in which some were left out.
+def pairs_of(e: dict[str, np.ndarray], wanted: np.ndarray | None) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Entries of one word each in a common order, the places in it of possible links' earlier and later
+    ends, and of entries that had more partners.
 
-    Without ``wanted`` every entry is paired with FIRST_PAIRS earlier ones at most; with it, all
-    pairs of a wanted node are given.
+    Without ``wanted`` every entry is paired with FIRST_PAIRS earlier ones at most; with it, wanted
+    nodes are paired with all earlier ones.
     """
     order = np.lexsort((e["node"], e["group"]))
-    same = np.zeros(len(order), bool)
-    same[1:] = (e["group"][order][1:] == e["group"][order][:-1]) & (e["node"][order][1:] == e["node"][order][:-1])
-    order = order[~same]
-    order = order[np.lexsort((e["order"][order], e["group"][order]))]
-    group, node, size, place, sketch = (e[k][order] for k in ("group", "node", "size", "place", "sketch"))
-    size, place = size.astype(np.int64), place.astype(np.int64)
-    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
-    ends = np.append(starts[1:], len(group))
-    found = np.zeros(len(group), np.int64)
-    full = np.zeros(len(group), bool)
-    chosen = np.ones(len(group), bool) if wanted is None else work.marked(wanted, node)
-    left, right, need = [], [], []
-    step = 0
+    group, node = e["group"][order], e["node"][order]
+    new = np.ones(len(order), bool)
+    new[1:] = (group[1:] != group[:-1]) | (node[1:] != node[:-1])
+    copied = np.flatnonzero(~new | np.append(~new[1:], False))
+    run = np.cumsum(new)[copied]
+    order[copied] = order[copied][np.lexsort((e["line"][order[copied]], e["doc"][order[copied]], run))]
+    order = order[new]
+    order = order[np.lexsort((e["size"][order], e["group"][order]))]
+    e = {k: v[order] for k, v in e.items()}
+    n = len(order)
+    size, place, width = e["size"].astype(np.int64), e["place"].astype(np.int64), sketch_width(e["size"])
+    small = e["sketch0"] ^ e["sketch1"] ^ e["sketch2"] ^ e["sketch3"]
+    middle = [e["sketch0"] ^ e["sketch2"], e["sketch1"] ^ e["sketch3"]]
+    large = [e[f"sketch{k}"] for k in range(4)]
+    doc, line = e["doc"], e["line"]
+    # entries of one word by size: partners of the next larger sizes follow, up to ``ends``
+    number = np.cumsum(np.append(True, e["group"][1:] != e["group"][:-1])) if n else np.zeros(0, np.int64)
+    wide = np.int64(1) << 33
+    ends = np.searchsorted(number * wide + size, number * wide + size * OF // LINK, side="right")
+    found, full = np.zeros(n, np.int64), np.zeros(n, bool)
+    chosen = None if wanted is None else work.marked(wanted, e["node"])
+    lefts, rights = [], []
+    active, step = np.arange(n), 0
     while True:
-        some = ends - starts > step + 1
-        if not some.any():
-            break
-        starts, ends = starts[some], ends[some]
-        n = ends - starts - step - 1
-        x = np.repeat(starts + step, n)
-        y = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + x + 1
         step += 1
-        go = (found[y] < FIRST_PAIRS) if wanted is None else chosen[x] | chosen[y]
-        full[y[~go]] = wanted is None
-        x, y = x[go], y[go]
+        active = active[active + step < ends[active]]
+        if not len(active):
+            break
+        x, y = active, active + step
         total = size[x] + size[y]
-        go = (size[x] * OF >= LINK * size[y]) & (size[y] * OF >= LINK * size[x])
-        go &= (np.minimum(place[x], place[y]) + np.minimum(size[x] - place[x], size[y] - place[y])) * (OF + LINK) >= LINK * total
+        go = (np.minimum(place[x], place[y]) + np.minimum(size[x] - place[x], size[y] - place[y])) * (OF + LINK) >= LINK * total
+        go &= np.bitwise_count(small[x] ^ small[y]).astype(np.int64) * (OF + LINK) <= (OF - LINK) * total
         x, y, total = x[go], y[go], total[go]
-        go = np.bitwise_count(sketch[x] ^ sketch[y]).astype(np.int64) * (OF + LINK) <= (OF - LINK) * total
+        for least, parts in ((2, middle), (4, large)):
+            apart = sum(np.bitwise_count(p[x] ^ p[y]).astype(np.int64) for p in parts)
+            go = (np.minimum(width[x], width[y]) < least) | (apart * (OF + LINK) <= (OF - LINK) * total)
+            x, y, total = x[go], y[go], total[go]
+        go = (doc[x] != doc[y]) | (line[x] != line[y])
         x, y = x[go], y[go]
-        found[y] += 1
-        left.append(node[x])
-        right.append(node[y])
-        need.append(shared_at_least(np.minimum(size[x], size[y])))
-    cut = np.unique(group[full])
-    parts = [np.concatenate(x) if x else np.zeros(0, kind) for x, kind in ((left, np.uint64), (right, np.uint64), (need, np.int64))]
-    return *parts, np.unique(node[np.isin(group, cut)])
-
-
-def _each(batches: Iterator[pa.RecordBatch], ranks: np.ndarray | None, total: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, Lines]]:
+        ahead = (doc[x] < doc[y]) | ((doc[x] == doc[y]) & (line[x] < line[y]))
+        x, y = np.where(ahead, x, y), np.where(ahead, y, x)
+        if wanted is None:
+            go = found[y] < FIRST_PAIRS
+            full[y[~go]] = True
+        else:
+            go = chosen[y]
+        x, y = x[go], y[go]
+        np.add.at(found, y, 1)
+        lefts.append(x)
+        rights.append(y)
+    left, right = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (lefts, rights))
+    return e, left, right, np.flatnonzero(full)
+
+
+def _planes(column: np.ndarray) -> bytes:
+    """The column's bytes, first bytes first: equal ones lie side by side and are compressed."""
+    return np.ascontiguousarray(column).view(np.uint8).reshape(len(column), -1).T.tobytes()
+
+
+def _column(raw: np.ndarray, n: int, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(raw.reshape(-1, n).T).view(kind).ravel()
+
+
+def _pack_entries(e: dict[str, np.ndarray], parts: int) -> Iterator[tuple[int, bytes]]:
+    """Parts and blobs of entries: columns by bytes, then as many sketch numbers as the size asks for."""
+    group = _group(e)
+    part = (group % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.int64)
+    order = np.argsort(part, kind="stable")
+    e = {k: v[order] for k, v in e.items()}
+    cuts = np.searchsorted(part[order], np.arange(parts + 1))
+    width = sketch_width(e["size"])
+    small = e["sketch0"] ^ e["sketch1"] ^ e["sketch2"] ^ e["sketch3"]
+    middle = [e["sketch0"] ^ e["sketch2"], e["sketch1"] ^ e["sketch3"]]
+    for p in np.flatnonzero(np.diff(cuts)):
+        own = slice(cuts[p], cuts[p + 1])
+        one, two, four = (width[own] == k for k in (1, 2, 4))
+        blob = [np.int64(cuts[p + 1] - cuts[p]).tobytes(), *(_planes(e[k][own]) for k, _ in _ENTRY), small[own][one].tobytes()]
+        blob += [m[own][two].tobytes() for m in middle] + [e[f"sketch{k}"][own][four].tobytes() for k in range(4)]
+        yield int(p), b"".join(blob)
+
+
+def _unpack_entries(blob) -> dict[str, np.ndarray]:
+    raw = np.frombuffer(blob, np.uint8)
+    n, start = int(raw[:8].view(np.int64)[0]), 8
+    e = {}
+    for k, kind in _ENTRY:
+        stop = start + n * np.dtype(kind).itemsize
+        e[k], start = _column(raw[start:stop], n, kind), stop
+    width = sketch_width(e["size"])
+    sketches = np.zeros((4, n), np.uint64)
+    for k in (1, 2, 4):
+        own = np.flatnonzero(width == k)
+        stop = start + 8 * k * len(own)
+        sketches[:k, own] = np.frombuffer(raw[start:stop].tobytes(), np.uint64).reshape(k, -1)
+        start = stop
+    return e | {f"sketch{k}": x for k, x in enumerate(sketches)}
+
+
+def _group(e: dict[str, np.ndarray]) -> np.ndarray:
+    return W.mix(e["word"].astype(np.uint64) + e["block"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _dealt(e: dict[str, np.ndarray], hot: np.ndarray) -> dict[str, np.ndarray]:
+    """Entries of frequent words once per pair of blocks that their node belongs to."""
+    blocks = hot[e.pop("bucket").astype(np.int64)]
+    own = (W.mix(e["node"]) % blocks.astype(np.uint64)).astype(np.int64)
+    other = np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    e = {k: np.repeat(v, blocks) for k, v in e.items()} if len(other) > len(own) else e
+    own = np.repeat(own, blocks)
+    return e | {"block": (np.minimum(own, other) * np.int64(1 << 20) + np.maximum(own, other)).astype("<u8")}
+
+
+def _copies(blobs) -> tuple[np.ndarray, np.ndarray]:
+    """Documents and lines of occurrences of a set behind its first."""
+    columns: dict[str, list[np.ndarray]] = {}
+    for blob in blobs:
+        raw = np.frombuffer(blob, np.uint8)
+        n, start = len(raw) // sum(np.dtype(kind).itemsize for _, kind in _OCCURRENCE), 0
+        for k, kind in _OCCURRENCE:
+            stop = start + n * np.dtype(kind).itemsize
+            columns.setdefault(k, []).append(_column(raw[start:stop], n, kind))
+            start = stop
+    node, check, doc, line = (np.concatenate(columns[k]) for k, _ in _OCCURRENCE)
+    order = np.lexsort((line, doc, check, node))
+    node, check, doc, line = node[order], check[order], doc[order], line[order]
+    new = np.append(True, (node[1:] != node[:-1]) | (check[1:] != check[:-1]))
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    later = (doc != doc[first]) | (line != line[first])
+    return doc[later], line[later]
+
+
+def _each(batches: Iterator[pa.RecordBatch], ranks: np.ndarray | None, words: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, Lines]]:
     """Ids and lines of blocks of (doc_id, text) batches."""
     for batch in batches:
         ids = batch.column(0).to_numpy()
         data, offsets = W.raw(batch.column(1))
-        for i, j in W.blocks(offsets):
-            yield ids[i:j], read_lines(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], ranks, total)
+        for i, j in W.blocks(offsets, _BLOCK):
+            yield ids[i:j], read_lines(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], ranks, words)
 
 
-def _candidates(docs: DataFrame, shared, hot, wanted: np.ndarray | None = None) -> DataFrame:
-    """Possible links (a, b) and, with b null, nodes that need the second round."""
+def _found(docs: DataFrame, shared, hot, wanted: np.ndarray | None = None, cut: np.ndarray | None = None) -> DataFrame:
+    """Lines that repeat an earlier set, possible links and entries that need the second round, by kind.
+
+    The second round has the open nodes as ``wanted`` and the words in which they had more partners as ``cut``.
+    """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chosen = spark.sparkContext.broadcast(wanted)
+    chosen, words = spark.sparkContext.broadcast(wanted), spark.sparkContext.broadcast(cut)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict[str, np.ndarray]] = []
-        for ids, lines in _each(batches, shared.value):
-            held.append(entries(lines, ids))
+        seen: list[dict[str, np.ndarray]] = []
+        for ids, lines in _each(batches, shared.value, words.value):
+            e = entries(lines, ids)
+            if words.value is not None:
+                some = work.marked(words.value, e["word"])
+                e = {k: v[some] for k, v in e.items()}
+            else:
+                kept = lines.size >= MIN_WORDS
+                seen.append({"node": lines.node[kept], "check": lines.check[kept], "doc": ids[lines.row[kept]], "line": lines.number[kept]})
+            held.append(e)
             if sum(len(h["word"]) for h in held) > _FLUSH_ENTRIES:
-                yield pack(held)
-                held = []
+                yield from pack(held, seen)
+                held, seen = [], []
         if held:
-            yield pack(held)
-
-    def pack(held: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
-        e = {k: np.concatenate([h[k] for h in held]) for k in held[0]}
-        blocks = hot.value[e.pop("bucket").astype(np.int64)]
-        times = blocks.astype(np.int64)
-        own = (W.mix(e["node"]) % blocks.astype(np.uint64)).astype(np.int64)
-        other = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        e = {k: np.repeat(v, times) for k, v in e.items()}
-        own = np.repeat(own, times)
-        block = np.minimum(own, other) * np.int64(1 << 20) + np.maximum(own, other)
-        group = W.mix(e["word"].astype(np.uint64) + block.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        part = (group % np.uint64(4 * parts)).astype(np.uint16 if 4 * parts < 1 << 16 else np.int64)
-        order = np.argsort(part, kind="stable")
-        e = {k: v[order] for k, v in e.items()} | {"block": block[order].astype("<u8")}
-        cuts = np.searchsorted(part[order], np.arange(4 * parts + 1))
-        filled = np.flatnonzero(np.diff(cuts))
-        kinds = [*_ENTRY, ("block", "<u8")]
-        blobs = [b"".join(e[k][cuts[p]:cuts[p + 1]].tobytes() for k, _ in kinds) for p in filled]
-        return pa.RecordBatch.from_arrays([pa.array(filled, pa.int32()), pa.array(blobs, pa.binary())], ["part", "blob"])
+            yield from pack(held, seen)
+
+    def pack(held: list[dict[str, np.ndarray]], seen: list[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        filled, blobs = [], []
+        for part, blob in _pack_entries(_dealt({k: np.concatenate([h[k] for h in held]) for k in held[0]}, hot.value), 4 * parts):
+            filled.append(part)
+            blobs.append(blob)
+        if seen:
+            o = {k: np.concatenate([h[k] for h in seen]).astype(kind) for k, kind in _OCCURRENCE}
+            part = (W.mix(o["node"]) % np.uint64(parts)).astype(np.int64)
+            for p in np.unique(part):
+                filled.append(4 * parts + int(p))
+                blobs.append(b"".join(_planes(o[k][part == p]) for k, _ in _OCCURRENCE))
+        yield pa.RecordBatch.from_arrays([pa.array(filled, pa.int32()), pa.array(blobs, pa.binary())], ["part", "blob"])
+
+    def rows(kind: int, n: int, **columns: np.ndarray) -> pa.RecordBatch:
+        names = ["a", "b", "a_doc", "a_line", "doc", "line", "word"]
+        kinds = [pa.int32() if k.endswith("line") else pa.int64() for k in names]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(n, kind, np.int32)), *(pa.array(columns[k].astype(t.to_pandas_dtype())) if k in columns else pa.nulls(n, t) for k, t in zip(names, kinds))],
+            ["kind", *names])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in work.groups(batches, "part"):
-            columns: dict[str, list[np.ndarray]] = {}
-            for blob in table.column("blob"):
-                raw = blob.as_buffer()
-                n, start = raw.size // (_WIDTH + 8), 0
-                for k, kind in [*_ENTRY, ("block", "<u8")]:
-                    columns.setdefault(k, []).append(np.frombuffer(raw, kind, n, start))
-                    start += n * np.dtype(kind).itemsize
-            e = {k: np.concatenate(v) for k, v in columns.items()}
-            e["group"] = W.mix(e["word"].astype(np.uint64) + e["block"] * np.uint64(0x9E3779B97F4A7C15))
-            a, b, need, open_nodes = pairs_of(e, chosen.value)
-            n, more = len(a), len(open_nodes)
-            if n + more:
-                missing = np.append(np.zeros(n, bool), np.ones(more, bool))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate((a, open_nodes)).view(np.int64)),
-                    pa.array(np.concatenate((b, np.zeros(more, np.uint64))).view(np.int64), mask=missing),
-                    pa.array(np.concatenate((need, np.zeros(more, np.int64))).astype(np.int32))], ["a", "b", "need"])
-
-    rows = docs.mapInArrow(index, "part int, blob binary").repartition(parts, "part").sortWithinPartitions("part")
-    met = rows.mapInArrow(compare, "a long, b long, need int").groupBy("a", "b").agg(F.count("need").alias("n"), F.max("need").alias("need"))
-    return met.where(F.col("n") >= F.col("need")).select("a", "b")
-
-
-def _verified(docs: DataFrame, nodes: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Candidates (a, b) whose sets are alike enough; sets are read from the documents where they first occur."""
+            blobs = [blob.as_buffer() for blob in table.column("blob")]
+            if table.column("part")[0].as_py() >= 4 * parts:
+                doc, line = _copies(blobs)
+                yield rows(_COPY, len(doc), doc=doc, line=line)
+                continue
+            several = [_unpack_entries(b) for b in blobs]
+            e = {k: np.concatenate([s[k] for s in several]) for k in several[0]}
+            del several, blobs
+            e, x, y, more = pairs_of(e | {"group": _group(e)}, chosen.value)
+            yield rows(_PAIR, len(x), a=e["node"][x].view(np.int64), b=e["node"][y].view(np.int64), a_doc=e["doc"][x], a_line=e["line"][x],
+                       doc=e["doc"][y], line=e["line"][y])
+            yield rows(_OPEN, len(more), a=e["node"][more].view(np.int64), word=e["word"][more])
+
+    packed = docs.mapInArrow(index, "part int, blob binary").repartition(parts, "part").sortWithinPartitions("part")
+    return work.save(packed.mapInArrow(compare, _FOUND), "line-found")
+
+
+def _spot(doc, line):
+    """One number for a document and a line, for bitmaps."""
+    return F.shiftleft(doc, 12).bitwiseXOR(line.cast("long"))
+
+
+def _beaten(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Later ends (node, doc_id, line) of the possible links whose sets are alike enough; sets are read where they first occur."""
     context = docs.sparkSession.sparkContext
-    wanted = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    bits = context.broadcast(work.bitmap(wanted))
-    holders = context.broadcast(work.bitmap(nodes.join(wanted, "node").select("first.doc_id").distinct()))
+    pairs = work.save(found.where(F.col("kind") == _PAIR).drop("kind", "word").distinct(), "line-pairs")
+    spots = pairs.select(F.explode(F.array(_spot(F.col("a_doc"), F.col("a_line")), _spot(F.col("doc"), F.col("line")))))
+    spots = context.broadcast(work.bitmap(spots))
+    bits = context.broadcast(work.bitmap(pairs.select(F.explode(F.array("a", "b")))))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        some = (b.filter(pa.array(work.marked(holders.value, b.column(0).to_numpy()))) for b in batches)
-        for _, lines in _each(some, None):
-            _, first = np.unique(lines.node, return_index=True)
-            first = first[(lines.size[first] >= MIN_INDEXED) & work.marked(bits.value, lines.node[first])]
-            at = np.concatenate(([0], np.cumsum(lines.size[first])))
-            take = np.arange(at[-1]) + np.repeat(lines.at[first] - at[:-1], lines.size[first])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(lines.node[first].view(np.int64)), W.list_array(lines.names[take].view(np.int64), at, pa.int64())], ["node", "words"])
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            data, offsets = W.raw(batch.column(1))
+            for i, j in W.blocks(offsets, _BLOCK):
+                lines = read_lines(*_some_lines(ids[i:j], data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], spots.value), None)
+                _, first = np.unique(lines.node, return_index=True)
+                first = first[(lines.size[first] >= MIN_INDEXED) & work.marked(bits.value, lines.node[first])]
+                at = np.concatenate(([0], np.cumsum(lines.size[first])))
+                take = np.arange(at[-1]) + np.repeat(lines.at[first] - at[:-1], lines.size[first])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(lines.node[first].view(np.int64)), W.list_array(lines.names[take].view(np.int64), at, pa.int64())], ["node", "words"])
 
     known = docs.mapInArrow(sets, "node long, words array<long>").groupBy("node").agg(F.min("words").alias("words"))
     known = work.save(known, "line-sets")
-    both = (candidates.join(known.select(F.col("node").alias("a"), F.col("words").alias("x")), "a")
+    both = (pairs.join(known.select(F.col("node").alias("a"), F.col("words").alias("x")), "a")
             .join(known.select(F.col("node").alias("b"), F.col("words").alias("y")), "b"))
     common = F.size(F.array_intersect("x", "y"))
-    return both.where(common * OF >= LINK * (F.size("x") + F.size("y") - common)).select("a", "b")
+    alike = both.where(common * OF >= LINK * (F.size("x") + F.size("y") - common))
+    return work.save(alike.select(F.col("b").alias("node"), F.col("doc").alias("doc_id"), "line").distinct(), "line-later")
 
 
-def _beaten(links: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Nodes with a link to one whose first occurrence is earlier."""
-    first = nodes.select("node", "first")
-    ends = (links.join(first.select(F.col("node").alias("a"), F.col("first").alias("first_a")), "a")
-            .join(first.select(F.col("node").alias("b"), F.col("first").alias("first_b")), "b"))
-    later = F.when(F.col("first_a") > F.col("first_b"), F.col("a")).when(F.col("first_b") > F.col("first_a"), F.col("b"))
-    return ends.select(later.alias("node")).where(F.col("node").isNotNull()).distinct()
+def _some_lines(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, spots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of the lines whose spots are marked, as a block of one text per line."""
+    breaks = np.flatnonzero(data == 10)
+    row = np.concatenate((np.arange(len(ids)), np.searchsorted(offsets, breaks, side="right") - 1))
+    begin = np.concatenate((offsets[:-1], breaks + 1))
+    order = np.lexsort((begin, row))
+    row, begin = row[order], begin[order]
+    number = np.arange(len(row)) - np.searchsorted(row, row)
+    length = np.append(begin[1:], len(data)) - begin
+    own = work.marked(spots, (ids[row].astype(np.int64) << np.int64(12)) ^ number)
+    return data[np.repeat(own, length)], np.concatenate(([0], np.cumsum(length[own])))
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
@@ -272,41 +397,23 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     docs = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     context = docs.sparkSession.sparkContext
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Lines with words and, in rows with a count, the task's filled hash buckets."""
-        total = np.zeros(1 << work.SKETCH_BITS)
-        for ids, lines in _each(batches, None, total):
-            kept = lines.size >= MIN_WORDS
-            yield rows(ids[lines.row[kept]], lines.number[kept], lines.node[kept].view(np.int64), lines.check[kept], np.zeros(kept.sum()))
-        spots = np.flatnonzero(total)
-        yield rows(spots, spots * 0, spots * 0, spots * 0, total[spots])
-
-    def rows(doc_id, line, node, check, count) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(doc_id.astype(np.int64)), pa.array(line.astype(np.int32)), pa.array(node.astype(np.int64)), pa.array(check.astype(np.int32)),
-             pa.array(count.astype(np.int64))], ["doc_id", "line", "node", "check", "count"])
-
-    both = work.save(docs.mapInArrow(read, "doc_id long, line int, node long, check int, count long"), "lines")
-    occurring = both.where(F.col("count") == 0).drop("count")
-
     def add(batch: pa.RecordBatch, total: np.ndarray) -> None:
-        np.add.at(total, batch.column(0).to_numpy(), batch.column(1).to_numpy())
+        data, offsets = W.raw(batch.column(0))
+        names = (W.words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])[0] for i, j in W.blocks(offsets, _BLOCK))
+        buckets = [(x >> np.uint64(64 - work.SKETCH_BITS)).astype(np.int32) for x in names]
+        total += np.bincount(np.concatenate(buckets), minlength=len(total)) if buckets else 0
 
-    counts = work.dense_sums(both.where(F.col("count") > 0).select("doc_id", "count"), add, 1 << work.SKETCH_BITS)
+    counts = work.dense_sums(docs.select("text"), add, 1 << work.SKETCH_BITS)
     shared = context.broadcast(work.ranks_of(counts))
     hot = context.broadcast(np.ceil(np.maximum(counts, 1) / max(HOT, counts.sum() / 1024)).astype(np.int64))
-    nodes = work.save(occurring.groupBy("node", "check").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("line").alias("n")), "line-nodes")
-    candidates = work.save(_candidates(docs, shared, hot), "line-pairs")
-    links = _verified(docs, nodes, candidates.where(F.col("b").isNotNull()))
-    beaten = work.save(_beaten(links, nodes), "line-later")
-    rest = candidates.where(F.col("b").isNull()).select(F.col("a").alias("node")).distinct().join(beaten, "node", "left_anti")
-    rest = work.save(rest, "line-open")
-    if not rest.isEmpty():
-        more = work.save(_candidates(docs, shared, hot, work.bitmap(rest)).where(F.col("b").isNotNull()), "line-pairs")
-        beaten = work.save(beaten.unionByName(_beaten(_verified(docs, nodes, more), nodes)).distinct(), "line-later")
-    decided = nodes.join(beaten.withColumn("beaten", F.lit(True)), "node", "left").where(F.col("beaten") | (F.col("n") > 1))
-    gone = (occurring.join(decided, ["node", "check"])
-            .where(F.col("beaten").isNotNull() | (F.struct("doc_id", "line") != F.col("first"))))
+    found = _found(docs, shared, hot)
+    beaten = _beaten(docs, found)
+    more = found.where(F.col("kind") == _OPEN).select(F.col("a").alias("node"), "word").join(beaten, "node", "left_anti")
+    more = work.save(more, "line-open")
+    if not more.isEmpty():
+        wanted, cut = work.bitmap(more.select("node").distinct()), work.bitmap(more.select("word").distinct())
+        beaten = beaten.unionByName(_beaten(docs, _found(docs, shared, hot, wanted, cut)))
+    gone = found.where(F.col("kind") == _COPY).select(F.col("doc").alias("doc_id"), "line").unionByName(beaten.select("doc_id", "line"))
     return gone.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
 
 
@@ -324,9 +431,9 @@ def dedup(docs: DataFrame) -> tuple[DataFrame, str, str]:
     def may_lose(ids: pd.Series) -> pd.Series:
         return pd.Series(work.marked(bits.value, ids.to_numpy()))
 
-    # only texts that may lose lines are shuffled; the others pass by
+    # only texts that may lose lines are shuffled, hashed and not sorted, by one plan at every size; the others pass by
     touched = F.col("doc_id").isNotNull() & may_lose(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
-    joined = docs.where(touched).join(lost, "doc_id", "left").select(*docs.columns, gone)
+    joined = docs.where(touched).join(lost.hint("shuffle_hash"), "doc_id", "left").select(*docs.columns, gone)
     joined = joined.unionByName(docs.where(~touched).withColumn(gone, F.lit(None).cast("array<int>")))
     lines = F.split(F.col("text").cast("string"), "\n", -1)
     kept = F.filter(lines, lambda _, i: ~F.array_contains(gone, i))

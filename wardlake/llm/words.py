@@ -44,6 +44,11 @@ ALNUM = (_ALL >= 128) | ((_ALL >= 48) & (_ALL <= 57)) | ((_ALL >= 65) & (_ALL <=
 TABLES = {"printed": (PRINTED, _byte_table(PRINTED)), "alnum": (ALNUM, _byte_table(ALNUM))}
 
 _powers = np.ones(1, np.uint64)
+_ODD = _RADIX | U(1)
+_INVERSE = U(pow(int(_ODD), -1, 1 << 64))
+#: Blocks up to this size are hashed by running sums over powers and inverse powers of all places.
+_SUMMED = 1 << 20
+_place_powers: list[np.ndarray] = []
 
 
 def _power_table(n: int) -> np.ndarray:
@@ -55,6 +60,15 @@ def _power_table(n: int) -> np.ndarray:
     return _powers
 
 
+def _places(n: int) -> list[np.ndarray]:
+    """Powers of the radix and of its inverse for the places of a block of n bytes."""
+    if not _place_powers or len(_place_powers[0]) < n:
+        steps = np.full((2, max(n, BLOCK_BYTES)), _ODD, np.uint64)
+        steps[1], steps[:, 0] = _INVERSE, 1
+        _place_powers[:] = np.cumprod(steps, axis=1)
+    return _place_powers
+
+
 def raw(column) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a text column and the n + 1 offsets of its rows; null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -92,12 +106,20 @@ def words(data: np.ndarray, offsets: np.ndarray, kind: str = "printed",
     if not len(starts):
         none = np.zeros(0, np.uint64)
         return none, starts, np.zeros(len(offsets), np.int64), *[none for _ in heads]
+    to = np.searchsorted(starts, offsets)
+    if len(data) <= _SUMMED:
+        powers, inverse = _places(len(data))
+        sums = np.cumsum(table[data] * powers[:len(data)])
+        before = np.where(starts > 0, sums[starts - 1], U(0))
+        ends = np.append(starts[1:], len(data)) - 1
+        names = [mix((sums[np.minimum(ends, starts + n - 1) if n else ends] - before) * inverse[starts]) for n in (0, *heads)]
+        return names[0], starts, to, *names[1:]
     lengths = np.diff(np.append(starts, len(data)))
     place = np.arange(starts[0], len(data)) - np.repeat(starts, lengths)
     # bytes after a word's end up to the next word have the name 0 and add nothing
     parts = table[data[starts[0]:]] * _power_table(int(lengths.max()))[place]
     names = [mix(np.add.reduceat(np.where(place < n, parts, U(0)) if n else parts, starts - starts[0])) for n in (0, *heads)]
-    return names[0], starts, np.searchsorted(starts, offsets), *names[1:]
+    return names[0], starts, to, *names[1:]
 
 
 def shingles(names: np.ndarray, at: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
