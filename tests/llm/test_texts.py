@@ -52,6 +52,19 @@ def test_dropout_varies_and_decodes(make_docs):
     assert pieces.encode(make_docs([]), ["doc_id"]).count() == 0
 
 
+@needs_model
+@pytest.mark.parametrize("rate", [0, 0.1, 0.5, 1.0])
+def test_units_merged_together_are_those_merged_alone(monkeypatch, rate):
+    monkeypatch.setattr(pieces, "_ROWS", 500)
+    vocabulary = pieces.load()
+    encoder = pieces.Encoder(vocabulary, rate=rate)
+    texts = [t for t in varied_texts() if t][:60] + TRICKY + ["the quick brown foxes were jumping over interesting documents", "ab" * 32 + " " + "cd" * 33, "\u2581 \u2581x ÿ\U0001F600 "]
+    streams = [i % 3 for i in range(len(texts))]
+    for text, stream, got in zip(texts, streams, encoder.encode_all(texts, streams), strict=True):
+        skip = pieces.keyed_skip(pieces.SEED, stream, rate, vocabulary)
+        assert got.tolist() == [i for unit in pieces._UNIT.findall(" " + text) for i in pieces.encode_unit(unit, vocabulary, skip)]
+
+
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
