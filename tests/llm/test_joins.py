@@ -3,12 +3,13 @@
 import hashlib
 import itertools
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
 
 from llm_samples import BENCH, varied_texts
-from wardlake.llm import decontaminate, graph, line_dedup, ngram_join
+from wardlake.llm import decontaminate, graph, line_dedup, ngram_join, work
 
 
 def word_set(line):
@@ -100,6 +101,60 @@ def test_line_dedup_shuffles_texts_alike_at_every_size(make_docs):
     assert "ShuffledHashJoin" in plan and "Broadcast" not in plan
 
 
+def index_entries(n_lines):
+    rng = np.random.default_rng(5)
+    data = "\n".join(" ".join(f"w{k}" for k in row) for row in rng.integers(0, 50_000, (n_lines, 24))).encode()
+    ranks = np.arange(1 << work.SKETCH_BITS, dtype=np.uint32)
+    lines = line_dedup.read_lines(np.frombuffer(data, np.uint8), np.array([0, len(data)]), ranks)
+    return line_dedup._dealt(line_dedup.entries(lines, np.zeros(1, np.int64)), np.ones(1 << work.SKETCH_BITS, np.int64))
+
+
+def test_index_entries_are_packed_without_a_second_copy():
+    e = index_entries(60_000)
+    size = sum(v.nbytes for v in e.values())
+    assert len(e["word"]) > 4 * line_dedup._SORTED_ENTRIES
+    tracemalloc.start()
+    sent = sum(len(blob) for _, blob in line_dedup._pack_entries(e, 64))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sent > size / 3 and peak < 0.7 * size
+
+
+def test_packed_index_entries_come_back_whole():
+    e, parts = index_entries(20_000), 50
+    part = line_dedup._group(e) % np.uint64(parts)
+    packed = list(line_dedup._pack_entries(e, parts))
+    assert [p for p, _ in packed] == np.unique(part).tolist()
+    for p, blob in packed:
+        got = line_dedup._unpack_entries(blob)
+        assert all((got[k] == e[k][part == p]).all() for k, _ in line_dedup._ENTRY)
+    batches = list(line_dedup._batches(iter(packed)))
+    assert [x for b in batches for x in b.column(1).to_pylist()] == [blob for _, blob in packed]
+    assert len(batches) > 1 and max(b.nbytes for b in batches) < line_dedup._SENT_BYTES + 2 * max(len(x) for _, x in packed)
+
+
+def test_line_dedup_reads_texts_in_small_batches(spark, make_docs, monkeypatch):
+    name, seen, save = "spark.sql.execution.arrow.maxBytesPerBatch", {}, line_dedup.work.save
+
+    def note(df, label):
+        seen[label] = spark.conf.get(name)
+        return save(df, label)
+
+    monkeypatch.setattr(line_dedup.work, "save", note)
+    before = spark.conf.get(name)
+    line_dedup.dedup(make_docs(["one two three four five", "one two three four five six"]))
+    assert {"line-found", "line-sets"} <= set(seen) and set(seen.values()) == {f"{1 << 22}b"}
+    assert spark.conf.get(name) == before
+    try:
+        for own, meant in (("1m", 1 << 20), ("64MB", 1 << 22), ("5000000", 1 << 22)):
+            spark.conf.set(name, own)
+            with work.small_batches(spark):
+                assert spark.conf.get(name) == f"{meant}b"
+            assert spark.conf.get(name) == own
+    finally:
+        spark.conf.set(name, before)
+
+
 def shingle_set(text):
     w = (text or "").encode().lower().split()
     return frozenset(zip(*(w[i:] for i in range(5)))) if len(w) >= 5 else frozenset([tuple(w)] if w else [])

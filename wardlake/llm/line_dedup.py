@@ -36,6 +36,8 @@ FIRST_PAIRS = 8
 #: A word whose hash bucket counts more than this many words is dealt out as pairs of blocks.
 HOT = 1 << 22
 _FLUSH_ENTRIES = 1 << 20
+#: Entries that are copied into the order of their parts at once, and bytes of blobs that leave a task together.
+_SORTED_ENTRIES, _SENT_BYTES = 1 << 16, 1 << 21
 #: Bytes of text that are cut into lines at once: their arrays stay in a core's cache.
 _BLOCK = 1 << 17
 _ENTRY = (("word", "<u4"), ("node", "<u8"), ("size", "<u4"), ("place", "<u4"), ("block", "<u8"), ("doc", "<i8"), ("line", "<i4"))
@@ -118,11 +120,11 @@ def entries(lines: Lines, ids: np.ndarray) -> dict[str, np.ndarray]:
     parity = np.zeros((4, len(bits) + 1), np.uint64)
     for k in range(4):
         np.bitwise_xor.accumulate(np.where(part == k, bits, np.uint64(0)), out=parity[k, 1:])
-    sketch = (parity[:, lines.at[1:]] ^ parity[:, lines.at[:-1]])[:, line]
+    sketches = {f"sketch{k}": (parity[k, lines.at[1:]] ^ parity[k, lines.at[:-1]])[line] for k in range(4)}
     return {"word": (lines.mixed[at] >> np.uint64(32)).astype("<u4"), "node": lines.node[line].astype("<u8"),
             "size": lines.size[line].astype("<u4"), "place": place.astype("<u4"), "doc": ids[lines.row[line]].astype("<i8"),
             "line": lines.number[line].astype("<i4"), "bucket": lines.names[at] >> np.uint64(64 - work.SKETCH_BITS),
-            **{f"sketch{k}": x for k, x in enumerate(sketch)}}
+            **sketches}
 
 
 def pairs_of(e: dict[str, np.ndarray], wanted: np.ndarray | None) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
@@ -196,22 +198,63 @@ def _column(raw: np.ndarray, n: int, kind: str) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(-1, n).T).view(kind).ravel()
 
 
-def _pack_entries(e: dict[str, np.ndarray], parts: int) -> Iterator[tuple[int, bytes]]:
-    """Parts and blobs of entries: columns by bytes, then as many sketch numbers as the size asks for."""
-    group = _group(e)
-    part = (group % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.int64)
+def _joined(held: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    """The columns of all blocks one behind the other; ``held`` is emptied, so one column at most is there twice."""
+    names = list(held[0])
+    e = {k: np.concatenate([h.pop(k) for h in held]) for k in names}
+    held.clear()
+    return e
+
+
+def _by_part(e: dict[str, np.ndarray], part: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray, dict[str, np.ndarray]]]:
+    """Rows in the order of their parts, some parts after the other: the first one's number, their cuts and columns.
+
+    Only these rows are copied, about _SORTED_ENTRIES of them.
+    """
+    part = part.astype(np.uint16 if parts < 1 << 16 else np.int64)
     order = np.argsort(part, kind="stable")
-    e = {k: v[order] for k, v in e.items()}
     cuts = np.searchsorted(part[order], np.arange(parts + 1))
-    width = sketch_width(e["size"])
-    small = e["sketch0"] ^ e["sketch1"] ^ e["sketch2"] ^ e["sketch3"]
-    middle = [e["sketch0"] ^ e["sketch2"], e["sketch1"] ^ e["sketch3"]]
-    for p in np.flatnonzero(np.diff(cuts)):
-        own = slice(cuts[p], cuts[p + 1])
-        one, two, four = (width[own] == k for k in (1, 2, 4))
-        blob = [np.int64(cuts[p + 1] - cuts[p]).tobytes(), *(_planes(e[k][own]) for k, _ in _ENTRY), small[own][one].tobytes()]
-        blob += [m[own][two].tobytes() for m in middle] + [e[f"sketch{k}"][own][four].tobytes() for k in range(4)]
-        yield int(p), b"".join(blob)
+    for i, j in W.blocks(cuts, _SORTED_ENTRIES):
+        own = order[cuts[i]:cuts[j]]
+        yield i, cuts[i:j + 1] - cuts[i], {k: v[own] for k, v in e.items()}
+
+
+def _pack_entries(e: dict[str, np.ndarray], parts: int) -> Iterator[tuple[int, bytes]]:
+    """Parts and blobs of entries: columns by bytes, then as many sketch numbers as the size asks for."""
+    for first, cuts, some in _by_part(e, _group(e) % np.uint64(parts), parts):
+        width = sketch_width(some["size"])
+        small = some["sketch0"] ^ some["sketch1"] ^ some["sketch2"] ^ some["sketch3"]
+        middle = [some["sketch0"] ^ some["sketch2"], some["sketch1"] ^ some["sketch3"]]
+        for p in np.flatnonzero(np.diff(cuts)):
+            own = slice(cuts[p], cuts[p + 1])
+            one, two, four = (width[own] == k for k in (1, 2, 4))
+            blob = [np.int64(cuts[p + 1] - cuts[p]).tobytes(), *(_planes(some[k][own]) for k, _ in _ENTRY), small[own][one].tobytes()]
+            blob += [m[own][two].tobytes() for m in middle] + [some[f"sketch{k}"][own][four].tobytes() for k in range(4)]
+            yield first + int(p), b"".join(blob)
+
+
+def _pack_occurrences(o: dict[str, np.ndarray], parts: int) -> Iterator[tuple[int, bytes]]:
+    for first, cuts, some in _by_part(o, W.mix(o["node"]) % np.uint64(parts), parts):
+        for p in np.flatnonzero(np.diff(cuts)):
+            yield first + int(p), b"".join(_planes(some[k][cuts[p]:cuts[p + 1]]) for k, _ in _OCCURRENCE)
+
+
+def _batches(packed: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+    """Parts and blobs in batches of about _SENT_BYTES, which is what Python and Spark hold of them outside their rows."""
+    parts, blobs, held = [], [], 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(blobs, pa.binary())], ["part", "blob"])
+
+    for part, blob in packed:
+        parts.append(part)
+        blobs.append(blob)
+        held += len(blob)
+        if held >= _SENT_BYTES:
+            yield batch()
+            parts, blobs, held = [], [], 0
+    if parts:
+        yield batch()
 
 
 def _unpack_entries(blob) -> dict[str, np.ndarray]:
@@ -285,6 +328,7 @@ def _found(docs: DataFrame, shared, hot, wanted: np.ndarray | None = None, cut:
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict[str, np.ndarray]] = []
         seen: list[dict[str, np.ndarray]] = []
+        n_held = n_seen = 0
         for ids, lines in _each(batches, shared.value, words.value):
             e = entries(lines, ids)
             if words.value is not None:
@@ -292,26 +336,21 @@ def _found(docs: DataFrame, shared, hot, wanted: np.ndarray | None = None, cut:
                 e = {k: v[some] for k, v in e.items()}
             else:
                 kept = lines.size >= MIN_WORDS
-                seen.append({"node": lines.node[kept], "check": lines.check[kept], "doc": ids[lines.row[kept]], "line": lines.number[kept]})
-            held.append(e)
-            if sum(len(h["word"]) for h in held) > _FLUSH_ENTRIES:
+                o = {"node": lines.node[kept], "check": lines.check[kept], "doc": ids[lines.row[kept]], "line": lines.number[kept]}
+                seen.append({k: o[k].astype(kind) for k, kind in _OCCURRENCE})
+                n_seen += len(o["node"])
+            held.append(_dealt(e, hot.value))
+            n_held += len(held[-1]["word"])
+            if max(n_held, n_seen) > _FLUSH_ENTRIES:
                 yield from pack(held, seen)
-                held, seen = [], []
+                n_held = n_seen = 0
         if held:
             yield from pack(held, seen)
 
     def pack(held: list[dict[str, np.ndarray]], seen: list[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        filled, blobs = [], []
-        for part, blob in _pack_entries(_dealt({k: np.concatenate([h[k] for h in held]) for k in held[0]}, hot.value), 4 * parts):
-            filled.append(part)
-            blobs.append(blob)
+        yield from _batches(_pack_entries(_joined(held), 4 * parts))
         if seen:
-            o = {k: np.concatenate([h[k] for h in seen]).astype(kind) for k, kind in _OCCURRENCE}
-            part = (W.mix(o["node"]) % np.uint64(parts)).astype(np.int64)
-            for p in np.unique(part):
-                filled.append(4 * parts + int(p))
-                blobs.append(b"".join(_planes(o[k][part == p]) for k, _ in _OCCURRENCE))
-        yield pa.RecordBatch.from_arrays([pa.array(filled, pa.int32()), pa.array(blobs, pa.binary())], ["part", "blob"])
+            yield from _batches((4 * parts + p, blob) for p, blob in _pack_occurrences(_joined(seen), parts))
 
     def rows(kind: int, n: int, **columns: np.ndarray) -> pa.RecordBatch:
         names = ["a", "b", "a_doc", "a_line", "doc", "line", "word"]
@@ -424,7 +463,8 @@ def dedup(docs: DataFrame) -> tuple[DataFrame, str, str]:
     no lines; see :func:`removed_lines` for the cases.
     """
     gone, total, taken = (work.fresh(docs, name) for name in ("gone_lines", "n_lines", "n_removed"))
-    lost = work.save(removed_lines(docs), "gone-lines").withColumnRenamed("lines", gone)
+    with work.small_batches(docs.sparkSession):
+        lost = work.save(removed_lines(docs), "gone-lines").withColumnRenamed("lines", gone)
     bits = docs.sparkSession.sparkContext.broadcast(work.bitmap(lost.select("doc_id")))
 
     @F.pandas_udf("boolean")
