@@ -259,6 +259,44 @@ def test_keys_that_collide_are_told_apart(spark, tmp_path, tuples):
         assert tuples(chain.read(name), *cols) == tuples(whole.read(name), *cols), name
 
 
+def lake_of_twins(spark, store, *others):
+    """A lake with the first stay alone and all rows of a few other Silver tables."""
+    cfg, target = twins(spark, store, 2), nightly.ENCOUNTERS
+    store.overwrite(dims.hospital_from_seed(cfg.hospital_seed), "dim_hospital")
+    cfg.hospital_seed = None
+    for other in others:
+        store.overwrite(other.shape(cfg, cfg.feed(other.feed)), other.name, [other.part] if other.part else None)
+    first = target.shape(cfg, cfg.feed(target.feed)).where(F.col("encounter_bk") == TWINS[0])
+    store.overwrite(first.withColumn("is_readmission_30d", F.lit(False)), target.name, [target.part])
+    return cfg
+
+
+@pytest.mark.parametrize("others", [(), (nightly.CLAIMS, nightly.PATIENTS)])
+def test_a_backfill_with_keys_that_collide_needs_no_other_tables(spark, store, tuples, others):
+    cfg = lake_of_twins(spark, store, *others)
+    # the second stay is in April; the first one's month holds a key that has become wide
+    assert nightly.backfill(cfg, date(2020, 4, 1), date(2020, 4, 30)) == ["2020-03", "2020-04"]
+    stays = {r["encounter_bk"]: r for r in store.read("fact_encounter").collect()}
+    wide = dict(tuples(store.read("keys/encounter_bk"), "encounter_bk", "sk"))
+    assert set(stays) == set(TWINS) == set(wide) and {x: r["encounter_sk"] for x, r in stays.items()} == wide
+    assert min(wide.values()) >= surrogates.WIDE_FROM and len(set(wide.values())) == 2
+    assert tuples(store.read("kpi_daily_hospital"), "date_sk", "encounter_count") == [(20200301, 1), (20200401, 1)]
+    assert not any(store.exists(name) for name in ("bridge_encounter_diagnosis", "dim_provider", "fact_prescription", "dim_diagnosis"))
+    assert store.exists("fact_claim") == store.exists("dim_patient") == bool(others)
+    if others:
+        claims = {r["claim_bk"]: r for r in store.read("fact_claim").collect()}
+        people = dict(tuples(store.read("dim_patient"), "patient_bk", "patient_sk"))
+        for d, x in enumerate(TWINS):
+            assert claims[f"c{d}"]["encounter_sk"] == wide[x] and claims[f"c{d}"]["patient_sk"] == people[x] == stays[x]["patient_sk"]
+
+
+def test_a_backfill_fails_where_only_gold_holds_keys_that_become_wide(spark, store):
+    cfg = lake_of_twins(spark, store)
+    store.overwrite(spark.range(1), "fact_claim")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        nightly.backfill(cfg, date(2020, 4, 1), date(2020, 4, 30))
+
+
 def test_vitals_of_a_night(spark, store, tuples):
     def readings(*rows, ts):
         given = [{"event_id": e, "event_time": t, "device_id": "d", "patient_id": p, "hospital_code": "h1", "bed_number": "b1",
